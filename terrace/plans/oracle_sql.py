@@ -120,3 +120,141 @@ def q(body: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["league_table"] = q("SELECT * FROM league")
+
+SQL["league_table_rint"] = q(
+    "SELECT club_id, played, won, points, points_per_game, win_percentage FROM standings")
+
+SQL["standings_position"] = q("""
+SELECT CAST(position AS BIGINT) AS position, club_id, points, goal_difference, goals_for, goals_against
+FROM standings""")
+
+_SCORERS = """
+scorers AS (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY p.goals DESC, p.assists DESC, p.appearances ASC,
+                                 p.player_id ASC) AS BIGINT) AS scorer_rank,
+         p.player_id, p.name AS player_name, c.name AS club_name, c.short_name AS club_short_name,
+         c.primary_color AS club_color, p.position, p.nationality,
+         CAST(p.jersey_number AS BIGINT) AS jersey_number, CAST(p.appearances AS BIGINT) AS appearances,
+         CAST(p.goals AS BIGINT) AS goals, CAST(p.assists AS BIGINT) AS assists,
+         CAST(p.goal_contributions AS BIGINT) AS goal_contributions, p.goals_per_game
+  FROM players p JOIN clubs c ON p.club_id = c.club_id
+  WHERE p.goals > 0
+)
+"""
+
+SQL["top_scorers"] = q("," + _SCORERS + "SELECT * FROM scorers WHERE scorer_rank <= 10")
+
+SQL["club_analytics"] = q("""
+SELECT c.club_id, c.name AS club_name, c.short_name, c.stadium, CAST(c.capacity AS BIGINT) AS capacity,
+       c.city, c.primary_color,
+       CAST(COUNT(DISTINCT p.player_id) AS BIGINT) AS squad_size,
+       CAST(COALESCE(SUM(p.goals), 0) AS BIGINT) AS squad_goals,
+       CAST(COALESCE(SUM(p.assists), 0) AS BIGINT) AS squad_assists,
+       CAST(ROUND(AVG(p.appearances), 1) AS DOUBLE) AS avg_player_appearances,
+       CAST(COALESCE(s.position, 0) AS BIGINT) AS league_position,
+       CAST(COALESCE(s.points, 0) AS BIGINT) AS points,
+       CAST(COALESCE(s.goal_difference, 0) AS BIGINT) AS goal_difference,
+       s.form
+FROM clubs c
+LEFT JOIN players p ON c.club_id = p.club_id
+LEFT JOIN standings s ON c.club_id = s.club_id
+GROUP BY c.club_id, c.name, c.short_name, c.stadium, c.capacity, c.city, c.primary_color,
+         s.position, s.points, s.goal_difference, s.form""")
+
+SQL["club_squad_only"] = q("""
+SELECT c.club_id, c.name AS club_name, CAST(c.capacity AS BIGINT) AS capacity,
+       CAST(COUNT(DISTINCT p.player_id) AS BIGINT) AS squad_size,
+       CAST(COALESCE(SUM(p.goals), 0) AS BIGINT) AS squad_goals,
+       CAST(COALESCE(SUM(p.assists), 0) AS BIGINT) AS squad_assists,
+       CAST(ROUND(AVG(p.appearances), 1) AS DOUBLE) AS avg_player_appearances
+FROM clubs c LEFT JOIN players p ON c.club_id = p.club_id
+GROUP BY c.club_id, c.name, c.capacity""")
+
+SQL["club_form_last5"] = q("SELECT club_id, form FROM standings")
+
+SQL["event_form_last5"] = """
+SELECT user_id, string_agg(letter, '-' ORDER BY ts, event_id) AS form
+FROM (SELECT user_id, ts, event_id, upper(substr(event_type, 1, 1)) AS letter,
+             ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn
+      FROM events)
+WHERE rn <= 5
+GROUP BY user_id"""
+
+SQL["form_letter_counts"] = q("""
+SELECT letter, CAST(COUNT(*) AS BIGINT) AS occurrences
+FROM (SELECT unnest(string_split(form, '-')) AS letter FROM standings WHERE form <> 'N/A')
+GROUP BY letter""")
+
+SQL["match_results"] = q("""
+SELECT match_id, CAST(gameweek AS BIGINT) AS gameweek, home_club_id, away_club_id, match_date,
+       CAST(home_score AS BIGINT) AS home_score, CAST(away_score AS BIGINT) AS away_score,
+       CAST(total_goals AS BIGINT) AS total_goals, result, status,
+       CAST(home_score AS VARCHAR) || ' - ' || CAST(away_score AS VARCHAR) AS score_label,
+       replace(result, '_', ' ') AS result_label
+FROM matches_c""")
+
+SQL["position_normalise"] = q("""
+SELECT 'player' AS entity, player_id AS entity_id, raw_position AS raw_value,
+       CASE lower(trim(raw_position))
+            WHEN 'goalkeeper' THEN 'Goalkeeper' WHEN 'gk' THEN 'Goalkeeper'
+            WHEN 'defender' THEN 'Defender' WHEN 'def' THEN 'Defender'
+            WHEN 'midfielder' THEN 'Midfielder' WHEN 'mid' THEN 'Midfielder'
+            WHEN 'forward' THEN 'Forward' WHEN 'fwd' THEN 'Forward' WHEN 'striker' THEN 'Forward'
+            ELSE upper(substr(trim(raw_position), 1, 1)) || lower(substr(trim(raw_position), 2)) END
+         AS normalised
+FROM players0
+UNION ALL
+SELECT 'part', p_partkey, p_name,
+       CASE lower(trim(p_name))
+            WHEN 'goalkeeper' THEN 'Goalkeeper' WHEN 'gk' THEN 'Goalkeeper'
+            WHEN 'defender' THEN 'Defender' WHEN 'def' THEN 'Defender'
+            WHEN 'midfielder' THEN 'Midfielder' WHEN 'mid' THEN 'Midfielder'
+            WHEN 'forward' THEN 'Forward' WHEN 'fwd' THEN 'Forward' WHEN 'striker' THEN 'Forward'
+            ELSE upper(substr(trim(p_name), 1, 1)) || lower(substr(trim(p_name), 2)) END
+FROM part""")
+
+SQL["zone_badges"] = q("""
+SELECT l.club_id, l.dynamic_rank,
+       CASE WHEN l.goal_difference > 0 THEN '+' || CAST(l.goal_difference AS VARCHAR)
+            ELSE CAST(l.goal_difference AS VARCHAR) END AS gd_display,
+       CASE WHEN l.dynamic_rank <= 4 THEN 'top-4' WHEN l.dynamic_rank = 5 THEN 'europa' END AS zone,
+       format('{:,}', c.capacity) AS capacity_display
+FROM league l JOIN clubs c ON l.club_id = c.club_id""")
+
+SQL["rank_sequence_check"] = q("," + _SCORERS + """
+SELECT 'league_points_non_increasing' AS check_name,
+       CAST(COUNT(*) FILTER (WHERE points > prev_points) AS BIGINT) AS violations
+FROM (SELECT points, LAG(points) OVER (ORDER BY dynamic_rank, points DESC) AS prev_points FROM league)
+UNION ALL
+SELECT 'standings_points_non_increasing',
+       CAST(COUNT(*) FILTER (WHERE points > prev_points) AS BIGINT)
+FROM (SELECT points, LAG(points) OVER (ORDER BY position) AS prev_points FROM standings)
+UNION ALL
+SELECT 'standings_position_sequence',
+       CAST(CASE WHEN COUNT(*) = 0 OR (COUNT(*) = MAX(position) AND COUNT(*) = COUNT(DISTINCT position)
+                                       AND MIN(position) = 1) THEN 0 ELSE 1 END AS BIGINT)
+FROM standings
+UNION ALL
+SELECT 'scorer_rank_sequence',
+       CAST(CASE WHEN COUNT(*) = 0 OR (COUNT(*) = MAX(scorer_rank) AND COUNT(*) = COUNT(DISTINCT scorer_rank)
+                                       AND MIN(scorer_rank) = 1) THEN 0 ELSE 1 END AS BIGINT)
+FROM scorers
+UNION ALL
+SELECT 'scorer_goals_non_increasing',
+       CAST(COUNT(*) FILTER (WHERE goals > prev_goals) AS BIGINT)
+FROM (SELECT goals, LAG(goals) OVER (ORDER BY scorer_rank) AS prev_goals FROM scorers)""")
+
+SQL["table_counts"] = q("""
+SELECT 'clubs' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM clubs
+UNION ALL SELECT 'players', COUNT(*) FROM players
+UNION ALL SELECT 'matches', COUNT(*) FROM matches
+UNION ALL SELECT 'standings', COUNT(*) FROM standings
+UNION ALL SELECT 'total', (SELECT COUNT(*) FROM clubs) + (SELECT COUNT(*) FROM players)
+                          + (SELECT COUNT(*) FROM matches) + (SELECT COUNT(*) FROM standings)""")
+
+SQL["manifest"] = q("""
+SELECT 'clubs' AS dataset, CAST(COUNT(*) AS BIGINT) AS record_count, CAST(NULL AS VARCHAR) AS path FROM clubs
+UNION ALL SELECT 'players', COUNT(*), NULL FROM players0
+UNION ALL SELECT 'matches', COUNT(*), NULL FROM matches
+UNION ALL SELECT 'total', (SELECT COUNT(*) FROM clubs) + (SELECT COUNT(*) FROM players0)
+                          + (SELECT COUNT(*) FROM matches), NULL""")

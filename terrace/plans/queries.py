@@ -32,3 +32,146 @@ def longs(df: DataFrame) -> DataFrame:
 def league_table(spark, sf_dir):
     lg = derive.league(spark, sf_dir)
     return longs(views.league_table(lg.clubs, lg.standings))
+
+
+def _league(spark, sf_dir, **kw):
+    return derive.league(spark, sf_dir, **kw)
+
+
+@register("league_table_rint")
+def league_table_rint(spark, sf_dir):
+    """Points per game and win % rounded half-even."""
+    s = _league(spark, sf_dir).standings
+    return longs(s.select("club_id", "played", "won", "points", "points_per_game", "win_percentage"))
+
+
+@register("standings_position")
+def standings_position(spark, sf_dir):
+    """Row number after the 4-key sort, club_id breaking full ties."""
+    s = _league(spark, sf_dir).standings
+    return longs(s.select("position", "club_id", "points", "goal_difference", "goals_for",
+                          "goals_against"))
+
+
+@register("top_scorers")
+def top_scorers(spark, sf_dir):
+    """V2/V7, J2, F1, W2 via ranked top-k (X2), limit 10."""
+    lg = _league(spark, sf_dir)
+    return longs(views.top_scorers(lg.players, lg.clubs, 10))
+
+
+@register("club_analytics")
+def club_analytics(spark, sf_dir):
+    """V3: J3 + A1-A5 + R2."""
+    lg = _league(spark, sf_dir)
+    return longs(views.club_analytics(lg.clubs, lg.players, lg.standings))
+
+
+@register("club_squad_only")
+def club_squad_only(spark, sf_dir):
+    """Clubs LEFT JOIN players only."""
+    lg = _league(spark, sf_dir)
+    return longs(views.club_squad_only(lg.clubs, lg.players))
+
+
+@register("club_form_last5")
+def club_form_last5(spark, sf_dir):
+    """W3 + A10: last five results per club, oldest first; 'N/A' without matches."""
+    s = _league(spark, sf_dir).standings
+    return longs(s.select("club_id", "form"))
+
+
+@register("event_form_last5")
+def event_form_last5(spark, sf_dir):
+    """W3 generic: the initials of each user's last five event types (ts, then event_id)."""
+    from terrace.operators.form import last_n_form
+    e = Tables(spark, sf_dir).events.select(
+        "user_id", "ts", "event_id", F.upper(F.substring("event_type", 1, 1)).alias("letter"))
+    return last_n_form(e, "user_id", ["ts", "event_id"], "letter", n=5)
+
+
+@register("form_letter_counts")
+def form_letter_counts(spark, sf_dir):
+    """Split the form strings, explode, count letters."""
+    from terrace.functions.scalars import split_form
+    s = _league(spark, sf_dir).standings
+    return (s.select(F.explode(split_form("form")).alias("letter"))
+            .groupBy("letter").agg(F.count(F.lit(1)).alias("occurrences")))
+
+
+@register("match_results")
+def match_results(spark, sf_dir):
+    """T7, P6, P7, P11, P17 over every cleaned match."""
+    from terrace.functions.scalars import result_label, score_label
+    m = _league(spark, sf_dir).matches
+    return longs(m.select("match_id", "gameweek", "home_club_id", "away_club_id", "match_date",
+                          "home_score", "away_score", "total_goals", "result", "status",
+                          score_label("home_score", "away_score").alias("score_label"),
+                          result_label("result").alias("result_label")))
+
+
+@register("position_normalise")
+def position_normalise(spark, sf_dir):
+    """Player positions through the alias dictionary, part names through
+    strip + capitalize (the dictionary's fallback)."""
+    from terrace.functions.scalars import normalise_position
+    t = Tables(spark, sf_dir)
+    players = derive.raw_players(t).select(
+        F.lit("player").alias("entity"), F.col("player_id").alias("entity_id"),
+        F.col("position").alias("raw_value"), normalise_position("position").alias("normalised"))
+    parts = t.part.select(
+        F.lit("part").alias("entity"), F.col("p_partkey").alias("entity_id"),
+        F.col("p_name").alias("raw_value"), normalise_position("p_name").alias("normalised"))
+    return longs(players.unionByName(parts))
+
+
+@register("zone_badges")
+def zone_badges(spark, sf_dir):
+    """P14, P15, P16 on the league table."""
+    from terrace.functions.scalars import signed_display, thousands, zone_badge
+    lg = _league(spark, sf_dir)
+    lt = views.league_table(lg.clubs, lg.standings)
+    return longs(lt.join(lg.clubs.select("club_id", "capacity"), "club_id").select(
+        "club_id", "dynamic_rank", signed_display("goal_difference").alias("gd_display"),
+        zone_badge("dynamic_rank").alias("zone"), thousands("capacity").alias("capacity_display")))
+
+
+@register("rank_sequence_check")
+def rank_sequence_check(spark, sf_dir):
+    """W7 + W8 on the league table, the standings and the full scorer ranking."""
+    from terrace.operators.integrity import order_violations, rank_sequence
+    lg = _league(spark, sf_dir)
+    lt = views.league_table(lg.clubs, lg.standings)
+    sc = views.top_scorers_view(lg.players, lg.clubs, rank_method="range")
+    parts = [
+        order_violations(lt, "dynamic_rank", "points").agg(F.count(F.lit(1)).alias("violations"))
+        .select(F.lit("league_points_non_increasing").alias("check_name"), "violations"),
+        order_violations(lg.standings, "position", "points").agg(F.count(F.lit(1)).alias("violations"))
+        .select(F.lit("standings_points_non_increasing").alias("check_name"), "violations"),
+        rank_sequence(lg.standings, "position").select(
+            F.lit("standings_position_sequence").alias("check_name"), "violations"),
+        rank_sequence(sc, "scorer_rank").select(F.lit("scorer_rank_sequence").alias("check_name"),
+                                                "violations"),
+        order_violations(sc, "scorer_rank", "goals").agg(F.count(F.lit(1)).alias("violations"))
+        .select(F.lit("scorer_goals_non_increasing").alias("check_name"), "violations"),
+    ]
+    from functools import reduce
+    return longs(reduce(DataFrame.unionByName, parts))
+
+
+@register("table_counts")
+def table_counts(spark, sf_dir):
+    """Rows per gold table plus the total."""
+    from terrace.operators.upsert import table_counts as tc
+    lg = _league(spark, sf_dir)
+    return tc({"clubs": lg.clubs, "players": lg.players, "matches": lg.matches,
+               "standings": lg.standings})
+
+
+@register("manifest")
+def manifest(spark, sf_dir):
+    """S11 + A12: record count per raw (bronze) batch and the grand total."""
+    from terrace.sources.sinks import batch_manifest
+    t = Tables(spark, sf_dir)
+    return batch_manifest({"clubs": derive.raw_clubs(t), "players": derive.raw_players(t),
+                           "matches": derive.raw_matches(t)})

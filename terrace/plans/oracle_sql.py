@@ -258,3 +258,215 @@ UNION ALL SELECT 'players', COUNT(*), NULL FROM players0
 UNION ALL SELECT 'matches', COUNT(*), NULL FROM matches
 UNION ALL SELECT 'total', (SELECT COUNT(*) FROM clubs) + (SELECT COUNT(*) FROM players0)
                           + (SELECT COUNT(*) FROM matches), NULL""")
+
+_AUDIT = """
+WITH
+li AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber
+                               ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity,
+                                        l_extendedprice, l_discount, l_tax, l_returnflag,
+                                        l_linestatus, l_shipdate) AS rn
+  FROM lineitem
+),
+li_f AS (
+  SELECT l_orderkey,
+         (CASE WHEN l_orderkey IS NULL THEN 1 ELSE 0 END) + (CASE WHEN l_partkey IS NULL THEN 1 ELSE 0 END)
+         + (CASE WHEN l_suppkey IS NULL THEN 1 ELSE 0 END) + (CASE WHEN l_linenumber IS NULL THEN 1 ELSE 0 END)
+         + (CASE WHEN l_returnflag IS NULL OR trim(l_returnflag) = '' THEN 1 ELSE 0 END)
+         + (CASE WHEN l_linestatus IS NULL OR trim(l_linestatus) = '' THEN 1 ELSE 0 END)
+         + (CASE WHEN l_shipdate IS NULL THEN 1 ELSE 0 END) AS n_missing,
+         CASE WHEN l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL AND rn > 1 THEN 1 ELSE 0 END AS is_dup,
+         CASE WHEN l_quantity BETWEEN 1 AND 50 THEN 0 ELSE 1 END AS r1,
+         CASE WHEN l_discount BETWEEN 0.0 AND 0.1 THEN 0 ELSE 1 END AS r2,
+         CASE WHEN l_tax BETWEEN 0.0 AND 0.08 THEN 0 ELSE 1 END AS r3,
+         CASE WHEN l_extendedprice > 0 THEN 0 ELSE 1 END AS r4
+  FROM li
+),
+cu AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY c_custkey ORDER BY c_custkey) AS rn FROM customer
+),
+cu_f AS (
+  SELECT (CASE WHEN c_custkey IS NULL THEN 1 ELSE 0 END)
+         + (CASE WHEN c_name IS NULL OR trim(c_name) = '' THEN 1 ELSE 0 END)
+         + (CASE WHEN c_nationkey IS NULL THEN 1 ELSE 0 END)
+         + (CASE WHEN c_mktsegment IS NULL OR trim(c_mktsegment) = '' THEN 1 ELSE 0 END) AS n_missing,
+         CASE WHEN c_custkey IS NOT NULL AND rn > 1 THEN 1 ELSE 0 END AS is_dup,
+         CASE WHEN c_acctbal >= 0 THEN 0 ELSE 1 END AS r1,
+         CASE WHEN c_nationkey BETWEEN 0 AND 24 THEN 0 ELSE 1 END AS r2,
+         0 AS r3, 0 AS r4
+  FROM cu
+),
+oo AS (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY o_orderkey ORDER BY o_orderkey) AS rn FROM orders
+),
+oo_f AS (
+  SELECT (CASE WHEN o_orderkey IS NULL THEN 1 ELSE 0 END)
+         + (CASE WHEN o_custkey IS NULL THEN 1 ELSE 0 END)
+         + (CASE WHEN o_orderdate IS NULL THEN 1 ELSE 0 END)
+         + (CASE WHEN o_orderstatus IS NULL OR trim(o_orderstatus) = '' THEN 1 ELSE 0 END) AS n_missing,
+         CASE WHEN o_orderkey IS NOT NULL AND rn > 1 THEN 1 ELSE 0 END AS is_dup,
+         CASE WHEN o_totalprice > 0 THEN 0 ELSE 1 END AS r1,
+         CASE WHEN o_orderstatus IN ('F', 'O', 'P') THEN 0 ELSE 1 END AS r2,
+         0 AS r3, 0 AS r4
+  FROM oo
+),
+flags AS (
+  SELECT 'lineitem' AS dataset, n_missing, is_dup, r1, r2, r3, r4 FROM li_f
+  UNION ALL SELECT 'customer', n_missing, is_dup, r1, r2, r3, r4 FROM cu_f
+  UNION ALL SELECT 'orders', n_missing, is_dup, r1, r2, r3, r4 FROM oo_f
+),
+metrics AS (
+  SELECT dataset, CAST(COUNT(*) AS BIGINT) AS source_count,
+         CAST(SUM(CASE WHEN n_missing + is_dup + r1 + r2 + r3 + r4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS valid_count,
+         CAST(SUM(CASE WHEN n_missing + is_dup + r1 + r2 + r3 + r4 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS rejected_count,
+         CAST(SUM(n_missing) AS BIGINT) AS missing_fields_count,
+         CAST(SUM(is_dup) AS BIGINT) AS duplicate_count,
+         CAST(SUM(r1 + r2 + r3 + r4) AS BIGINT) AS validation_error_count
+  FROM flags GROUP BY dataset
+)
+"""
+
+SQL["audit_metrics"] = _AUDIT + "SELECT * FROM metrics"
+
+SQL["audit_issues_count"] = _AUDIT + """
+SELECT dataset, kind, CAST(SUM(n) AS BIGINT) AS issue_count FROM (
+  SELECT dataset, 'Duplicate primary key' AS kind, is_dup AS n FROM flags
+  UNION ALL SELECT 'lineitem', 'Validation failure: Quantity must be between 1 and 50', r1 FROM li_f
+  UNION ALL SELECT 'lineitem', 'Validation failure: Discount must be between 0 and 0.1', r2 FROM li_f
+  UNION ALL SELECT 'lineitem', 'Validation failure: Tax must be between 0 and 0.08', r3 FROM li_f
+  UNION ALL SELECT 'lineitem', 'Validation failure: Extended price must be positive', r4 FROM li_f
+  UNION ALL SELECT 'customer', 'Validation failure: Account balance cannot be negative', r1 FROM cu_f
+  UNION ALL SELECT 'customer', 'Validation failure: Nation key must be between 0 and 24', r2 FROM cu_f
+  UNION ALL SELECT 'orders', 'Validation failure: Total price must be positive', r1 FROM oo_f
+  UNION ALL SELECT 'orders', 'Validation failure: Order status must be F, O or P', r2 FROM oo_f
+) GROUP BY dataset, kind HAVING SUM(n) > 0"""
+
+SQL["quality_report"] = _AUDIT + """
+SELECT CAST(SUM(source_count) AS BIGINT) AS source_records,
+       CAST(SUM(valid_count) AS BIGINT) AS processed_records,
+       CAST(SUM(rejected_count) AS BIGINT) AS rejected_records,
+       CAST(SUM(missing_fields_count) AS BIGINT) AS missing_fields,
+       CAST(SUM(duplicate_count) AS BIGINT) AS duplicates,
+       CAST(SUM(validation_error_count) AS BIGINT) AS validation_errors,
+       CASE WHEN SUM(rejected_count) = 0 THEN 'PASS'
+            WHEN CAST(SUM(rejected_count) AS DOUBLE) < CAST(SUM(source_count) AS DOUBLE) * 0.1 THEN 'WARN'
+            ELSE 'FAIL' END AS status
+FROM metrics"""
+
+SQL["audit_first_wins"] = _AUDIT + """
+SELECT l_orderkey,
+       CAST(SUM(CASE WHEN n_missing + is_dup + r1 + r2 + r3 + r4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS valid_rows,
+       CAST(SUM(CASE WHEN n_missing + is_dup + r1 + r2 + r3 + r4 > 0 THEN 1 ELSE 0 END) AS BIGINT) AS rejected_rows,
+       CAST(SUM(is_dup) AS BIGINT) AS duplicate_rows
+FROM li_f GROUP BY l_orderkey"""
+
+SQL["fk_violations"] = q("""
+, remaining_clubs AS (SELECT * FROM clubs WHERE city NOT IN (SELECT r_name FROM region WHERE r_name = 'AFRICA'))
+SELECT 'customer' AS table_name, 'fk_customer_nation' AS constraint_name,
+       CAST(COUNT(*) AS BIGINT) AS violations
+FROM customer WHERE c_nationkey IS NOT NULL AND c_nationkey NOT IN (SELECT n_nationkey FROM nation)
+UNION ALL SELECT 'supplier', 'fk_supplier_nation', COUNT(*)
+FROM supplier WHERE s_nationkey IS NOT NULL AND s_nationkey NOT IN (SELECT n_nationkey FROM nation)
+UNION ALL SELECT 'orders', 'fk_orders_customer', COUNT(*)
+FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer)
+UNION ALL SELECT 'lineitem', 'fk_lineitem_orders', COUNT(*)
+FROM lineitem WHERE l_orderkey IS NOT NULL AND l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'lineitem', 'fk_lineitem_part', COUNT(*)
+FROM lineitem WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'lineitem', 'fk_lineitem_supplier', COUNT(*)
+FROM lineitem WHERE l_suppkey IS NOT NULL AND l_suppkey NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'nation', 'fk_nation_region', COUNT(*)
+FROM nation WHERE n_regionkey IS NOT NULL AND n_regionkey NOT IN (SELECT r_regionkey FROM region)
+UNION ALL SELECT 'players', 'fk_players_club', COUNT(*)
+FROM players WHERE club_id NOT IN (SELECT club_id FROM clubs)
+UNION ALL SELECT 'matches', 'fk_matches_home', COUNT(*)
+FROM matches WHERE home_club_id NOT IN (SELECT club_id FROM clubs)
+UNION ALL SELECT 'matches', 'fk_matches_away', COUNT(*)
+FROM matches WHERE away_club_id NOT IN (SELECT club_id FROM clubs)
+UNION ALL SELECT 'standings', 'fk_standings_club', COUNT(*)
+FROM standings WHERE club_id NOT IN (SELECT club_id FROM clubs)
+UNION ALL SELECT 'players', 'after_delete_fk_players_club', COUNT(*)
+FROM players WHERE club_id NOT IN (SELECT club_id FROM remaining_clubs)
+UNION ALL SELECT 'matches', 'after_delete_fk_matches_home', COUNT(*)
+FROM matches WHERE home_club_id NOT IN (SELECT club_id FROM remaining_clubs)
+UNION ALL SELECT 'matches', 'after_delete_fk_matches_away', COUNT(*)
+FROM matches WHERE away_club_id NOT IN (SELECT club_id FROM remaining_clubs)
+UNION ALL SELECT 'standings', 'after_delete_fk_standings_club', COUNT(*)
+FROM standings WHERE club_id NOT IN (SELECT club_id FROM remaining_clubs)""")
+
+SQL["check_violations"] = q("""
+SELECT 'clubs' AS table_name, 'check_capacity_positive' AS constraint_name,
+       CAST(COUNT(*) FILTER (WHERE NOT (capacity > 0)) AS BIGINT) AS violations FROM clubs
+UNION ALL SELECT 'clubs', 'check_founded_year', COUNT(*) FILTER (WHERE NOT (founded_year >= 1800)) FROM clubs
+UNION ALL SELECT 'players', 'check_appearances_non_negative', COUNT(*) FILTER (WHERE NOT (appearances >= 0)) FROM players
+UNION ALL SELECT 'players', 'check_goals_non_negative', COUNT(*) FILTER (WHERE NOT (goals >= 0)) FROM players
+UNION ALL SELECT 'players', 'check_assists_non_negative', COUNT(*) FILTER (WHERE NOT (assists >= 0)) FROM players
+UNION ALL SELECT 'matches', 'check_home_away_distinct', COUNT(*) FILTER (WHERE NOT (home_club_id <> away_club_id)) FROM matches
+UNION ALL SELECT 'matches', 'check_home_score_non_negative', COUNT(*) FILTER (WHERE NOT (home_score >= 0)) FROM matches
+UNION ALL SELECT 'matches', 'check_away_score_non_negative', COUNT(*) FILTER (WHERE NOT (away_score >= 0)) FROM matches
+UNION ALL SELECT 'standings', 'check_played_non_negative', COUNT(*) FILTER (WHERE NOT (played >= 0)) FROM standings
+UNION ALL SELECT 'standings', 'check_points_non_negative', COUNT(*) FILTER (WHERE NOT (points >= 0)) FROM standings
+UNION ALL SELECT 'customer', 'check_acctbal_non_negative', COUNT(*) FILTER (WHERE NOT (c_acctbal >= 0)) FROM customer
+UNION ALL SELECT 'supplier', 'check_acctbal_non_negative', COUNT(*) FILTER (WHERE NOT (s_acctbal >= 0)) FROM supplier
+UNION ALL SELECT 'part', 'check_size_positive', COUNT(*) FILTER (WHERE NOT (p_size > 0)) FROM part
+UNION ALL SELECT 'part', 'check_retailprice_positive', COUNT(*) FILTER (WHERE NOT (p_retailprice > 0)) FROM part
+UNION ALL SELECT 'orders', 'check_totalprice_positive', COUNT(*) FILTER (WHERE NOT (o_totalprice > 0)) FROM orders
+UNION ALL SELECT 'lineitem', 'check_quantity_positive', COUNT(*) FILTER (WHERE NOT (l_quantity > 0)) FROM lineitem
+UNION ALL SELECT 'lineitem', 'check_discount_range', COUNT(*) FILTER (WHERE NOT (l_discount BETWEEN 0 AND 0.1)) FROM lineitem
+UNION ALL SELECT 'lineitem', 'check_ship_after_order_year', COUNT(*) FILTER (WHERE NOT (year(l_shipdate) >= 1990)) FROM lineitem""")
+
+SQL["pk_duplicates"] = """
+SELECT table_name, constraint_name, key_value, CAST(occurrences AS BIGINT) AS occurrences FROM (
+  SELECT 'customer' AS table_name, 'primary_key' AS constraint_name, CAST(c_custkey AS VARCHAR) AS key_value,
+         COUNT(*) AS occurrences FROM customer WHERE c_custkey IS NOT NULL GROUP BY c_custkey HAVING COUNT(*) > 1
+  UNION ALL SELECT 'supplier', 'primary_key', CAST(s_suppkey AS VARCHAR), COUNT(*) FROM supplier
+    WHERE s_suppkey IS NOT NULL GROUP BY s_suppkey HAVING COUNT(*) > 1
+  UNION ALL SELECT 'part', 'primary_key', CAST(p_partkey AS VARCHAR), COUNT(*) FROM part
+    WHERE p_partkey IS NOT NULL GROUP BY p_partkey HAVING COUNT(*) > 1
+  UNION ALL SELECT 'part', 'unique_p_name', p_name, COUNT(*) FROM part
+    WHERE p_name IS NOT NULL GROUP BY p_name HAVING COUNT(*) > 1
+  UNION ALL SELECT 'orders', 'primary_key', CAST(o_orderkey AS VARCHAR), COUNT(*) FROM orders
+    WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING COUNT(*) > 1
+  UNION ALL SELECT 'lineitem', 'primary_key', CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR),
+         COUNT(*) FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+    GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1
+  UNION ALL SELECT 'nation', 'primary_key', CAST(n_nationkey AS VARCHAR), COUNT(*) FROM nation
+    WHERE n_nationkey IS NOT NULL GROUP BY n_nationkey HAVING COUNT(*) > 1
+  UNION ALL SELECT 'nation', 'unique_n_name', n_name, COUNT(*) FROM nation
+    WHERE n_name IS NOT NULL GROUP BY n_name HAVING COUNT(*) > 1
+  UNION ALL SELECT 'customer', 'primary_key_not_null', 'NULL', COUNT(*) FROM customer WHERE c_custkey IS NULL HAVING COUNT(*) > 0
+  UNION ALL SELECT 'supplier', 'primary_key_not_null', 'NULL', COUNT(*) FROM supplier WHERE s_suppkey IS NULL HAVING COUNT(*) > 0
+  UNION ALL SELECT 'part', 'primary_key_not_null', 'NULL', COUNT(*) FROM part WHERE p_partkey IS NULL HAVING COUNT(*) > 0
+  UNION ALL SELECT 'orders', 'primary_key_not_null', 'NULL', COUNT(*) FROM orders WHERE o_orderkey IS NULL HAVING COUNT(*) > 0
+  UNION ALL SELECT 'lineitem', 'primary_key_not_null', 'NULL', COUNT(*) FROM lineitem
+    WHERE l_orderkey IS NULL OR l_linenumber IS NULL HAVING COUNT(*) > 0
+  UNION ALL SELECT 'nation', 'primary_key_not_null', 'NULL', COUNT(*) FROM nation WHERE n_nationkey IS NULL HAVING COUNT(*) > 0
+)"""
+
+_NN = "CAST(COUNT(*) - COUNT({c}) AS BIGINT)"
+
+
+def _nn_rows(table: str, src: str, cols: list[str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, {_NN.format(c=c)} AS null_count FROM {src}"
+        for c in cols)
+
+
+SQL["not_null_report"] = q("""
+, ol AS (SELECT o.o_orderkey, o.o_orderdate, l.l_linenumber, l.l_quantity, l.l_shipdate
+         FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey)
+""" + "\nUNION ALL ".join([
+    _nn_rows("clubs", "clubs", ["club_id", "name", "short_name", "stadium", "capacity", "city",
+                                "founded_year", "primary_color"]),
+    _nn_rows("players", "players", ["player_id", "club_id", "name", "position", "nationality",
+                                    "jersey_number", "appearances", "goals", "assists",
+                                    "goal_contributions", "goals_per_game"]),
+    _nn_rows("matches", "matches_c", ["match_id", "gameweek", "home_club_id", "away_club_id",
+                                      "match_date", "home_score", "away_score", "total_goals",
+                                      "result", "status"]),
+    _nn_rows("standings", "standings", ["position", "club_id", "played", "won", "drawn", "lost",
+                                        "goals_for", "goals_against", "goal_difference", "points",
+                                        "points_per_game", "win_percentage", "form"]),
+    _nn_rows("orders_lineitem", "ol", ["o_orderkey", "o_orderdate", "l_linenumber", "l_quantity",
+                                       "l_shipdate"]),
+]))

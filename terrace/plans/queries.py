@@ -175,3 +175,136 @@ def manifest(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return batch_manifest({"clubs": derive.raw_clubs(t), "players": derive.raw_players(t),
                            "matches": derive.raw_matches(t)})
+
+
+def _star_audits(spark, sf_dir):
+    from terrace.operators.quality import audit_spec
+    from terrace.plans import star_audits as SA
+    t = Tables(spark, sf_dir)
+    return [audit_spec(t.lineitem.select(*SA.LINEITEM_COLUMNS), SA.lineitem_spec(), persist=False),
+            audit_spec(t.customer, SA.customer_spec(), persist=False),
+            audit_spec(t.orders, SA.orders_spec(), persist=False)]
+
+
+@register("audit_metrics")
+def audit_metrics(spark, sf_dir):
+    """Q1-Q7: metrics row per audited dataset (lineitem has duplicate keys,
+    customer negative balances)."""
+    from functools import reduce
+    return reduce(DataFrame.unionByName, [a.metrics for a in _star_audits(spark, sf_dir)])
+
+
+@register("audit_issues_count")
+def audit_issues_count(spark, sf_dir):
+    """Q6: issue log rows per dataset and kind (duplicate messages grouped)."""
+    from functools import reduce
+    parts = []
+    for a in _star_audits(spark, sf_dir):
+        e = F.col("error")
+        kind = F.when(e.startswith("Duplicate primary key"), F.lit("Duplicate primary key")).otherwise(e)
+        parts.append(a.issues.select(F.lit(a.name).alias("dataset"), kind.alias("kind")))
+    return reduce(DataFrame.unionByName, parts).groupBy("dataset", "kind") \
+        .agg(F.count(F.lit(1)).alias("issue_count"))
+
+
+@register("quality_report")
+def quality_report(spark, sf_dir):
+    """Pooled totals and PASS/WARN/FAIL."""
+    from terrace.operators.quality import quality_report as qr
+    return qr(_star_audits(spark, sf_dir)).select(
+        "source_records", "processed_records", "rejected_records", "missing_fields", "duplicates",
+        "validation_errors", "status")
+
+
+@register("audit_first_wins")
+def audit_first_wins(spark, sf_dir):
+    """Per order, valid / rejected / duplicate line rows after first-wins dedup
+    over the total record order (all columns)."""
+    li = _star_audits(spark, sf_dir)[0].audited
+    return li.groupBy("l_orderkey").agg(
+        F.count_if(F.size("_rejection_reasons") == 0).alias("valid_rows"),
+        F.count_if(F.size("_rejection_reasons") > 0).alias("rejected_rows"),
+        F.count_if(F.col("_is_dup")).alias("duplicate_rows"))
+
+
+def _league_tables(lg) -> dict:
+    return {"clubs": lg.clubs, "players": lg.players, "matches": lg.matches, "standings": lg.standings}
+
+
+def _star_tables(spark, sf_dir) -> dict:
+    t = Tables(spark, sf_dir)
+    return {n: t[n] for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")}
+
+
+def _fk_only(tables, specs):
+    from functools import reduce
+    from terrace.operators.integrity import fk_violations
+    parts = [fk_violations(tables[name], tables[fk.parent], name, fk.columns, fk.parent_columns, fk.name)
+             for name, spec in specs.items() if name in tables
+             for fk in spec.foreign_keys if fk.parent in tables]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("fk_violations")
+def fk_violations_q(spark, sf_dir):
+    """Orphans per foreign key on the star and league tables, and on the
+    league state after deleting the clubs of region AFRICA *without* cascade
+    (the orphans a cascade has to remove)."""
+    from terrace.plans.star_audits import STAR_TABLE_SPECS
+    from terrace.schemas import LEAGUE_TABLES
+    lg = _league(spark, sf_dir)
+    lt = _league_tables(lg)
+    africa = Tables(spark, sf_dir).region.where(F.col("r_name") == "AFRICA") \
+        .select(F.col("r_name").alias("city"))
+    remaining = dict(lt, clubs=lg.clubs.join(africa, "city", "left_anti"))
+    after = _fk_only(remaining, LEAGUE_TABLES).withColumn(
+        "constraint_name", F.concat(F.lit("after_delete_"), F.col("constraint_name")))
+    return (_fk_only(_star_tables(spark, sf_dir), STAR_TABLE_SPECS)
+            .unionByName(_fk_only(lt, LEAGUE_TABLES)).unionByName(after))
+
+
+@register("check_violations")
+def check_violations_q(spark, sf_dir):
+    """I4-I13 on the league tables plus CHECKs on the star tables (customer has
+    negative balances); NULL passes a CHECK."""
+    from functools import reduce
+    from terrace.operators.integrity import check_violations
+    from terrace.plans.star_audits import STAR_TABLE_SPECS
+    from terrace.schemas import LEAGUE_TABLES
+    lt = _league_tables(_league(spark, sf_dir))
+    st = _star_tables(spark, sf_dir)
+    parts = [check_violations(lt[n], n, s.checks) for n, s in LEAGUE_TABLES.items() if s.checks]
+    parts += [check_violations(st[n], n, s.checks) for n, s in STAR_TABLE_SPECS.items() if s.checks]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("pk_duplicates")
+def pk_duplicates(spark, sf_dir):
+    """Duplicate primary keys (lineitem's (orderkey, linenumber)) and
+    duplicate UNIQUE values (part names, nation names), one row per key."""
+    from functools import reduce
+    from terrace.operators.integrity import pk_violations, duplicate_keys
+    from terrace.plans.star_audits import STAR_TABLE_SPECS
+    st = _star_tables(spark, sf_dir)
+    parts = []
+    for n, s in STAR_TABLE_SPECS.items():
+        parts.append(pk_violations(st[n], n, s.primary_key))
+        for u in s.unique:
+            parts.append(duplicate_keys(st[n], n, u, "unique_" + "_".join(u)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@register("not_null_report")
+def not_null_report(spark, sf_dir):
+    """Nulls per column of the league tables and of orders LEFT JOIN lineitem
+    (orders without lines give nulls)."""
+    from functools import reduce
+    from terrace.operators.integrity import not_null_counts
+    lt = _league_tables(_league(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    ol = t.orders.select("o_orderkey", "o_orderdate").join(
+        t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity",
+                          "l_shipdate"), "o_orderkey", "left")
+    parts = [not_null_counts(df.drop("transformed_at"), n) for n, df in lt.items()]
+    parts.append(not_null_counts(ol, "orders_lineitem"))
+    return reduce(DataFrame.unionByName, parts)

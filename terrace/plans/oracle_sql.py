@@ -470,3 +470,105 @@ SQL["not_null_report"] = q("""
     _nn_rows("orders_lineitem", "ol", ["o_orderkey", "o_orderdate", "l_linenumber", "l_quantity",
                                        "l_shipdate"]),
 ]))
+
+_UPSERT = """
+, batch AS (
+  SELECT player_id, club_id, name, position, nationality, jersey_number, appearances,
+         CAST(goals + 1 AS INTEGER) AS goals, assists,
+         CAST(goals + 1 + assists AS INTEGER) AS goal_contributions,
+         CASE WHEN appearances > 0
+              THEN round_even(CAST(goals + 1 AS DOUBLE) / CAST(appearances AS DOUBLE) * 100.0, 0) / 100.0
+              ELSE 0.0 END AS goals_per_game
+  FROM players WHERE position IN ('Machinery', 'Midfielder')
+),
+base AS (SELECT * FROM players WHERE position <> 'Machinery')
+"""
+
+_PCOLS = """player_id, club_id, name, position, nationality, CAST(jersey_number AS BIGINT) AS jersey_number,
+       CAST(appearances AS BIGINT) AS appearances, CAST(goals AS BIGINT) AS goals,
+       CAST(assists AS BIGINT) AS assists, CAST(goal_contributions AS BIGINT) AS goal_contributions,
+       goals_per_game"""
+
+SQL["upsert_players"] = q(_UPSERT + f"""
+SELECT {_PCOLS} FROM base WHERE player_id NOT IN (SELECT player_id FROM batch)
+UNION ALL SELECT {_PCOLS} FROM batch""")
+
+SQL["upsert_counts"] = q(_UPSERT + """
+SELECT CAST(COUNT(*) AS BIGINT) AS processed,
+       CAST(COUNT(*) FILTER (WHERE player_id NOT IN (SELECT player_id FROM base)) AS BIGINT) AS inserted,
+       CAST(COUNT(*) FILTER (WHERE player_id IN (SELECT player_id FROM base)) AS BIGINT) AS updated
+FROM batch""")
+
+SQL["cascade_delete"] = q("""
+, gone AS (SELECT club_id FROM clubs WHERE city = 'AFRICA'),
+kc AS (SELECT * FROM clubs WHERE club_id NOT IN (SELECT club_id FROM gone)),
+kp AS (SELECT * FROM players WHERE club_id NOT IN (SELECT club_id FROM gone)),
+km AS (SELECT * FROM matches WHERE home_club_id NOT IN (SELECT club_id FROM gone)
+                               AND away_club_id NOT IN (SELECT club_id FROM gone)),
+ks AS (SELECT * FROM standings WHERE club_id NOT IN (SELECT club_id FROM gone))
+SELECT 'clubs' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM kc
+UNION ALL SELECT 'players', COUNT(*) FROM kp
+UNION ALL SELECT 'matches', COUNT(*) FROM km
+UNION ALL SELECT 'standings', COUNT(*) FROM ks
+UNION ALL SELECT 'total', (SELECT COUNT(*) FROM kc) + (SELECT COUNT(*) FROM kp)
+                          + (SELECT COUNT(*) FROM km) + (SELECT COUNT(*) FROM ks)""")
+
+SQL["clubs_by_city"] = q("""
+SELECT club_id, name, short_name, stadium, CAST(capacity AS BIGINT) AS capacity, city,
+       CAST(founded_year AS BIGINT) AS founded_year, primary_color
+FROM clubs WHERE city ILIKE '%ri%'""")
+
+SQL["club_detail_counts"] = q("""
+SELECT c.club_id, c.name AS club_name,
+       CAST((SELECT COUNT(*) FROM players p WHERE p.club_id = c.club_id) AS BIGINT) AS squad_count,
+       CAST((SELECT COUNT(*) FROM matches m WHERE m.home_club_id = c.club_id OR m.away_club_id = c.club_id)
+            AS BIGINT) AS match_count,
+       (SELECT MAX(match_date) FROM matches m WHERE m.home_club_id = c.club_id OR m.away_club_id = c.club_id)
+         AS latest_match_date,
+       EXISTS (SELECT 1 FROM standings s WHERE s.club_id = c.club_id) AS has_standing,
+       (SELECT s.points FROM standings s WHERE s.club_id = c.club_id) AS points
+FROM clubs c""")
+
+SQL["players_filtered"] = q(f"""
+SELECT {_PCOLS}, club_name FROM (
+  SELECT p.*, c.name AS club_name FROM (
+    SELECT * FROM players WHERE position ILIKE '%mid%' AND name ILIKE '%0001%'
+    ORDER BY goals DESC, assists DESC, player_id ASC LIMIT 50) p
+  LEFT JOIN clubs c ON p.club_id = c.club_id)""")
+
+SQL["player_detail"] = q(f"""
+SELECT {_PCOLS}, club_name FROM (
+  SELECT p.*, c.name AS club_name FROM players p LEFT JOIN clubs c ON p.club_id = c.club_id
+  WHERE p.player_id = 7)""")
+
+SQL["matches_of_club"] = q("""
+SELECT m.match_id, CAST(m.gameweek AS BIGINT) AS gameweek, m.match_date, m.home_club_id,
+       h.name AS home_club_name, m.away_club_id, a.name AS away_club_name,
+       CAST(m.home_score AS BIGINT) AS home_score, CAST(m.away_score AS BIGINT) AS away_score,
+       CAST(m.home_score AS VARCHAR) || ' - ' || CAST(m.away_score AS VARCHAR) AS score, m.result
+FROM matches_c m LEFT JOIN clubs h ON m.home_club_id = h.club_id
+LEFT JOIN clubs a ON m.away_club_id = a.club_id
+WHERE m.home_club_id = 3 OR m.away_club_id = 3""")
+
+SQL["matches_gameweek"] = q("""
+SELECT m.match_id, CAST(m.gameweek AS BIGINT) AS gameweek, m.match_date,
+       h.name AS home_club_name, a.name AS away_club_name,
+       CAST(m.home_score AS VARCHAR) || ' - ' || CAST(m.away_score AS VARCHAR) AS score
+FROM matches m LEFT JOIN clubs h ON m.home_club_id = h.club_id
+LEFT JOIN clubs a ON m.away_club_id = a.club_id
+WHERE m.gameweek = 7""")
+
+SQL["player_search"] = q(f"""
+SELECT {_PCOLS} FROM players WHERE contains(lower(name), '12') AND position = 'Forward'""")
+
+SQL["club_search"] = q("""
+SELECT DISTINCT club_id, name FROM clubs
+WHERE contains(lower(name), 'nation_1') OR contains(lower(city), 'nation_1')
+   OR contains(lower(name), 'asia') OR contains(lower(city), 'asia')""")
+
+SQL["global_rank_scaled"] = """
+SELECT o_orderkey, o_totalprice,
+       CAST(DENSE_RANK() OVER (ORDER BY o_totalprice DESC) AS BIGINT) AS price_rank
+FROM orders"""
+
+SQL["top_scorers_full"] = q("," + _SCORERS + "SELECT * FROM scorers")

@@ -308,3 +308,138 @@ def not_null_report(spark, sf_dir):
     parts = [not_null_counts(df.drop("transformed_at"), n) for n, df in lt.items()]
     parts.append(not_null_counts(ol, "orders_lineitem"))
     return reduce(DataFrame.unionByName, parts)
+
+
+_PLAYER_COLS = ["player_id", "club_id", "name", "position", "nationality", "jersey_number",
+                "appearances", "goals", "assists", "goal_contributions", "goals_per_game"]
+
+
+def _upsert_inputs(spark, sf_dir):
+    """Base table: every player but the 'Machinery' ones; batch: re-cleaned
+    'Machinery' (new keys) and 'Midfielder' (existing keys) players, each with
+    one more goal."""
+    from terrace.operators.clean import clean_players
+    t = Tables(spark, sf_dir)
+    lg = _league(spark, sf_dir)
+    base = lg.players.where(F.col("position") != "Machinery")
+    raw = derive.raw_players(t).withColumn("goals", F.col("goals") + 1)
+    batch = clean_players(raw, "1970-01-02T00:00:00+00:00").where(
+        F.col("position").isin("Machinery", "Midfielder"))
+    return base, batch
+
+
+@register("upsert_players")
+def upsert_players(spark, sf_dir):
+    """M1: existing keys take the batch's values, new keys are inserted, keys
+    absent from the batch stay."""
+    from terrace.operators.upsert import upsert
+    base, batch = _upsert_inputs(spark, sf_dir)
+    return longs(upsert(base, batch, "player_id", check_keys=False).select(*_PLAYER_COLS))
+
+
+@register("upsert_counts")
+def upsert_counts_q(spark, sf_dir):
+    """M3: processed / inserted / updated for the same upsert."""
+    from terrace.operators.upsert import upsert_counts
+    base, batch = _upsert_inputs(spark, sf_dir)
+    return upsert_counts(base, batch, "player_id")
+
+
+@register("cascade_delete")
+def cascade_delete_q(spark, sf_dir):
+    """I16: delete the clubs of region AFRICA with ON DELETE CASCADE semantics;
+    row counts of the new versions."""
+    from terrace.operators.upsert import cascade_delete, table_counts
+    lg = _league(spark, sf_dir)
+    africa = Tables(spark, sf_dir).region.where(F.col("r_name") == "AFRICA") \
+        .select(F.col("r_name").alias("city"))
+    deleted = lg.clubs.join(africa, "city", "left_semi").select("club_id")
+    out = cascade_delete(_league_tables(lg), "clubs", "club_id", deleted,
+                         {"players": ["club_id"], "matches": ["home_club_id", "away_club_id"],
+                          "standings": ["club_id"]})
+    return table_counts(out)
+
+
+@register("clubs_by_city")
+def clubs_by_city(spark, sf_dir):
+    """City ILIKE '%ri%' ordered by name."""
+    from terrace.plans import lookups
+    return longs(lookups.clubs(_league(spark, sf_dir).clubs, city="ri").drop("transformed_at"))
+
+
+@register("club_detail_counts")
+def club_detail_counts(spark, sf_dir):
+    """L2, J6 flattened: squad and match counts per club."""
+    from terrace.plans import lookups
+    lg = _league(spark, sf_dir)
+    return lookups.club_detail_counts(lg.clubs, lg.players, lg.matches, lg.standings)
+
+
+@register("players_filtered")
+def players_filtered(spark, sf_dir):
+    """Position ILIKE '%mid%' AND name ILIKE '%0001%', top 50."""
+    from terrace.plans import lookups
+    lg = _league(spark, sf_dir)
+    out = lookups.players(lg.players, lg.clubs, position="mid", search="0001", limit=50)
+    return longs(out.select(*_PLAYER_COLS, "club_name"))
+
+
+@register("player_detail")
+def player_detail(spark, sf_dir):
+    """One player by key with the club name."""
+    from terrace.plans import lookups
+    lg = _league(spark, sf_dir)
+    return longs(lookups.player_detail(lg.players, lg.clubs, 7).select(*_PLAYER_COLS, "club_name"))
+
+
+@register("matches_of_club")
+def matches_of_club(spark, sf_dir):
+    """Every match of club 3 (home or away) with both names."""
+    from terrace.plans import lookups
+    lg = _league(spark, sf_dir)
+    return longs(lookups.matches(lg.matches, lg.clubs, club_id=3).select(
+        "match_id", "gameweek", "match_date", "home_club_id", "home_club_name", "away_club_id",
+        "away_club_name", "home_score", "away_score", "score", "result"))
+
+
+@register("matches_gameweek")
+def matches_gameweek(spark, sf_dir):
+    """Gameweek 7 only, both filters folded (club unset)."""
+    from terrace.plans import lookups
+    lg = _league(spark, sf_dir)
+    return longs(lookups.matches(lg.matches, lg.clubs, gameweek=7).select(
+        "match_id", "gameweek", "match_date", "home_club_name", "away_club_name", "score"))
+
+
+@register("player_search")
+def player_search(spark, sf_dir):
+    """F5, F8 (L12): name contains '12' (literal, case-insensitive) AND position = 'Forward'."""
+    from terrace.plans import lookups
+    p = _league(spark, sf_dir).players
+    return longs(lookups.player_search(p, q="12", position="Forward").select(*_PLAYER_COLS))
+
+
+@register("club_search")
+def club_search(spark, sf_dir):
+    """F9 (L11) + L14: name or city contains 'nation_1' / 'asia', as (club_id, name)."""
+    from terrace.plans import lookups
+    c = _league(spark, sf_dir).clubs
+    a = lookups.club_search(c, "nation_1")
+    b = lookups.club_search(c, "asia")
+    return longs(lookups.club_options(a.unionByName(b).distinct()))
+
+
+@register("global_rank_scaled")
+def global_rank_scaled(spark, sf_dir):
+    """DENSE_RANK over o_totalprice DESC on all orders without a
+    single-partition window (range-partitioned numbering + offsets)."""
+    from terrace.operators.ranking import global_rank
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
+    return global_rank(o, ["-o_totalprice"], out="price_rank", kind="dense_rank", method="range")
+
+
+@register("top_scorers_full")
+def top_scorers_full(spark, sf_dir):
+    """V2 over every scorer with the scalable ROW_NUMBER."""
+    lg = _league(spark, sf_dir)
+    return longs(views.top_scorers_view(lg.players, lg.clubs, rank_method="range"))

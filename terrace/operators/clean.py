@@ -50,9 +50,14 @@ def require_none(df: DataFrame, checks: dict[str, Column]) -> None:
 def guard(df: DataFrame, checks: dict[str, Column], carrier: str, mode: str = "lazy") -> DataFrame:
     """Attach assertions to ``df``.
 
-    lazy: ``carrier`` (a column every consumer reads, normally the key) is
-    rewritten to ``raise_error`` when any assertion is violated, so the check
-    runs in the same pass that produces the data.
+    lazy: a filter that is true for good rows and raises for a violating one, so
+    the check runs in the same pass that produces the data.  Unlike a rewritten
+    column, a filter is never pruned away; the error names the offending row's
+    ``carrier`` value.  The always-true nondeterministic conjunct pins the filter
+    where it stands: otherwise Catalyst may merge it with upstream filters (or a
+    join condition) and evaluate it first, raising on rows the input would have
+    dropped.  The price is that later filters are not pushed below it -- use
+    ``eager`` (one aggregate job up front) when the input is re-read anyway.
     """
     if mode == "off" or not checks:
         return df
@@ -61,11 +66,11 @@ def guard(df: DataFrame, checks: dict[str, Column], carrier: str, mode: str = "l
         return df
     if mode != "lazy":
         raise ValueError(f"unknown check mode {mode!r}")
-    expr = F.col(carrier)
+    ok = F.lit(True)
     for msg, cond in reversed(list(checks.items())):
         text = F.concat(F.lit(f"{msg}: {carrier}="), F.coalesce(F.col(carrier).cast("string"), F.lit("null")))
-        expr = F.when(F.coalesce(cond, F.lit(False)), F.raise_error(text).cast(df.schema[carrier].dataType)).otherwise(expr)
-    return df.withColumn(carrier, expr)
+        ok = F.when(F.coalesce(cond, F.lit(False)), F.raise_error(text).cast("boolean")).otherwise(ok)
+    return df.where(ok & (F.spark_partition_id() >= 0))
 
 
 def clean_clubs(raw: DataFrame, batch_ts: str | None = None, checks: str = "lazy",

@@ -19,8 +19,9 @@ A window without PARTITION BY sorts the whole input in one task.  ``method=
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,15 @@ def _local_numbering(batches):
         yield pdf
 
 
+# Executors need not have this package installed: the per-partition function is
+# shipped by value with the task instead of being imported by name.
+try:
+    from pyspark import cloudpickle as _cp
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # noqa: BLE001 -- older cloudpickle: fall back to import by name
+    pass
+
+
 def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | None) -> DataFrame:
     """(keys..., _cnt) with unique keys -> adds _dense (1-based) and _rank (1-based)."""
     spark = keys_df.sparkSession
@@ -111,8 +121,6 @@ def global_rank(df: DataFrame, order: list[str], out: str = "rank", kind: str =
     numbered = _numbered_keys(keys_df, order, num_partitions)
     col = "_dense" if kind == "dense_rank" else "_rank"
     numbered = numbered.select(*keys, F.col(col).alias(out))
-    if keys_unique or kind == "row_number":
-        return _null_safe_join(df, numbered, keys)
     return _null_safe_join(df, numbered, keys)
 
 

@@ -17,7 +17,7 @@ statuses), so the cleaners do real work.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -82,21 +82,40 @@ def raw_matches(t: Tables) -> DataFrame:
                     status.alias("status")))
 
 
-@dataclass
 class League:
-    clubs: DataFrame
-    players: DataFrame
-    matches: DataFrame
-    standings: DataFrame
+    """Silver/gold tables of the four roles, each built on first use only (plan
+    analysis is not free, and most queries need one or two of them).
 
+    The derived raw batches satisfy the cleaners' assertions by construction
+    (self-matches are dropped, counts are non-negative), so ``checks`` defaults
+    to "off" and Catalyst keeps full freedom to push filters into the scans; the
+    pipeline runs the assertions eagerly on real batches.
+    """
 
-def league(spark, sf_dir: str, checks: str = "lazy", batch_ts: str = "1970-01-01T00:00:00+00:00",
+    def __init__(self, spark, sf_dir: str, checks: str = "off",
+                 batch_ts: str = "1970-01-01T00:00:00+00:00", rank_method: str = "window"):
+        self.t = Tables(spark, sf_dir)
+        self.checks, self.batch_ts, self.rank_method = checks, batch_ts, rank_method
+
+    @cached_property
+    def clubs(self) -> DataFrame:
+        return clean_clubs(raw_clubs(self.t), self.batch_ts, self.checks)
+
+    @cached_property
+    def players(self) -> DataFrame:
+        return clean_players(raw_players(self.t), self.batch_ts, self.checks)
+
+    @cached_property
+    def matches(self) -> DataFrame:
+        return clean_matches(raw_matches(self.t), self.batch_ts, self.checks)
+
+    @cached_property
+    def standings(self) -> DataFrame:
+        return clean_standings(standings_from_matches(self.matches), self.matches, self.batch_ts,
+                               self.checks, rank_method=self.rank_method)
+
+
+def league(spark, sf_dir: str, checks: str = "off", batch_ts: str = "1970-01-01T00:00:00+00:00",
            rank_method: str = "window") -> League:
     """Silver/gold tables of the four roles derived from ``sf_dir``."""
-    t = Tables(spark, sf_dir)
-    clubs = clean_clubs(raw_clubs(t), batch_ts, checks)
-    players = clean_players(raw_players(t), batch_ts, checks)
-    matches = clean_matches(raw_matches(t), batch_ts, checks)
-    standings = clean_standings(standings_from_matches(matches), matches, batch_ts, checks,
-                                rank_method=rank_method)
-    return League(clubs, players, matches, standings)
+    return League(spark, sf_dir, checks, batch_ts, rank_method)

@@ -16,6 +16,8 @@ class Tables:
     filters into each scan.
     """
 
+    _cache: dict = {}
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -23,7 +25,14 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name not in STAR_TABLES:
             raise AttributeError(name)
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        # The scan DataFrame (file listing + footer schema) is reused per session
+        # and path; it holds no data, so reuse is safe and saves driver time.
+        key = (id(self.spark), self.sf_dir, name)
+        df = Tables._cache.get(key)
+        if df is None:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            Tables._cache[key] = df
+        return df
 
     def __getitem__(self, name: str) -> DataFrame:
         return self.__getattr__(name)

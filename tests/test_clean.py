@@ -1,0 +1,84 @@
+import pytest
+from pyspark.sql import functions as F
+
+from terrace.operators.clean import (AssertionViolation, clean_clubs, clean_matches, clean_players,
+                                     clean_standings)
+from terrace.schemas import RAW_SCHEMAS
+
+
+def test_clean_club(spark):
+    raw = spark.createDataFrame([(1, "  Test FC  ", "tst", " Test Arena ", 100, " London ", 1900, None, None, None)],
+                                RAW_SCHEMAS["clubs"])
+    r = clean_clubs(raw, checks="eager").first()
+    assert (r["name"], r["short_name"], r["stadium"], r["city"], r["primary_color"]) == \
+        ("Test FC", "TST", "Test Arena", "London", "#1E293B")
+
+
+def test_club_founded_conflict(spark):
+    # 1820 passes the audit rule (>= 1800) but fails the cleaner (>= 1850)
+    raw = spark.createDataFrame([(1, "A", "a", "s", 100, "c", 1820, None, None, None)], RAW_SCHEMAS["clubs"])
+    with pytest.raises(AssertionViolation):
+        clean_clubs(raw, checks="eager")
+    assert clean_clubs(raw, checks="eager", min_year=1800).count() == 1
+    with pytest.raises(Exception, match="invalid founded_year"):
+        clean_clubs(raw, checks="lazy").collect()
+
+
+def test_clean_player(spark):
+    raw = spark.createDataFrame([(1, 1, " John Doe ", "MIDFIELDER", " X ", 8, 5, 5, 10, None, None),
+                                 (2, 1, "A", "wing BACK", "Y", 9, 3, 0, 0, None, None),
+                                 (3, 1, "B", "fwd", "Z", 10, 1, 0, 8, None, None)],
+                                RAW_SCHEMAS["players"])
+    rows = {r["player_id"]: r for r in clean_players(raw, checks="eager").collect()}
+    assert (rows[1]["name"], rows[1]["position"], rows[1]["goal_contributions"], rows[1]["goals_per_game"]) == \
+        ("John Doe", "Midfielder", 10, 0.5)
+    assert rows[2]["position"] == "Wing back" and rows[2]["goals_per_game"] == 0.0
+    assert rows[3]["goals_per_game"] == 0.12  # 1/8 = 0.125 -> half-even
+
+
+def test_player_negative_fails(spark):
+    raw = spark.createDataFrame([(1, 1, "A", "gk", "X", 1, -1, 0, 0, None, None)], RAW_SCHEMAS["players"])
+    with pytest.raises(AssertionViolation):
+        clean_players(raw, checks="eager")
+
+
+def test_clean_match(spark):
+    raw = spark.createDataFrame([(1, 1, 1, 2, "2024-08-16T20:00:00", "2 - 1", None, None, None),
+                                 (2, 1, 3, 4, "2024-08-17 15:00:00", "0:0", " finished ", None, None)],
+                                RAW_SCHEMAS["matches"])
+    rows = {r["match_id"]: r for r in clean_matches(raw, checks="eager").collect()}
+    assert (rows[1]["home_score"], rows[1]["away_score"], rows[1]["total_goals"], rows[1]["result"],
+            rows[1]["status"], rows[1]["match_date"]) == (2, 1, 3, "HOME_WIN", "FINISHED", "2024-08-16 20:00:00")
+    assert rows[2]["result"] == "DRAW" and rows[2]["status"] == "FINISHED"
+
+
+def test_match_self_and_unparseable(spark):
+    raw = spark.createDataFrame([(1, 1, 2, 2, "2024-08-16", "1-0", None, None, None)], RAW_SCHEMAS["matches"])
+    with pytest.raises(AssertionViolation, match="home club equals away club"):
+        clean_matches(raw, checks="eager")
+    raw = spark.createDataFrame([(1, 1, 1, 2, "2024-08-16", "abc", None, None, None)], RAW_SCHEMAS["matches"])
+    with pytest.raises(AssertionViolation, match="unable to parse score"):
+        clean_matches(raw, checks="eager")
+
+
+def test_standings_valid_and_invalid(spark):
+    ok = spark.createDataFrame([(1, 2, 1, 1, 0, 3, 1, 4)],
+                               "club_id long, played long, won long, drawn long, lost long, goals_for long, goals_against long, points long")
+    r = clean_standings(ok, checks="eager").first()
+    assert r["goal_difference"] == 2 and r["form"] == "N/A" and r["position"] == 1
+    bad = spark.createDataFrame([(1, 5, 1, 1, 0, 3, 1, 4)], ok.schema)
+    with pytest.raises(AssertionViolation, match="inconsistent games played"):
+        clean_standings(bad, checks="eager")
+
+
+def test_played_zero_ratios_null(spark):
+    d = spark.createDataFrame([(1, 0, 0, 0, 0, 0, 0, 0)],
+                              "club_id long, played long, won long, drawn long, lost long, goals_for long, goals_against long, points long")
+    r = clean_standings(d, checks="eager").first()
+    assert r["points_per_game"] is None and r["win_percentage"] is None
+
+
+def test_empty_input_is_error(spark):
+    from terrace.operators.quality import require_rows
+    with pytest.raises(ValueError):
+        require_rows(spark.createDataFrame([], RAW_SCHEMAS["clubs"]), "club")

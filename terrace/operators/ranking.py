@@ -10,7 +10,7 @@ A window without PARTITION BY sorts the whole input in one task.  ``method=
 3. materialises that once (``checkpoint`` into ``spark.checkpoint.dir``) so the
    sampled range bounds and partition ids cannot change between passes;
 4. adds per-partition offsets -- one row per range partition, a size bounded by
-   the partition count, hence broadcast;
+   the partition count: the totals are collected, prefix-summed and broadcast;
 5. joins the numbered keys back (skewed keys are split by AQE skew-join, the
    other side holds one row per key).
 
@@ -73,13 +73,17 @@ def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | N
         T.StructField("_local_idx", T.LongType(), False),
         T.StructField("_local_before", T.LongType(), False)])
     local = ranged.mapInPandas(_local_numbering, schema).checkpoint(eager=True)
-    per_part = local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.sum("_cnt").alias("_rows"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(
-        "_pid",
-        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_idx_off"),
-        F.coalesce(F.sum("_rows").over(w), F.lit(0)).alias("_row_off"))
-    # one row per range partition: bounded by n, safe to broadcast
+    # Per-partition totals: one row per range partition, so at most ``n`` rows
+    # reach the driver; their prefix sums are the partitions' offsets.
+    per_part = sorted(local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
+                                               F.sum("_cnt").alias("_rows")).collect())
+    rows, idx_off, row_off = [], 0, 0
+    for r in per_part:
+        rows.append((int(r["_pid"]), idx_off, row_off))
+        idx_off += int(r["_n"])
+        row_off += int(r["_rows"])
+    offsets = spark.createDataFrame(rows, "_pid int, _idx_off long, _row_off long")
+    # bounded by n rows: safe to broadcast
     return (local.join(F.broadcast(offsets), "_pid")
             .withColumn("_dense", F.col("_idx_off") + F.col("_local_idx") + 1)
             .withColumn("_rank", F.col("_row_off") + F.col("_local_before") + 1)

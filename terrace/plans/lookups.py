@@ -114,8 +114,10 @@ def players(players_df: DataFrame, clubs_df: DataFrame, club_id: int | None = No
     p = _where(players_df, [F.col("club_id") == club_id if club_id is not None else None,
                             ilike_contains("position", position) if position else None,
                             ilike_contains("name", search) if search else None])
-    top = p.orderBy(F.col("goals").desc(), F.col("assists").desc(), F.col("player_id").asc()).limit(limit)
-    return _with_club_name(top, clubs_df)
+    order = [F.col("goals").desc(), F.col("assists").desc(), F.col("player_id").asc()]
+    top = p.orderBy(*order).limit(limit)
+    # a join does not keep order: sort the (at most ``limit``) joined rows again
+    return _with_club_name(top, clubs_df).orderBy(*order)
 
 
 # L4

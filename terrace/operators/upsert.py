@@ -35,7 +35,7 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str] | str,
     if check_keys:
         check_batch_keys(batch, key)
     b = batch.select(*target.columns)
-    kept = target.join(b.select(*key), key, "left_anti")
+    kept = target.join(b.select(*key), key, "left_anti").select(*target.columns)
     return kept.unionByName(b)
 
 

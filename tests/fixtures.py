@@ -64,3 +64,24 @@ def df(spark, rows, columns, schema=None):
     if schema is not None:
         return spark.createDataFrame(rows, schema)
     return spark.createDataFrame(rows, columns)
+
+
+def players_rows():
+    """20 players over clubs 1-8 (clubs 9 and 10 have none); player 111 scores 27."""
+    rows = []
+    for i in range(20):
+        pid = 101 + i
+        club = 1 + i % 8
+        goals = 27 if pid == 111 else (i * 3) % 11
+        rows.append((pid, club, f" Player {pid} ", ["FORWARD", "midfielder", "Def", "gk"][i % 4],
+                     "Nation", 1 + i, goals, i % 5, 5))
+    return rows
+
+
+def raw_batches(spark):
+    from terrace.schemas import RAW_SCHEMAS
+    drop = ["_ingested_at", "_source"]
+    mk = lambda rows, n: spark.createDataFrame([r + (None, None) for r in rows], RAW_SCHEMAS[n]).drop(*drop)
+    return {"clubs": mk(clubs_rows(), "clubs"), "players": mk(players_rows(), "players"),
+            "matches": mk(MATCHES, "matches"),
+            "standings": spark.createDataFrame(STANDINGS, ", ".join(f"{c} long" for c in STANDINGS_COLUMNS))}

@@ -46,12 +46,48 @@ class AuditSpec:
     order: list[str] | None = None  # record order; None -> arrival order (W6)
 
 
-@dataclass
 class AuditResult:
-    name: str
-    audited: DataFrame
-    columns: list[str]
-    pk: list[str]
+    """Lazy outputs of one audit.
+
+    ``flags``: every input row with its row-level findings (missing fields,
+    rule failures), no shuffle.  Two ways on from there:
+
+    * per-key summary (metrics, issue counts): one partially aggregated
+      group-by on the key -- rows, bad rows, and whether the *first* row
+      (min of record order) is bad -- which is all the duplicate logic needs
+      for counting;
+    * per-row triage (valid, rejected, issue log): the first occurrence per key
+      is joined back to every row.
+    """
+
+    def __init__(self, name: str, flags: DataFrame, columns: list[str], pk: list[str],
+                 missing: list[tuple[str, Column]], rules: list[Rule], persist: bool):
+        self.name, self.flags, self.columns, self.pk = name, flags, columns, pk
+        self._missing, self._rules, self._persist = missing, rules, persist
+        self._audited = None
+
+    # -- per-row path ----------------------------------------------------
+    @property
+    def audited(self) -> DataFrame:
+        if self._audited is None:
+            key_ok = _key_ok(self.pk)
+            firsts = self.flags.where(key_ok).groupBy(*self.pk).agg(F.min("_ord").alias("_first"))
+            j = self.flags.join(firsts, self.pk, "left")
+            is_dup = key_ok & (F.col("_ord") != F.col("_first"))
+            dup_msg = F.when(is_dup, F.concat(F.lit(f"Duplicate primary key '{','.join(self.pk)}'="),
+                                             _pk_text(self.pk)))
+            rule_msgs = [F.when(F.col(f"_r{i}").isNull(), F.lit(
+                             f"Validator exception: {r.description} (null or non-numeric input)"))
+                         .when(~F.col(f"_r{i}"), F.lit(f"Validation failure: {r.description}"))
+                         for i, r in enumerate(self._rules)]
+            miss_msgs = [F.when(F.col(f"_m{i}"), F.lit(f"Missing required field: '{f}'"))
+                         for i, (f, _) in enumerate(self._missing)]
+            a = j.select(*self.columns, "_record_index",
+                         F.filter(F.array(*miss_msgs, dup_msg, *rule_msgs, F.lit(None).cast("string")),
+                                  lambda x: x.isNotNull()).alias("_rejection_reasons"),
+                         "_n_missing", is_dup.alias("_is_dup"), "_n_rule")
+            self._audited = a.persist(StorageLevel.MEMORY_AND_DISK) if self._persist else a
+        return self._audited
 
     @property
     def valid(self) -> DataFrame:
@@ -70,21 +106,61 @@ class AuditResult:
                 .select(F.col("_record_index").alias("record_index"), _pk_text(self.pk).alias("pk"),
                         F.explode("_rejection_reasons").alias("error")))
 
+    # -- per-key summary path --------------------------------------------
+    def key_summary(self, extra: list[str] | None = None) -> DataFrame:
+        """One row per key value: _c rows, _bad rows with a row-level issue,
+        _first_bad, _dups (rows after the first; 0 for a null key) and
+        _rejected (rows rejected for any reason)."""
+        f = self.flags.withColumn("_bad", ((F.col("_n_missing") + F.col("_n_rule")) > 0).cast("long"))
+        aggs = [F.count(F.lit(1)).alias("_c"), F.sum("_bad").alias("_bad"),
+                F.min_by(F.col("_bad"), F.col("_ord")).alias("_first_bad"),
+                F.sum("_n_missing").alias("_n_missing"), F.sum("_n_rule").alias("_n_rule")]
+        aggs += [F.sum(F.col(f"_m{i}").cast("long")).alias(f"_m{i}") for i in range(len(self._missing))]
+        aggs += [F.count_if(F.col(f"_r{i}").isNull()).alias(f"_rx{i}") for i in range(len(self._rules))]
+        aggs += [F.count_if(~F.col(f"_r{i}")).alias(f"_rf{i}") for i in range(len(self._rules))]
+        g = f.groupBy(*self.pk, *(extra or [])).agg(*aggs)
+        key_ok = _key_ok(self.pk)
+        dups = F.when(key_ok, F.col("_c") - 1).otherwise(F.lit(0))
+        rejected = F.col("_bad") + F.when(key_ok, F.col("_c") - F.col("_bad") - 1 + F.col("_first_bad")) \
+            .otherwise(F.lit(0))
+        return g.withColumn("_dups", dups).withColumn("_rejected", rejected)
+
     @property
     def metrics(self) -> DataFrame:
         """One row; counters count issues, rejected counts records."""
-        a = self.audited
-        return a.agg(
+        g = self.key_summary()
+        return g.agg(
             F.lit(self.name).alias("dataset"),
-            F.count(F.lit(1)).alias("source_count"),
-            F.count_if(F.size("_rejection_reasons") == 0).alias("valid_count"),
-            F.count_if(F.size("_rejection_reasons") > 0).alias("rejected_count"),
+            F.coalesce(F.sum("_c"), F.lit(0)).cast("long").alias("source_count"),
+            F.coalesce(F.sum(F.col("_c") - F.col("_rejected")), F.lit(0)).cast("long").alias("valid_count"),
+            F.coalesce(F.sum("_rejected"), F.lit(0)).cast("long").alias("rejected_count"),
             F.coalesce(F.sum("_n_missing"), F.lit(0)).cast("long").alias("missing_fields_count"),
-            F.count_if(F.col("_is_dup")).alias("duplicate_count"),
+            F.coalesce(F.sum("_dups"), F.lit(0)).cast("long").alias("duplicate_count"),
             F.coalesce(F.sum("_n_rule"), F.lit(0)).cast("long").alias("validation_error_count"))
 
+    def issue_counts(self) -> DataFrame:
+        """Issues per kind (dataset, kind, issue_count); duplicates under one kind."""
+        g = self.key_summary()
+        kinds = [(f"Missing required field: '{f}'", f"_m{i}") for i, (f, _) in enumerate(self._missing)]
+        kinds.append((f"Duplicate primary key", "_dups"))
+        for i, r in enumerate(self._rules):
+            kinds.append((f"Validator exception: {r.description} (null or non-numeric input)", f"_rx{i}"))
+            kinds.append((f"Validation failure: {r.description}", f"_rf{i}"))
+        wide = g.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"k{i}")
+                       for i, (_, c) in enumerate(kinds)])
+        long_ = wide.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"k{i}").alias("n"))
+                                                 for i, (k, _) in enumerate(kinds)])).alias("x"))
+        return long_.where(F.col("x.n") > 0).select(F.lit(self.name).alias("dataset"),
+                                                    F.col("x.kind").alias("kind"),
+                                                    F.col("x.n").alias("issue_count"))
+
     def unpersist(self):
-        self.audited.unpersist()
+        if self._audited is not None and self._persist:
+            self._audited.unpersist()
+
+
+def _key_ok(pk: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in pk])
 
 
 def _pk_text(pk: list[str]) -> Column:
@@ -102,50 +178,33 @@ def audit(df: DataFrame, name: str, primary_key: str | list[str], required: list
     order of the input is used (W6: ``monotonically_increasing_id``, unique and
     increasing within a partition order, stable for a given file split).
     Required fields that are absent from the schema count as missing on every row.
+    Nothing runs until an output is used.
     """
     rules = rules or []
     pk = [primary_key] if isinstance(primary_key, str) else list(primary_key)
     columns = list(df.columns)
+    types = dict(df.dtypes)
     base = df.withColumn("_rid", F.monotonically_increasing_id())
     if order:
-        base = base.withColumn("_record_index", F.struct(*[F.col(c) for c in order]))
-        ordkey = F.struct(F.col("_record_index"), F.col("_rid"))
+        rec = F.struct(*[F.col(c) for c in order])
+        # key columns are constant inside a key group: leave them out of the
+        # comparison key, which stays one flat struct
+        within = [c for c in order if c not in pk]
+        ordkey = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(within)],
+                          F.col("_rid").alias("r"))
     else:
-        base = base.withColumn("_record_index", F.col("_rid"))
-        ordkey = F.struct(F.col("_rid"))
-    base = base.withColumn("_ord", ordkey)
-
-    # Q2: first occurrence per key (null keys are never duplicates; blank ones are)
-    key_ok = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in pk])
-    firsts = (base.where(key_ok).groupBy(*pk).agg(F.min("_ord").alias("_first")))
-    base = base.join(firsts, pk, "left")
-    is_dup = key_ok & (F.col("_ord") != F.col("_first"))
-
-    # Q1: completeness
-    missing = []
-    for f in required:
-        cond = F.lit(True) if f not in columns else S.is_blank(f) if dict(df.dtypes)[f] == "string" \
-            else F.col(f).isNull()
-        missing.append(F.when(cond, F.lit(f"Missing required field: '{f}'")))
-    # Q3: rules
-    rule_msgs = [F.when(r.check.isNull(),
-                        F.lit(f"Validator exception: {r.description} (null or non-numeric input)"))
-                 .when(~r.check, F.lit(f"Validation failure: {r.description}")) for r in rules]
-    dup_msg = F.when(is_dup, F.concat(F.lit(f"Duplicate primary key '{','.join(pk)}'="), _pk_text(pk)))
-    n_missing = reduce(lambda a, b: a + b, [F.when(F.lit(True) if f not in columns else
-                                                  (S.is_blank(f) if dict(df.dtypes)[f] == "string"
-                                                   else F.col(f).isNull()), 1).otherwise(0)
-                                           for f in required], F.lit(0))
+        rec = F.col("_rid")
+        ordkey = F.struct(F.col("_rid").alias("r"))
+    missing = [(f, F.lit(True) if f not in columns else
+                S.is_blank(f) if types[f] == "string" else F.col(f).isNull()) for f in required]
+    n_missing = reduce(lambda a, b: a + b, [c.cast("long") for _, c in missing], F.lit(0).cast("long"))
     n_rule = reduce(lambda a, b: a + b, [F.when(F.coalesce(r.check, F.lit(False)), 0).otherwise(1)
-                                         for r in rules], F.lit(0))
-    audited = base.select(
-        *columns, "_record_index",
-        F.filter(F.array(*missing, dup_msg, *rule_msgs, F.lit(None).cast("string")),
-                 lambda x: x.isNotNull()).alias("_rejection_reasons"),
-        n_missing.alias("_n_missing"), is_dup.alias("_is_dup"), n_rule.alias("_n_rule"))
-    if persist:
-        audited = audited.persist(StorageLevel.MEMORY_AND_DISK)
-    return AuditResult(name, audited, columns, pk)
+                                         for r in rules], F.lit(0)).cast("long")
+    flags = base.select(*columns, rec.alias("_record_index"), ordkey.alias("_ord"),
+                        *[c.alias(f"_m{i}") for i, (_, c) in enumerate(missing)],
+                        *[r.check.alias(f"_r{i}") for i, r in enumerate(rules)],
+                        n_missing.alias("_n_missing"), n_rule.alias("_n_rule"))
+    return AuditResult(name, flags, columns, pk, missing, rules, persist)
 
 
 def audit_spec(df: DataFrame, spec: AuditSpec, persist: bool = True) -> AuditResult:

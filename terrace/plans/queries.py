@@ -198,13 +198,7 @@ def audit_metrics(spark, sf_dir):
 def audit_issues_count(spark, sf_dir):
     """Q6: issue log rows per dataset and kind (duplicate messages grouped)."""
     from functools import reduce
-    parts = []
-    for a in _star_audits(spark, sf_dir):
-        e = F.col("error")
-        kind = F.when(e.startswith("Duplicate primary key"), F.lit("Duplicate primary key")).otherwise(e)
-        parts.append(a.issues.select(F.lit(a.name).alias("dataset"), kind.alias("kind")))
-    return reduce(DataFrame.unionByName, parts).groupBy("dataset", "kind") \
-        .agg(F.count(F.lit(1)).alias("issue_count"))
+    return reduce(DataFrame.unionByName, [a.issue_counts() for a in _star_audits(spark, sf_dir)])
 
 
 @register("quality_report")
@@ -219,12 +213,12 @@ def quality_report(spark, sf_dir):
 @register("audit_first_wins")
 def audit_first_wins(spark, sf_dir):
     """Per order, valid / rejected / duplicate line rows after first-wins dedup
-    over the total record order (all columns)."""
-    li = _star_audits(spark, sf_dir)[0].audited
-    return li.groupBy("l_orderkey").agg(
-        F.count_if(F.size("_rejection_reasons") == 0).alias("valid_rows"),
-        F.count_if(F.size("_rejection_reasons") > 0).alias("rejected_rows"),
-        F.count_if(F.col("_is_dup")).alias("duplicate_rows"))
+    over the total record order (all columns), from the per-key summary."""
+    g = _star_audits(spark, sf_dir)[0].key_summary()
+    return g.groupBy("l_orderkey").agg(
+        F.sum(F.col("_c") - F.col("_rejected")).cast("long").alias("valid_rows"),
+        F.sum("_rejected").cast("long").alias("rejected_rows"),
+        F.sum("_dups").cast("long").alias("duplicate_rows"))
 
 
 def _league_tables(lg) -> dict:

@@ -12,6 +12,9 @@ def test_strip_unicode_whitespace(spark):
     assert one(spark, S.strip, "\tabc\n") == "abc"
     assert one(spark, S.strip, "  x y  ") == "x y"
     assert one(spark, S.strip, None) is None
+    assert one(spark, S.strip, "\u3000abc\u00a0\x1f") == "abc"
+    assert one(spark, S.strip, "a\u200bb") == "a\u200bb"  # zero-width space is not whitespace
+    assert one(spark, S.strip, "") == ""
 
 
 def test_capitalize_is_not_initcap(spark):

@@ -74,3 +74,23 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
                   for n, df in tables.items()])
     total = per.agg(F.lit("total").alias("table_name"), F.sum("row_count").cast("long").alias("row_count"))
     return per.unionByName(total)
+
+
+def assign_surrogate_keys(target: DataFrame | None, batch: DataFrame, natural_key: str,
+                          id_col: str = "id", method: str = "range") -> DataFrame:
+    """Stable surrogate ids.  Rows whose natural key already exists keep
+    their id; new keys get max(id) + 1, 2, ... in natural-key order, numbered
+    with the scalable global row number (no single-partition window)."""
+    from terrace.operators.ranking import global_rank
+    if target is None:
+        existing = batch.sparkSession.createDataFrame([], f"{natural_key} {dict(batch.dtypes)[natural_key]}, "
+                                                      f"{id_col} long")
+    else:
+        existing = target.select(natural_key, F.col(id_col).cast("long").alias(id_col))
+    known = batch.join(existing, natural_key, "inner")
+    new = batch.join(existing.select(natural_key), natural_key, "left_anti")
+    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base"))
+    numbered = global_rank(new, [natural_key], out="_n", kind="row_number", method=method)
+    fresh = numbered.crossJoin(F.broadcast(base)).withColumn(id_col, F.col("_base") + F.col("_n")) \
+        .drop("_n", "_base")
+    return known.unionByName(fresh.select(*known.columns))

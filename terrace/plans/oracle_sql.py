@@ -552,6 +552,7 @@ WHERE m.home_club_id = 3 OR m.away_club_id = 3""")
 
 SQL["matches_gameweek"] = q("""
 SELECT m.match_id, CAST(m.gameweek AS BIGINT) AS gameweek, m.match_date,
+       substr(m.match_date, 1, 10) AS match_day,
        h.name AS home_club_name, a.name AS away_club_name,
        CAST(m.home_score AS VARCHAR) || ' - ' || CAST(m.away_score AS VARCHAR) AS score
 FROM matches m LEFT JOIN clubs h ON m.home_club_id = h.club_id
@@ -572,3 +573,16 @@ SELECT o_orderkey, o_totalprice,
 FROM orders"""
 
 SQL["top_scorers_full"] = q("," + _SCORERS + "SELECT * FROM scorers")
+
+SQL["top_scorers_sql"] = q("," + _SCORERS + "SELECT * FROM scorers WHERE scorer_rank <= 5")
+
+SQL["standings_surrogate_ids"] = q("""
+, earlier AS (
+  SELECT s.club_id, CAST(ROW_NUMBER() OVER (ORDER BY s.club_id) AS BIGINT) AS id
+  FROM standings s JOIN clubs c ON s.club_id = c.club_id WHERE c.city = 'AMERICA'
+)
+SELECT s.club_id, s.points, e.id FROM standings s JOIN earlier e ON s.club_id = e.club_id
+UNION ALL
+SELECT s.club_id, s.points,
+       (SELECT COALESCE(MAX(id), 0) FROM earlier) + ROW_NUMBER() OVER (ORDER BY s.club_id) AS id
+FROM standings s WHERE s.club_id NOT IN (SELECT club_id FROM earlier)""")

@@ -402,7 +402,8 @@ def matches_gameweek(spark, sf_dir):
     from terrace.plans import lookups
     lg = _league(spark, sf_dir)
     return longs(lookups.matches(lg.matches, lg.clubs, gameweek=7).select(
-        "match_id", "gameweek", "match_date", "home_club_name", "away_club_name", "score"))
+        "match_id", "gameweek", "match_date", F.substring("match_date", 1, 10).alias("match_day"),
+        "home_club_name", "away_club_name", "score"))
 
 
 @register("player_search")
@@ -437,3 +438,25 @@ def top_scorers_full(spark, sf_dir):
     """V2 over every scorer with the scalable ROW_NUMBER."""
     lg = _league(spark, sf_dir)
     return longs(views.top_scorers_view(lg.players, lg.clubs, rank_method="range"))
+
+
+@register("top_scorers_sql")
+def top_scorers_sql(spark, sf_dir):
+    """V4 + V7 + F10: the views registered as temp views, queried through
+    spark.sql with a bound :limit parameter (5)."""
+    lg = _league(spark, sf_dir)
+    views.create_views(spark, lg.clubs, lg.players, lg.standings)
+    return longs(views.query_top_scorers_sql(spark, 5))
+
+
+@register("standings_surrogate_ids")
+def standings_surrogate_ids(spark, sf_dir):
+    """Surrogate ids for standings rows; clubs already holding an id (an
+    earlier load of the clubs of region AMERICA) keep it, the others are
+    numbered after the current maximum in club_id order."""
+    from terrace.operators.upsert import assign_surrogate_keys
+    lg = _league(spark, sf_dir)
+    st = lg.standings.select("club_id", "points")
+    america = lg.clubs.where(F.col("city") == "AMERICA").select("club_id")
+    earlier = assign_surrogate_keys(None, st.join(america, "club_id", "left_semi"), "club_id")
+    return longs(assign_surrogate_keys(earlier, st, "club_id"))

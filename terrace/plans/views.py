@@ -124,6 +124,14 @@ def query_club_analytics(clubs, players, standings) -> DataFrame:
     return club_analytics(clubs, players, standings).orderBy("league_position", "club_id")
 
 
+def query_top_scorers_sql(spark: SparkSession, limit: int = 10) -> DataFrame:
+    """V7 through the SQL API with a bound parameter (F10) on the temp view."""
+    if not 1 <= int(limit) <= 50:
+        raise ValueError("limit must be between 1 and 50")
+    return spark.sql("SELECT * FROM vw_top_scorers ORDER BY scorer_rank ASC LIMIT :limit",
+                     args={"limit": int(limit)})
+
+
 def create_views(spark: SparkSession, clubs, players, standings) -> list[str]:
     """V4: create or replace the three views as temp views (replace semantics)."""
     league_table(clubs, standings).createOrReplaceTempView("vw_league_table")

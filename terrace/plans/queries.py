@@ -458,5 +458,8 @@ def standings_surrogate_ids(spark, sf_dir):
     lg = _league(spark, sf_dir)
     st = lg.standings.select("club_id", "points")
     america = lg.clubs.where(F.col("city") == "AMERICA").select("club_id")
-    earlier = assign_surrogate_keys(None, st.join(america, "club_id", "left_semi"), "club_id")
-    return longs(assign_surrogate_keys(earlier, st, "club_id"))
+    # one row per club: dimension-sized, so the plain window numbering (the
+    # operator's default "range" numbering is for fact-sized key sets)
+    earlier = assign_surrogate_keys(None, st.join(america, "club_id", "left_semi"), "club_id",
+                                    method="window")
+    return longs(assign_surrogate_keys(earlier, st, "club_id", method="window"))

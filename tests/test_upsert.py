@@ -56,3 +56,14 @@ def test_warehouse_publish_versions_and_rollback(spark, scratch):
     assert wh.current()["version"] == 3 and wh.read("clubs").first()["capacity"] == 10
     wh.drop("clubs")
     assert not wh.exists("clubs")
+
+
+@pytest.mark.parametrize("method", ["window", "range"])
+def test_surrogate_keys_stable(spark, method):
+    from terrace.operators.upsert import assign_surrogate_keys
+    b1 = spark.createDataFrame([(30,), (10,)], "club_id long")
+    v1 = assign_surrogate_keys(None, b1, "club_id", method=method)
+    assert sorted(tuple(r) for r in v1.collect()) == [(10, 1), (30, 2)]
+    b2 = spark.createDataFrame([(20,), (10,), (40,)], "club_id long")
+    v2 = assign_surrogate_keys(v1, b2, "club_id", method=method)
+    assert sorted(tuple(r) for r in v2.collect()) == [(10, 1), (20, 3), (40, 4)]

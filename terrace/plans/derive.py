@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators.clean import (clean_clubs, clean_matches, clean_players,
                                      clean_standings, standings_from_matches)
+from terrace.session import ensure_checkpoint_dir
 from terrace.sources.tables import Tables
 
 N_CLUBS = 25  # nations in the driver's schema
@@ -93,9 +94,11 @@ class League:
     """
 
     def __init__(self, spark, sf_dir: str, checks: str = "off",
-                 batch_ts: str = "1970-01-01T00:00:00+00:00", rank_method: str = "window"):
+                 batch_ts: str = "1970-01-01T00:00:00+00:00", rank_method: str = "window",
+                 materialize: bool = True):
         self.t = Tables(spark, sf_dir)
         self.checks, self.batch_ts, self.rank_method = checks, batch_ts, rank_method
+        self.materialize = materialize
 
     @cached_property
     def clubs(self) -> DataFrame:
@@ -109,13 +112,28 @@ class League:
     def matches(self) -> DataFrame:
         return clean_matches(raw_matches(self.t), self.batch_ts, self.checks)
 
+    @cached_property
+    def matches_materialized(self) -> DataFrame:
+        """The cleaned matches written once to the shared checkpoint folder.
+
+        Standings read matches twice (the per-club aggregate and the form);
+        without this, each read re-runs the orders x customer join, which on a
+        large cluster is a full shuffle join.  ``checkpoint`` is reliable (it
+        survives executor loss) and cuts the lineage.
+        """
+        if not self.materialize:
+            return self.matches
+        ensure_checkpoint_dir(self.t.spark)
+        return self.matches.checkpoint(eager=True)
+
     @cached_property
     def standings(self) -> DataFrame:
-        return clean_standings(standings_from_matches(self.matches), self.matches, self.batch_ts,
+        m = self.matches_materialized
+        return clean_standings(standings_from_matches(m), m, self.batch_ts,
                                self.checks, rank_method=self.rank_method)
 
 
 def league(spark, sf_dir: str, checks: str = "off", batch_ts: str = "1970-01-01T00:00:00+00:00",
-           rank_method: str = "window") -> League:
+           rank_method: str = "window", materialize: bool = True) -> League:
     """Silver/gold tables of the four roles derived from ``sf_dir``."""
-    return League(spark, sf_dir, checks, batch_ts, rank_method)
+    return League(spark, sf_dir, checks, batch_ts, rank_method, materialize)

@@ -110,36 +110,46 @@ def missing_tables(spark: SparkSession, expected: list[str]) -> list[str]:
 
 def table_violations(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
     """Summary (table_name, constraint_name, violations) for PK, UNIQUE, NOT NULL,
-    CHECK and FK constraints of every table present in ``tables``."""
+    CHECK and FK constraints of every table present in ``tables``.
+
+    Per table, all row-level constraints (null keys, NOT NULL, CHECKs) are one
+    aggregate pass; each key (PK, UNIQUE) is one partially aggregated group-by;
+    each FK is one anti join.
+    """
     parts = []
     for name, spec in specs.items():
         if name not in tables:
             continue
         df = tables[name]
-        pkv = pk_violations(df, name, spec.primary_key)
-        parts.append(pkv.agg(F.coalesce(F.sum(F.col("occurrences") - F.when(
-            F.col("constraint_name") == "primary_key", 1).otherwise(0)), F.lit(0)).cast("long")
-            .alias("violations")).select(F.lit(name).alias("table_name"),
-                                         F.lit("primary_key").alias("constraint_name"), "violations"))
-        for u in spec.unique:
-            d = duplicate_keys(df, name, u, "unique")
-            parts.append(d.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("long")
-                               .alias("violations"))
-                         .select(F.lit(name).alias("table_name"),
-                                 F.lit("unique_" + "_".join(u)).alias("constraint_name"), "violations"))
+        pk = spec.primary_key
+        row_level = [("primary_key", F.count_if(reduce(lambda a, b: a | b,
+                                                       [F.col(k).isNull() for k in pk])))]
         cols = [c for c in spec.not_null if c in df.columns]
         if cols:
-            nn = df.agg(F.coalesce(F.sum(reduce(lambda a, b: a + b,
-                                                [F.col(c).isNull().cast("long") for c in cols])),
-                                   F.lit(0)).cast("long").alias("violations"))
-            parts.append(nn.select(F.lit(name).alias("table_name"),
-                                   F.lit("not_null").alias("constraint_name"), "violations"))
-        parts.append(check_violations(df, name, spec.checks))
+            row_level.append(("not_null", F.sum(reduce(lambda a, b: a + b,
+                                                       [F.col(c).isNull().cast("long") for c in cols]))))
+        row_level += [(n, F.count_if(F.coalesce(~F.expr(e), F.lit(False)))) for n, e in spec.checks.items()]
+        wide = df.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(f"c{i}") for i, (_, c) in enumerate(row_level)])
+        rows = wide.select(F.explode(F.array(*[F.struct(F.lit(n).alias("constraint_name"),
+                                                        F.col(f"c{i}").alias("violations"))
+                                               for i, (n, _) in enumerate(row_level)])).alias("x")) \
+            .select(F.lit(name).alias("table_name"), "x.constraint_name", "x.violations")
+        for cname, key in [("primary_key", pk)] + [("unique_" + "_".join(u), u) for u in spec.unique]:
+            d = duplicate_keys(df, name, key, cname)
+            rows = rows.unionByName(d.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("long")
+                                          .alias("violations"))
+                                    .select(F.lit(name).alias("table_name"), F.lit(cname).alias("constraint_name"),
+                                            "violations"))
         for fk in spec.foreign_keys:
             if fk.parent in tables:
-                parts.append(fk_violations(df, tables[fk.parent], name, fk.columns, fk.parent_columns,
-                                           fk.name or f"fk_{name}_{'_'.join(fk.columns)}"))
-    return reduce(DataFrame.unionByName, parts).select(*_SUMMARY_COLS)
+                rows = rows.unionByName(fk_violations(df, tables[fk.parent], name, fk.columns,
+                                                      fk.parent_columns,
+                                                      fk.name or f"fk_{name}_{'_'.join(fk.columns)}"))
+        parts.append(rows)
+    out = reduce(DataFrame.unionByName, parts)
+    # the key's null rows and duplicate rows are one constraint
+    return out.groupBy("table_name", "constraint_name").agg(F.sum("violations").cast("long").alias("violations")) \
+        .select(*_SUMMARY_COLS)
 
 
 def integrity_report(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:

@@ -24,10 +24,13 @@ from pyspark.sql import functions as F
 
 from terrace.operators.clean import (clean_clubs, clean_matches, clean_players,
                                      clean_standings, standings_from_matches)
-from terrace.session import ensure_checkpoint_dir
+from terrace.session import materialize
 from terrace.sources.tables import Tables
 
 N_CLUBS = 25  # nations in the driver's schema
+# Above this many source orders the derived matches are written once before the
+# standings' two consumers (aggregate and form) instead of being derived twice.
+MATERIALIZE_ROWS = 5_000_000
 
 
 def raw_clubs(t: Tables) -> DataFrame:
@@ -95,10 +98,10 @@ class League:
 
     def __init__(self, spark, sf_dir: str, checks: str = "off",
                  batch_ts: str = "1970-01-01T00:00:00+00:00", rank_method: str = "window",
-                 materialize: bool = True):
+                 materialize: bool | str = "auto", materialize_rows: int = MATERIALIZE_ROWS):
         self.t = Tables(spark, sf_dir)
         self.checks, self.batch_ts, self.rank_method = checks, batch_ts, rank_method
-        self.materialize = materialize
+        self.materialize, self.materialize_rows = materialize, materialize_rows
 
     @cached_property
     def clubs(self) -> DataFrame:
@@ -118,13 +121,14 @@ class League:
 
         Standings read matches twice (the per-club aggregate and the form);
         without this, each read re-runs the orders x customer join, which on a
-        large cluster is a full shuffle join.  ``checkpoint`` is reliable (it
-        survives executor loss) and cuts the lineage.
+        large cluster is a full shuffle join.  The written Parquet table
+        survives executor loss, cuts the lineage and keeps pruning/pushdown.
         """
-        if not self.materialize:
-            return self.matches
-        ensure_checkpoint_dir(self.t.spark)
-        return self.matches.checkpoint(eager=True)
+        do = self.materialize
+        if do == "auto":
+            # a Parquet row count is answered from the file footers: cheap at any size
+            do = self.t.orders.count() >= self.materialize_rows
+        return materialize(self.matches, "matches") if do else self.matches
 
     @cached_property
     def standings(self) -> DataFrame:
@@ -134,6 +138,6 @@ class League:
 
 
 def league(spark, sf_dir: str, checks: str = "off", batch_ts: str = "1970-01-01T00:00:00+00:00",
-           rank_method: str = "window", materialize: bool = True) -> League:
+           rank_method: str = "window", materialize: bool | str = "auto") -> League:
     """Silver/gold tables of the four roles derived from ``sf_dir``."""
     return League(spark, sf_dir, checks, batch_ts, rank_method, materialize)

@@ -586,3 +586,46 @@ UNION ALL
 SELECT s.club_id, s.points,
        (SELECT COALESCE(MAX(id), 0) FROM earlier) + ROW_NUMBER() OVER (ORDER BY s.club_id) AS id
 FROM standings s WHERE s.club_id NOT IN (SELECT club_id FROM earlier)""")
+
+
+def _integrity_sql() -> str:
+    """DuckDB statement for the M8 report, one SELECT per declared constraint."""
+    from terrace.plans.star_audits import STAR_TABLE_SPECS
+    from terrace.schemas import LEAGUE_TABLES
+    sources = {"matches": "matches_c"}
+    parts = []
+    specs = dict(STAR_TABLE_SPECS, **LEAGUE_TABLES)
+    for name, spec in specs.items():
+        src = sources.get(name, name)
+        key = spec.primary_key
+        nn = " AND ".join(f"{k} IS NOT NULL" for k in key)
+        anynull = " OR ".join(f"{k} IS NULL" for k in key)
+        parts.append(
+            f"SELECT '{name}' AS table_name, 'primary_key' AS constraint_name, "
+            f"(SELECT COUNT(*) FILTER (WHERE {nn}) - COUNT(DISTINCT ({', '.join(key)})) FILTER (WHERE {nn}) "
+            f"+ COUNT(*) FILTER (WHERE {anynull}) FROM {src}) AS violations")
+        for u in spec.unique:
+            unn = " AND ".join(f"{k} IS NOT NULL" for k in u)
+            parts.append(
+                f"SELECT '{name}', 'unique_{'_'.join(u)}', "
+                f"(SELECT COUNT(*) FILTER (WHERE {unn}) - COUNT(DISTINCT ({', '.join(u)})) FILTER (WHERE {unn}) "
+                f"FROM {src})")
+        cols = [c for c in spec.not_null if c != "transformed_at"]
+        if cols:
+            parts.append(f"SELECT '{name}', 'not_null', (SELECT "
+                         + " + ".join(f"(COUNT(*) - COUNT({c}))" for c in cols) + f" FROM {src})")
+        for cname, expr in spec.checks.items():
+            parts.append(f"SELECT '{name}', '{cname}', (SELECT COUNT(*) FILTER (WHERE NOT ({expr})) FROM {src})")
+        for fk in spec.foreign_keys:
+            c, pc = fk.columns[0], fk.parent_columns[0]
+            psrc = sources.get(fk.parent, fk.parent)
+            parts.append(f"SELECT '{name}', '{fk.name}', (SELECT COUNT(*) FROM {src} WHERE {c} IS NOT NULL "
+                         f"AND {c} NOT IN (SELECT {pc} FROM {psrc} WHERE {pc} IS NOT NULL))")
+    body = "\nUNION ALL ".join(parts)
+    return q(f"""
+SELECT table_name, constraint_name, CAST(violations AS BIGINT) AS violations,
+       CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM ({body})""")
+
+
+SQL["integrity_report"] = _integrity_sql()

@@ -463,3 +463,15 @@ def standings_surrogate_ids(spark, sf_dir):
     earlier = assign_surrogate_keys(None, st.join(america, "club_id", "left_semi"), "club_id",
                                     method="window")
     return longs(assign_surrogate_keys(earlier, st, "club_id", method="window"))
+
+
+@register("integrity_report")
+def integrity_report_q(spark, sf_dir):
+    """M8: every declared constraint of the league and star tables with its
+    violation count and PASS/FAIL (customer's negative balances fail)."""
+    from terrace.operators.integrity import integrity_report
+    from terrace.plans.star_audits import STAR_TABLE_SPECS
+    from terrace.schemas import LEAGUE_TABLES
+    lt = {n: df.drop("transformed_at") for n, df in _league_tables(_league(spark, sf_dir)).items()}
+    tables = dict(_star_tables(spark, sf_dir), **lt)
+    return integrity_report(tables, dict(STAR_TABLE_SPECS, **LEAGUE_TABLES))

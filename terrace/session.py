@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,3 +51,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="terrace-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as Parquet under the shared ``spark.checkpoint.dir`` and
+    return a DataFrame reading it back.
+
+    This cuts the lineage like ``checkpoint()`` (the files survive executor
+    loss) but the re-read is a Parquet scan: later consumers still get column
+    pruning and filter pushdown.
+    """
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{root}/terrace-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -207,6 +207,18 @@ def audit(df: DataFrame, name: str, primary_key: str | list[str], required: list
     return AuditResult(name, flags, columns, pk, missing, rules, persist)
 
 
+def flatten_records(records: DataFrame, fields: list[str], record_col: str = "record") -> DataFrame:
+    """Raw ``map<string,string>`` records -> one string column per field plus a
+    ``_has_<field>`` flag: an absent key and an explicit null stay different
+    (Q1/Q3).  Rules built by ``terrace.schemas`` read the flags."""
+    m = F.col(record_col)
+    cols = []
+    for f in fields:
+        cols.append(F.try_element_at(m, F.lit(f)).alias(f))
+        cols.append(F.map_contains_key(m, F.lit(f)).alias(f"_has_{f}"))
+    return records.select(*cols)
+
+
 def audit_spec(df: DataFrame, spec: AuditSpec, persist: bool = True) -> AuditResult:
     return audit(df, spec.name, spec.primary_key, spec.required, spec.rules, spec.order, persist)
 

@@ -52,8 +52,14 @@ CLEAN_COLUMNS = {
 
 
 def _num(columns, c) -> Column:
-    """T14 on a field, or the default 0 when the field is absent from the batch."""
-    return S.lenient_int(c) if c in columns else F.lit(0).cast("long")
+    """T14 on a field, or the default 0 when the field is absent: absent from the
+    whole batch, or -- for raw records flattened with ``_has_<field>`` flags --
+    absent from this record.  An explicit null yields null (the exception branch)."""
+    if c not in columns:
+        return F.lit(0).cast("long")
+    if f"_has_{c}" in columns:
+        return F.when(F.col(f"_has_{c}"), S.lenient_int(c)).otherwise(F.lit(0).cast("long"))
+    return S.lenient_int(c)
 
 
 def club_rules(columns) -> list[Rule]:
@@ -76,6 +82,10 @@ def match_rules(columns) -> list[Rule]:
     h = F.col("home_club_id") if "home_club_id" in columns else F.lit(None)
     a = F.col("away_club_id") if "away_club_id" in columns else F.lit(None)
     score = F.col("raw_score") if "raw_score" in columns else F.lit("")
+    if "_has_home_club_id" in columns:
+        h = F.when(F.col("_has_home_club_id"), h)
+    if "_has_away_club_id" in columns:
+        a = F.when(F.col("_has_away_club_id"), a)
     return [
         Rule("Home and away clubs must be distinct", ~h.eqNullSafe(a)),
         Rule("Score format must match 'X - Y'", S.score_format_ok(score)),

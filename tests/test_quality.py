@@ -139,3 +139,21 @@ def test_valid_plus_rejected_equals_source(spark):
                                    F.col("id").alias("seq"))
     res = audit(d, "x", "k", ["k"], [Rule("v >= 0", F.col("v") >= 0)], order=["seq"])
     assert res.valid.count() + res.rejected.count() == 500
+
+
+def test_absent_vs_null_per_record_from_raw_json(spark, scratch):
+    from terrace.operators.quality import flatten_records
+    from terrace.sources.sinks import read_bronze_raw
+    path = f"{scratch}/players.json"
+    with open(path, "w") as fh:
+        fh.write('{"player_id": 1, "club_id": 1, "name": "A", "position": "gk", "jersey_number": 1}\n')
+        fh.write('{"player_id": 2, "club_id": 1, "name": "B", "position": "gk", "jersey_number": 2, "goals": null}\n')
+        fh.write('{"player_id": 3, "club_id": 1, "name": " ", "position": "gk", "jersey_number": 3, "goals": 4}\n')
+    fields = ["player_id", "club_id", "name", "position", "jersey_number", "goals", "assists", "appearances"]
+    flat = flatten_records(read_bronze_raw(spark, path), fields)
+    spec = league_audit_specs({"clubs": [], "players": flat.columns, "matches": [], "standings": []})["players"]
+    res = audit(flat, "players", "player_id", spec.required, spec.rules, order=["player_id"])
+    got = {r["player_id"]: r["_rejection_reasons"] for r in res.audited.collect()}
+    assert got["1"] == []                       # goals absent -> default 0
+    assert got["2"] == ["Validator exception: Goals cannot be negative (null or non-numeric input)"]
+    assert got["3"] == ["Missing required field: 'name'"]

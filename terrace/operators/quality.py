@@ -70,6 +70,8 @@ class AuditResult:
     @property
     def audited(self) -> DataFrame:
         if self._audited is None:
+            if self._persist:
+                self.flags = self.flags.persist(StorageLevel.MEMORY_AND_DISK)
             key_ok = _key_ok(self.pk)
             firsts = self.flags.where(key_ok).groupBy(*self.pk).agg(F.min("_ord").alias("_first"))
             j = self.flags.join(firsts, self.pk, "left")
@@ -157,6 +159,7 @@ class AuditResult:
     def unpersist(self):
         if self._audited is not None and self._persist:
             self._audited.unpersist()
+            self.flags.unpersist()
 
 
 def _key_ok(pk: list[str]) -> Column:
@@ -179,6 +182,12 @@ def audit(df: DataFrame, name: str, primary_key: str | list[str], required: list
     increasing within a partition order, stable for a given file split).
     Required fields that are absent from the schema count as missing on every row.
     Nothing runs until an output is used.
+
+    The row id only separates rows that are equal on all ``order`` columns
+    (interchangeable copies).  It must be the same wherever the input is read:
+    true for file scans (bronze batches, stream micro-batches); for a computed
+    input keep ``persist=True``, which pins the flagged rows before the per-row
+    path joins them with their keys' first occurrences.
     """
     rules = rules or []
     pk = [primary_key] if isinstance(primary_key, str) else list(primary_key)

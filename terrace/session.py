@@ -18,6 +18,24 @@ DEFAULT_CONF = {
 }
 
 
+# Settings for a large cluster (~100 TB inputs, ~1000 executors).  Shuffle
+# partitions start high and AQE coalesces them to the advisory size, so one
+# value fits every stage; skewed partitions above 5x the median and 256 MB are
+# split; file splits of 512 MB keep scan tasks in the tens of thousands.
+CLUSTER_CONF = {
+    **DEFAULT_CONF,
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * 1024 * 1024),
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 * 1024),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
 def get_spark(master: str | None = None, app: str = "terrace",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:

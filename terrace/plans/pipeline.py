@@ -14,7 +14,6 @@ import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from terrace.operators.clean import (clean_clubs, clean_matches, clean_players, clean_standings)
 from terrace.operators.quality import audit_spec, gate, quality_report, require_rows

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from terrace.operators.clean import (AssertionViolation, clean_clubs, clean_matches, clean_players,
                                      clean_standings)

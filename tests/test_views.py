@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from terrace.operators.clean import clean_clubs, clean_matches, clean_players, clean_standings
 from terrace.operators.form import club_form

@@ -74,3 +74,12 @@ def test_dashboard_filters(data):
     assert [r["name"] for r in L.club_options(clubs).collect()][0] == "Arsenal FC"
     h = {r["table_name"]: r["readable"] for r in L.health(clubs.sparkSession, {"clubs": clubs}).collect()}
     assert h == {"clubs": True}
+
+
+def test_not_found_paths(spark, data, scratch):
+    from terrace.sources.sinks import ReportNotGenerated, read_quality_report
+    clubs, players, matches, standings = data
+    with pytest.raises(L.NotFound):
+        L.first_or_raise(L.club_detail(clubs, players, matches, standings, 999)["profile"], "club")
+    with pytest.raises(ReportNotGenerated):
+        read_quality_report(spark, f"{scratch}/no/report")

@@ -110,3 +110,26 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
         "load": {"version": published["version"], "counts": processed,
                  "total_loaded": sum(processed.values())},
     }
+
+
+def idempotency_proof(spark: SparkSession, raw: dict[str, DataFrame], root: str, runs: int = 3,
+                      warehouse: Warehouse | None = None) -> DataFrame:
+    """M5: run the pipeline ``runs`` times into one warehouse; one row per run and
+    table with its row count and whether the content (lineage columns aside)
+    equals the first run's -- compared by ``exceptAll`` both ways, on the cluster."""
+    from functools import reduce
+    from pyspark.sql import functions as F
+    wh = warehouse or Warehouse(spark, f"{root.rstrip('/')}/gold")
+    first: dict[str, DataFrame] = {}
+    rows = []
+    for i in range(1, runs + 1):
+        run_pipeline(spark, raw, root, batch_id=f"proof{i}", warehouse=wh, silver_formats=("parquet",))
+        for t in DATASETS:
+            cur = wh.read(t).drop("transformed_at")
+            if i == 1:
+                first[t] = cur
+            same = cur.exceptAll(first[t]).isEmpty() and first[t].exceptAll(cur).isEmpty()
+            rows.append(cur.agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(i).alias("run"), F.lit(t).alias("table_name"), "row_count",
+                F.lit(same).alias("same_as_first_run")))
+    return reduce(DataFrame.unionByName, rows)

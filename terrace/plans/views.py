@@ -148,3 +148,41 @@ def drop_views(spark: SparkSession) -> None:
 
 def order_by_keys(df: DataFrame, order: list[str]) -> DataFrame:
     return df.orderBy(*order_columns(order))
+
+
+# Columns each view must expose.
+REQUIRED_VIEW_COLUMNS = {
+    "vw_league_table": ["dynamic_rank", "club_id", "club_name", "points", "goal_difference", "form"],
+    "vw_top_scorers": ["scorer_rank", "player_id", "player_name", "club_name", "goals", "assists"],
+    "vw_club_analytics": ["club_id", "club_name", "squad_size", "squad_goals", "league_position"],
+}
+
+
+def verify_views(spark: SparkSession) -> DataFrame:
+    """Diagnostics over the registered views (E1, E2, W7, W8): one row per check
+    with its violation count and PASS/FAIL."""
+    from functools import reduce
+    from terrace.operators.integrity import missing_tables, order_violations, rank_sequence
+    missing = missing_tables(spark, list(VIEW_NAMES))
+    rows = [spark.createDataFrame([(f"view_exists:{v}", 1 if v in missing else 0)],
+                                  "check_name string, violations long") for v in VIEW_NAMES]
+    present = {v: spark.table(v) for v in VIEW_NAMES if v not in missing}
+    for v, df in present.items():
+        gone = [c for c in REQUIRED_VIEW_COLUMNS[v] if c not in df.columns]
+        rows.append(spark.createDataFrame([(f"required_columns:{v}", len(gone))],
+                                          "check_name string, violations long"))
+    if "vw_league_table" in present:
+        lt = present["vw_league_table"]
+        rows.append(order_violations(lt, "dynamic_rank", "points").agg(
+            F.count(F.lit(1)).alias("violations")).select(F.lit("league_points_order").alias("check_name"),
+                                                         "violations"))
+    if "vw_top_scorers" in present:
+        rows.append(rank_sequence(present["vw_top_scorers"], "scorer_rank").select(
+            F.lit("scorer_rank_sequence").alias("check_name"), "violations"))
+    if "vw_club_analytics" in present:
+        ca = present["vw_club_analytics"].where(F.col("league_position") > 0)
+        rows.append(order_violations(ca, "league_position", "points").agg(
+            F.count(F.lit(1)).alias("violations")).select(F.lit("club_position_order").alias("check_name"),
+                                                         "violations"))
+    out = reduce(DataFrame.unionByName, rows)
+    return out.withColumn("status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))

@@ -72,3 +72,18 @@ def test_streaming_incremental_upsert(spark, scratch):
     p = wh.read("players")
     assert p.count() == 20 and p.where("player_id = 101").first()["goals"] == 50
     assert spark.read.parquet(f"{scratch}/q/players").count() == 1
+
+
+def test_idempotency_proof_and_view_verification(spark, scratch):
+    from terrace.plans.pipeline import idempotency_proof
+    raw = FX.raw_batches(spark)
+    wh = Warehouse(spark, f"{scratch}/gold")
+    proof = idempotency_proof(spark, raw, scratch, runs=2, warehouse=wh).collect()
+    assert all(r["same_as_first_run"] for r in proof)
+    assert {(r["run"], r["table_name"]): r["row_count"] for r in proof}[(2, "players")] == 20
+    views.create_views(spark, wh.read("clubs"), wh.read("players"), wh.read("standings"))
+    checks = views.verify_views(spark).collect()
+    assert checks and all(r["status"] == "PASS" for r in checks), [tuple(r) for r in checks]
+    views.drop_views(spark)
+    assert {r["check_name"]: r["violations"] for r in views.verify_views(spark).collect()}[
+        "view_exists:vw_league_table"] == 1

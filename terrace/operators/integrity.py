@@ -108,14 +108,18 @@ def missing_tables(spark: SparkSession, expected: list[str]) -> list[str]:
     return [t for t in expected if not spark.catalog.tableExists(t)]
 
 
-def table_violations(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
+def table_violations(tables: dict[str, DataFrame], specs: dict[str, TableSpec],
+                     parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Summary (table_name, constraint_name, violations) for PK, UNIQUE, NOT NULL,
     CHECK and FK constraints of every table present in ``tables``.
 
     Per table, all row-level constraints (null keys, NOT NULL, CHECKs) are one
     aggregate pass; each key (PK, UNIQUE) is one partially aggregated group-by;
-    each FK is one anti join.
+    each FK is one anti join.  ``parents`` (default: ``tables``) are the tables
+    FKs are resolved against -- e.g. a new batch checked against the full
+    staged parents.
     """
+    parents = tables if parents is None else parents
     parts = []
     for name, spec in specs.items():
         if name not in tables:
@@ -141,8 +145,8 @@ def table_violations(tables: dict[str, DataFrame], specs: dict[str, TableSpec])
                                     .select(F.lit(name).alias("table_name"), F.lit(cname).alias("constraint_name"),
                                             "violations"))
         for fk in spec.foreign_keys:
-            if fk.parent in tables:
-                rows = rows.unionByName(fk_violations(df, tables[fk.parent], name, fk.columns,
+            if fk.parent in parents:
+                rows = rows.unionByName(fk_violations(df, parents[fk.parent], name, fk.columns,
                                                       fk.parent_columns,
                                                       fk.name or f"fk_{name}_{'_'.join(fk.columns)}"))
         parts.append(rows)
@@ -152,7 +156,8 @@ def table_violations(tables: dict[str, DataFrame], specs: dict[str, TableSpec])
         .select(*_SUMMARY_COLS)
 
 
-def integrity_report(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame:
+def integrity_report(tables: dict[str, DataFrame], specs: dict[str, TableSpec],
+                     parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """M8: one row per check with violations and PASS/FAIL."""
-    return table_violations(tables, specs).withColumn(
+    return table_violations(tables, specs, parents).withColumn(
         "status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))

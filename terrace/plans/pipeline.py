@@ -53,13 +53,15 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
 
     ing = ingest(spark, raw, f"{root}/bronze", batch_id)
     bronze = {n: sinks.read_bronze(spark, p, RAW_SCHEMAS[n]) for n, p in ing["paths"].items()}
-    ing_counts = {n: df.count() for n, df in bronze.items()}
 
     specs = league_audit_specs({n: df.columns for n, df in bronze.items()})
     audits = {n: audit_spec(bronze[n].drop(*LINEAGE), specs[n]) for n in DATASETS}
     report = quality_report(list(audits.values())).persist()
     report_path = sinks.write_quality_report(report, f"{root}/quality/batch_id={batch_id}")
     status = gate(report)  # FAIL raises here, the report is already written
+    # ingestion counts come from the audit's metrics: no extra pass over bronze
+    details = report.select("dataset_details").first()["dataset_details"]
+    ing_counts = {d["dataset"]: d["source_count"] for d in details}
 
     valid = {n: a.valid for n, a in audits.items()}
     for n, df in valid.items():
@@ -86,12 +88,13 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     processed = {n: df.count() for n, df in silver.items()}
 
     # gold: upsert every table against its current version, check, publish
-    merged = {}
+    merged, batches = {}, {}
     for n in DATASETS:
         batch_df = silver[n].select(*CLEAN_COLUMNS[n])
         key = LEAGUE_TABLES[n].primary_key
+        batches[n] = batch_df
         merged[n] = upsert(wh.read(n), batch_df, key) if wh.exists(n) else batch_df
-    published = wh.publish(merged)
+    published = wh.publish(merged, batches=batches)
 
     for a in audits.values():
         a.unpersist()

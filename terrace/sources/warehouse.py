@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.operators.integrity import integrity_report
+from terrace.operators.integrity import duplicate_keys, integrity_report
 from terrace.schemas import LEAGUE_TABLES, LOAD_ORDER
 
 _MANIFEST = T.StructType([
@@ -73,8 +73,16 @@ class Warehouse:
     def _path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
 
-    def publish(self, new_tables: dict[str, DataFrame], check: bool = True) -> dict:
-        """M4: stage all new versions, check the staged state, then publish."""
+    def publish(self, new_tables: dict[str, DataFrame], check: bool = True,
+                batches: dict[str, DataFrame] | None = None) -> dict:
+        """M4: stage all new versions, check, then publish.
+
+        With ``batches`` (the rows merged into each table) only those rows are
+        checked -- NOT NULL, CHECK and batch-key uniqueness, FKs against the
+        full staged parents -- which is all an upsert of a checked batch can
+        break: the cost follows the batch, not the warehouse.  Without it the
+        whole staged state is checked.
+        """
         cur = self.current()
         version = int(cur["version"]) + 1
         staged = dict(cur["tables"])
@@ -84,8 +92,29 @@ class Warehouse:
             staged[name] = version
         if check:
             state = {t: self.spark.read.parquet(self._path(t, v)) for t, v in staged.items()}
-            bad = integrity_report(state, {k: s for k, s in self.specs.items() if k in state}) \
-                .where(F.col("violations") > 0).collect()
+            if batches:
+                report = integrity_report(batches, {k: s for k, s in self.specs.items() if k in batches},
+                                          parents=state)
+            else:
+                report = integrity_report(state, {k: s for k, s in self.specs.items() if k in state})
+            if batches:
+                # UNIQUE columns other than the key: a batch value may collide
+                # with an existing row under another key -- look only at the
+                # staged rows holding the batch's values
+                for name, b in batches.items():
+                    spec = self.specs.get(name)
+                    for u in (spec.unique if spec else []):
+                        if u == spec.primary_key:
+                            continue
+                        sub = state[name].join(b.select(*u).distinct(), u, "left_semi")
+                        d = duplicate_keys(sub, name, u, "unique_" + "_".join(u))
+                        report = report.unionByName(
+                            d.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("long")
+                                  .alias("violations"))
+                            .select(F.lit(name).alias("table_name"),
+                                    F.lit("unique_" + "_".join(u) + "_staged").alias("constraint_name"),
+                                    "violations", F.lit("FAIL").alias("status")))
+            bad = report.where(F.col("violations") > 0).collect()
             if bad:
                 raise IntegrityError("; ".join(f"{r['table_name']}.{r['constraint_name']}="
                                                f"{r['violations']}" for r in bad))

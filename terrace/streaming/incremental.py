@@ -41,7 +41,7 @@ def micro_batch_upsert(dataset: str, warehouse: Warehouse, quarantine: str | Non
             clean = _CLEANERS[dataset](res.valid, checks="eager").select(*CLEAN_COLUMNS[dataset])
             key = LEAGUE_TABLES[dataset].primary_key
             merged = upsert(warehouse.read(dataset), clean, key) if warehouse.exists(dataset) else clean
-            warehouse.publish({dataset: merged})
+            warehouse.publish({dataset: merged}, batches={dataset: clean})
         finally:
             res.unpersist()
     return fn

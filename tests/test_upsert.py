@@ -67,3 +67,31 @@ def test_surrogate_keys_stable(spark, method):
     b2 = spark.createDataFrame([(20,), (10,), (40,)], "club_id long")
     v2 = assign_surrogate_keys(v1, b2, "club_id", method=method)
     assert sorted(tuple(r) for r in v2.collect()) == [(10, 1), (20, 3), (40, 4)]
+
+
+def test_publish_checks_batch_against_staged_parents(spark, scratch):
+    wh = Warehouse(spark, f"{scratch}/wh2")
+    clubs = spark.createDataFrame([(1, "A", "AAA", "S", 10, "C", 1900, "#fff", "t")],
+                                  "club_id long, name string, short_name string, stadium string, capacity int, "
+                                  "city string, founded_year int, primary_color string, transformed_at string")
+    wh.publish({"clubs": clubs}, batches={"clubs": clubs})
+    P2 = ("player_id long, club_id long, name string, position string, nationality string, jersey_number int, "
+          "appearances int, goals int, assists int, goal_contributions int, goals_per_game double, transformed_at string")
+    ok = spark.createDataFrame([(10, 1, "p", "Forward", "X", 9, 1, 1, 0, 1, 1.0, "t")], P2)
+    wh.publish({"players": ok}, batches={"players": ok})
+    orphan = spark.createDataFrame([(11, 7, "q", "Forward", "X", 9, 1, 1, 0, 1, 1.0, "t")], P2)
+    with pytest.raises(IntegrityError, match="fk_players_club"):
+        wh.publish({"players": upsert(wh.read("players"), orphan, "player_id")}, batches={"players": orphan})
+    assert wh.read("players").count() == 1
+
+
+def test_publish_unique_against_existing_rows(spark, scratch):
+    wh = Warehouse(spark, f"{scratch}/wh3")
+    C = ("club_id long, name string, short_name string, stadium string, capacity int, city string, "
+         "founded_year int, primary_color string, transformed_at string")
+    a = spark.createDataFrame([(1, "A", "AAA", "S", 10, "C", 1900, "#fff", "t")], C)
+    wh.publish({"clubs": a}, batches={"clubs": a})
+    b = spark.createDataFrame([(2, "A", "BBB", "S", 10, "C", 1900, "#fff", "t")], C)  # same name, new key
+    with pytest.raises(IntegrityError, match="unique_name_staged"):
+        wh.publish({"clubs": upsert(wh.read("clubs"), b, "club_id")}, batches={"clubs": b})
+    assert wh.read("clubs").count() == 1

@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators.clean import (clean_clubs, clean_matches, clean_players, clean_standings)
 from terrace.operators.quality import audit_spec, gate, quality_report, require_rows
-from terrace.operators.upsert import upsert
-from terrace.schemas import CLEAN_COLUMNS, LEAGUE_TABLES, RAW_SCHEMAS, league_audit_specs
+from terrace.schemas import CLEAN_COLUMNS, RAW_SCHEMAS, league_audit_specs
 from terrace.session import ensure_checkpoint_dir
 from terrace.sources import sinks
 from terrace.sources.warehouse import Warehouse
@@ -88,13 +87,8 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     processed = {n: df.count() for n, df in silver.items()}
 
     # gold: upsert every table against its current version, check, publish
-    merged, batches = {}, {}
-    for n in DATASETS:
-        batch_df = silver[n].select(*CLEAN_COLUMNS[n])
-        key = LEAGUE_TABLES[n].primary_key
-        batches[n] = batch_df
-        merged[n] = upsert(wh.read(n), batch_df, key) if wh.exists(n) else batch_df
-    published = wh.publish(merged, batches=batches)
+    batches = {n: silver[n].select(*CLEAN_COLUMNS[n]) for n in DATASETS}
+    published = wh.publish_upserts(batches)  # rewrites only the buckets each batch touches
 
     for a in audits.values():
         a.unpersist()

@@ -1,33 +1,49 @@
-"""Versioned Parquet tables with an atomic publish (M4, M5, M7, V9).
+"""Versioned, hash-bucketed Parquet tables with an atomic publish (M1, M4, M5, M7, V9).
 
 Layout under ``root`` (a shared folder -- on a cluster the one named by
 ``spark.checkpoint.dir`` or any distributed path)::
 
-    <table>/v=<version>/part-*.parquet   immutable table versions
-    _versions/v=<version>/part-*.json    one-row manifest per publish
-
-A batch stages every new table version first, runs the integrity checks on the
-staged state, and only then writes the manifest that names the versions:
-readers that resolve the newest manifest never see a half-loaded batch, and a
-failed batch leaves the old versions current.  Nothing is overwritten while
-being read.
+    <table>/v=<version>/terrace_bucket=<b>/part-*.parquet   immutable files
+    _versions/v=<version>/part-*.json                       one-row manifest per publish
+
+Rows are spread over ``buckets`` hash buckets of the primary key
+(``pmod(xxhash64(key), buckets)``, written with ``partitionBy``).  A table in
+the manifest is its schema plus a short list of *layers* ``(version, buckets)``:
+a full write covers every bucket, an upsert layer covers only the buckets its
+batch touched.  Reading a table is a union of partition-pruned scans, one per
+layer, each keeping only the buckets no later layer replaced.  So an upsert
+rewrites the touched buckets only -- the cost follows the batch, not the table
+-- and after ``max_layers`` upserts the table is compacted into one layer.
+
+A batch stages every new file set first, runs the integrity checks against the
+staged state, and only then writes the manifest: readers that resolve the
+newest manifest never see a half-loaded batch, a failed batch leaves the old
+state current, and nothing is overwritten while being read.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.operators.integrity import duplicate_keys, integrity_report
+from terrace.operators.upsert import check_batch_keys, upsert
 from terrace.schemas import LEAGUE_TABLES, LOAD_ORDER
 
+BUCKET = "terrace_bucket"
+_LAYER = T.StructType([T.StructField("version", T.LongType()),
+                       T.StructField("buckets", T.ArrayType(T.IntegerType()))])
+_ENTRY = T.StructType([T.StructField("schema", T.StringType()),
+                       T.StructField("layers", T.ArrayType(_LAYER))])
 _MANIFEST = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("published_at", T.StringType()),
-    T.StructField("tables", T.MapType(T.StringType(), T.LongType())),
+    T.StructField("tables", T.MapType(T.StringType(), _ENTRY)),
 ])
 
 
@@ -36,101 +52,173 @@ class IntegrityError(RuntimeError):
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, specs=None):
+    def __init__(self, spark: SparkSession, root: str, specs=None, buckets: int = 16,
+                 max_layers: int = 8):
         self.spark = spark
         self.root = root.rstrip("/")
         self.specs = specs or LEAGUE_TABLES
+        self.buckets = int(buckets)
+        self.max_layers = int(max_layers)
 
-    # -- reading ---------------------------------------------------------
-    def _manifests(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_MANIFEST).json(f"{self.root}/_versions")
-        except Exception:  # noqa: BLE001 -- no publish yet
-            return None
-
+    # -- manifest --------------------------------------------------------
     def current(self) -> dict:
-        m = self._manifests()
-        if m is None:
+        try:
+            m = self.spark.read.schema(_MANIFEST).json(f"{self.root}/_versions")
+            row = m.orderBy(F.col("version").desc()).limit(1).collect()
+        except Exception:  # noqa: BLE001 -- nothing published yet
+            row = []
+        if not row:
             return {"version": 0, "tables": {}}
-        row = m.orderBy(F.col("version").desc()).limit(1).collect()
-        return {"version": 0, "tables": {}} if not row else \
-            {"version": row[0]["version"], "tables": dict(row[0]["tables"] or {})}
+        tables = {k: {"schema": e["schema"],
+                      "layers": [(int(l["version"]), None if l["buckets"] is None else list(l["buckets"]))
+                                 for l in e["layers"]]}
+                  for k, e in (row[0]["tables"] or {}).items()}
+        return {"version": int(row[0]["version"]), "tables": tables}
+
+    def _write_manifest(self, version: int, tables: dict) -> None:
+        row = [(version, _dt.datetime.now(_dt.timezone.utc).isoformat(),
+                {k: (e["schema"], [(v, b) for v, b in e["layers"]]) for k, e in tables.items()})]
+        self.spark.createDataFrame(row, _MANIFEST).coalesce(1).write.mode("error") \
+            .json(f"{self.root}/_versions/v={version}")
+
+    # -- reading ---------------------------------------------------------
+    def _path(self, table: str, version: int) -> str:
+        return f"{self.root}/{table}/v={version}"
+
+    def _read_entry(self, table: str, entry: dict) -> DataFrame:
+        schema = T.StructType.fromJson(json.loads(entry["schema"]))
+        full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
+        parts = []
+        later: set[int] = set()
+        for version, buckets in reversed(entry["layers"]):
+            df = self.spark.read.schema(full).parquet(self._path(table, version))
+            if buckets is None:
+                df = df.where(~F.col(BUCKET).isin(sorted(later))) if later else df
+            else:
+                keep = sorted(set(buckets) - later)
+                if not keep:
+                    continue
+                df = df.where(F.col(BUCKET).isin(keep))
+                later |= set(buckets)
+            parts.append(df.drop(BUCKET))
+            if buckets is None:
+                break
+        return reduce(DataFrame.unionByName, parts) if parts else \
+            self.spark.createDataFrame([], schema)
 
     def read(self, table: str) -> DataFrame:
         """The table as of the newest published version (resolved per call, V9)."""
-        v = self.current()["tables"].get(table)
-        if v is None:
+        e = self.current()["tables"].get(table)
+        if e is None:
             raise KeyError(f"table {table!r} has no published version")
-        return self.spark.read.parquet(self._path(table, v))
+        return self._read_entry(table, e)
 
     def exists(self, table: str) -> bool:
         return table in self.current()["tables"]
 
     def tables(self) -> dict[str, DataFrame]:
-        return {t: self.read(t) for t in self.current()["tables"]}
+        cur = self.current()
+        return {t: self._read_entry(t, e) for t, e in cur["tables"].items()}
 
     # -- writing ---------------------------------------------------------
-    def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version}"
+    def _bucket(self, table: str):
+        spec = self.specs.get(table)
+        if spec is None or self.buckets <= 1:
+            return F.lit(0)
+        return F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(self.buckets)).cast("int")
+
+    def _write(self, table: str, df: DataFrame, version: int) -> None:
+        df.withColumn(BUCKET, self._bucket(table)).write.mode("error") \
+            .partitionBy(BUCKET).parquet(self._path(table, version))
+
+    def _ordered(self, names):
+        return [t for t in LOAD_ORDER if t in names] + [t for t in names if t not in LOAD_ORDER]
 
     def publish(self, new_tables: dict[str, DataFrame], check: bool = True,
                 batches: dict[str, DataFrame] | None = None) -> dict:
-        """M4: stage all new versions, check, then publish.
+        """M4/M7: write whole new versions of ``new_tables``, check, then publish.
 
-        With ``batches`` (the rows merged into each table) only those rows are
-        checked -- NOT NULL, CHECK and batch-key uniqueness, FKs against the
-        full staged parents -- which is all an upsert of a checked batch can
-        break: the cost follows the batch, not the warehouse.  Without it the
-        whole staged state is checked.
+        With ``batches`` only those rows are checked (see ``_check``); without
+        it the whole staged state is checked.
         """
         cur = self.current()
-        version = int(cur["version"]) + 1
+        version = cur["version"] + 1
         staged = dict(cur["tables"])
-        for name in [t for t in LOAD_ORDER if t in new_tables] + \
-                    [t for t in new_tables if t not in LOAD_ORDER]:
-            new_tables[name].write.mode("error").parquet(self._path(name, version))
-            staged[name] = version
+        for name in self._ordered(new_tables):
+            self._write(name, new_tables[name], version)
+            staged[name] = {"schema": new_tables[name].schema.json(), "layers": [(version, None)]}
         if check:
-            state = {t: self.spark.read.parquet(self._path(t, v)) for t, v in staged.items()}
-            if batches:
-                report = integrity_report(batches, {k: s for k, s in self.specs.items() if k in batches},
-                                          parents=state)
-            else:
-                report = integrity_report(state, {k: s for k, s in self.specs.items() if k in state})
-            if batches:
-                # UNIQUE columns other than the key: a batch value may collide
-                # with an existing row under another key -- look only at the
-                # staged rows holding the batch's values
-                for name, b in batches.items():
-                    spec = self.specs.get(name)
-                    for u in (spec.unique if spec else []):
-                        if u == spec.primary_key:
-                            continue
-                        sub = state[name].join(b.select(*u).distinct(), u, "left_semi")
-                        d = duplicate_keys(sub, name, u, "unique_" + "_".join(u))
-                        report = report.unionByName(
-                            d.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("long")
-                                  .alias("violations"))
-                            .select(F.lit(name).alias("table_name"),
-                                    F.lit("unique_" + "_".join(u) + "_staged").alias("constraint_name"),
-                                    "violations", F.lit("FAIL").alias("status")))
-            bad = report.where(F.col("violations") > 0).collect()
-            if bad:
-                raise IntegrityError("; ".join(f"{r['table_name']}.{r['constraint_name']}="
-                                               f"{r['violations']}" for r in bad))
-        row = [(version, _dt.datetime.now(_dt.timezone.utc).isoformat(), staged)]
-        self.spark.createDataFrame(row, _MANIFEST).coalesce(1).write.mode("error") \
-            .json(f"{self.root}/_versions/v={version}")
-        return {"version": version, "tables": staged}
+            self._check(staged, batches)
+        self._write_manifest(version, staged)
+        return {"version": version, "tables": sorted(staged)}
+
+    def publish_upserts(self, batches: dict[str, DataFrame], check: bool = True) -> dict:
+        """M1 + M4: merge each batch by primary key, rewriting only the buckets it
+        touches; all tables of the call become visible together or not at all."""
+        cur = self.current()
+        version = cur["version"] + 1
+        staged = dict(cur["tables"])
+        for name in self._ordered(batches):
+            key = self.specs[name].primary_key
+            b = batches[name]
+            check_batch_keys(b, key, name)  # M2
+            entry = staged.get(name)
+            if entry is None:
+                self._write(name, b, version)
+                staged[name] = {"schema": b.schema.json(), "layers": [(version, None)]}
+                continue
+            b = b.select(*T.StructType.fromJson(json.loads(entry["schema"])).names)
+            if len(entry["layers"]) >= self.max_layers:  # compaction: one full layer
+                merged = upsert(self._read_entry(name, entry), b, key, check_keys=False)
+                self._write(name, merged, version)
+                staged[name] = {"schema": entry["schema"], "layers": [(version, None)]}
+                continue
+            # touched buckets: at most ``buckets`` small ints reach the driver
+            touched = sorted(r[0] for r in b.select(self._bucket(name).alias("b")).distinct().collect())
+            current_part = self._read_entry(name, entry) \
+                .where(self._bucket(name).isin(touched))
+            merged = upsert(current_part, b, key, check_keys=False)
+            self._write(name, merged, version)
+            staged[name] = {"schema": entry["schema"], "layers": entry["layers"] + [(version, touched)]}
+        if check:
+            self._check(staged, batches)
+        self._write_manifest(version, staged)
+        return {"version": version, "tables": sorted(staged)}
+
+    def _check(self, staged: dict, batches: dict[str, DataFrame] | None) -> None:
+        """Batch-scoped: NOT NULL, CHECK, batch-key uniqueness, FKs against the
+        staged parents, UNIQUE values against the staged rows holding them --
+        all an upsert of a checked batch can break.  Otherwise: everything."""
+        state = {t: self._read_entry(t, e) for t, e in staged.items()}
+        if batches:
+            report = integrity_report(batches, {k: s for k, s in self.specs.items() if k in batches},
+                                      parents=state)
+            for name, b in batches.items():
+                spec = self.specs.get(name)
+                for u in (spec.unique if spec else []):
+                    if u == spec.primary_key:
+                        continue
+                    sub = state[name].join(b.select(*u).distinct(), u, "left_semi")
+                    d = duplicate_keys(sub, name, u, "unique_" + "_".join(u))
+                    report = report.unionByName(
+                        d.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("long")
+                              .alias("violations"))
+                        .select(F.lit(name).alias("table_name"),
+                                F.lit("unique_" + "_".join(u) + "_staged").alias("constraint_name"),
+                                "violations", F.lit("FAIL").alias("status")))
+        else:
+            report = integrity_report(state, {k: s for k, s in self.specs.items() if k in state})
+        bad = report.where(F.col("violations") > 0).collect()
+        if bad:
+            raise IntegrityError("; ".join(f"{r['table_name']}.{r['constraint_name']}="
+                                           f"{r['violations']}" for r in bad))
 
     def drop(self, table: str) -> dict:
         """M7: a new version without ``table`` (files of old versions stay)."""
         cur = self.current()
         if table not in cur["tables"]:
-            return cur
-        version = int(cur["version"]) + 1
+            return {"version": cur["version"], "tables": sorted(cur["tables"])}
+        version = cur["version"] + 1
         staged = {k: v for k, v in cur["tables"].items() if k != table}
-        row = [(version, _dt.datetime.now(_dt.timezone.utc).isoformat(), staged)]
-        self.spark.createDataFrame(row, _MANIFEST).coalesce(1).write.mode("error") \
-            .json(f"{self.root}/_versions/v={version}")
-        return {"version": version, "tables": staged}
+        self._write_manifest(version, staged)
+        return {"version": version, "tables": sorted(staged)}

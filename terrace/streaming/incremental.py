@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators.clean import clean_clubs, clean_matches, clean_players
 from terrace.operators.quality import audit_spec
-from terrace.operators.upsert import upsert
-from terrace.schemas import CLEAN_COLUMNS, LEAGUE_TABLES, RAW_SCHEMAS, league_audit_specs
+from terrace.schemas import CLEAN_COLUMNS, RAW_SCHEMAS, league_audit_specs
 from terrace.session import ensure_checkpoint_dir
 from terrace.sources.warehouse import Warehouse
 
@@ -39,9 +38,7 @@ def micro_batch_upsert(dataset: str, warehouse: Warehouse, quarantine: str | Non
                 res.rejected.withColumn("_epoch", F.lit(epoch_id)) \
                     .write.mode("append").parquet(f"{quarantine}/{dataset}")
             clean = _CLEANERS[dataset](res.valid, checks="eager").select(*CLEAN_COLUMNS[dataset])
-            key = LEAGUE_TABLES[dataset].primary_key
-            merged = upsert(warehouse.read(dataset), clean, key) if warehouse.exists(dataset) else clean
-            warehouse.publish({dataset: merged}, batches={dataset: clean})
+            warehouse.publish_upserts({dataset: clean})  # touched buckets only
         finally:
             res.unpersist()
     return fn

@@ -89,8 +89,8 @@ def assign_surrogate_keys(target: DataFrame | None, batch: DataFrame, natural_ke
         existing = target.select(natural_key, F.col(id_col).cast("long").alias(id_col))
     known = batch.join(existing, natural_key, "inner")
     new = batch.join(existing.select(natural_key), natural_key, "left_anti")
-    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base"))
+    # the current maximum is one number: fetch it, no join needed
+    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base")).first()["_base"]
     numbered = global_rank(new, [natural_key], out="_n", kind="row_number", method=method)
-    fresh = numbered.crossJoin(F.broadcast(base)).withColumn(id_col, F.col("_base") + F.col("_n")) \
-        .drop("_n", "_base")
+    fresh = numbered.withColumn(id_col, F.lit(int(base)) + F.col("_n")).drop("_n")
     return known.unionByName(fresh.select(*known.columns))

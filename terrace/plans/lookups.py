@@ -69,10 +69,11 @@ def club_detail(clubs_df: DataFrame, players: DataFrame, matches: DataFrame, sta
     (newest first) are separate DataFrames over the same filter."""
     prof = clubs_df.where(F.col("club_id") == club_id)
     squad = players.where(F.col("club_id") == club_id)
-    cnt = squad.agg(F.count(F.lit(1)).alias("squad_count"))
+    cnt = squad.groupBy("club_id").agg(F.count(F.lit(1)).alias("squad_count"))
     st = standings.where(F.col("club_id") == club_id).select(
         "club_id", F.struct(*[c for c in standings.columns if c != "club_id"]).alias("standing"))
-    profile = prof.crossJoin(cnt).join(st, "club_id", "left")  # 1 x 1 rows
+    profile = prof.join(cnt, "club_id", "left").join(st, "club_id", "left") \
+        .withColumn("squad_count", F.coalesce(F.col("squad_count"), F.lit(0)).cast("long"))
     club_matches = matches.where((F.col("home_club_id") == club_id) | (F.col("away_club_id") == club_id)) \
         .orderBy(F.col("match_date").desc(), F.col("match_id").desc())
     return {"profile": profile, "squad": squad.orderBy("player_id"), "matches": club_matches}

@@ -44,3 +44,9 @@ def test_scan_prunes_columns(spark):
     formatted = df._jdf.queryExecution().explainString(
         df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "ReadSchema: struct<n_nationkey:int,n_name:string,n_regionkey:int>" in formatted
+
+
+def test_no_cross_or_nested_loop_join_anywhere(spark):
+    for name, q in E.queries().items():
+        p = plan(q(spark, SF))
+        assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, name

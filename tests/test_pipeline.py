@@ -26,6 +26,9 @@ def test_end_to_end_pass_golden_and_idempotent(spark, scratch):
     assert (top["player_id"], top["goals"]) == (111, 27)
     squads = views.club_analytics(wh.read("clubs"), wh.read("players"), wh.read("standings"))
     assert squads.agg(F.sum("squad_size")).first()[0] == 20
+    diag = {r["check_name"]: r["status"] for r in wh.diagnostics().collect()}
+    assert diag and all(v == "PASS" for v in diag.values()), diag
+    assert diag["constraint:players:fk_players_club"] == "PASS"
     # idempotency: two more runs keep counts and content
     before = {t: wh.read(t).drop("transformed_at") for t in ("clubs", "players", "matches", "standings")}
     before = {t: spark.createDataFrame(df.collect(), df.schema) for t, df in before.items()}

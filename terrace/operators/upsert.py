@@ -42,12 +42,12 @@ def upsert(target: DataFrame, batch: DataFrame, key: list[str] | str,
 def upsert_counts(target: DataFrame, batch: DataFrame, key: list[str] | str) -> DataFrame:
     """M3: processed (= batch rows, the reference's counter), inserted, updated."""
     key = [key] if isinstance(key, str) else list(key)
-    tk = target.select(*key).distinct()
-    flagged = batch.select(*key).join(tk.withColumn("_hit", F.lit(True)), key, "left")
-    return flagged.agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col("_hit").isNull()).alias("inserted"),
-        F.count_if(F.col("_hit").isNotNull()).alias("updated"))
+    b = batch.select(*key)
+    new = b.join(target.select(*key), key, "left_anti")
+    tagged = b.select(F.lit(False).alias("_new")).unionByName(new.select(F.lit(True).alias("_new")))
+    return tagged.agg(F.count_if(~F.col("_new")).alias("processed"),
+                      F.count_if(F.col("_new")).alias("inserted")) \
+        .withColumn("updated", F.col("processed") - F.col("inserted"))
 
 
 def cascade_delete(tables: dict[str, DataFrame], parent: str, parent_key: str,
@@ -57,7 +57,7 @@ def cascade_delete(tables: dict[str, DataFrame], parent: str, parent_key: str,
     ``children`` maps a child table to its referencing columns (a match has two:
     home and away -- one anti join per column, never an OR join).
     """
-    keys = deleted_keys.select(F.col(parent_key).alias("_del")).distinct()
+    keys = deleted_keys.select(F.col(parent_key).alias("_del"))  # anti joins: no distinct needed
     out = dict(tables)
     out[parent] = tables[parent].join(keys, F.col(parent_key) == F.col("_del"), "left_anti")
     for child, cols in children.items():

@@ -198,7 +198,7 @@ class Warehouse:
                 for u in (spec.unique if spec else []):
                     if u == spec.primary_key:
                         continue
-                    sub = state[name].join(b.select(*u).distinct(), u, "left_semi")
+                    sub = state[name].join(b.select(*u), u, "left_semi")  # semi join: no distinct needed
                     d = duplicate_keys(sub, name, u, "unique_" + "_".join(u))
                     report = report.unionByName(
                         d.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("long")

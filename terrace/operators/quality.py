@@ -1,15 +1,17 @@
 """Generic data-quality audit (Q1-Q13) as one pass.
 
-``audit`` evaluates every check for every record (no short-circuit) into one
-``_rejection_reasons`` array column, in the reference's order: missing required
-fields, duplicate key, then each rule.  Triage, quarantine, the issue log and
-the metrics all derive from that one (persisted) DataFrame.
+``audit`` evaluates every check for every record (no short-circuit).  Row-level
+findings (missing fields, rule results) are flags computed in the scan's
+projection; the per-row triage collects them into one ``_rejection_reasons``
+array in the reference's order: missing required fields, duplicate key, then
+each rule.
 
 First-wins uniqueness (W5) needs a record order.  Instead of a window over the
 key -- one task per key, fatal when one key holds a third of all rows -- the
-first occurrence per key is found with a partially aggregated ``min`` over
-(record order, row id) and joined back; AQE splits a skewed key on the big side
-of that join while the other side holds one row per key.
+first occurrence per key comes from a partially aggregated ``min``/``min_by``
+over (record order, row id).  Metrics and issue counts need nothing else; the
+per-row outputs (valid, rejected, issue log) join it back, where AQE splits a
+skewed key on the big side while the other side holds one row per key.
 """
 
 from __future__ import annotations
@@ -144,7 +146,7 @@ class AuditResult:
         """Issues per kind (dataset, kind, issue_count); duplicates under one kind."""
         g = self.key_summary()
         kinds = [(f"Missing required field: '{f}'", f"_m{i}") for i, (f, _) in enumerate(self._missing)]
-        kinds.append((f"Duplicate primary key", "_dups"))
+        kinds.append(("Duplicate primary key", "_dups"))
         for i, r in enumerate(self._rules):
             kinds.append((f"Validator exception: {r.description} (null or non-numeric input)", f"_rx{i}"))
             kinds.append((f"Validation failure: {r.description}", f"_rf{i}"))

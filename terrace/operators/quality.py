@@ -26,7 +26,14 @@ from pyspark.sql import functions as F
 
 from terrace.functions import scalars as S
 
+# Status labels and issue message formats (as in the reference's
+# issue log): "Missing required field: '<f>'", "Duplicate primary key '<pk>'=<v>",
+# "Validation failure: <rule>", "Validator exception: <rule> (...)".
 PASS, WARN, FAIL = "PASS", "WARN", "FAIL"
+MSG_MISSING = "Missing required field: '{}'"
+MSG_DUPLICATE = "Duplicate primary key '{}'="
+MSG_FAILURE = "Validation failure: {}"
+MSG_EXCEPTION = "Validator exception: {} (null or non-numeric input)"
 # Fixed value: share of rejected records (pooled over datasets) from which a batch fails.
 FAIL_SHARE = 0.1
 
@@ -78,13 +85,12 @@ class AuditResult:
             firsts = self.flags.where(key_ok).groupBy(*self.pk).agg(F.min("_ord").alias("_first"))
             j = self.flags.join(firsts, self.pk, "left")
             is_dup = key_ok & (F.col("_ord") != F.col("_first"))
-            dup_msg = F.when(is_dup, F.concat(F.lit(f"Duplicate primary key '{','.join(self.pk)}'="),
+            dup_msg = F.when(is_dup, F.concat(F.lit(MSG_DUPLICATE.format(",".join(self.pk))),
                                              _pk_text(self.pk)))
-            rule_msgs = [F.when(F.col(f"_r{i}").isNull(), F.lit(
-                             f"Validator exception: {r.description} (null or non-numeric input)"))
-                         .when(~F.col(f"_r{i}"), F.lit(f"Validation failure: {r.description}"))
+            rule_msgs = [F.when(F.col(f"_r{i}").isNull(), F.lit(MSG_EXCEPTION.format(r.description)))
+                         .when(~F.col(f"_r{i}"), F.lit(MSG_FAILURE.format(r.description)))
                          for i, r in enumerate(self._rules)]
-            miss_msgs = [F.when(F.col(f"_m{i}"), F.lit(f"Missing required field: '{f}'"))
+            miss_msgs = [F.when(F.col(f"_m{i}"), F.lit(MSG_MISSING.format(f)))
                          for i, (f, _) in enumerate(self._missing)]
             a = j.select(*self.columns, "_record_index",
                          F.filter(F.array(*miss_msgs, dup_msg, *rule_msgs, F.lit(None).cast("string")),
@@ -145,11 +151,11 @@ class AuditResult:
     def issue_counts(self) -> DataFrame:
         """Issues per kind (dataset, kind, issue_count); duplicates under one kind."""
         g = self.key_summary()
-        kinds = [(f"Missing required field: '{f}'", f"_m{i}") for i, (f, _) in enumerate(self._missing)]
+        kinds = [(MSG_MISSING.format(f), f"_m{i}") for i, (f, _) in enumerate(self._missing)]
         kinds.append(("Duplicate primary key", "_dups"))
         for i, r in enumerate(self._rules):
-            kinds.append((f"Validator exception: {r.description} (null or non-numeric input)", f"_rx{i}"))
-            kinds.append((f"Validation failure: {r.description}", f"_rf{i}"))
+            kinds.append((MSG_EXCEPTION.format(r.description), f"_rx{i}"))
+            kinds.append((MSG_FAILURE.format(r.description), f"_rf{i}"))
         wide = g.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"k{i}")
                        for i, (_, c) in enumerate(kinds)])
         long_ = wide.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"k{i}").alias("n"))

@@ -62,6 +62,10 @@ def _num(columns, c) -> Column:
     return S.lenient_int(c)
 
 
+# The rule descriptions below (Q20-Q30) are the reference's
+# messages, which appear verbatim in the issue log.
+
+
 def club_rules(columns) -> list[Rule]:
     return [
         Rule("Stadium capacity must be greater than 0", _num(columns, "capacity") > 0),

@@ -39,7 +39,7 @@ def read_bronze_raw(spark: SparkSession, path: str, multiline: bool = False) ->
     """Records as ``map<string,string>`` so an *absent* key differs from an
     explicit null (Q1/Q3): ``map_contains_key(record, k)``."""
     if multiline:
-        return spark.read.option("wholetext", True).text(path).select(
+        return spark.read.text(path, wholetext=True).select(
             F.explode(F.from_json("value", "array<map<string,string>>")).alias("record"))
     return spark.read.text(path).select(F.from_json("value", "map<string,string>").alias("record"))
 

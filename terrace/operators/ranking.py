@@ -60,8 +60,9 @@ except Exception:  # noqa: BLE001 -- older cloudpickle: fall back to import by n
     pass
 
 
-def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | None) -> DataFrame:
-    """(keys..., _cnt) with unique keys -> adds _dense (1-based) and _rank (1-based)."""
+def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | None):
+    """(keys..., _cnt) with unique keys -> (DataFrame with _dense and _rank, both
+    1-based; the largest _cnt, i.e. the size of the biggest tie group)."""
     spark = keys_df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -76,18 +77,21 @@ def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | N
     # Per-partition totals: one row per range partition, so at most ``n`` rows
     # reach the driver; their prefix sums are the partitions' offsets.
     per_part = sorted(local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
-                                               F.sum("_cnt").alias("_rows")).collect())
+                                               F.sum("_cnt").alias("_rows"),
+                                               F.max("_cnt").alias("_maxc")).collect())
     rows, idx_off, row_off = [], 0, 0
+    max_cnt = max([int(r["_maxc"]) for r in per_part], default=0)
     for r in per_part:
         rows.append((int(r["_pid"]), idx_off, row_off))
         idx_off += int(r["_n"])
         row_off += int(r["_rows"])
     offsets = spark.createDataFrame(rows, "_pid int, _idx_off long, _row_off long")
     # bounded by n rows: safe to broadcast
-    return (local.join(F.broadcast(offsets), "_pid")
-            .withColumn("_dense", F.col("_idx_off") + F.col("_local_idx") + 1)
-            .withColumn("_rank", F.col("_row_off") + F.col("_local_before") + 1)
-            .drop("_pid", "_idx_off", "_row_off", "_local_idx", "_local_before"))
+    numbered = (local.join(F.broadcast(offsets), "_pid")
+                .withColumn("_dense", F.col("_idx_off") + F.col("_local_idx") + 1)
+                .withColumn("_rank", F.col("_row_off") + F.col("_local_before") + 1)
+                .drop("_pid", "_idx_off", "_row_off", "_local_idx", "_local_before"))
+    return numbered, max_cnt
 
 
 def _null_safe_join(df: DataFrame, numbered: DataFrame, keys: list[str]) -> DataFrame:
@@ -118,11 +122,14 @@ def global_rank(df: DataFrame, order: list[str], out: str = "rank", kind: str =
     if method != "range":
         raise ValueError(f"unknown method {method!r}")
     keys = [c for c, _ in parse_order(order)]
-    if keys_unique or kind == "row_number":
+    if keys_unique:  # the caller guarantees it (e.g. the order ends with a primary key)
         keys_df = df.select(*keys).withColumn("_cnt", F.lit(1).cast("long"))
     else:
         keys_df = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-    numbered = _numbered_keys(keys_df, order, num_partitions)
+    numbered, max_cnt = _numbered_keys(keys_df, order, num_partitions)
+    if kind == "row_number" and max_cnt > 1:
+        raise ValueError(f"row_number needs a total order: {max_cnt} rows tie on {keys}; "
+                         "end the order with a unique key")
     col = "_dense" if kind == "dense_rank" else "_rank"
     numbered = numbered.select(*keys, F.col(col).alias(out))
     return _null_safe_join(df, numbered, keys)

@@ -54,8 +54,9 @@ SCORER_COLUMNS = ("scorer_rank", "player_id", "player_name", "club_name", "club_
 def top_scorers_view(players: DataFrame, clubs: DataFrame, rank_method: str = "range") -> DataFrame:
     """V2 over all scorers: ROW_NUMBER by goals DESC, assists DESC, appearances ASC,
     player_id ASC (the last key makes full ties deterministic)."""
+    # the order ends with player_id, the primary key: keys are unique
     ranked = global_rank(_scorers_base(players, clubs), SCORER_ORDER, out="scorer_rank",
-                         kind="row_number", method=rank_method)
+                         kind="row_number", method=rank_method, keys_unique=True)
     return ranked.select(*SCORER_COLUMNS)
 
 

@@ -45,3 +45,9 @@ def test_top_k_ranked(spark):
     assert top.exceptAll(w).isEmpty() and w.exceptAll(top).isEmpty()
     with pytest.raises(ValueError):
         top_k_ranked(d, order, 0)
+
+
+def test_range_row_number_refuses_ties(spark):
+    d = skewed(spark)
+    with pytest.raises(ValueError, match="total order"):
+        global_rank(d, ["-a"], out="r", kind="row_number", method="range", num_partitions=3)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.functions import scalars as S
-from terrace.operators.form import club_form
+from terrace.operators.form import club_form, match_sides
 from terrace.operators.ranking import global_rank
 
 # Defaults the reference fills in for missing values.
@@ -157,7 +157,6 @@ def standings_from_matches(matches: DataFrame) -> DataFrame:
     before the shuffle, so a club with a huge share of matches is not a hot task."""
     sides = matches.select("match_id", "home_club_id", "away_club_id", "home_score", "away_score",
                            "match_date")
-    from terrace.operators.form import match_sides
     s = match_sides(sides)
     agg = s.groupBy("club_id").agg(
         F.count(F.lit(1)).alias("played"),
@@ -175,8 +174,7 @@ def clean_standings(raw: DataFrame, matches: DataFrame | None = None, batch_ts:
     """P2, P8-P10, Q44, Q45, W3 (form) and W4 (position: row number after the
     4-key league sort, ties broken by club_id)."""
     cols = ["club_id", "played", "won", "drawn", "lost", "goals_for", "goals_against", "points"]
-    df = raw.select(*[S.strict_int(c).alias(c) if c == "club_id" else S.strict_int(c).alias(c)
-                      for c in cols])
+    df = raw.select(*[S.strict_int(c).alias(c) for c in cols])
     df = guard(df, {
         "inconsistent games played": F.col("played") != F.col("won") + F.col("drawn") + F.col("lost"),
         "inconsistent points": F.col("points") != F.col("won") * 3 + F.col("drawn"),

@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.plans import derive, views
+from terrace.functions.scalars import (normalise_position, result_label, score_label,
+                                       signed_display, split_form, thousands, zone_badge)
+from terrace.operators.clean import clean_players
+from terrace.operators.form import last_n_form
+from terrace.operators.integrity import (check_violations, duplicate_keys, fk_violations,
+                                         integrity_report, not_null_counts, order_violations,
+                                         pk_violations, rank_sequence)
+from terrace.operators.quality import audit_spec
+from terrace.operators.quality import quality_report as build_quality_report
+from terrace.operators.ranking import global_rank
+from terrace.operators.upsert import (assign_surrogate_keys, cascade_delete, table_counts as count_tables,
+                                      upsert, upsert_counts)
+from terrace.plans import derive, lookups, views
+from terrace.plans import star_audits as SA
+from terrace.plans.star_audits import STAR_TABLE_SPECS
+from terrace.schemas import LEAGUE_TABLES
+from terrace.sources.sinks import batch_manifest
 from terrace.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,7 +102,6 @@ def club_form_last5(spark, sf_dir):
 @register("event_form_last5")
 def event_form_last5(spark, sf_dir):
     """W3 generic: the initials of each user's last five event types (ts, then event_id)."""
-    from terrace.operators.form import last_n_form
     e = Tables(spark, sf_dir).events.select(
         "user_id", "ts", "event_id", F.upper(F.substring("event_type", 1, 1)).alias("letter"))
     return last_n_form(e, "user_id", ["ts", "event_id"], "letter", n=5)
@@ -93,7 +110,6 @@ def event_form_last5(spark, sf_dir):
 @register("form_letter_counts")
 def form_letter_counts(spark, sf_dir):
     """Split the form strings, explode, count letters."""
-    from terrace.functions.scalars import split_form
     s = _league(spark, sf_dir).standings
     return (s.select(F.explode(split_form("form")).alias("letter"))
             .groupBy("letter").agg(F.count(F.lit(1)).alias("occurrences")))
@@ -102,7 +118,6 @@ def form_letter_counts(spark, sf_dir):
 @register("match_results")
 def match_results(spark, sf_dir):
     """T7, P6, P7, P11, P17 over every cleaned match."""
-    from terrace.functions.scalars import result_label, score_label
     m = _league(spark, sf_dir).matches
     return longs(m.select("match_id", "gameweek", "home_club_id", "away_club_id", "match_date",
                           "home_score", "away_score", "total_goals", "result", "status",
@@ -114,7 +129,6 @@ def match_results(spark, sf_dir):
 def position_normalise(spark, sf_dir):
     """Player positions through the alias dictionary, part names through
     strip + capitalize (the dictionary's fallback)."""
-    from terrace.functions.scalars import normalise_position
     t = Tables(spark, sf_dir)
     players = derive.raw_players(t).select(
         F.lit("player").alias("entity"), F.col("player_id").alias("entity_id"),
@@ -128,7 +142,6 @@ def position_normalise(spark, sf_dir):
 @register("zone_badges")
 def zone_badges(spark, sf_dir):
     """P14, P15, P16 on the league table."""
-    from terrace.functions.scalars import signed_display, thousands, zone_badge
     lg = _league(spark, sf_dir)
     lt = views.league_table(lg.clubs, lg.standings)
     return longs(lt.join(lg.clubs.select("club_id", "capacity"), "club_id").select(
@@ -139,7 +152,6 @@ def zone_badges(spark, sf_dir):
 @register("rank_sequence_check")
 def rank_sequence_check(spark, sf_dir):
     """W7 + W8 on the league table, the standings and the full scorer ranking."""
-    from terrace.operators.integrity import order_violations, rank_sequence
     lg = _league(spark, sf_dir)
     lt = views.league_table(lg.clubs, lg.standings)
     sc = views.top_scorers_view(lg.players, lg.clubs, rank_method="range")
@@ -155,31 +167,26 @@ def rank_sequence_check(spark, sf_dir):
         order_violations(sc, "scorer_rank", "goals").agg(F.count(F.lit(1)).alias("violations"))
         .select(F.lit("scorer_goals_non_increasing").alias("check_name"), "violations"),
     ]
-    from functools import reduce
     return longs(reduce(DataFrame.unionByName, parts))
 
 
 @register("table_counts")
 def table_counts(spark, sf_dir):
     """Rows per gold table plus the total."""
-    from terrace.operators.upsert import table_counts as tc
     lg = _league(spark, sf_dir)
-    return tc({"clubs": lg.clubs, "players": lg.players, "matches": lg.matches,
+    return count_tables({"clubs": lg.clubs, "players": lg.players, "matches": lg.matches,
                "standings": lg.standings})
 
 
 @register("manifest")
 def manifest(spark, sf_dir):
     """S11 + A12: record count per raw (bronze) batch and the grand total."""
-    from terrace.sources.sinks import batch_manifest
     t = Tables(spark, sf_dir)
     return batch_manifest({"clubs": derive.raw_clubs(t), "players": derive.raw_players(t),
                            "matches": derive.raw_matches(t)})
 
 
 def _star_audits(spark, sf_dir):
-    from terrace.operators.quality import audit_spec
-    from terrace.plans import star_audits as SA
     t = Tables(spark, sf_dir)
     return [audit_spec(t.lineitem.select(*SA.LINEITEM_COLUMNS), SA.lineitem_spec(), persist=False),
             audit_spec(t.customer, SA.customer_spec(), persist=False),
@@ -190,22 +197,19 @@ def _star_audits(spark, sf_dir):
 def audit_metrics(spark, sf_dir):
     """Q1-Q7: metrics row per audited dataset (lineitem has duplicate keys,
     customer negative balances)."""
-    from functools import reduce
     return reduce(DataFrame.unionByName, [a.metrics for a in _star_audits(spark, sf_dir)])
 
 
 @register("audit_issues_count")
 def audit_issues_count(spark, sf_dir):
     """Q6: issue log rows per dataset and kind (duplicate messages grouped)."""
-    from functools import reduce
     return reduce(DataFrame.unionByName, [a.issue_counts() for a in _star_audits(spark, sf_dir)])
 
 
 @register("quality_report")
 def quality_report(spark, sf_dir):
     """Pooled totals and PASS/WARN/FAIL."""
-    from terrace.operators.quality import quality_report as qr
-    return qr(_star_audits(spark, sf_dir)).select(
+    return build_quality_report(_star_audits(spark, sf_dir)).select(
         "source_records", "processed_records", "rejected_records", "missing_fields", "duplicates",
         "validation_errors", "status")
 
@@ -231,8 +235,6 @@ def _star_tables(spark, sf_dir) -> dict:
 
 
 def _fk_only(tables, specs):
-    from functools import reduce
-    from terrace.operators.integrity import fk_violations
     parts = [fk_violations(tables[name], tables[fk.parent], name, fk.columns, fk.parent_columns, fk.name)
              for name, spec in specs.items() if name in tables
              for fk in spec.foreign_keys if fk.parent in tables]
@@ -244,8 +246,6 @@ def fk_violations_q(spark, sf_dir):
     """Orphans per foreign key on the star and league tables, and on the
     league state after deleting the clubs of region AFRICA *without* cascade
     (the orphans a cascade has to remove)."""
-    from terrace.plans.star_audits import STAR_TABLE_SPECS
-    from terrace.schemas import LEAGUE_TABLES
     lg = _league(spark, sf_dir)
     lt = _league_tables(lg)
     africa = Tables(spark, sf_dir).region.where(F.col("r_name") == "AFRICA") \
@@ -261,10 +261,6 @@ def fk_violations_q(spark, sf_dir):
 def check_violations_q(spark, sf_dir):
     """I4-I13 on the league tables plus CHECKs on the star tables (customer has
     negative balances); NULL passes a CHECK."""
-    from functools import reduce
-    from terrace.operators.integrity import check_violations
-    from terrace.plans.star_audits import STAR_TABLE_SPECS
-    from terrace.schemas import LEAGUE_TABLES
     lt = _league_tables(_league(spark, sf_dir))
     st = _star_tables(spark, sf_dir)
     parts = [check_violations(lt[n], n, s.checks) for n, s in LEAGUE_TABLES.items() if s.checks]
@@ -276,9 +272,6 @@ def check_violations_q(spark, sf_dir):
 def pk_duplicates(spark, sf_dir):
     """Duplicate primary keys (lineitem's (orderkey, linenumber)) and
     duplicate UNIQUE values (part names, nation names), one row per key."""
-    from functools import reduce
-    from terrace.operators.integrity import pk_violations, duplicate_keys
-    from terrace.plans.star_audits import STAR_TABLE_SPECS
     st = _star_tables(spark, sf_dir)
     parts = []
     for n, s in STAR_TABLE_SPECS.items():
@@ -292,8 +285,6 @@ def pk_duplicates(spark, sf_dir):
 def not_null_report(spark, sf_dir):
     """Nulls per column of the league tables and of orders LEFT JOIN lineitem
     (orders without lines give nulls)."""
-    from functools import reduce
-    from terrace.operators.integrity import not_null_counts
     lt = _league_tables(_league(spark, sf_dir))
     t = Tables(spark, sf_dir)
     ol = t.orders.select("o_orderkey", "o_orderdate").join(
@@ -312,7 +303,6 @@ def _upsert_inputs(spark, sf_dir):
     """Base table: every player but the 'Machinery' ones; batch: re-cleaned
     'Machinery' (new keys) and 'Midfielder' (existing keys) players, each with
     one more goal."""
-    from terrace.operators.clean import clean_players
     t = Tables(spark, sf_dir)
     lg = _league(spark, sf_dir)
     base = lg.players.where(F.col("position") != "Machinery")
@@ -326,7 +316,6 @@ def _upsert_inputs(spark, sf_dir):
 def upsert_players(spark, sf_dir):
     """M1: existing keys take the batch's values, new keys are inserted, keys
     absent from the batch stay."""
-    from terrace.operators.upsert import upsert
     base, batch = _upsert_inputs(spark, sf_dir)
     return longs(upsert(base, batch, "player_id", check_keys=False).select(*_PLAYER_COLS))
 
@@ -334,7 +323,6 @@ def upsert_players(spark, sf_dir):
 @register("upsert_counts")
 def upsert_counts_q(spark, sf_dir):
     """M3: processed / inserted / updated for the same upsert."""
-    from terrace.operators.upsert import upsert_counts
     base, batch = _upsert_inputs(spark, sf_dir)
     return upsert_counts(base, batch, "player_id")
 
@@ -343,7 +331,6 @@ def upsert_counts_q(spark, sf_dir):
 def cascade_delete_q(spark, sf_dir):
     """I16: delete the clubs of region AFRICA with ON DELETE CASCADE semantics;
     row counts of the new versions."""
-    from terrace.operators.upsert import cascade_delete, table_counts
     lg = _league(spark, sf_dir)
     africa = Tables(spark, sf_dir).region.where(F.col("r_name") == "AFRICA") \
         .select(F.col("r_name").alias("city"))
@@ -351,20 +338,18 @@ def cascade_delete_q(spark, sf_dir):
     out = cascade_delete(_league_tables(lg), "clubs", "club_id", deleted,
                          {"players": ["club_id"], "matches": ["home_club_id", "away_club_id"],
                           "standings": ["club_id"]})
-    return table_counts(out)
+    return count_tables(out)
 
 
 @register("clubs_by_city")
 def clubs_by_city(spark, sf_dir):
     """City ILIKE '%ri%' ordered by name."""
-    from terrace.plans import lookups
     return longs(lookups.clubs(_league(spark, sf_dir).clubs, city="ri").drop("transformed_at"))
 
 
 @register("club_detail_counts")
 def club_detail_counts(spark, sf_dir):
     """L2, J6 flattened: squad and match counts per club."""
-    from terrace.plans import lookups
     lg = _league(spark, sf_dir)
     return lookups.club_detail_counts(lg.clubs, lg.players, lg.matches, lg.standings)
 
@@ -372,7 +357,6 @@ def club_detail_counts(spark, sf_dir):
 @register("players_filtered")
 def players_filtered(spark, sf_dir):
     """Position ILIKE '%mid%' AND name ILIKE '%0001%', top 50."""
-    from terrace.plans import lookups
     lg = _league(spark, sf_dir)
     out = lookups.players(lg.players, lg.clubs, position="mid", search="0001", limit=50)
     return longs(out.select(*_PLAYER_COLS, "club_name"))
@@ -381,7 +365,6 @@ def players_filtered(spark, sf_dir):
 @register("player_detail")
 def player_detail(spark, sf_dir):
     """One player by key with the club name."""
-    from terrace.plans import lookups
     lg = _league(spark, sf_dir)
     return longs(lookups.player_detail(lg.players, lg.clubs, 7).select(*_PLAYER_COLS, "club_name"))
 
@@ -389,7 +372,6 @@ def player_detail(spark, sf_dir):
 @register("matches_of_club")
 def matches_of_club(spark, sf_dir):
     """Every match of club 3 (home or away) with both names."""
-    from terrace.plans import lookups
     lg = _league(spark, sf_dir)
     return longs(lookups.matches(lg.matches, lg.clubs, club_id=3).select(
         "match_id", "gameweek", "match_date", "home_club_id", "home_club_name", "away_club_id",
@@ -399,7 +381,6 @@ def matches_of_club(spark, sf_dir):
 @register("matches_gameweek")
 def matches_gameweek(spark, sf_dir):
     """Gameweek 7 only, both filters folded (club unset)."""
-    from terrace.plans import lookups
     lg = _league(spark, sf_dir)
     return longs(lookups.matches(lg.matches, lg.clubs, gameweek=7).select(
         "match_id", "gameweek", "match_date", F.substring("match_date", 1, 10).alias("match_day"),
@@ -409,7 +390,6 @@ def matches_gameweek(spark, sf_dir):
 @register("player_search")
 def player_search(spark, sf_dir):
     """F5, F8 (L12): name contains '12' (literal, case-insensitive) AND position = 'Forward'."""
-    from terrace.plans import lookups
     p = _league(spark, sf_dir).players
     return longs(lookups.player_search(p, q="12", position="Forward").select(*_PLAYER_COLS))
 
@@ -417,7 +397,6 @@ def player_search(spark, sf_dir):
 @register("club_search")
 def club_search(spark, sf_dir):
     """F9 (L11) + L14: name or city contains 'nation_1' / 'asia', as (club_id, name)."""
-    from terrace.plans import lookups
     c = _league(spark, sf_dir).clubs
     a = lookups.club_search(c, "nation_1")
     b = lookups.club_search(c, "asia")
@@ -428,7 +407,6 @@ def club_search(spark, sf_dir):
 def global_rank_scaled(spark, sf_dir):
     """DENSE_RANK over o_totalprice DESC on all orders without a
     single-partition window (range-partitioned numbering + offsets)."""
-    from terrace.operators.ranking import global_rank
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
     return global_rank(o, ["-o_totalprice"], out="price_rank", kind="dense_rank", method="range")
 
@@ -454,7 +432,6 @@ def standings_surrogate_ids(spark, sf_dir):
     """Surrogate ids for standings rows; clubs already holding an id (an
     earlier load of the clubs of region AMERICA) keep it, the others are
     numbered after the current maximum in club_id order."""
-    from terrace.operators.upsert import assign_surrogate_keys
     lg = _league(spark, sf_dir)
     st = lg.standings.select("club_id", "points")
     america = lg.clubs.where(F.col("city") == "AMERICA").select("club_id")
@@ -469,9 +446,6 @@ def standings_surrogate_ids(spark, sf_dir):
 def integrity_report_q(spark, sf_dir):
     """M8: every declared constraint of the league and star tables with its
     violation count and PASS/FAIL (customer's negative balances fail)."""
-    from terrace.operators.integrity import integrity_report
-    from terrace.plans.star_audits import STAR_TABLE_SPECS
-    from terrace.schemas import LEAGUE_TABLES
     lt = {n: df.drop("transformed_at") for n, df in _league_tables(_league(spark, sf_dir)).items()}
     tables = dict(_star_tables(spark, sf_dir), **lt)
     return integrity_report(tables, dict(STAR_TABLE_SPECS, **LEAGUE_TABLES))

@@ -55,9 +55,48 @@ CLUB_COLUMNS = ["club_id", "name", "short_name", "stadium", "capacity", "city",
                 "primary_color"]
 
 
+# The league's sample club batch (outer blanks kept as in the source).
+CLUBS = [
+    (1, " Arsenal FC ", "ARS", "Emirates Stadium", 60704, "London", 1886, "#EF0107"),
+    (2, "Aston Villa", "AVL", "Villa Park", 42640, "Birmingham", 1874, "#95BFE5"),
+    (3, "Chelsea FC", "CHE", "Stamford Bridge", 40343, "London", 1905, "#034694"),
+    (4, "Liverpool FC", "LIV", "Anfield", 61276, "Liverpool", 1892, "#C8102E"),
+    (5, "Manchester City", "MCI", "Etihad Stadium", 53400, "Manchester", 1880, "#6CABDD"),
+    (6, "Manchester United", "MUN", "Old Trafford", 74310, "Manchester", 1878, "#DA291C"),
+    (7, "Newcastle United", "NEW", "St. James' Park", 52305, "Newcastle upon Tyne", 1892, "#241F20"),
+    (8, "Tottenham Hotspur", "TOT", "Tottenham Hotspur Stadium", 62850, "London", 1882, "#132257"),
+    (9, "Brighton & Hove Albion", "BHA", "Amex Stadium", 31876, "Brighton", 1901, "#0057B8"),
+    (10, "West Ham United", "WHU", "London Stadium", 62500, "London", 1895, "#7A263A"),
+]
+
+# The league's sample player batch
+# (player_id, club_id, name, position, nationality, jersey_number, goals, assists, appearances).
+PLAYERS = [
+    (101, 1, " Bukayo Saka ", "FORWARD", "England", 7, 14, 9, 32),
+    (102, 1, "Martin Ødegaard", "midfielder", "Norway", 8, 8, 10, 31),
+    (103, 1, "William Saliba", "Defender", "France", 2, 2, 1, 35),
+    (104, 1, "David Raya", "Goalkeeper", "Spain", 22, 0, 0, 32),
+    (105, 3, "Cole Palmer", "MIDFIELDER", "England", 20, 22, 11, 33),
+    (106, 3, "Nicolas Jackson", "Forward", "Senegal", 15, 14, 5, 35),
+    (107, 3, "Moisés Caicedo", "midfielder", "Ecuador", 25, 1, 3, 34),
+    (108, 4, "Mohamed Salah", "forward", "Egypt", 11, 18, 10, 32),
+    (109, 4, "Virgil van Dijk", "Defender", "Netherlands", 4, 2, 2, 36),
+    (110, 4, "Alexis Mac Allister", "Midfielder", "Argentina", 10, 5, 5, 33),
+    (111, 5, " Erling Haaland ", "Forward", "Norway", 9, 27, 5, 31),
+    (112, 5, "Kevin De Bruyne", "Midfielder", "Belgium", 17, 4, 10, 18),
+    (113, 5, "Phil Foden", "Forward", "England", 47, 19, 8, 35),
+    (114, 5, "Rodri", "Midfielder", "Spain", 16, 8, 9, 34),
+    (115, 6, "Bruno Fernandes", "Midfielder", "Portugal", 8, 10, 8, 35),
+    (116, 6, "Alejandro Garnacho", "Forward", "Argentina", 17, 7, 4, 36),
+    (117, 6, "Kobbie Mainoo", "Midfielder", "England", 37, 3, 1, 24),
+    (118, 2, "Ollie Watkins", "Forward", "England", 11, 19, 13, 37),
+    (119, 7, "Alexander Isak", "Forward", "Sweden", 14, 21, 2, 30),
+    (120, 8, "Son Heung-min", "Forward", "South Korea", 7, 17, 10, 35),
+]
+
+
 def clubs_rows(n=10):
-    return [(i, f" Club {i} ", f"c{i:02d}", f"Ground {i}", 20000 + i, "Town", 1880 + i, None)
-            for i in range(1, n + 1)]
+    return list(CLUBS[:n])
 
 
 def df(spark, rows, columns, schema=None):
@@ -67,15 +106,7 @@ def df(spark, rows, columns, schema=None):
 
 
 def players_rows():
-    """20 players over clubs 1-8 (clubs 9 and 10 have none); player 111 scores 27."""
-    rows = []
-    for i in range(20):
-        pid = 101 + i
-        club = 1 + i % 8
-        goals = 27 if pid == 111 else (i * 3) % 11
-        rows.append((pid, club, f" Player {pid} ", ["FORWARD", "midfielder", "Def", "gk"][i % 4],
-                     "Nation", 1 + i, goals, i % 5, 5))
-    return rows
+    return list(PLAYERS)
 
 
 def raw_batches(spark):

@@ -26,6 +26,13 @@ def test_end_to_end_pass_golden_and_idempotent(spark, scratch):
     assert (top["player_id"], top["goals"]) == (111, 27)
     squads = views.club_analytics(wh.read("clubs"), wh.read("players"), wh.read("standings"))
     assert squads.agg(F.sum("squad_size")).first()[0] == 20
+    sizes = {r["short_name"]: r["squad_size"] for r in squads.collect()}
+    assert sizes["MCI"] == 4 and sizes["BHA"] == 0 and sizes["WHU"] == 0
+    lt = views.query_league_table(wh.read("clubs"), wh.read("standings")).collect()
+    assert [r["dynamic_rank"] for r in lt] == list(range(1, 11))
+    assert (lt[0]["short_name"], lt[0]["points"]) == ("MCI", 13)
+    names = {r["player_id"]: (r["name"], r["position"]) for r in wh.read("players").collect()}
+    assert names[101] == ("Bukayo Saka", "Forward") and names[102] == ("Martin Ødegaard", "Midfielder")
     diag = {r["check_name"]: r["status"] for r in wh.diagnostics().collect()}
     assert diag and all(v == "PASS" for v in diag.values()), diag
     assert diag["constraint:players:fk_players_club"] == "PASS"

@@ -53,12 +53,13 @@ class IntegrityError(RuntimeError):
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, specs=None, buckets: int = 16,
-                 max_layers: int = 8):
+                 max_layers: int = 8, files_per_bucket: int = 1):
         self.spark = spark
         self.root = root.rstrip("/")
         self.specs = specs or LEAGUE_TABLES
         self.buckets = int(buckets)
         self.max_layers = int(max_layers)
+        self.files_per_bucket = max(1, int(files_per_bucket))
 
     # -- manifest --------------------------------------------------------
     def current(self) -> dict:
@@ -128,8 +129,19 @@ class Warehouse:
         return F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(self.buckets)).cast("int")
 
     def _write(self, table: str, df: DataFrame, version: int) -> None:
-        df.withColumn(BUCKET, self._bucket(table)).write.mode("error") \
-            .partitionBy(BUCKET).parquet(self._path(table, version))
+        """One hash exchange on (bucket, sub-bucket) before ``partitionBy``: each
+        task writes about one file, instead of every task writing a small file
+        into every bucket (tasks x buckets files)."""
+        out = df.withColumn(BUCKET, self._bucket(table))
+        spec = self.specs.get(table)
+        if spec is not None and self.files_per_bucket > 1:
+            sub = F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key], F.lit("sub")),
+                         F.lit(self.files_per_bucket))
+            out = out.repartition(self.buckets * self.files_per_bucket, F.col(BUCKET), sub)
+        elif spec is not None and self.buckets > 1:
+            out = out.repartition(self.buckets, F.col(BUCKET))
+        # a table without a key spec is one bucket: written as it comes
+        out.write.mode("error").partitionBy(BUCKET).parquet(self._path(table, version))
 
     def _ordered(self, names):
         return [t for t in LOAD_ORDER if t in names] + [t for t in names if t not in LOAD_ORDER]

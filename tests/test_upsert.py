@@ -122,3 +122,12 @@ def test_bucketed_upserts_rewrite_touched_buckets_only(spark, scratch):
     assert len(wh.current()["tables"]["items"]["layers"]) <= 3
     with pytest.raises(DuplicateBatchKey):
         wh.publish_upserts({"items": spark.createDataFrame([(1, 1), (1, 2)], S)})
+
+
+def test_bucket_write_one_file_per_bucket(spark, scratch):
+    import glob
+    from terrace.schemas import TableSpec
+    wh = Warehouse(spark, f"{scratch}/wh5", specs={"items": TableSpec("items", ["k"])}, buckets=4)
+    wh.publish({"items": spark.range(2000).selectExpr("id AS k", "id % 7 AS v").repartition(9)})
+    files = glob.glob(f"{scratch}/wh5/items/v=1/terrace_bucket=*/*.parquet")
+    assert len(files) == 4 and wh.read("items").count() == 2000

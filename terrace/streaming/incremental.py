@@ -7,13 +7,13 @@ the result is published.  The streaming checkpoint lives under the session's
 ``spark.checkpoint.dir``; together with the key-based upsert a replayed
 micro-batch after a failure leaves the same table content (idempotent sink).
 
-Rejected rows of each micro-batch are appended to a quarantine folder.
+Rejected rows of each micro-batch go to their own ``epoch=<id>`` folder of the
+quarantine (overwritten if the epoch is replayed).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from terrace.operators.clean import clean_clubs, clean_matches, clean_players
 from terrace.operators.quality import audit_spec
@@ -35,8 +35,9 @@ def micro_batch_upsert(dataset: str, warehouse: Warehouse, quarantine: str | Non
         res = audit_spec(raw, spec)
         try:
             if quarantine:
-                res.rejected.withColumn("_epoch", F.lit(epoch_id)) \
-                    .write.mode("append").parquet(f"{quarantine}/{dataset}")
+                # one folder per epoch, overwritten on replay: idempotent
+                res.rejected.write.mode("overwrite") \
+                    .parquet(f"{quarantine}/{dataset}/epoch={epoch_id}")
             clean = _CLEANERS[dataset](res.valid, checks="eager").select(*CLEAN_COLUMNS[dataset])
             warehouse.publish_upserts({dataset: clean})  # touched buckets only
         finally:

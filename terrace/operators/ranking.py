@@ -65,9 +65,12 @@ def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | N
     1-based; the largest _cnt, i.e. the size of the biggest tie group)."""
     spark = keys_df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ocols = order_columns(order)
-    ranged = (keys_df.repartitionByRange(n, *ocols)
+    # Without an explicit count AQE sizes the range partitions (coalescing
+    # adjacent ones keeps them ordered), so tiny inputs do not become hundreds
+    # of tasks and large ones still get spark.sql.shuffle.partitions ranges.
+    ranged = ((keys_df.repartitionByRange(num_partitions, *ocols) if num_partitions
+               else keys_df.repartitionByRange(*ocols))
               .sortWithinPartitions(*ocols)
               .withColumn("_pid", F.spark_partition_id()))
     schema = T.StructType(ranged.schema.fields + [

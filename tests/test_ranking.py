@@ -51,3 +51,15 @@ def test_range_row_number_refuses_ties(spark):
     d = skewed(spark)
     with pytest.raises(ValueError, match="total order"):
         global_rank(d, ["-a"], out="r", kind="row_number", method="range", num_partitions=3)
+
+
+def test_range_rank_with_aqe_sized_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "60")
+    try:
+        d = skewed(spark)
+        w = global_rank(d, ["-a", "b"], out="r", kind="rank", method="window")
+        r = global_rank(d, ["-a", "b"], out="r", kind="rank", method="range")  # AQE decides
+        assert w.exceptAll(r).isEmpty() and r.exceptAll(w).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

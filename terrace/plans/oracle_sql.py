@@ -629,3 +629,54 @@ FROM ({body})""")
 
 
 SQL["integrity_report"] = _integrity_sql()
+
+SQL["audit_issue_log"] = _AUDIT.replace("""li_f AS (
+  SELECT l_orderkey,""", """li_f AS (
+  SELECT l_orderkey, l_linenumber,""").replace("""cu_f AS (
+  SELECT (CASE""", """cu_f AS (
+  SELECT c_custkey, (CASE""").replace("""oo_f AS (
+  SELECT (CASE""", """oo_f AS (
+  SELECT o_orderkey, (CASE""") + """
+SELECT 'lineitem' AS dataset, CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR) AS pk,
+       'Duplicate primary key ''l_orderkey,l_linenumber''=' || CAST(l_orderkey AS VARCHAR) || ','
+         || CAST(l_linenumber AS VARCHAR) AS error
+FROM li_f WHERE is_dup = 1
+UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR),
+       'Validation failure: Quantity must be between 1 and 50' FROM li_f WHERE r1 = 1
+UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR),
+       'Validation failure: Discount must be between 0 and 0.1' FROM li_f WHERE r2 = 1
+UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR),
+       'Validation failure: Tax must be between 0 and 0.08' FROM li_f WHERE r3 = 1
+UNION ALL SELECT 'lineitem', CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR),
+       'Validation failure: Extended price must be positive' FROM li_f WHERE r4 = 1
+UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR),
+       'Duplicate primary key ''c_custkey''=' || CAST(c_custkey AS VARCHAR) FROM cu_f WHERE is_dup = 1
+UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR),
+       'Validation failure: Account balance cannot be negative' FROM cu_f WHERE r1 = 1
+UNION ALL SELECT 'customer', CAST(c_custkey AS VARCHAR),
+       'Validation failure: Nation key must be between 0 and 24' FROM cu_f WHERE r2 = 1
+UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR),
+       'Duplicate primary key ''o_orderkey''=' || CAST(o_orderkey AS VARCHAR) FROM oo_f WHERE is_dup = 1
+UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR),
+       'Validation failure: Total price must be positive' FROM oo_f WHERE r1 = 1
+UNION ALL SELECT 'orders', CAST(o_orderkey AS VARCHAR),
+       'Validation failure: Order status must be F, O or P' FROM oo_f WHERE r2 = 1"""
+
+
+def _missing_issue_rows() -> str:
+    specs = [("lineitem", "li", "CAST(l_orderkey AS VARCHAR) || ',' || CAST(l_linenumber AS VARCHAR)",
+              [("l_orderkey", False), ("l_partkey", False), ("l_suppkey", False), ("l_linenumber", False),
+               ("l_returnflag", True), ("l_linestatus", True), ("l_shipdate", False)]),
+             ("customer", "cu", "CAST(c_custkey AS VARCHAR)",
+              [("c_custkey", False), ("c_name", True), ("c_nationkey", False), ("c_mktsegment", True)]),
+             ("orders", "oo", "CAST(o_orderkey AS VARCHAR)",
+              [("o_orderkey", False), ("o_custkey", False), ("o_orderdate", False), ("o_orderstatus", True)])]
+    rows = []
+    for ds, src, pk, fields in specs:
+        for f, is_text in fields:
+            cond = f"{f} IS NULL" + (f" OR trim({f}) = ''" if is_text else "")
+            rows.append(f"UNION ALL SELECT '{ds}', {pk}, 'Missing required field: ''{f}''' FROM {src} WHERE {cond}")
+    return "\n".join(rows)
+
+
+SQL["audit_issue_log"] = SQL["audit_issue_log"] + "\n" + _missing_issue_rows()

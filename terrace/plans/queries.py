@@ -449,3 +449,12 @@ def integrity_report_q(spark, sf_dir):
     lt = {n: df.drop("transformed_at") for n, df in _league_tables(_league(spark, sf_dir)).items()}
     tables = dict(_star_tables(spark, sf_dir), **lt)
     return integrity_report(tables, dict(STAR_TABLE_SPECS, **LEAGUE_TABLES))
+
+
+@register("audit_issue_log")
+def audit_issue_log(spark, sf_dir):
+    """Q5/Q6 per row: every issue of every rejected record (dataset, pk, error),
+    through the per-row path (first occurrence per key joined back)."""
+    return reduce(DataFrame.unionByName,
+                  [a.issues.select(F.lit(a.name).alias("dataset"), "pk", "error")
+                   for a in _star_audits(spark, sf_dir)])

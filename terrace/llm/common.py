@@ -6,6 +6,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: A word for sizes and shingles: a run without blanks.
 BLANK_WORD = r"[^\x20\x09-\x0D]+"
@@ -43,3 +44,12 @@ def with_columns_free(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns named like ``names``: an operator's outputs win over clashing extras."""
     low = {n.lower() for n in names}
     return df.select([c for c in df.columns if c.lower() not in low])
+
+
+_TYPES = {"long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType(),
+          "boolean": T.BooleanType()}
+
+
+def struct_type(**fields: str) -> T.StructType:
+    """A struct type from names and simple type names; needs no session, so modules can use it when imported."""
+    return T.StructType([T.StructField(k, _TYPES[v]) for k, v in fields.items()])

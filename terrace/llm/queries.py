@@ -4,8 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrace.llm import decontam, mixing
-from terrace.llm.common import read
+from terrace.llm import decontam, importance, langid_crf, licenses, mixing, pii, secrets, toxicity
+from terrace.llm.common import held_out, read
+
+
+def op1_importance_resampling(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    model = importance.train(docs, read(spark, sf_dir, "labels"))
+    s = importance.resample(importance.score(docs.select("doc_id", "text"), model))
+    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted"), "log_ratio", "noisy_weight", "selected")
+
+
+def op2_toxicity_grammar(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    grammar = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    s = toxicity.score(docs.select("doc_id", "text"), grammar)
+    return s.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+                    (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_language_crf(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    p = langid_crf.identify(docs, langid_crf.train(docs))
+    return p.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "n_segments")
 
 
 def op4_mixing_tree(spark, sf_dir):
@@ -21,4 +43,27 @@ def op7_decontamination(spark, sf_dir):
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing_tree, op7_decontamination)}
+def op8_license_templates(spark, sf_dir):
+    return licenses.find_licenses(read(spark, sf_dir, "documents"))
+
+
+def _of_kind(number):
+    return lambda b: b["kind"] == number
+
+
+def op9_secret_randomness(spark, sf_dir):
+    s = secrets.find(read(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", _of_kind(i))).cast("long").alias(f"n_{k}")
+              for i, k in enumerate(secrets.KINDS[:3])]
+    return s.select("doc_id", *counts, F.sha2(secrets.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                    secrets.as_text(F.col("spans")).alias("spans"))
+
+
+def op10_pii_anchors(spark, sf_dir):
+    p = pii.find(read(spark, sf_dir, "documents"))
+    return p.select("doc_id", "n_email", "n_ip", "n_card", "n_phone",
+                    F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_toxicity_grammar, op3_language_crf, op4_mixing_tree, op7_decontamination,
+                                   op8_license_templates, op9_secret_randomness, op10_pii_anchors)}

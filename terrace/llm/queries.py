@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrace.llm import decontam, importance, langid_crf, licenses, mixing, pii, secrets, toxicity
+from terrace.llm import decontam, importance, jaccard_join, langid_crf, licenses, mixing, pii, secrets, toxicity
 from terrace.llm.common import held_out, read
 
 
@@ -35,6 +35,10 @@ def op4_mixing_tree(spark, sf_dir):
     return m.select("doc_id", "size", "source_size", "target", "taken", "shards", "shuffle_key")
 
 
+def op6_jaccard_regions(spark, sf_dir):
+    return jaccard_join.link_documents(read(spark, sf_dir, "documents"))
+
+
 def op7_decontamination(spark, sf_dir):
     h = decontam.find_hits(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return h.select(
@@ -65,5 +69,6 @@ def op10_pii_anchors(spark, sf_dir):
                     F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_importance_resampling, op2_toxicity_grammar, op3_language_crf, op4_mixing_tree, op7_decontamination,
-                                   op8_license_templates, op9_secret_randomness, op10_pii_anchors)}
+QUERIES = {f.__name__: f for f in (
+    op1_importance_resampling, op2_toxicity_grammar, op3_language_crf, op4_mixing_tree, op6_jaccard_regions,
+    op7_decontamination, op8_license_templates, op9_secret_randomness, op10_pii_anchors)}

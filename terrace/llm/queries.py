@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrace.llm import decontam, importance, jaccard_join, langid_crf, licenses, mixing, pii, secrets, toxicity
+from terrace.llm import cross_polytope, decontam, importance, jaccard_join, langid_crf, licenses, mixing, pii, secrets, toxicity
 from terrace.llm.common import held_out, read
 
 
@@ -35,6 +35,10 @@ def op4_mixing_tree(spark, sf_dir):
     return m.select("doc_id", "size", "source_size", "target", "taken", "shards", "shuffle_key")
 
 
+def op5_cross_polytope(spark, sf_dir):
+    return cross_polytope.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op6_jaccard_regions(spark, sf_dir):
     return jaccard_join.link_documents(read(spark, sf_dir, "documents"))
 
@@ -70,5 +74,5 @@ def op10_pii_anchors(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_importance_resampling, op2_toxicity_grammar, op3_language_crf, op4_mixing_tree, op6_jaccard_regions,
-    op7_decontamination, op8_license_templates, op9_secret_randomness, op10_pii_anchors)}
+    op1_importance_resampling, op2_toxicity_grammar, op3_language_crf, op4_mixing_tree, op5_cross_polytope,
+    op6_jaccard_regions, op7_decontamination, op8_license_templates, op9_secret_randomness, op10_pii_anchors)}

@@ -40,6 +40,30 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % TRAIN_MOD == 0, F.lit(True))
 
 
+#: Bound of the broadcast in ``without``.
+MARKS = 1 << 18
+
+
+def without(docs: DataFrame, gone: DataFrame, marks: int = MARKS) -> DataFrame:
+    """``docs`` without the rows whose (doc_id, text) is in ``gone`` (gone_id, gone_text: the id and
+    xxhash64 of the text).
+
+    Long texts are not shuffled where that can be seen at once: ids are dealt into ``marks`` numbers, and
+    the numbers that ``gone`` uses are broadcast, at most ``marks`` rows whatever its size.  Rows
+    with an unused number stay; the others are compared exactly.
+    """
+    low = {c.lower() for c in docs.columns}
+    number = next(n for n in ("mark", "_mark", "__mark") if n not in low)
+    at = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(marks)), F.lit(-1))
+    used = F.broadcast(gone.select(F.coalesce(F.pmod(F.xxhash64("gone_id"), F.lit(marks)), F.lit(-1)).alias(number)).distinct())
+    numbered = docs.withColumn(number, at)
+    sure = numbered.join(used, number, "left_anti")
+    doubt = numbered.join(used, number, "left_semi").alias("d")
+    exact = F.col("d.doc_id").eqNullSafe(F.col("gone_id")) & (F.xxhash64(F.col("d.text")) == F.col("gone_text"))
+    kept = doubt.join(gone.select("gone_id", "gone_text"), exact, "left_anti")
+    return sure.select(docs.columns).unionByName(kept.select(docs.columns))
+
+
 def with_columns_free(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns named like ``names``: an operator's outputs win over clashing extras."""
     low = {n.lower() for n in names}

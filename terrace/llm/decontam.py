@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import alnum_words
+from terrace.llm.common import alnum_words, without
 
 WIDTH = 10
 MAX_ROWS = 200_000
@@ -117,8 +117,5 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_row
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_rows: int = MAX_ROWS) -> DataFrame:
     """``docs`` without the documents that hold any benchmark window."""
-    hits = (find_hits(docs, benchmark, width, max_rows).where(F.col("n_hit") > 0)
-            .select(F.col("doc_id").alias("_hit_id"), F.col("text_hash").alias("_hit_text")).distinct())
-    d = docs.alias("d")
-    on = F.col("d.doc_id").eqNullSafe(F.col("_hit_id")) & (F.xxhash64(F.col("d.text")) == F.col("_hit_text"))
-    return d.join(hits, on, "left_anti")
+    hits = find_hits(docs, benchmark, width, max_rows).where(F.col("n_hit") > 0)
+    return without(docs, hits.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct())

@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.llm.common import without
 from terrace.session import ensure_checkpoint_dir
 
 WORDS, NUM, DEN = 4, 85, 100     # shingle length; threshold NUM / DEN
@@ -123,19 +124,19 @@ def _profiles(words: int, num: int, den: int):
     def run(batches):
         for pdf in batches:
             rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
+            for doc, text_hash, text in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"]):
                 s = shingles(text, words)
                 key = xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
-                rows.append((doc, len(s), key, signatures(s, num, den)))
-            out = pd.DataFrame(rows, columns=["doc_id", "n", "key", "sigs"])
+                rows.append((doc, text_hash, len(s), key, signatures(s, num, den)))
+            out = pd.DataFrame(rows, columns=["doc_id", "text_hash", "n", "key", "sigs"])
             yield out.astype({"key": "Int64"})
     return run
 
 
 def profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
-    """doc_id, set size, key of the set and its first regions; reads the texts once."""
-    return docs.select("doc_id", "text").mapInPandas(
-        _profiles(words, num, den), "doc_id long, n long, key long, sigs array<long>")
+    """doc_id, hash of the text, set size, key of the set and its first regions; reads the texts once."""
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(
+        _profiles(words, num, den), "doc_id long, text_hash long, n long, key long, sigs array<long>")
 
 
 # --- components -----------------------------------------------------------------
@@ -363,7 +364,8 @@ def candidate_edges(prof: DataFrame) -> DataFrame:
 
 def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
                    limit_sets: int = LIMIT_SETS, limit_shingles: int = LIMIT_SHINGLES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest id of its component)."""
+    """One row per document: doc_id, n_shingles, component_id (smallest id of its component) and
+    text_hash, which tells rows of a repeated id apart."""
     ensure_checkpoint_dir(docs.sparkSession)
     prof = profiles(docs, words, num, den).checkpoint()
     groups = components(candidate_edges(prof))          # v: set key, root: its group
@@ -378,9 +380,22 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
                .dropDuplicates(["key"]))
     linked = components(join_regions(members, num, den, limit_sets, limit_shingles).select("a", "b"))
     # sets to components of documents: through equal sets, links, and repeated ids
-    comp = prof.where(F.col("key").isNotNull()).select("doc_id", "n", "key").join(
+    comp = prof.where(F.col("key").isNotNull()).select("doc_id", "text_hash", "n", "key").join(
         linked.withColumnRenamed("v", "key"), "key", "left").withColumn("comp", F.coalesce("root", "key"))
     smallest = comp.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    out = comp.join(smallest, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = prof.where(F.col("key").isNull()).select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    out = comp.join(smallest, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash")
+    empty = prof.where(F.col("key").isNull()).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash")
     return out.unionByName(empty)
+
+
+def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id (of rows with that
+    id, the smallest text hash).  Documents without words all stay, and so do rows that repeat a kept
+    one's id and text."""
+    links = link_documents(docs, words, num, den).where(F.col("n_shingles") > 0).checkpoint()
+    stays = (links.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id")
+             .agg(F.min("text_hash").alias("kept_text")))
+    gone = links.join(stays, "component_id", "left").where(
+        F.col("kept_text").isNotNull() & ~((F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("kept_text"))))
+    return without(docs, gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct())

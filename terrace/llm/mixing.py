@@ -105,15 +105,17 @@ def draw_blocks(tokens: DataFrame, quotas: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
-        fanout: int = FANOUT, depth: int = DEPTH) -> DataFrame:
+        fanout: int = FANOUT, depth: int = DEPTH, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, shuffle_key and
-    ``shards`` (the shard of each of its passes, in order; empty when nothing is taken)."""
-    d = (docs.select("doc_id", "source", count_blank_words(F.col("text")).alias("size"))
+    ``shards`` (the shard of each of its passes, in order; empty when nothing is taken).
+    Columns in ``carry`` (the text, for one) go along in the one shuffle of the documents."""
+    carried = [F.struct(*carry).alias("carried")] if carry else []
+    d = (docs.select("doc_id", "source", count_blank_words(F.col("text")).alias("size"), *carried)
          # code point order with null last: every name gets a leading 0, null alone is 1
          .withColumn("src", F.coalesce(F.concat(F.lit("0"), "source"), F.lit("1")))
          .withColumn("shuffle_key", _key(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
          .withColumn("cell", F.substring("shuffle_key", 1, 3)))
-    cells = d.groupBy("src", "cell").agg(F.sum("size").alias("cell_size"))
+    cells = d.drop("carried").groupBy("src", "cell").agg(F.sum("size").alias("cell_size"))
     sources = source_targets(cells, weights, share, cap)
     upto = Window.partitionBy("src").orderBy("cell")
     cells = (cells.withColumn("cell_first", F.sum("cell_size").over(upto) - F.col("cell_size"))
@@ -137,4 +139,4 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
     used = [F.when((F.col("size") > 0) & (F.lit(p) <= F.col("passes") + (F.col("part") > 0).cast("int")), F.col(f"shard{p}"))
             for p in range(1, MAX_PASSES + 1)]
     return m.select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"),
-                    F.concat_ws(",", *[c.cast("string") for c in used]).alias("shards"), "shuffle_key")
+                    F.concat_ws(",", *[c.cast("string") for c in used]).alias("shards"), "shuffle_key", *(["carried.*"] if carry else []))

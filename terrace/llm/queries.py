@@ -40,7 +40,7 @@ def op5_cross_polytope(spark, sf_dir):
 
 
 def op6_jaccard_regions(spark, sf_dir):
-    return jaccard_join.link_documents(read(spark, sf_dir, "documents"))
+    return jaccard_join.link_documents(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op7_decontamination(spark, sf_dir):

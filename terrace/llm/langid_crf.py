@@ -21,7 +21,6 @@ columns other than those used are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -46,16 +45,52 @@ GROUP = 400_000       # words whose chains are walked together
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def word_features(word: str, lexicons: dict[str, tuple[int, ...]]) -> list[int]:
-    """Hashed features of a lower-cased word."""
-    w = f"^{word}$"
-    keys = [f"w{word}"]
-    for n in (1, 2, 3):
-        keys += (f"p{word[:n]}", f"s{word[-n:]}")
-    for n in (2, 3):
-        keys += [f"g{w[i:i + n]}" for i in range(len(w) - n + 1)]
-    out = [zlib.crc32(k.encode("utf-8", "surrogatepass")) % BUCKETS for k in keys]
-    return out + [BUCKETS + i for i in lexicons.get(word, ())]
+_U = np.uint64
+
+
+def _mix(x: np.ndarray, kind: int) -> np.ndarray:
+    """Buckets of 64-bit values, different for each kind of feature."""
+    x = (x + _U(kind)) * _U(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> _U(29))) * _U(0xBF58476D1CE4E5B9)
+    return ((x ^ (x >> _U(32))) % _U(BUCKETS)).astype(np.int64)
+
+
+def word_features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashed features of lower-cased words, kind by kind as (buckets, first of each word): the word,
+    its affixes of three letters, its pairs and triples of letters with the borders as letters (which holds the
+    shorter affixes).  Every word has at least one feature of each kind."""
+    code = np.frombuffer("".join(f"\x01{w}\x02" for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(_U)
+    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    begin = np.concatenate([[0], np.cumsum(n + 2)[:-1]])
+    two = (code[:-1] << _U(21)) + code[1:]
+    three = (two[:-1] << _U(21)) + code[2:]
+    one = np.arange(len(words))
+
+    def inside(values, count, kind):
+        # the values that begin in the first ``count`` places of each word
+        first = np.concatenate([[0], np.cumsum(count)[:-1]])
+        at = np.repeat(begin - first, count) + np.arange(count.sum())
+        return _mix(values[at], kind), first
+
+    place = np.arange(len(code)) - np.repeat(begin, n + 2)
+    spelled = (code + _U(1)) * (_U(2) * place.astype(_U) + _U(3)) * _U(0xD6E8FEB86659FD93)
+    spelled = np.add.reduceat(spelled ^ (spelled >> _U(31)), begin)
+    last = begin + n + 1
+    prefix = three[begin] * _U(0x100000001B3) + np.where(n > 2, code[np.minimum(begin + 3, last)], 0)
+    suffix = three[last - 2] * _U(0x100000001B3) + np.where(n > 2, code[np.maximum(last - 3, begin)], 0)
+    return [(_mix(spelled, 1), one), (_mix(prefix, 2), one), (_mix(suffix, 3), one), inside(two, n + 1, 4), inside(three, n, 5)]
+
+
+def word_scores(words: list[str], weights: np.ndarray, lexicons: dict[str, tuple[int, ...]]) -> np.ndarray:
+    """Emission scores of the words: the weights of their features, scaled by the root of their number."""
+    total, number = np.zeros((len(words), weights.shape[1])), np.zeros(len(words))
+    for buckets, first in word_features(words):
+        total += np.add.reduceat(weights[buckets], first, axis=0)
+        number += np.diff(np.append(first, len(buckets)))
+    for i in [i for i, w in enumerate(words) if w in lexicons]:
+        total[i] += weights[[BUCKETS + x for x in lexicons[words[i]]]].sum(axis=0)
+        number[i] += len(lexicons[words[i]])
+    return total / np.sqrt(number)[:, None]
 
 
 @dataclass
@@ -65,24 +100,22 @@ class Crf:
     move: np.ndarray                    # transition scores
     lexicons: dict[str, tuple[int, ...]]
     _index: dict[str, int] = field(default_factory=dict, repr=False)
-    _scores: list[np.ndarray] = field(default_factory=list, repr=False)
+    _kept: list[np.ndarray] = field(default_factory=list, repr=False)
 
     def __getstate__(self):
         return {"langs": self.langs, "weights": self.weights, "move": self.move, "lexicons": self.lexicons,
-                "_index": {}, "_scores": []}
+                "_index": {}, "_kept": []}
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Emission scores of the words, from a bounded cache."""
-        index, kept = self._index, self._scores
-        if len(kept) > CACHE:
+        index = self._index
+        if len(index) > CACHE:
             index.clear()
-            kept.clear()
-        for w in set(words).difference(index):
-            feats = word_features(w, self.lexicons)
-            index[w] = len(kept)
-            kept.append(self.weights[feats].sum(axis=0) / np.sqrt(len(feats)))
-        rows = np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))
-        return np.asarray(kept)[rows]
+            self._kept.clear()
+        if new := sorted(set(words).difference(index)):
+            index.update(zip(new, range(len(index), len(index) + len(new))))
+            self._kept = [np.concatenate([*self._kept, word_scores(new, self.weights, self.lexicons)])]
+        return self._kept[0][np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))]
 
     def marginals(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Label probabilities of the words of each text."""
@@ -186,10 +219,14 @@ def train(docs: DataFrame) -> Crf:
         lengths[-1] += len(words)
     word, label = np.array(word_of), np.array(label_of)
     starts, lengths = np.array(starts), np.array(lengths)
-    feats = [word_features(w, lexicons) for w in types]
-    sizes = np.array([len(f) for f in feats])
-    flat = np.concatenate([np.array(f) for f in feats])
-    owner = np.repeat(np.arange(len(feats)), sizes)
+    kinds = word_features(list(types))
+    known = [(BUCKETS + x, i) for i, t in enumerate(types) for x in lexicons.get(t, ())]
+    flat = np.concatenate([f for f, _ in kinds] + [np.array([x for x, _ in known], dtype=np.int64)])
+    owner = np.concatenate([np.repeat(np.arange(len(types)), np.diff(np.append(first, len(f)))) for f, first in kinds]
+                           + [np.array([i for _, i in known], dtype=np.int64)])
+    by_word = np.argsort(owner, kind="stable")
+    flat, owner = flat[by_word], owner[by_word]
+    sizes = np.bincount(owner, minlength=len(types))
     begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     share = 1 / np.sqrt(sizes)
     w, move = np.zeros((BUCKETS + k, k)), np.zeros((k, k))

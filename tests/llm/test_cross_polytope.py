@@ -1,0 +1,76 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from terrace.llm import cross_polytope as X
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+
+
+def brute(rows, k=20):
+    ok = sorted({(i, tuple(v)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v)})
+    out = {}
+    for i, v in ok:
+        if i % 20 == 0:
+            q = np.array(v, dtype=np.float32).astype(float)
+            near = sorted((-float((q * np.array(w, dtype=np.float32).astype(float)).sum()), j) for j, w in ok if j != i and len(w) == len(v))
+            out.setdefault(i, near[:k])
+    return out
+
+
+def recall(got, want):
+    hit = sum(len({j for _, j in near} & {r["vec_id"] for r in got if r["query_id"] == q}) for q, near in want.items())
+    return hit / sum(map(len, want.values()))
+
+
+def test_hadamard_and_rotation_keep_lengths_and_angles():
+    x = np.random.default_rng(0).normal(size=(5, 16))
+    h = X.hadamard(np.eye(8))
+    assert np.allclose(h @ h.T, np.eye(8)) and np.allclose(np.abs(h), 8 ** -0.5)
+    y = X.rotate(x, 3, 16)
+    assert np.allclose(y @ y.T, x @ x.T)
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_recall_and_scores(spark, spread):
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(3000, 24))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    if spread:   # inner products, not angles: norms over three classes
+        v *= np.exp(rng.uniform(-1, 1, size=(3000, 1)))
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    got = X.search(frame(spark, rows), F.col("vec_id") % 20 == 0).collect()
+    want = brute(rows)
+    assert recall(got, want) >= 0.9
+    assert sorted({r["query_id"] for r in got}) == sorted(want) and len(got) == 20 * len(want)
+    table = {i: np.array(r, dtype=np.float32).astype(float) for i, r in rows}
+    for q in want:
+        mine = sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])
+        assert [r["rank"] for r in mine] == list(range(1, 21))
+        assert all(r["score"] == pytest.approx(table[q] @ table[r["vec_id"]], abs=1e-12) for r in mine)
+        assert [(-r["score"], r["vec_id"]) for r in mine] == sorted((-r["score"], r["vec_id"]) for r in mine)
+
+
+def test_copies_ties_and_crowded_buckets(spark):
+    rng = random.Random(2)
+    base = [[rng.gauss(0, 1) for _ in range(8)] for _ in range(12)]
+    rows = [(i, base[i % 12] if i % 3 else base[0]) for i in range(300)]   # a third share one vector
+    got = X.search(frame(spark, rows), F.col("vec_id") % 20 == 0, block=2).collect()
+    want = brute(rows)
+    for q, near in want.items():
+        assert [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == [j for _, j in near]
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (20, None), (40, []), (60, [0.0, 0.0]), (80, [nan, 1.0]), (100, [inf, 1.0]), (120, [None, 1.0]),
+            (1, [0.5, 0.5]), (2, [1.0, 2.0, 3.0]), (140, [1.0, 2.0, 3.0]), (3, [1.0, 0.0]), (3, [1.0, 0.0]), (None, [1.0, 1.0])]
+    df = frame(spark, rows).withColumn("score", F.lit("x")).withColumn("rep", F.lit(1))
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 6)) for r in X.search(df, F.col("vec_id") % 20 == 0).collect())
+    assert got == [(0, 1, 3, 1.0), (0, 2, 1, 0.5), (140, 1, 2, 14.0)]
+    assert X.search(frame(spark, []), F.col("vec_id") % 20 == 0).count() == 0
+    assert X.search(frame(spark, [(20, [1.0])]), F.col("vec_id") % 20 == 0).count() == 0

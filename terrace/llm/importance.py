@@ -22,7 +22,6 @@ used are ignored.
 from __future__ import annotations
 
 import re
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from terrace.llm.common import held_out, struct_type
-from terrace.session import ensure_checkpoint_dir
+from terrace.llm.hashing import U, letters, mix, spelled
+from terrace.session import materialize
 
 BUCKETS = 1 << 15
 SMOOTH = 1.0
@@ -41,39 +41,84 @@ TEMPERATURE = 20.0                     # n-grams whose evidence a weight stands
 KEEP = 0.5
 EMPTY = -20.0
 BIN = 64                               # histogram bins for one unit of a noisy log-weight
-CACHE = 400_000
+CACHE = 200_000
+GROUP = 300_000                        # tokens whose n-grams are counted together
+SHAPE = 8                              # runs of one class of letters that make a token's shape
 
 _TOKEN = re.compile(r"\S+")
-_RUNS = re.compile(r"(.)\1+")
-_known: dict[str, tuple[int, int]] = {}
-
-
-def _codes(token: str) -> tuple[int, int]:
-    """Hashes of a token's word and of its shape."""
-    shape = _RUNS.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in token))
-    return (zlib.crc32(token.lower().encode("utf-8", "surrogatepass")), zlib.crc32(shape[:8].encode("utf-8", "surrogatepass")))
-
-
-def ngrams(text: str | None) -> np.ndarray:
-    """Buckets of all n-grams of a text; words and shapes are hashed into halves of their own."""
-    tokens = _TOKEN.findall(text) if text else []
+#: Classes of letters for shapes: capitals, small letters (and all beyond ASCII), digits; others are their own.
+_CLASS = np.arange(128, dtype=np.uint64)
+_CLASS[65:91], _CLASS[97:123], _CLASS[48:58] = 65, 97, 48
+
+
+class _Codes:
+    """Hashes of words and shapes of the tokens that a worker has met, in a bounded cache."""
+
+    def __init__(self):
+        self.index: dict[str, int] = {}
+        self.table = np.zeros((0, 2), dtype=U)
+
+    def of(self, tokens: list[str]) -> np.ndarray:
+        if len(self.index) > CACHE:
+            self.__init__()
+        if new := sorted(set(tokens).difference(self.index)):
+            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
+            word = spelled(*letters([t.lower() for t in new]))
+            self.table = np.concatenate([self.table, np.column_stack([word, shapes(new)])])
+        return self.table[np.fromiter(map(self.index.__getitem__, tokens), dtype=np.int64, count=len(tokens))]
+
+
+def shapes(tokens: list[str]) -> np.ndarray:
+    """Hashes of the tokens' first runs of classes of letters."""
+    code, n, begin = letters(tokens)
+    kind = np.where(code < 128, _CLASS[np.minimum(code, U(127)).astype(np.int64)], U(97))
+    starts = np.concatenate([[True], kind[1:] != kind[:-1]])
+    starts[begin] = True
+    run = np.cumsum(starts)
+    run -= np.repeat(run[begin], n)
+    used = starts & (run < SHAPE)
+    return mix(np.add.reduceat(np.where(used, mix(kind * U(0x9E3779B97F4A7C15) + run.astype(U)), U(0)), begin))
+
+
+_codes = _Codes()
+
+
+def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all n-grams of the texts, and the number of the text that each belongs to.  Words and
+    shapes are hashed into halves of their own."""
+    tokens, sizes = [], []
+    for text in texts:
+        own = _TOKEN.findall(text) if text else []
+        tokens += own
+        sizes.append(len(own))
     if not tokens:
-        return np.zeros(0, dtype=np.int64)
-    if len(_known) > CACHE:
-        _known.clear()
-    for t in set(tokens).difference(_known):
-        _known[t] = _codes(t)
-    words, shapes = np.array([_known[t] for t in tokens], dtype=np.uint64).T
-    half = np.uint64(BUCKETS // 2)
-    mul = np.uint64(0x9E3779B97F4A7C15)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    words, shape = _codes.of(tokens).T
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    half = U(BUCKETS // 2)
+    inner = np.flatnonzero(owner[1:] == owner[:-1])     # pairs inside a text
 
     def pairs(x):
-        return ((x[:-1] * mul + x[1:]) * mul) >> np.uint64(32)
+        return mix(x[inner] * U(0x9E3779B97F4A7C15) + x[inner + 1])
 
     # a token that repeats the one before is an n-gram of its own kind
-    repeats = np.full(int(np.count_nonzero(words[:-1] == words[1:])), 7, dtype=np.uint64)
-    return np.concatenate([words % half, pairs(words) % half, half + shapes % half, half + pairs(shapes) % half,
-                           half + repeats]).astype(np.int64)
+    again = inner[words[inner] == words[inner + 1]]
+    grams = [words % half, pairs(words) % half, half + shape % half, half + pairs(shape) % half, np.full(len(again), half + U(7))]
+    return (np.concatenate(grams).astype(np.int64),
+            np.concatenate([owner, owner[inner], owner, owner[inner], owner[again]]))
+
+
+def _grouped(texts):
+    """The texts in groups of bounded size."""
+    group, n = [], 0
+    for text in texts:
+        group.append(text)
+        n += len(text or "")
+        if n >= 6 * GROUP:
+            yield group
+            group, n = [], 0
+    if group:
+        yield group
 
 
 @dataclass
@@ -81,13 +126,18 @@ class Importance:
     ratio: np.ndarray                  # log target minus log raw probability of a bucket
     curve: tuple[float, float] = (0.0, 1.0)
 
-    def log_ratio(self, text: str | None) -> float:
-        grams = ngrams(text)
-        return float(self.ratio[grams].mean()) if len(grams) else EMPTY
+    def log_ratios(self, texts) -> np.ndarray:
+        out = [np.zeros(0)]
+        for group in _grouped(texts):
+            grams, owner = ngrams(group)
+            n = np.bincount(owner, minlength=len(group))
+            total = np.bincount(owner, self.ratio[grams], minlength=len(group))
+            out.append(np.where(n > 0, total / np.maximum(n, 1), EMPTY))
+        return np.concatenate(out)
 
-    def score(self, x: float) -> float:
+    def score(self, x: np.ndarray) -> np.ndarray:
         a, b = self.curve
-        return 0.0 if x == EMPTY else float(1 / (1 + np.exp(-np.clip(a + b * x, -30, 30))))
+        return np.where(x == EMPTY, 0.0, 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30))))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -104,8 +154,8 @@ def _counted(batches):
     """Counts of the n-grams of a whole partition."""
     total = np.zeros(BUCKETS, dtype=np.int64)
     for pdf in batches:
-        for text in pdf["text"]:
-            total += np.bincount(ngrams(text), minlength=BUCKETS)
+        for group in _grouped(pdf["text"]):
+            total += np.bincount(ngrams(group)[0], minlength=BUCKETS)
     at = np.flatnonzero(total)
     yield pd.DataFrame({"bucket": at, "n": total[at]})
 
@@ -130,10 +180,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Importance:
 
     @pandas_udf(struct_type(x="double"))
     def of(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame({"x": [model.log_ratio(t) for t in texts]})
+        return pd.DataFrame({"x": model.log_ratios(texts)})
 
-    rows = sample.select(of("text").alias("f"), "good").where(F.col("f.x") != EMPTY).select("f.x", "good").collect()
-    x, y = np.array(sorted((r["x"], r["good"]) for r in rows)).reshape(-1, 2).T
+    # no filter on x here: Catalyst would move it, and the function, below the join
+    rows = sample.select(of("text").alias("f"), "good").select("f.x", "good").collect()
+    x, y = np.array(sorted((r["x"], r["good"]) for r in rows if r["x"] != EMPTY)).reshape(-1, 2).T
     if len(set(y)) == 2:
         model.curve = fit_curve(x, y)
     return model
@@ -157,8 +208,8 @@ def score(docs: DataFrame, model: Importance) -> DataFrame:
 
     @pandas_udf(struct_type(log_ratio="double", score="double"))
     def of(texts: pd.Series) -> pd.DataFrame:
-        x = [model.log_ratio(t) for t in texts]
-        return pd.DataFrame({"log_ratio": x, "score": [model.score(v) for v in x]})
+        x = model.log_ratios(texts)
+        return pd.DataFrame({"log_ratio": x, "score": model.score(x)})
 
     return docs.select("doc_id", of(F.col("text")).alias("p")).select("doc_id", "p.*")
 
@@ -166,10 +217,9 @@ def score(docs: DataFrame, model: Importance) -> DataFrame:
 def resample(scored: DataFrame, keep: float = KEEP, temperature: float = TEMPERATURE, seed: int = 17) -> DataFrame:
     """``scored`` with noisy_weight and selected: the ``keep`` share of all rows with the largest
     log-weight plus Gumbel noise."""
-    ensure_checkpoint_dir(scored.sparkSession)
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
-    s = (scored.withColumn("noisy_weight", F.col("log_ratio") * temperature - F.log(-F.log(u)))
-         .withColumn("bin", F.floor(F.col("noisy_weight") * BIN)).checkpoint())
+    s = materialize(scored.withColumn("noisy_weight", F.col("log_ratio") * temperature - F.log(-F.log(u)))
+                    .withColumn("bin", F.floor(F.col("noisy_weight") * BIN)), "weights")
     total = s.count()
     k = int(total * keep)
     # one row per bin; the bins' number depends on the range of the weights only

@@ -16,13 +16,15 @@ The Jaccard distance of shingle sets is a metric.  Two sets link at distance ``1
 3. A group that fits a task is joined there: a pivot's distances to all members
    are computed at once, the triangle inequality on earlier pivots' distances rules members
    out, and the join ends when all are one component.
-4. A larger group is cut by document pivots into Voronoi regions.  A document also goes
-   to every region whose pivot is at most ``2 * (1 - t)`` further away than its nearest.  Regions
-   are cut again until they fit; where pivots no longer part a region, its members are dealt into
-   blocks and all pairs of blocks are joined.
-5. The links found by parts of a group are joined into components.
+4. A larger group is cut by document pivots into Voronoi regions.  Members that link with their
+   region's pivot are settled: they are one component, whatever their number, and are never
+   compared with each other.  The others, and the members of other regions whose distance
+   to the pivot exceeds that to their own by at most ``2 * (1 - t)``, are open: they meet the
+   settled ones block by block, and among themselves they form a region that is cut again.
+   Where pivots no longer part a region, its open members meet in pairs of blocks.
+5. The links found are joined into components.
 
-No pairs are emitted: a task returns for each member the smallest member that it is linked to.
+No pairs are emitted: a task returns one edge for each component that it merged into another.
 
 Defined cases: a document without words has an empty set, links with nothing and is its own
 component; one with fewer words than a shingle has the whole sequence as its one shingle; equal
@@ -38,42 +40,37 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from terrace.llm.common import without
-from terrace.session import ensure_checkpoint_dir
+from terrace.llm.hashing import U, mix
+from terrace.session import materialize
 
 WORDS, NUM, DEN = 4, 85, 100     # shingle length; threshold NUM / DEN
-BAND = 2.0                       # sizes of a band differ by at most this factor
-LIMIT_SETS, LIMIT_SHINGLES = 1000, 1_000_000   # what one task joins
-PIVOTS = 16
+BAND = 1.5       # sizes of a band differ by at most this factor
+LIMIT_SETS, LIMIT_SHINGLES = 2000, 1_000_000   # what one task joins
+PIVOTS = 8
 LOOKUP_BUCKETS = 1 << 18         # proven bound of the broadcast that thins the texts
-CACHE = 500_000
+CACHE = 100_000
 
-_U = np.uint64
 _words: dict[bytes, int] = {}
 
 
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a text."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not tokens:
-        return np.zeros(0, dtype=_U)
+        return np.zeros(0, dtype=U)
     if len(_words) > CACHE:
         _words.clear()
     for t in set(tokens).difference(_words):
         _words[t] = xxhash.xxh64_intdigest(t)
-    h = np.fromiter(map(_words.__getitem__, tokens), dtype=_U, count=len(tokens))
+    h = np.fromiter(map(_words.__getitem__, tokens), dtype=U, count=len(tokens))
     n = min(words, len(h))
-    out = np.full(len(h) - n + 1, n, dtype=_U)
+    out = np.full(len(h) - n + 1, n, dtype=U)
     for i in range(n):
-        out = _mix(out * _U(0x9E3779B97F4A7C15) + h[i:len(h) - n + 1 + i])
+        out = mix(out * U(0x9E3779B97F4A7C15) + h[i:len(h) - n + 1 + i])
     return np.unique(out)
 
 
@@ -90,7 +87,7 @@ def signatures(s: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
     n, out = len(s), []
     if not n:
         return np.zeros(0, dtype=np.int64)
-    scrambled = _mix(s + _U(0x5851F42D4C957F2D))
+    scrambled = mix(s + U(0x5851F42D4C957F2D))
     largest = n * den // num
     first = band_of(n)
     for band in range(first, band_of(largest) + 1):
@@ -103,9 +100,9 @@ def signatures(s: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
             c = _scaled(s, classes)
             begin = np.flatnonzero(np.concatenate([[True], c[1:] != c[:-1]]))
             part = np.add.reduceat(scrambled, begin)
-            size = np.diff(np.concatenate([begin, [n]])).astype(_U)
-            key = _U((band << 40) | (level << 32))
-            sig = _mix(_mix(part + size * _U(0xD6E8FEB86659FD93)) ^ _mix(c[begin] + key))
+            size = np.diff(np.concatenate([begin, [n]])).astype(U)
+            key = U((band << 40) | (level << 32))
+            sig = mix(mix(part + size * U(0xD6E8FEB86659FD93)) ^ mix(c[begin] + key))
             if len(begin) >= need:
                 out.append(sig[:need])
                 break
@@ -116,61 +113,56 @@ def signatures(s: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
 
 def _scaled(s: np.ndarray, classes: int) -> np.ndarray:
     """Class of each hash: its place in the hash space times the number of classes."""
-    high = s >> _U(32)
-    return (high * _U(classes)) >> _U(32)
-
-
-def _profiles(words: int, num: int, den: int):
-    def run(batches):
-        for pdf in batches:
-            rows = []
-            for doc, text_hash, text in zip(pdf["doc_id"], pdf["text_hash"], pdf["text"]):
-                s = shingles(text, words)
-                key = xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
-                rows.append((doc, text_hash, len(s), key, signatures(s, num, den)))
-            out = pd.DataFrame(rows, columns=["doc_id", "text_hash", "n", "key", "sigs"])
-            yield out.astype({"key": "Int64"})
-    return run
+    high = s >> U(32)
+    return (high * U(classes)) >> U(32)
 
 
 def profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN) -> DataFrame:
     """doc_id, hash of the text, set size, key of the set and its first regions; reads the texts once."""
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInPandas(
-        _profiles(words, num, den), "doc_id long, text_hash long, n long, key long, sigs array<long>")
+
+    @pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("key", T.LongType()),
+                              T.StructField("sigs", T.ArrayType(T.LongType()))]))
+    def of(texts: pd.Series) -> pd.DataFrame:
+        n, key, sigs = [], [], []
+        for text in texts:
+            s = shingles(text, words)
+            n.append(len(s))
+            key.append(_key(s) if len(s) else None)
+            sigs.append(signatures(s, num, den))
+        # nullable integers: floats would round the keys
+        return pd.DataFrame({"n": n, "key": pd.array(key, dtype="Int64"), "sigs": sigs})
+
+    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), of("text").alias("p")).select("doc_id", "text_hash", "p.*")
+
+
+def _key(s: np.ndarray) -> int:
+    """64-bit name of a set."""
+    return xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63)
 
 
 # --- components -----------------------------------------------------------------
 
 def components(edges: DataFrame) -> DataFrame:
-    """(v, root) for all ends of ``edges`` (a, b): the smallest vertex that can be reached.  Every
-    round points each vertex at the smallest root among its neighbours' and then at that root's root;
-    it ends when no edge joins two roots.  Rounds are checkpointed."""
-    edges = edges.where(F.col("a") != F.col("b")).distinct().checkpoint()
-    found = (edges.select(F.col("a").alias("v")).union(edges.select("b")).distinct()
-             .withColumn("root", F.col("v")))
-    e = edges
-    while True:
-        # neighbours' smallest root by root: hook the larger root under the smaller
-        low, high = F.least("a", "b"), F.greatest("a", "b")
-        hook = e.select(high.alias("r"), low.alias("to")).groupBy("r").agg(F.min("to").alias("to"))
-        # hooks form trees that point downwards; jump until flat
-        hook = hook.checkpoint()
-        while True:
-            up = hook.select(F.col("r").alias("to"), F.col("to").alias("to2"))
-            jumped = (hook.join(up, "to", "left").select("r", F.coalesce("to2", "to").alias("to"),
-                                                         F.col("to2").isNotNull().alias("moved"))).checkpoint()
-            moved = jumped.where("moved").limit(1).count()
-            hook = jumped.select("r", "to")
-            if not moved:
-                break
-        h1 = hook.select(F.col("r").alias("root"), F.col("to").alias("new"))
-        found = (found.join(h1, "root", "left").select("v", F.coalesce("new", "root").alias("root"))).checkpoint()
-        ha, hb = hook.select(F.col("r").alias("a"), F.col("to").alias("na")), hook.select(F.col("r").alias("b"), F.col("to").alias("nb"))
-        e = (e.join(ha, "a", "left").join(hb, "b", "left")
-             .select(F.coalesce("na", "a").alias("a"), F.coalesce("nb", "b").alias("b"))
-             .where(F.col("a") != F.col("b")).distinct().checkpoint())
-        if not e.limit(1).count():
-            return found
+    """(v, root) for all ends of ``edges`` (a, b): the smallest vertex that can be reached.
+
+    Each round hooks a vertex to its smallest neighbour if that is smaller, follows the hooks twice further and
+    moves the edges' ends along; it ends when no edge is left.  Rounds are written tables."""
+    first = e = materialize(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+                            .where("a <> b").distinct(), "edges")
+    found = first.select(F.col("a").alias("v")).union(first.select("b")).distinct().withColumn("root", F.col("v"))
+    while not e.isEmpty():
+        hook = e.groupBy(F.col("b").alias("r")).agg(F.min("a").alias("to"))
+        for _ in range(2):
+            up = hook.select(F.col("r").alias("to"), F.col("to").alias("above"))
+            hook = hook.join(up, "to", "left").select("r", F.coalesce("above", "to").alias("to"))
+        hook = materialize(hook, "hooks")
+        moved = e
+        for end in ("a", "b"):
+            moved = moved.join(hook.select(F.col("r").alias(end), F.col("to").alias(f"{end}_to")), end, "left")
+        a, b = F.coalesce("a_to", "a"), F.coalesce("b_to", "b")
+        e = materialize(moved.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct(), "edges")
+        found = found.join(hook.select(F.col("r").alias("root"), "to"), "root", "left").select("v", F.coalesce("to", "root").alias("root"))
+    return found
 
 
 # --- joining inside a task ---------------------------------------------------
@@ -180,7 +172,7 @@ class _Region:
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        flat = np.concatenate(sets) if sets else np.zeros(0, dtype=_U)
+        flat = np.concatenate(sets) if sets else np.zeros(0, dtype=U)
         names, ids = np.unique(flat, return_inverse=True)
         self.ids, self.begin = ids, np.concatenate([[0], np.cumsum(self.sizes)])
         self.mark = np.zeros(len(names), dtype=np.int64)
@@ -198,35 +190,39 @@ class _Region:
         return got
 
 
-def link_region(sets: list[np.ndarray], home: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
+def link_region(sets: list[np.ndarray], home: np.ndarray, num: int = NUM, den: int = DEN,
+                settled: np.ndarray | None = None) -> np.ndarray:
     """For each member the smallest member of its component, over all linked pairs with at least one
-    end at ``home``."""
+    end at ``home``; ``settled`` members are one component from the start."""
     n = len(sets)
     root = np.arange(n)
+    todo = np.ones(n, dtype=bool)     # not yet a pivot
+    if settled is not None and settled.any():
+        root[settled] = np.flatnonzero(settled)[0]
+        todo = ~settled               # every pair left has an open end
     region = _Region(sets)
     far = 1 - num / den + 1e-9
     seen: list[np.ndarray] = []       # distances to the first pivots
-    todo = np.ones(n, dtype=bool)     # not yet a pivot
     order = np.argsort(-region.sizes, kind="stable")
     nearness = np.zeros(n)
-    for _ in range(n):
-        left = np.flatnonzero(todo)
-        if not len(left) or (root == root[0]).all():
+    for _ in range(int(todo.sum())):
+        if (root == root[0]).all():
             break
-        # the next pivot: the member nearest to those before, for it links most
-        i = int(left[np.argmax(nearness[left])]) if seen else int(order[0])
+        # the next pivot: the member that most of the pivots before it were near to, for it links most
+        left = np.flatnonzero(todo)
+        i = int(left[np.argmax(nearness[left])]) if seen else int(order[todo[order]][0])
         todo[i] = False
-        others = (todo & (root != root[i])) if len(seen) >= PIVOTS else todo.copy()
-        if len(seen) >= PIVOTS:
+        if len(seen) < PIVOTS:
+            members = np.arange(n)
+        else:
+            others = root != root[i]
             if not home[i]:
                 others &= home
             for d in seen:
                 others &= np.abs(d - d[i]) <= far   # triangle inequality
-        members = np.flatnonzero(others)
-        if not len(members):
-            continue
-        if len(seen) < PIVOTS:
-            members = np.arange(n)
+            members = np.flatnonzero(others)
+            if not len(members):
+                continue
         common = region.common(i, members)
         union = region.sizes[i] + region.sizes[members] - common
         linked = members[(den * common >= num * union) & (home[members] | home[i]) & (members != i)]
@@ -240,105 +236,123 @@ def link_region(sets: list[np.ndarray], home: np.ndarray, num: int = NUM, den: i
     return root
 
 
-def _join_groups(num: int, den: int):
+_EDGE = "a long, b long"
+
+
+def _as_sets(column) -> list[np.ndarray]:
+    return [np.asarray(s, dtype=np.int64).view(U) for s in column]
+
+
+def _join_task(num: int, den: int):
+    """Edges that a task's members add: one for each component merged into another."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["home", "key"], ascending=[False, True]).drop_duplicates("key").sort_values("key")
-        keys = pdf["key"].to_numpy()
-        root = link_region([np.asarray(s, dtype=np.int64).view(_U) for s in pdf["shingles"]], pdf["home"].to_numpy(), num, den)
-        return pd.DataFrame({"a": keys, "b": keys[root]})
+        # a member that has several parts here has the strongest: settled, then home
+        pdf = (pdf.sort_values(["settled", "home", "key"], ascending=[False, False, True]).drop_duplicates("key").sort_values("key"))
+        keys, settled = pdf["key"].to_numpy(), pdf["settled"].to_numpy(dtype=bool)
+        root = link_region(_as_sets(pdf["shingles"]), pdf["home"].to_numpy(dtype=bool), num, den, settled)
+        stands = ~settled
+        stands[np.flatnonzero(settled)[:1]] = True   # one settled member stands for all
+        own = np.flatnonzero(stands & (root != np.arange(len(root))))
+        return pd.DataFrame({"a": keys[own], "b": keys[root[own]]})
     return run
 
 
-def _cut_chunk(num: int, den: int, salt: int):
-    """Members of a chunk of a region to the Voronoi regions of its pivots, with windows."""
+def _assign_chunk(num: int, den: int, depth: int):
+    """Regions of a chunk's members: (cell, key, home, settled), and the pivot that a settled member links with."""
     def run(pdf: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        if not len(pdf) or not len(pivots):
+            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in (("region", "int64"), ("cell", "int64"), ("key", "int64"),
+                                                                    ("home", "bool"), ("settled", "bool"), ("pivot", "int64"))})
         pivots = pivots.sort_values("pivot")
-        sets = [np.asarray(s, dtype=np.int64).view(_U) for s in list(pdf["shingles"]) + list(pivots["p_shingles"])]
-        region, m = _Region(sets), len(pdf)
-        members = np.arange(len(sets))
-        dist = []
-        for p in range(m, len(sets)):
-            common = region.common(p, members)[:m]
-            dist.append(1 - common / np.maximum(region.sizes[p] + region.sizes[:m] - common, 1))
-        d = np.array(dist)                      # pivots x members
+        region, m = _Region(_as_sets(list(pdf["shingles"]) + list(pivots["p_shingles"]))), len(pdf)
+        distances, links = [], []
+        for p in range(m, m + len(pivots)):
+            common = region.common(p, np.arange(m + len(pivots)))[:m]
+            union = region.sizes[p] + region.sizes[:m] - common
+            distances.append(1 - common / np.maximum(union, 1))
+            links.append(den * common >= num * union)
+        d = np.array(distances)                      # pivots x members
         nearest = d.argmin(axis=0)
-        window = d <= d.min(axis=0) + 2 * (1 - num / den) + 1e-9
-        at, who = np.nonzero(window)
+        at, who = np.nonzero(d <= d.min(axis=0) + 2 * (1 - num / den) + 1e-9)
         base = int(pivots["p_region"].iloc[0])
-        name = [xxhash.xxh64_intdigest(f"{base}|{salt}|{p}") - (1 << 63) for p in range(len(pivots))]
-        home = pdf["home"].to_numpy()[who] & (nearest[who] == at)
-        guest = ~pdf["home"].to_numpy()[who]
-        # a guest of the region stays a guest wherever its window reaches
-        return pd.DataFrame({"region": np.array(name)[at], "key": pdf["key"].to_numpy()[who],
-                             "home": home & ~guest, "shingles": pdf["shingles"].to_numpy()[who]})
+        cells = np.array([xxhash.xxh64_intdigest(f"{base}|{depth}|{p}") - (1 << 63) for p in range(len(pivots))])
+        home = pdf["home"].to_numpy(dtype=bool)[who] & (nearest[who] == at)
+        return pd.DataFrame({"region": base, "cell": cells[at], "key": pdf["key"].to_numpy()[who], "home": home,
+                             "settled": home & np.array(links)[at, who], "pivot": pivots["p_key"].to_numpy()[at]})
     return run
 
 
-_MEMBER = "region long, key long, home boolean, shingles array<long>"
-
+def _chunks(sets, total, limit_sets: int, limit_shingles: int):
+    return F.greatest(F.lit(1), F.ceil(F.greatest(sets / limit_sets, total / limit_shingles)).cast("int"))
+
+
+def cut_region(members: DataFrame, depth: int, num: int, den: int, limit_sets: int, limit_shingles: int):
+    """One cut of the regions of ``members`` (region, key, home, shingles): the edges found, and the members
+    of the regions to be cut again."""
+    sized = members.join(members.groupBy("region").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.size("shingles")).alias("total")), "region")
+    order = Window.partitionBy("region").orderBy(F.xxhash64("key", F.lit(depth)), "key")
+    n_chunks = _chunks(F.col("sets"), F.col("total"), limit_sets, limit_shingles)
+    chosen = sized.withColumn("pivot", F.row_number().over(order)).where(F.col("pivot") <= PIVOTS)
+    # the pivots of a region go to each of its chunks
+    sent = chosen.select("region", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("chunk"), "key", "pivot", "shingles").toDF(
+        "p_region", "p_chunk", "p_key", "pivot", "p_shingles")
+    dealt = sized.select("region", F.pmod(F.xxhash64("key", F.lit(depth)), n_chunks).cast("int").alias("chunk"), "key", "home", "shingles")
+    cells = materialize(dealt.groupBy("region", "chunk").cogroup(sent.groupBy("p_region", "p_chunk")).applyInPandas(
+        _assign_chunk(num, den, depth), "region long, cell long, key long, home boolean, settled boolean, pivot long"), "cells")
+    to_pivot = cells.where(F.col("settled") & (F.col("key") != F.col("pivot"))).select(F.col("key").alias("a"), F.col("pivot").alias("b"))
+    weight = members.select("key", F.size("shingles").alias("w")).distinct()
+    is_open = (~F.col("settled")).cast("int")
+    counts = (cells.join(weight, "key").groupBy("region", "cell")
+              .agg(F.sum(1 - is_open).alias("s"), F.sum((1 - is_open) * F.col("w")).alias("sw"),
+                   F.sum(is_open).alias("u"), F.sum(is_open * F.col("w")).alias("uw"), F.max("home").alias("any_home")))
+    counts = counts.join(sized.groupBy("region").agg(F.max("sets").alias("sets")), "region")
+    half = (limit_sets / 2, limit_shingles / 2)
+    s_blocks, u_blocks = _chunks(F.col("s"), F.col("sw"), *half), _chunks(F.col("u"), F.col("uw"), *half)
+    plan = counts.where(F.col("any_home") & (F.col("u") > 0)).select(
+        "cell", "s", s_blocks.alias("s_blocks"), u_blocks.alias("u_blocks"),
+        # cut again only what this cut has made smaller
+        ((u_blocks > 2) & (F.col("u") < 0.7 * F.col("sets"))).alias("again"))
+    placed = materialize(cells.select("cell", "key", "home", "settled").join(plan, "cell"), "placed")
+    block = F.pmod(F.xxhash64("key", F.lit(-1 - depth)), F.when(F.col("settled"), F.col("s_blocks")).otherwise(F.col("u_blocks"))).cast("int")
+    rows = placed.withColumn("block", block)
+    # settled and open members: every pair of a settled and an open block
+    other = F.when(F.col("settled"), F.col("u_blocks")).otherwise(F.col("s_blocks"))
+    across = (rows.where(F.col("s") > 0).withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
+              .select(F.xxhash64("cell", F.when(F.col("settled"), F.col("block")).otherwise(F.col("other")),
+                                 F.when(F.col("settled"), F.col("other")).otherwise(F.col("block"))).alias("task"), "key", "home", "settled"))
+    # open members among themselves: every pair of blocks, unless they are cut again
+    among = (rows.where(~F.col("settled") & ~F.col("again"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("u_blocks") - 1)))
+             .select(F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"), F.lit("open")).alias("task"),
+                     "key", "home", "settled"))
+    sets = members.select("key", "shingles").dropDuplicates(["key"])
+    found = (across.unionByName(among).join(sets, "key").select("task", "key", "home", "settled", "shingles")
+             .groupBy("task").applyInPandas(_join_task(num, den), _EDGE))
+    again = placed.where(~F.col("settled") & F.col("again")).select(F.col("cell").alias("region"), "key", "home").join(sets, "key")
+    return to_pivot.unionByName(found), again.select("region", "key", "home", "shingles")
+
+
+def join_small(members: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Edges inside regions that fit a task."""
+    return (members.withColumn("settled", F.lit(False)).select("region", "key", "home", "settled", "shingles")
+            .groupBy("region").applyInPandas(_join_task(num, den), _EDGE))
+
+
+def join_large(members: DataFrame, num: int = NUM, den: int = DEN, limit_sets: int = LIMIT_SETS,
+               limit_shingles: int = LIMIT_SHINGLES) -> DataFrame:
+    """Edges inside regions of any size."""
+    edges, depth = members.sparkSession.createDataFrame([], _EDGE), 0
+    members = materialize(members, "members")
+    while not members.isEmpty():
+        found, again = cut_region(members, depth, num, den, limit_sets, limit_shingles)
+        edges, members, depth = edges.unionByName(found), materialize(again, "members"), depth + 1
+    return edges
 
-def _sizes(members: DataFrame) -> DataFrame:
-    return members.groupBy("region").agg(F.count(F.lit(1)).alias("sets"), F.sum(F.size("shingles")).alias("total"),
-                                         F.max("home").alias("any_home"))
-
-
-def join_regions(members: DataFrame, num: int = NUM, den: int = DEN, limit_sets: int = LIMIT_SETS,
-                 limit_shingles: int = LIMIT_SHINGLES, pivots: int = PIVOTS) -> DataFrame:
-    """Edges (a, b) that connect what links inside the regions of ``members`` (region, key, home, shingles)."""
-    edges: DataFrame | None = None
-    depth = 0
-    spark = members.sparkSession
-    while True:
-        members = members.checkpoint()
-        sizes = _sizes(members).withColumn("big", (F.col("sets") > limit_sets) | (F.col("total") > limit_shingles)).checkpoint()
-        tagged = members.join(sizes.select("region", "sets", "total", "any_home", "big"), "region")
-        fits = tagged.where(~F.col("big") & F.col("any_home") & (F.col("sets") > 1)).select("region", "key", "home", "shingles")
-        found = fits.groupBy("region").applyInPandas(_join_groups(num, den), "a long, b long").where("a <> b")
-        if not sizes.where("big").limit(1).count():
-            return found if edges is None else edges.union(found)
-        edges = (found if edges is None else edges.union(found)).checkpoint()
-        big = tagged.where(F.col("big") & F.col("any_home"))
-        order = Window.partitionBy("region").orderBy(F.xxhash64("key", F.lit(depth)), "key")
-        chosen = (big.withColumn("pivot", F.row_number().over(order)).where(F.col("pivot") <= pivots)
-                  .select("region", "pivot", "shingles"))
-        chunks = F.ceil(F.greatest(F.col("sets") / limit_sets, F.col("total") / limit_shingles)).cast("int")
-        dealt = big.withColumn("chunk", F.pmod(F.xxhash64("key", F.lit(depth)), chunks).cast("int"))
-        every = big.groupBy("region").agg(F.max(chunks).alias("n")).select(
-            "region", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("chunk"))
-        left = dealt.select("region", "chunk", "key", "home", "shingles")
-        right = chosen.join(every, "region").select("region", "chunk", "pivot", "shingles").toDF(
-            "p_region", "p_chunk", "pivot", "p_shingles")
-        cut = (left.groupBy("region", "chunk").cogroup(right.groupBy("p_region", "p_chunk"))
-               .applyInPandas(_skip_empty(_cut_chunk(num, den, depth)), _MEMBER)).checkpoint()
-        # a cut that leaves the parts hardly smaller than the whole ends the recursion for these regions
-        before = big.groupBy("region").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
-        after = cut.groupBy("region").agg(F.count(F.lit(1)).alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0
-        if after > 0.7 * before:
-            pairs = _block_pairs(big.select("region", "key", "home", "shingles", chunks.alias("n")))
-            found = pairs.groupBy("region").applyInPandas(_join_groups(num, den), "a long, b long").where("a <> b")
-            return edges.union(found)
-        members, depth = cut, depth + 1
-
-
-def _skip_empty(f):
-    def run(pdf: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
-        if not len(pdf) or not len(pivots):
-            return pd.DataFrame({"region": pd.Series(dtype="int64"), "key": pd.Series(dtype="int64"),
-                                 "home": pd.Series(dtype="bool"), "shingles": pd.Series(dtype=object)})
-        return f(pdf, pivots)
-    return run
 
+# --- the join ------------------------------------------------------------------
 
-def _block_pairs(big: DataFrame) -> DataFrame:
-    """Each region's members dealt into blocks, one region for every pair of blocks."""
-    blocks = (F.col("n") * 2).cast("int")
-    own = big.withColumn("block", F.pmod(F.xxhash64("key", F.lit(-1)), blocks).cast("int"))
-    both = own.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    return both.select(F.xxhash64("region", F.least("block", "other"), F.greatest("block", "other")).alias("region"),
-                       "key", "home", "shingles")
-
+_MEMBER = "region long, key long, home boolean, shingles array<long>"
 
-# --- the join ------------------------------------------------------------------
 
 def _shingled(words: int):
     def run(batches):
@@ -346,7 +360,7 @@ def _shingled(words: int):
             rows = []
             for region, key, text in zip(pdf["region"], pdf["key"], pdf["text"]):
                 s = shingles(text, words)
-                if len(s) and xxhash.xxh64_intdigest(s.tobytes()) - (1 << 63) == key:
+                if len(s) and _key(s) == key:
                     rows.append((region, key, True, s.view(np.int64)))
             yield pd.DataFrame(rows, columns=["region", "key", "home", "shingles"])
     return run
@@ -364,38 +378,44 @@ def candidate_edges(prof: DataFrame) -> DataFrame:
 
 def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
                    limit_sets: int = LIMIT_SETS, limit_shingles: int = LIMIT_SHINGLES) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest id of its component) and
-    text_hash, which tells rows of a repeated id apart."""
-    ensure_checkpoint_dir(docs.sparkSession)
-    prof = profiles(docs, words, num, den).checkpoint()
+    """One row per document: doc_id, n_shingles, component_id (smallest id of its component), text_hash and
+    comp, which tell the rows and components of a repeated id apart."""
+    prof = materialize(profiles(docs, words, num, den), "profiles")
     groups = components(candidate_edges(prof))          # v: set key, root: its group
     # the document whose text stands for a set
-    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"))
-    wanted = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "doc_id").checkpoint()
+    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    grouped = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "doc_id", "n")
+    sizes = grouped.groupBy("region").agg(((F.count(F.lit(1)) > limit_sets) | (F.sum("n") > limit_shingles)).alias("large"))
+    wanted = materialize(grouped.join(sizes, "region").select("key", "region", "doc_id", "large"), "wanted")
     # at most LOOKUP_BUCKETS rows whatever the corpus: it only keeps most other texts out of the shuffle
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(LOOKUP_BUCKETS))
-    lookup = F.broadcast(wanted.select(bucket.alias("bucket")).distinct())
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("bucket", bucket).join(lookup, "bucket", "left_semi")
-    members = (texts.join(wanted, "doc_id").select("region", "key", "text").mapInPandas(_shingled(words), _MEMBER)
-               .dropDuplicates(["key"]))
-    linked = components(join_regions(members, num, den, limit_sets, limit_shingles).select("a", "b"))
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("bucket", bucket)
+
+    def members(large: bool) -> DataFrame:
+        some = wanted.where(F.col("large") == large)
+        lookup = F.broadcast(some.select(bucket.alias("bucket")).distinct())
+        return (texts.join(lookup, "bucket", "left_semi").join(some, "doc_id").select("region", "key", "text")
+                .mapInPandas(_shingled(words), _MEMBER).dropDuplicates(["key"]))
+
+    edges = join_small(members(False), num, den)
+    if not wanted.where("large").isEmpty():
+        edges = edges.unionByName(join_large(members(True), num, den, limit_sets, limit_shingles))
+    linked = components(edges)
     # sets to components of documents: through equal sets, links, and repeated ids
     comp = prof.where(F.col("key").isNotNull()).select("doc_id", "text_hash", "n", "key").join(
         linked.withColumnRenamed("v", "key"), "key", "left").withColumn("comp", F.coalesce("root", "key"))
     smallest = comp.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    out = comp.join(smallest, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash")
+    out = comp.join(smallest, "comp").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "text_hash", "comp")
     empty = prof.where(F.col("key").isNull()).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash")
+        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), "text_hash", F.lit(None).cast("long").alias("comp"))
     return out.unionByName(empty)
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id (of rows with that
-    id, the smallest text hash).  Documents without words all stay, and so do rows that repeat a kept
-    one's id and text."""
-    links = link_documents(docs, words, num, den).where(F.col("n_shingles") > 0).checkpoint()
-    stays = (links.where(F.col("doc_id") == F.col("component_id")).groupBy("component_id")
-             .agg(F.min("text_hash").alias("kept_text")))
-    gone = links.join(stays, "component_id", "left").where(
-        F.col("kept_text").isNotNull() & ~((F.col("doc_id") == F.col("component_id")) & (F.col("text_hash") == F.col("kept_text"))))
+    """``docs`` with one document of each component: the one with the smallest id (null before all; of rows
+    with that id, the smallest text hash).  Documents without words all stay, and so do rows that repeat a
+    kept one's id and text."""
+    links = materialize(link_documents(docs, words, num, den).where(F.col("n_shingles") > 0), "links")
+    stays = links.groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("stay"))
+    gone = links.join(stays, "comp").where(~F.struct("doc_id", "text_hash").eqNullSafe(F.col("stay")))
     return without(docs, gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct())

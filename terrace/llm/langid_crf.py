@@ -28,9 +28,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from terrace.llm.common import held_out, struct_type
+from terrace.llm.hashing import U, letters, mix, spelled
 
 DOCS_PER_LANG, MAX_LANGS = 400, 64
 STRETCH, STRETCHES = 16, 16
@@ -45,40 +47,30 @@ GROUP = 400_000       # words whose chains are walked together
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-_U = np.uint64
-
-
-def _mix(x: np.ndarray, kind: int) -> np.ndarray:
-    """Buckets of 64-bit values, different for each kind of feature."""
-    x = (x + _U(kind)) * _U(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> _U(29))) * _U(0xBF58476D1CE4E5B9)
-    return ((x ^ (x >> _U(32))) % _U(BUCKETS)).astype(np.int64)
-
-
 def word_features(words: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Hashed features of lower-cased words, kind by kind as (buckets, first of each word): the word,
     its affixes of three letters, its pairs and triples of letters with the borders as letters (which holds the
     shorter affixes).  Every word has at least one feature of each kind."""
-    code = np.frombuffer("".join(f"\x01{w}\x02" for w in words).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(_U)
-    n = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    begin = np.concatenate([[0], np.cumsum(n + 2)[:-1]])
-    two = (code[:-1] << _U(21)) + code[1:]
-    three = (two[:-1] << _U(21)) + code[2:]
+    code, n, begin = letters(words, "\x01", "\x02")
+    two = (code[:-1] << U(21)) + code[1:]
+    three = (two[:-1] << U(21)) + code[2:]
+    last = begin + n - 1
+    long = n > 4
+    prefix = three[begin] * U(0x100000001B3) + np.where(long, code[np.minimum(begin + 3, last)], 0)
+    suffix = three[last - 2] * U(0x100000001B3) + np.where(long, code[np.maximum(last - 3, begin)], 0)
     one = np.arange(len(words))
 
+    def hashed(values, kind):
+        return (mix(values + U(kind << 50)) % U(BUCKETS)).astype(np.int64)
+
     def inside(values, count, kind):
         # the values that begin in the first ``count`` places of each word
         first = np.concatenate([[0], np.cumsum(count)[:-1]])
         at = np.repeat(begin - first, count) + np.arange(count.sum())
-        return _mix(values[at], kind), first
+        return hashed(values[at], kind), first
 
-    place = np.arange(len(code)) - np.repeat(begin, n + 2)
-    spelled = (code + _U(1)) * (_U(2) * place.astype(_U) + _U(3)) * _U(0xD6E8FEB86659FD93)
-    spelled = np.add.reduceat(spelled ^ (spelled >> _U(31)), begin)
-    last = begin + n + 1
-    prefix = three[begin] * _U(0x100000001B3) + np.where(n > 2, code[np.minimum(begin + 3, last)], 0)
-    suffix = three[last - 2] * _U(0x100000001B3) + np.where(n > 2, code[np.maximum(last - 3, begin)], 0)
-    return [(_mix(spelled, 1), one), (_mix(prefix, 2), one), (_mix(suffix, 3), one), inside(two, n + 1, 4), inside(three, n, 5)]
+    return [(hashed(spelled(code, n, begin), 1), one), (hashed(prefix, 2), one), (hashed(suffix, 3), one),
+            inside(two, n - 1, 4), inside(three, n - 2, 5)]
 
 
 def word_scores(words: list[str], weights: np.ndarray, lexicons: dict[str, tuple[int, ...]]) -> np.ndarray:
@@ -288,19 +280,17 @@ def identify(docs: DataFrame, model: Crf) -> DataFrame:
 def label_words(docs: DataFrame, model: Crf) -> DataFrame:
     """The stretches of a text in one language: doc_id, lang, first_word, last_word (from 0)."""
 
-    def runs(batches):
-        for pdf in batches:
-            rows = []
-            ids = iter(pdf["doc_id"])
-            for group in _grouped(pdf["text"]):
-                for p in model.marginals(group):
-                    doc = next(ids)
-                    if not len(p) or not model.langs:
-                        continue
-                    best = p.argmax(axis=1)
-                    cuts = np.concatenate([[0], np.flatnonzero(np.diff(best)) + 1, [len(best)]])
-                    rows += [(doc, model.langs[best[a]], int(a), int(b) - 1) for a, b in zip(cuts, cuts[1:])]
-            yield pd.DataFrame(rows, columns=["doc_id", "lang", "first_word", "last_word"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(runs, f"doc_id {kind}, lang string, first_word int, last_word int")
+    @pandas_udf(T.ArrayType(struct_type(lang="string", first_word="int", last_word="int")))
+    def runs(texts: pd.Series) -> pd.Series:
+        out = []
+        for group in _grouped(texts):
+            for p in model.marginals(group):
+                if not len(p) or not model.langs:
+                    out.append([])
+                    continue
+                best = p.argmax(axis=1)
+                cuts = np.concatenate([[0], np.flatnonzero(np.diff(best)) + 1, [len(best)]])
+                out.append([{"lang": model.langs[best[a]], "first_word": int(a), "last_word": int(b) - 1} for a, b in zip(cuts, cuts[1:])])
+        return pd.Series(out, dtype=object)
+
+    return docs.select("doc_id", F.explode(runs("text")).alias("s")).select("doc_id", "s.*")

@@ -17,7 +17,7 @@ smallest cut-off is taken at which no more than ``fdr`` of the strings kept are
 not to be random.  Kept strings that touch no base span are added as kind ``random``.
 
 Only DataFrame functions are used.  The texts are read once; what they give, one
-short row per document, is checkpointed, and the cut-offs (one for each of at most
+short row per document, is written to a table, and the cut-offs (one for each of at most
 5 encodings x 8 classes of length) are read from it.
 
 Defined cases: null or empty text has no spans; equal rows give equal results; an empty
@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.session import ensure_checkpoint_dir
+from terrace.session import materialize
 
 #: Base patterns (fixed values).
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -179,8 +179,7 @@ def find(docs: DataFrame, fdr: float = 0.1) -> DataFrame:
                          located(text, RUN).alias("runs"))
              .select("doc_id", F.array_sort(F.concat(*[_kind(F.col(k), i, LEAST[k]) for i, k in enumerate(KINDS[:3])])).alias("base"),
                      battery(F.col("runs")).alias("tested")))
-    ensure_checkpoint_dir(docs.sparkSession)
-    found = found.checkpoint()
+    found = materialize(found, "secrets")
     cuts = cut_offs(found, fdr)
     keep = F.filter("tested", lambda c: F.lit(False))
     if cuts:

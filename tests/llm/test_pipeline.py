@@ -26,9 +26,9 @@ def corpus(spark, make_docs, scratch):
         if i % 50 == 9:
             text += f" mail me a{i}@b.org or call +1 (555) 123-4567"
         rows.append((i, text, "en", f"s{i % 3}"))
-        if i % 2:
+        if i % 2 and not toxic:
             labels.append((i, 1, 0))
-        elif toxic:
+        elif toxic and i % 2 == 0:
             labels.append((i, 0, 1))
     rows += [(1000 + i, rows[i + 1][1] + " extra", "en", "s0") for i in range(0, 40, 2)] + [(2000, None, "en", None), (2001, "", None, "s1")]
     make_docs(rows).write.parquet(f"{scratch}/documents.parquet")

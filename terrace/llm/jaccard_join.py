@@ -13,16 +13,20 @@ The Jaccard distance of shingle sets is a metric.  Two sets link at distance ``1
    all of them and those of a finer division, until it has enough.
 2. Documents that share a region are joined, through the region's smallest member, into
    connected groups.  Exact copies are one set throughout.
-3. A group that fits a task is joined there: a pivot's distances to all members
+3. Groups are thinned by the triangle inequality on 64 fixed pivots, the 64 parts of the space
+   itself: by how much two sets' numbers of shingles in the parts differ is a lower bound of the number of
+   shingles in which they differ.  Only members whose bounds leave a link possible stay together.  This looks at
+   64 bytes of a document instead of its shingles; large groups meet in windows of sizes.
+4. A group that fits a task is joined there: a pivot's distances to all members
    are computed at once, the triangle inequality on earlier pivots' distances rules members
    out, and the join ends when all are one component.
-4. A larger group is cut by document pivots into Voronoi regions.  Members that link with their
+5. A larger group is cut by document pivots into Voronoi regions.  Members that link with their
    region's pivot are settled: they are one component, whatever their number, and are never
    compared with each other.  The others, and the members of other regions whose distance
    to the pivot exceeds that to their own by at most ``2 * (1 - t)``, are open: they meet the
    settled ones block by block, and among themselves they form a region that is cut again.
    Where pivots no longer part a region, its open members meet in pairs of blocks.
-5. The links found are joined into components.
+6. The links found are joined into components.
 
 No pairs are emitted: a task returns one edge for each component that it merged into another.
 
@@ -51,6 +55,7 @@ WORDS, NUM, DEN = 4, 85, 100     # shingle length; threshold NUM / DEN
 BAND = 1.5       # sizes of a band differ by at most this factor
 LIMIT_SETS, LIMIT_SHINGLES = 2000, 1_000_000   # what one task joins
 PIVOTS = 8
+PARTS = 64                       # fixed pivots of the thinning
 LOOKUP_BUCKETS = 1 << 18         # proven bound of the broadcast that thins the texts
 CACHE = 100_000
 
@@ -121,16 +126,17 @@ def profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN
     """doc_id, hash of the text, set size, key of the set and its first regions; reads the texts once."""
 
     @pandas_udf(T.StructType([T.StructField("n", T.LongType()), T.StructField("key", T.LongType()),
-                              T.StructField("sigs", T.ArrayType(T.LongType()))]))
+                              T.StructField("sketch", T.BinaryType()), T.StructField("sigs", T.ArrayType(T.LongType()))]))
     def of(texts: pd.Series) -> pd.DataFrame:
-        n, key, sigs = [], [], []
+        n, key, sketch, sigs = [], [], [], []
         for text in texts:
             s = shingles(text, words)
             n.append(len(s))
             key.append(_key(s) if len(s) else None)
+            sketch.append(np.minimum(np.bincount((s & U(PARTS - 1)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes())
             sigs.append(signatures(s, num, den))
         # nullable integers: floats would round the keys
-        return pd.DataFrame({"n": n, "key": pd.array(key, dtype="Int64"), "sigs": sigs})
+        return pd.DataFrame({"n": n, "key": pd.array(key, dtype="Int64"), "sketch": sketch, "sigs": sigs})
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), of("text").alias("p")).select("doc_id", "text_hash", "p.*")
 
@@ -286,6 +292,101 @@ def _chunks(sets, total, limit_sets: int, limit_shingles: int):
     return F.greatest(F.lit(1), F.ceil(F.greatest(sets / limit_sets, total / limit_shingles)).cast("int"))
 
 
+def _block_tasks(rows: DataFrame, salt: int) -> DataFrame:
+    """Tasks (task, key, home, settled) in which every pair of a cell's members with an open end meets.  ``rows``: cell,
+    key, home, settled, s (settled members of the cell), s_blocks, u_blocks, again (open members
+    need not meet each other here)."""
+    block = F.pmod(F.xxhash64("key", F.lit(-1 - salt)), F.when(F.col("settled"), F.col("s_blocks")).otherwise(F.col("u_blocks"))).cast("int")
+    rows = rows.withColumn("block", block)
+    # settled and open members: every pair of a settled and an open block
+    other = F.when(F.col("settled"), F.col("u_blocks")).otherwise(F.col("s_blocks"))
+    across = (rows.where(F.col("s") > 0).withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
+              .select(F.xxhash64("cell", F.when(F.col("settled"), F.col("block")).otherwise(F.col("other")),
+                                 F.when(F.col("settled"), F.col("other")).otherwise(F.col("block"))).alias("task"), "key", "home", "settled"))
+    # open members among themselves: every pair of blocks
+    among = (rows.where(~F.col("settled") & ~F.col("again"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("u_blocks") - 1)))
+             .select(F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"), F.lit("open")).alias("task"),
+                     "key", "home", "settled"))
+    return across.unionByName(among)
+
+
+# --- thinning by fixed pivots -----------------------------------------------------
+
+def _may_link(sketch: np.ndarray, n: np.ndarray, one: np.ndarray, m, num: int, den: int) -> np.ndarray:
+    """Whether sets could link with a set ``one`` of size ``m``, by their counts in the parts."""
+    apart = np.abs(sketch.astype(np.int16) - one.astype(np.int16)).sum(axis=1)
+    return (den + num) * apart <= (den - num) * (n + m)
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, PARTS)
+
+
+def _thin_task(num: int, den: int):
+    """Edges that connect the members of a task that could link."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["settled", "key"], ascending=[False, True]).drop_duplicates("key").sort_values("key")
+        keys, n, sketch = pdf["key"].to_numpy(), pdf["n"].to_numpy(), _sketches(pdf["sketch"])
+        settled = pdf["settled"].to_numpy(dtype=bool)
+        a, b = [], []
+        left = np.ones(len(keys), dtype=bool)     # not yet in a component
+        if settled.any():                         # the settled ones are one component, and the first to grow
+            begin = [np.flatnonzero(settled)]
+        else:
+            begin = []
+        while left.any():
+            todo = list(begin.pop()) if begin else [int(np.flatnonzero(left)[0])]
+            first = int(todo[0])
+            left[todo] = False
+            while todo and left.any():
+                i = int(todo.pop())
+                rest = np.flatnonzero(left)
+                near = rest[_may_link(sketch[rest], n[rest], sketch[i], n[i], num, den)]
+                left[near] = False
+                todo.extend(near.tolist())
+                a += [keys[first]] * len(near)
+                b += keys[near].tolist()
+        return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
+    return run
+
+
+def thin(members: DataFrame, num: int = NUM, den: int = DEN, limit: int = LIMIT_SETS) -> DataFrame:
+    """Edges that connect what could link inside the regions of ``members`` (region, key, n, sketch, sets)."""
+    run = _thin_task(num, den)
+    small = (members.where(F.col("sets") <= limit).select("region", "key", F.lit(False).alias("settled"), "n", "sketch")
+             .groupBy("region").applyInPandas(run, _EDGE))
+    large = members.where(F.col("sets") > limit)
+    if large.isEmpty():
+        return small
+
+    @pandas_udf(T.BooleanType())
+    def near(n: pd.Series, sketch: pd.Series, p_n: pd.Series, p_sketch: pd.Series) -> pd.Series:
+        apart = np.abs(_sketches(sketch).astype(np.int16) - _sketches(p_sketch).astype(np.int16)).sum(axis=1)
+        return pd.Series((den + num) * apart <= (den - num) * (n.to_numpy() + p_n.to_numpy()))
+
+    # what could link with the group's root is settled, whatever its number
+    root = large.where(F.col("key") == F.col("region")).select("region", F.col("n").alias("p_n"), F.col("sketch").alias("p_sketch"))
+    large = materialize(large.join(root, "region").select("region", "key", "n", "sketch", near("n", "sketch", "p_n", "p_sketch").alias("settled")), "large")
+    to_root = large.where(F.col("settled") & (F.col("key") != F.col("region"))).select(F.col("region").alias("a"), F.col("key").alias("b"))
+    # sizes that can link lie in the same or in neighbouring buckets
+    bucket = F.floor(F.log(F.col("n")) / float(np.log(den / num)) + 1e-9).cast("int")
+    windows = large.select(F.explode(F.array(F.struct(bucket.alias("at"), F.lit(True).alias("home")),
+                                             F.struct((bucket + 1).alias("at"), F.lit(False).alias("home")))).alias("w"),
+                           "region", "key", "settled")
+    windows = windows.select(F.xxhash64("region", "w.at").alias("cell"), "w.home", "key", "settled")
+    is_open = (~F.col("settled")).cast("int")
+    half = limit / 2
+    counts = windows.groupBy("cell").agg(F.sum(1 - is_open).alias("s"), F.sum(is_open).alias("u"), F.max("home").alias("any_home"))
+    plan = counts.where(F.col("any_home") & (F.col("u") > 0)).select(
+        "cell", "s", F.greatest(F.lit(1), F.ceil(F.col("s") / half).cast("int")).alias("s_blocks"),
+        F.greatest(F.lit(1), F.ceil(F.col("u") / half).cast("int")).alias("u_blocks"), F.lit(False).alias("again"))
+    tasks = _block_tasks(windows.join(plan, "cell"), 0)
+    found = (tasks.join(large.select("key", "n", "sketch"), "key").select("task", "key", "settled", "n", "sketch")
+             .groupBy("task").applyInPandas(run, _EDGE))
+    return small.unionByName(to_root).unionByName(found)
+
+
 def cut_region(members: DataFrame, depth: int, num: int, den: int, limit_sets: int, limit_shingles: int):
     """One cut of the regions of ``members`` (region, key, home, shingles): the edges found, and the members
     of the regions to be cut again."""
@@ -305,28 +406,22 @@ def cut_region(members: DataFrame, depth: int, num: int, den: int, limit_sets: i
     counts = (cells.join(weight, "key").groupBy("region", "cell")
               .agg(F.sum(1 - is_open).alias("s"), F.sum((1 - is_open) * F.col("w")).alias("sw"),
                    F.sum(is_open).alias("u"), F.sum(is_open * F.col("w")).alias("uw"), F.max("home").alias("any_home")))
-    counts = counts.join(sized.groupBy("region").agg(F.max("sets").alias("sets")), "region")
+    of_region = counts.groupBy("region").agg(F.sum(F.col("u") * F.col("u")).alias("u2")).join(
+        sized.groupBy("region").agg(F.max("sets").alias("sets"), F.max("total").alias("total")), "region")
     half = (limit_sets / 2, limit_shingles / 2)
     s_blocks, u_blocks = _chunks(F.col("s"), F.col("sw"), *half), _chunks(F.col("u"), F.col("uw"), *half)
-    plan = counts.where(F.col("any_home") & (F.col("u") > 0)).select(
-        "cell", "s", s_blocks.alias("s_blocks"), u_blocks.alias("u_blocks"),
-        # cut again only what this cut has made smaller
-        ((u_blocks > 2) & (F.col("u") < 0.7 * F.col("sets"))).alias("again"))
-    placed = materialize(cells.select("cell", "key", "home", "settled").join(plan, "cell"), "placed")
-    block = F.pmod(F.xxhash64("key", F.lit(-1 - depth)), F.when(F.col("settled"), F.col("s_blocks")).otherwise(F.col("u_blocks"))).cast("int")
-    rows = placed.withColumn("block", block)
-    # settled and open members: every pair of a settled and an open block
-    other = F.when(F.col("settled"), F.col("u_blocks")).otherwise(F.col("s_blocks"))
-    across = (rows.where(F.col("s") > 0).withColumn("other", F.explode(F.sequence(F.lit(0), other - 1)))
-              .select(F.xxhash64("cell", F.when(F.col("settled"), F.col("block")).otherwise(F.col("other")),
-                                 F.when(F.col("settled"), F.col("other")).otherwise(F.col("block"))).alias("task"), "key", "home", "settled"))
-    # open members among themselves: every pair of blocks, unless they are cut again
-    among = (rows.where(~F.col("settled") & ~F.col("again"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("u_blocks") - 1)))
-             .select(F.xxhash64("cell", F.least("block", "other"), F.greatest("block", "other"), F.lit("open")).alias("task"),
-                     "key", "home", "settled"))
+    # a cut is of use if it leaves fewer pairs than there were; else the region stays one cell without settled members
+    useful = F.col("u2") <= 0.5 * F.col("sets") * F.col("sets")
+    parted = counts.join(of_region.where(useful), "region").where(F.col("any_home") & (F.col("u") > 0)).select(
+        "cell", "s", s_blocks.alias("s_blocks"), u_blocks.alias("u_blocks"), (u_blocks > 2).alias("again"))
+    whole = of_region.where(~useful).select(
+        "region", F.lit(0).cast("long").alias("s"), F.lit(1).alias("s_blocks"),
+        _chunks(F.col("sets"), F.col("total"), *half).alias("u_blocks"), F.lit(False).alias("again"))
+    placed = cells.select("cell", "key", "home", "settled").join(parted, "cell")
+    unparted = members.select("region", "key", "home", F.lit(False).alias("settled")).join(whole, "region").withColumnRenamed("region", "cell")
+    placed = materialize(placed.unionByName(unparted), "placed")
     sets = members.select("key", "shingles").dropDuplicates(["key"])
-    found = (across.unionByName(among).join(sets, "key").select("task", "key", "home", "settled", "shingles")
+    found = (_block_tasks(placed, depth).join(sets, "key").select("task", "key", "home", "settled", "shingles")
              .groupBy("task").applyInPandas(_join_task(num, den), _EDGE))
     again = placed.where(~F.col("settled") & F.col("again")).select(F.col("cell").alias("region"), "key", "home").join(sets, "key")
     return to_pivot.unionByName(found), again.select("region", "key", "home", "shingles")
@@ -383,8 +478,11 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     prof = materialize(profiles(docs, words, num, den), "profiles")
     groups = components(candidate_edges(prof))          # v: set key, root: its group
     # the document whose text stands for a set
-    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    grouped = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "doc_id", "n")
+    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("sketch").alias("sketch"))
+    grouped = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "doc_id", "n", "sketch")
+    grouped = materialize(grouped.join(grouped.groupBy("region").agg(F.count(F.lit(1)).alias("sets")), "region"), "grouped")
+    thinned = components(thin(grouped, num, den, limit_sets))
+    grouped = grouped.drop("region").join(thinned.select(F.col("v").alias("key"), F.col("root").alias("region")), "key")
     sizes = grouped.groupBy("region").agg(((F.count(F.lit(1)) > limit_sets) | (F.sum("n") > limit_shingles)).alias("large"))
     wanted = materialize(grouped.join(sizes, "region").select("key", "region", "doc_id", "large"), "wanted")
     # at most LOOKUP_BUCKETS rows whatever the corpus: it only keeps most other texts out of the shuffle

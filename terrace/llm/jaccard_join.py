@@ -11,12 +11,12 @@ The Jaccard distance of shingle sets is a metric.  Two sets link at distance ``1
    band of the larger set, and a document near the border of a band (the window of sizes that can
    still link) is replicated into the next.  Where a document has too few non-empty classes, it takes
    all of them and those of a finer division, until it has enough.
-2. Documents that share a region are joined, through the region's smallest member, into
-   connected groups.  Exact copies are one set throughout.
-3. Groups are thinned by the triangle inequality on 64 fixed pivots, the 64 parts of the space
-   itself: by how much two sets' numbers of shingles in the parts differ is a lower bound of the number of
-   shingles in which they differ.  Only members whose bounds leave a link possible stay together.  This looks at
-   64 bytes of a document instead of its shingles; large groups meet in windows of sizes.
+2. Sharing a region says little where a common passage fills it.  The triangle inequality on further fixed
+   pivots, parts of the hash space, thins the regions: by how much two sets' numbers of shingles in the
+   parts differ is a lower bound of the number of shingles in which they differ.  Members of a region are
+   compared with its smallest; those that could link with it are settled, the others are
+   compared with all.  Only pairs whose bound leaves a link possible make a candidate.
+3. Candidates are joined into connected groups.  Exact copies are one set throughout.
 4. A group that fits a task is joined there: a pivot's distances to all members
    are computed at once, the triangle inequality on earlier pivots' distances rules members
    out, and the join ends when all are one component.
@@ -55,7 +55,7 @@ WORDS, NUM, DEN = 4, 85, 100     # shingle length; threshold NUM / DEN
 BAND = 1.5       # sizes of a band differ by at most this factor
 LIMIT_SETS, LIMIT_SHINGLES = 2000, 1_000_000   # what one task joins
 PIVOTS = 8
-PARTS = 64                       # fixed pivots of the thinning
+PARTS, PART_SIZE = 64, 16        # fixed pivots of the thinning: 64 at least, and one for every 16 shingles
 LOOKUP_BUCKETS = 1 << 18         # proven bound of the broadcast that thins the texts
 CACHE = 100_000
 
@@ -116,6 +116,15 @@ def signatures(s: np.ndarray, num: int = NUM, den: int = DEN) -> np.ndarray:
     return np.concatenate(out).view(np.int64)
 
 
+def sketch_of(s: np.ndarray) -> bytes:
+    """Numbers of shingles in the parts, up to 255.  The number of parts is a power of two; adding up halves
+    of a sketch gives the sketch of half as many parts."""
+    parts = PARTS
+    while parts * 2 * PART_SIZE <= len(s):
+        parts *= 2
+    return np.minimum(np.bincount((s & U(parts - 1)).astype(np.int64), minlength=parts), 255).astype(np.uint8).tobytes()
+
+
 def _scaled(s: np.ndarray, classes: int) -> np.ndarray:
     """Class of each hash: its place in the hash space times the number of classes."""
     high = s >> U(32)
@@ -133,7 +142,7 @@ def profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN
             s = shingles(text, words)
             n.append(len(s))
             key.append(_key(s) if len(s) else None)
-            sketch.append(np.minimum(np.bincount((s & U(PARTS - 1)).astype(np.int64), minlength=PARTS), 255).astype(np.uint8).tobytes())
+            sketch.append(sketch_of(s))
             sigs.append(signatures(s, num, den))
         # nullable integers: floats would round the keys
         return pd.DataFrame({"n": n, "key": pd.array(key, dtype="Int64"), "sketch": sketch, "sigs": sigs})
@@ -277,14 +286,19 @@ def _assign_chunk(num: int, den: int, depth: int):
             union = region.sizes[p] + region.sizes[:m] - common
             distances.append(1 - common / np.maximum(union, 1))
             links.append(den * common >= num * union)
-        d = np.array(distances)                      # pivots x members
+        # pivots that link are one: their regions are merged, and a member's distance is that to the nearest of them
+        own = _as_sets(pivots["p_shingles"])
+        group = link_region(own, np.ones(len(own), dtype=bool), num, den)
+        names = np.unique(group)
+        d = np.array([np.min([distances[p] for p in np.flatnonzero(group == g)], axis=0) for g in names])
+        linked = np.array([np.any([links[p] for p in np.flatnonzero(group == g)], axis=0) for g in names])
         nearest = d.argmin(axis=0)
         at, who = np.nonzero(d <= d.min(axis=0) + 2 * (1 - num / den) + 1e-9)
-        base = int(pivots["p_region"].iloc[0])
-        cells = np.array([xxhash.xxh64_intdigest(f"{base}|{depth}|{p}") - (1 << 63) for p in range(len(pivots))])
+        base, keys = int(pivots["p_region"].iloc[0]), pivots["p_key"].to_numpy()
+        cells = np.array([xxhash.xxh64_intdigest(f"{base}|{depth}|{g}") - (1 << 63) for g in names])
         home = pdf["home"].to_numpy(dtype=bool)[who] & (nearest[who] == at)
         return pd.DataFrame({"region": base, "cell": cells[at], "key": pdf["key"].to_numpy()[who], "home": home,
-                             "settled": home & np.array(links)[at, who], "pivot": pivots["p_key"].to_numpy()[at]})
+                             "settled": home & linked[at, who], "pivot": keys[names[at]]})
     return run
 
 
@@ -313,78 +327,116 @@ def _block_tasks(rows: DataFrame, salt: int) -> DataFrame:
 
 # --- thinning by fixed pivots -----------------------------------------------------
 
-def _may_link(sketch: np.ndarray, n: np.ndarray, one: np.ndarray, m, num: int, den: int) -> np.ndarray:
-    """Whether sets could link with a set ``one`` of size ``m``, by their counts in the parts."""
-    apart = np.abs(sketch.astype(np.int16) - one.astype(np.int16)).sum(axis=1)
-    return (den + num) * apart <= (den - num) * (n + m)
-
-
-def _sketches(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, PARTS)
-
-
-def _thin_task(num: int, den: int):
-    """Edges that connect the members of a task that could link."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["settled", "key"], ascending=[False, True]).drop_duplicates("key").sort_values("key")
-        keys, n, sketch = pdf["key"].to_numpy(), pdf["n"].to_numpy(), _sketches(pdf["sketch"])
-        settled = pdf["settled"].to_numpy(dtype=bool)
+class _Sketches:
+    """Sketches of many sets, by their number of parts."""
+
+    def __init__(self, sketches, n: np.ndarray):
+        self.n = n
+        self.parts = np.fromiter(map(len, sketches), dtype=np.int64, count=len(sketches))
+        self.row = np.zeros(len(sketches), dtype=np.int64)
+        self.table: dict[tuple[int, int], np.ndarray] = {}
+        for p in np.unique(self.parts):
+            at = np.flatnonzero(self.parts == p)
+            self.row[at] = np.arange(len(at))
+            own = np.frombuffer(b"".join([sketches[i] for i in at]), dtype=np.uint8).reshape(len(at), p).astype(np.int16)
+            self.table[p, p] = own
+            if p > PARTS:   # folded once: sets that can link differ in parts by a factor of two at most
+                self.table[p, p // 2] = own[:, :p // 2] + own[:, p // 2:]
+
+    def near(self, i: int, members: np.ndarray, num: int, den: int) -> np.ndarray:
+        """Those of ``members`` that could link with set ``i``."""
+        n, p = self.n[i], self.parts[i]
+        members = members[(self.n[members] * den >= n * num) & (self.n[members] * num <= n * den)]
+        out = []
+        for q in {int(x) for x in np.unique(self.parts[members])}:
+            at, low = members[self.parts[members] == q], min(p, q)
+            apart = np.abs(self.table[q, low][self.row[at]] - self.table[p, low][self.row[i]]).sum(axis=1, dtype=np.int64)
+            out.append(at[(den + num) * apart <= (den - num) * (self.n[at] + n)])
+        return np.concatenate(out) if out else members
+
+
+def _may_link(num: int, den: int):
+    @pandas_udf(T.BooleanType())
+    def near(n: pd.Series, sketch: pd.Series, m: pd.Series, other: pd.Series) -> pd.Series:
+        out = []
+        for a, x, b, y in zip(n, sketch, m, other):
+            x, y = (np.frombuffer(v, dtype=np.uint8).astype(np.int64) for v in (x, y))
+            while len(x) > len(y):
+                x = x[:len(x) // 2] + x[len(x) // 2:]
+            while len(y) > len(x):
+                y = y[:len(y) // 2] + y[len(y) // 2:]
+            out.append(bool((den + num) * np.abs(x - y).sum() <= (den - num) * (a + b)))
+        return pd.Series(out, dtype=bool)
+    return near
+
+
+def _flood(pdf: pd.DataFrame, num: int, den: int) -> tuple[list, list]:
+    """Edges that connect the members of one task that could link, all settled ones being connected."""
+    pdf = pdf.sort_values(["settled", "key"], ascending=[False, True]).drop_duplicates("key")
+    keys, settled = pdf["key"].to_numpy(), int(pdf["settled"].sum())
+    sketches = _Sketches(pdf["sketch"].tolist(), pdf["n"].to_numpy())
+    left = np.ones(len(keys), dtype=bool)
+    a, b, begin = [], [], 0
+    while left.any():
+        # the settled members come first and grow together; then one after the other
+        todo = list(range(settled)) if begin == 0 and settled else [int(np.argmax(left))]
+        begin, first = 1, todo[0]
+        left[todo] = False
+        while todo and left.any():
+            near = sketches.near(int(todo.pop()), np.flatnonzero(left), num, den)
+            left[near] = False
+            todo.extend(near.tolist())
+            a += [keys[first]] * len(near)
+            b += keys[near].tolist()
+    return a, b
+
+
+def _flood_tasks(num: int, den: int):
+    """Edges of the tasks of a partition, which come sorted; a task may go over into the next batch."""
+    def run(batches):
+        kept = None
+        for pdf in batches:
+            if kept is not None:
+                pdf = pd.concat([kept, pdf], ignore_index=True)
+            last = pdf["task"].iloc[-1] if len(pdf) else None
+            kept = pdf[pdf["task"] == last]
+            yield found(pdf[pdf["task"] != last])
+        if kept is not None:
+            yield found(kept)
+
+    def found(pdf):
         a, b = [], []
-        left = np.ones(len(keys), dtype=bool)     # not yet in a component
-        if settled.any():                         # the settled ones are one component, and the first to grow
-            begin = [np.flatnonzero(settled)]
-        else:
-            begin = []
-        while left.any():
-            todo = list(begin.pop()) if begin else [int(np.flatnonzero(left)[0])]
-            first = int(todo[0])
-            left[todo] = False
-            while todo and left.any():
-                i = int(todo.pop())
-                rest = np.flatnonzero(left)
-                near = rest[_may_link(sketch[rest], n[rest], sketch[i], n[i], num, den)]
-                left[near] = False
-                todo.extend(near.tolist())
-                a += [keys[first]] * len(near)
-                b += keys[near].tolist()
+        for _, part in pdf.groupby("task", sort=False):
+            if len(part) > 1:
+                x, y = _flood(part, num, den)
+                a += x
+                b += y
         return pd.DataFrame({"a": np.array(a, dtype=np.int64), "b": np.array(b, dtype=np.int64)})
     return run
 
 
-def thin(members: DataFrame, num: int = NUM, den: int = DEN, limit: int = LIMIT_SETS) -> DataFrame:
-    """Edges that connect what could link inside the regions of ``members`` (region, key, n, sketch, sets)."""
-    run = _thin_task(num, den)
-    small = (members.where(F.col("sets") <= limit).select("region", "key", F.lit(False).alias("settled"), "n", "sketch")
-             .groupBy("region").applyInPandas(run, _EDGE))
-    large = members.where(F.col("sets") > limit)
-    if large.isEmpty():
-        return small
-
-    @pandas_udf(T.BooleanType())
-    def near(n: pd.Series, sketch: pd.Series, p_n: pd.Series, p_sketch: pd.Series) -> pd.Series:
-        apart = np.abs(_sketches(sketch).astype(np.int16) - _sketches(p_sketch).astype(np.int16)).sum(axis=1)
-        return pd.Series((den + num) * apart <= (den - num) * (n.to_numpy() + p_n.to_numpy()))
-
-    # what could link with the group's root is settled, whatever its number
-    root = large.where(F.col("key") == F.col("region")).select("region", F.col("n").alias("p_n"), F.col("sketch").alias("p_sketch"))
-    large = materialize(large.join(root, "region").select("region", "key", "n", "sketch", near("n", "sketch", "p_n", "p_sketch").alias("settled")), "large")
-    to_root = large.where(F.col("settled") & (F.col("key") != F.col("region"))).select(F.col("region").alias("a"), F.col("key").alias("b"))
-    # sizes that can link lie in the same or in neighbouring buckets
-    bucket = F.floor(F.log(F.col("n")) / float(np.log(den / num)) + 1e-9).cast("int")
-    windows = large.select(F.explode(F.array(F.struct(bucket.alias("at"), F.lit(True).alias("home")),
-                                             F.struct((bucket + 1).alias("at"), F.lit(False).alias("home")))).alias("w"),
-                           "region", "key", "settled")
-    windows = windows.select(F.xxhash64("region", "w.at").alias("cell"), "w.home", "key", "settled")
-    is_open = (~F.col("settled")).cast("int")
+def candidate_edges(prof: DataFrame, num: int = NUM, den: int = DEN, limit: int = LIMIT_SETS) -> DataFrame:
+    """Edges that connect sets which share a first region and could link."""
+    sigs = (prof.select("key", F.explode_outer("sigs").alias("sig")).where(F.col("sig").isNotNull())
+            .repartition(F.col("sig")))
+    shared = (sigs.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+              .where(F.col("low") != F.col("high")).select("sig", "low"))
+    rows = materialize(sigs.join(shared.hint("shuffle_hash"), "sig").select("sig", "key", "low").distinct(), "shared")
+    sketches = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    low = sketches.toDF("low", "low_n", "low_sketch")
+    stars = materialize(rows.where(F.col("key") != F.col("low")).select("key", "low").distinct().join(sketches, "key").join(low, "low")
+                        .select("key", "low", _may_link(num, den)("n", "sketch", "low_n", "low_sketch").alias("near")), "stars")
+    # regions in which a member could not link with the smallest
+    tagged = rows.join(stars, ["key", "low"], "left").select(
+        F.col("sig").alias("cell"), "key", F.lit(True).alias("home"), F.coalesce("near", F.lit(True)).alias("settled"))
     half = limit / 2
-    counts = windows.groupBy("cell").agg(F.sum(1 - is_open).alias("s"), F.sum(is_open).alias("u"), F.max("home").alias("any_home"))
-    plan = counts.where(F.col("any_home") & (F.col("u") > 0)).select(
+    plan = tagged.groupBy("cell").agg(F.sum(F.col("settled").cast("int")).alias("s"), F.sum((~F.col("settled")).cast("int")).alias("u")).where("u > 0").select(
         "cell", "s", F.greatest(F.lit(1), F.ceil(F.col("s") / half).cast("int")).alias("s_blocks"),
         F.greatest(F.lit(1), F.ceil(F.col("u") / half).cast("int")).alias("u_blocks"), F.lit(False).alias("again"))
-    tasks = _block_tasks(windows.join(plan, "cell"), 0)
-    found = (tasks.join(large.select("key", "n", "sketch"), "key").select("task", "key", "settled", "n", "sketch")
-             .groupBy("task").applyInPandas(run, _EDGE))
-    return small.unionByName(to_root).unionByName(found)
+    tasks = _block_tasks(tagged.join(plan, "cell"), 0).select("task", "key", "settled")
+    found = (tasks.join(sketches, "key").repartition(F.col("task")).sortWithinPartitions("task")
+             .mapInPandas(_flood_tasks(num, den), _EDGE))
+    return stars.where("near").select(F.col("key").alias("a"), F.col("low").alias("b")).unionByName(found)
 
 
 def cut_region(members: DataFrame, depth: int, num: int, den: int, limit_sets: int, limit_shingles: int):
@@ -461,28 +513,15 @@ def _shingled(words: int):
     return run
 
 
-def candidate_edges(prof: DataFrame) -> DataFrame:
-    """Edges between sets that share a first region: each to the region's smallest."""
-    sigs = (prof.select("key", F.explode_outer("sigs").alias("sig")).where(F.col("sig").isNotNull())
-            .repartition(F.col("sig")))
-    shared = (sigs.groupBy("sig").agg(F.min("key").alias("low"), F.max("key").alias("high"))
-              .where(F.col("low") != F.col("high")).select("sig", "low"))
-    return (sigs.join(shared.hint("shuffle_hash"), "sig").where(F.col("key") != F.col("low"))
-            .select(F.col("key").alias("a"), F.col("low").alias("b")).distinct())
-
-
 def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN,
                    limit_sets: int = LIMIT_SETS, limit_shingles: int = LIMIT_SHINGLES) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id of its component), text_hash and
     comp, which tell the rows and components of a repeated id apart."""
     prof = materialize(profiles(docs, words, num, den), "profiles")
-    groups = components(candidate_edges(prof))          # v: set key, root: its group
+    groups = components(candidate_edges(prof, num, den, limit_sets))          # v: set key, root: its group
     # the document whose text stands for a set
-    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.first("sketch").alias("sketch"))
-    grouped = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "doc_id", "n", "sketch")
-    grouped = materialize(grouped.join(grouped.groupBy("region").agg(F.count(F.lit(1)).alias("sets")), "region"), "grouped")
-    thinned = components(thin(grouped, num, den, limit_sets))
-    grouped = grouped.drop("region").join(thinned.select(F.col("v").alias("key"), F.col("root").alias("region")), "key")
+    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
+    grouped = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "doc_id", "n")
     sizes = grouped.groupBy("region").agg(((F.count(F.lit(1)) > limit_sets) | (F.sum("n") > limit_shingles)).alias("large"))
     wanted = materialize(grouped.join(sizes, "region").select("key", "region", "doc_id", "large"), "wanted")
     # at most LOOKUP_BUCKETS rows whatever the corpus: it only keeps most other texts out of the shuffle

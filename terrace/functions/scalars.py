@@ -52,7 +52,7 @@ def is_blank(c) -> Column:
 def capitalize_first(c) -> Column:
     """T4: first character upper, the rest lower (str.capitalize, not initcap)."""
     c = col_of(c)
-    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substring(c, 2, 1 << 30)))
+    return F.concat(F.upper(F.substring(c, 1, 1)), F.lower(F.substr(c, F.lit(2))))
 
 
 # Position aliases -> canonical position (must equal the reference).
@@ -72,8 +72,8 @@ POSITION_ALIASES = {
 def normalise_position(c, aliases: dict | None = None) -> Column:
     """T5: dictionary lookup on the stripped lower-case key, else T4 of the stripped value.
 
-    A small dictionary is an inline literal map; a large one should be joined
-    (see ``terrace.operators.clean.normalise_with_table``).
+    A small dictionary is an inline literal map; a large one is joined
+    (``normalise_with_table``).
     """
     aliases = POSITION_ALIASES if aliases is None else aliases
     c = col_of(c)
@@ -82,6 +82,15 @@ def normalise_position(c, aliases: dict | None = None) -> Column:
     return F.coalesce(F.try_element_at(mapping, F.lower(stripped)), capitalize_first(stripped))
 
 
+def normalise_with_table(df, column: str, aliases, out: str = "normalised"):
+    """T5 with the dictionary in a table (alias, canonical; one row per alias, aliases lower-case): a join
+    whose strategy Spark picks by the table's size."""
+    stripped = strip(F.col(column))
+    a = aliases.select(F.col("alias").alias("_alias"), F.col("canonical").alias("_canonical"))
+    return (df.withColumn("_key", F.lower(stripped)).join(a, F.col("_key") == F.col("_alias"), "left")
+            .withColumn(out, F.coalesce("_canonical", capitalize_first(stripped))).drop("_key", "_alias", "_canonical"))
+
+
 # Score patterns (unanchored search for parsing, anchored for the audit).
 SCORE_SEARCH = r"(\d+)\s*[-:]\s*(\d+)"
 SCORE_FULL = r"^\d+\s*[-:]\s*\d+$"

@@ -4,7 +4,8 @@ Each cleaner is a projection; its hard-fail assertions (the cleaners' second
 line of defence) run either inside the plan (``checks="lazy"``: the first
 offending row aborts the job with ``raise_error``; no extra pass over the data)
 or as one aggregate job up front (``checks="eager"``: a report of every
-violated assertion with counts).  ``checks="off"`` skips them.
+violated assertion with counts).  ``checks="count"`` returns the counts in place of the rows,
+``checks="off"`` skips them.
 """
 
 from __future__ import annotations
@@ -47,6 +48,13 @@ def require_none(df: DataFrame, checks: dict[str, Column]) -> None:
         raise AssertionViolation("; ".join(f"{m} ({n} rows)" for m, n in bad.items()))
 
 
+def assertion_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """(assertion, violations): one row for every assertion, from one pass."""
+    wide = df.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(f"c{i}") for i, c in enumerate(checks.values())])
+    rows = F.array(*[F.struct(F.lit(m).alias("assertion"), F.col(f"c{i}").alias("violations")) for i, m in enumerate(checks)])
+    return wide.select(F.explode(rows).alias("x")).select("x.*")
+
+
 def guard(df: DataFrame, checks: dict[str, Column], carrier: str, mode: str = "lazy") -> DataFrame:
     """Attach assertions to ``df``.
 
@@ -58,9 +66,12 @@ def guard(df: DataFrame, checks: dict[str, Column], carrier: str, mode: str = "l
     join condition) and evaluate it first, raising on rows the input would have
     dropped.  The price is that later filters are not pushed below it -- use
     ``eager`` (one aggregate job up front) when the input is re-read anyway.
+    count: no rows but the assertions' violation counts (see ``assertion_counts``).
     """
     if mode == "off" or not checks:
         return df
+    if mode == "count":
+        return assertion_counts(df, checks)
     if mode == "eager":
         require_none(df, checks)
         return df
@@ -170,15 +181,17 @@ def standings_from_matches(matches: DataFrame) -> DataFrame:
 
 
 def clean_standings(raw: DataFrame, matches: DataFrame | None = None, batch_ts: str | None = None,
-                    checks: str = "lazy", form_n: int = 5, rank_method: str = "window") -> DataFrame:
+                    checks: str = "lazy", form_n: int = 5, window_rows: int | None = None) -> DataFrame:
     """P2, P8-P10, Q44, Q45, W3 (form) and W4 (position: row number after the
-    4-key league sort, ties broken by club_id)."""
+    4-key league sort, ties broken by club_id; ``window_rows`` as in ``global_rank``)."""
     cols = ["club_id", "played", "won", "drawn", "lost", "goals_for", "goals_against", "points"]
     df = raw.select(*[S.strict_int(c).alias(c) for c in cols])
     df = guard(df, {
         "inconsistent games played": F.col("played") != F.col("won") + F.col("drawn") + F.col("lost"),
         "inconsistent points": F.col("points") != F.col("won") * 3 + F.col("drawn"),
     }, "club_id", checks)
+    if checks == "count":
+        return df
     df = df.select(
         *cols,
         (F.col("goals_for") - F.col("goals_against")).alias("goal_difference"),
@@ -192,7 +205,7 @@ def clean_standings(raw: DataFrame, matches: DataFrame | None = None, batch_ts:
     else:
         df = df.withColumn("form", F.lit(NO_FORM))
     df = global_rank(df, LEAGUE_ORDER + ["club_id"], out="position", kind="row_number",
-                     method=rank_method)
+                     window_rows=window_rows, keys_unique=True)
     return df.select(
         F.col("position").cast("int").alias("position"), "club_id", "played", "won", "drawn", "lost",
         "goals_for", "goals_against", "goal_difference", "points", "points_per_game",

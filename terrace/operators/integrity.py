@@ -110,52 +110,76 @@ def missing_tables(spark: SparkSession, expected: list[str]) -> list[str]:
     return [t for t in expected if not spark.catalog.tableExists(t)]
 
 
+def _with_parents(df: DataFrame, fks, parents: dict[str, DataFrame]):
+    """``df`` with a flag ``_orphan<i>`` for each foreign key whose parent is at hand: a non-null key without a
+    parent row.  The parents' keys are made distinct, so no row multiplies."""
+    used = [fk for fk in fks if fk.parent in parents]
+    for i, fk in enumerate(used):
+        keys = [F.col(pc).alias(f"_p{i}_{j}") for j, pc in enumerate(fk.parent_columns)]
+        p = parents[fk.parent].select(*keys).distinct().withColumn(f"_found{i}", F.lit(True))
+        on = [F.col(c) == F.col(f"_p{i}_{j}") for j, c in enumerate(fk.columns)]
+        nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in fk.columns])
+        df = (df.join(p, reduce(lambda a, b: a & b, on), "left")
+              .withColumn(f"_orphan{i}", (nn & F.col(f"_found{i}").isNull()).cast("long")).drop(f"_found{i}", *[f"_p{i}_{j}" for j in range(len(keys))]))
+    return df, used
+
+
+def _fk_name(table: str, fk) -> str:
+    return fk.name or f"fk_{table}_{'_'.join(fk.columns)}"
+
+
+def _long_form(wide: DataFrame, table: str, names: list[str]) -> DataFrame:
+    """One-row counts c0, c1, ... as (table_name, constraint_name, violations) rows."""
+    rows = F.array(*[F.struct(F.lit(n).alias("constraint_name"), F.coalesce(F.col(f"c{i}"), F.lit(0)).cast("long").alias("violations"))
+                     for i, n in enumerate(names)])
+    return wide.select(F.explode(rows).alias("x")).select(F.lit(table).alias("table_name"), "x.constraint_name", "x.violations")
+
+
+def fk_report(child: DataFrame, table: str, fks, parents: dict[str, DataFrame]) -> DataFrame:
+    """Orphans of every foreign key of ``table``, in one pass over it."""
+    df, used = _with_parents(child, fks, parents)
+    wide = df.agg(*[F.sum(f"_orphan{i}").alias(f"c{i}") for i in range(len(used))])
+    return _long_form(wide, table, [_fk_name(table, fk) for fk in used])
+
+
 def table_violations(tables: dict[str, DataFrame], specs: dict[str, TableSpec],
                      parents: dict[str, DataFrame] | None = None) -> DataFrame:
     """Summary (table_name, constraint_name, violations) for PK, UNIQUE, NOT NULL,
     CHECK and FK constraints of every table present in ``tables``.
 
-    Per table, all row-level constraints (null keys, NOT NULL, CHECKs) are one
-    aggregate pass; each key (PK, UNIQUE) is one partially aggregated group-by;
-    each FK is one anti join.  ``parents`` (default: ``tables``) are the tables
-    FKs are resolved against -- e.g. a new batch checked against the full
-    staged parents.
+    Each table is read once: its rows get a found-flag per FK, then one partially
+    aggregated group-by on the primary key counts the rows of a key and sums its row-level
+    violations.  Each UNIQUE key other than the primary key is a group-by of its own.
+    ``parents`` (default: ``tables``) are the tables FKs are resolved against -- e.g. a new
+    batch checked against the full staged parents.
     """
     parents = tables if parents is None else parents
     parts = []
     for name, spec in specs.items():
         if name not in tables:
             continue
-        df = tables[name]
         pk = spec.primary_key
-        row_level = [("primary_key", F.count_if(reduce(lambda a, b: a | b,
-                                                       [F.col(k).isNull() for k in pk])))]
+        df, fks = _with_parents(tables[name], spec.foreign_keys, parents)
+        checks = {}
         cols = [c for c in spec.not_null if c in df.columns]
         if cols:
-            row_level.append(("not_null", F.sum(reduce(lambda a, b: a + b,
-                                                       [F.col(c).isNull().cast("long") for c in cols]))))
-        row_level += [(n, F.count_if(F.coalesce(~F.expr(e), F.lit(False)))) for n, e in spec.checks.items()]
-        wide = df.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(f"c{i}") for i, (_, c) in enumerate(row_level)])
-        rows = wide.select(F.explode(F.array(*[F.struct(F.lit(n).alias("constraint_name"),
-                                                        F.col(f"c{i}").alias("violations"))
-                                               for i, (n, _) in enumerate(row_level)])).alias("x")) \
-            .select(F.lit(name).alias("table_name"), "x.constraint_name", "x.violations")
-        for cname, key in [("primary_key", pk)] + [("unique_" + "_".join(u), u) for u in spec.unique]:
-            d = duplicate_keys(df, name, key, cname)
-            rows = rows.unionByName(d.agg(F.coalesce(F.sum(F.col("occurrences") - 1), F.lit(0)).cast("long")
-                                          .alias("violations"))
-                                    .select(F.lit(name).alias("table_name"), F.lit(cname).alias("constraint_name"),
-                                            "violations"))
-        for fk in spec.foreign_keys:
-            if fk.parent in parents:
-                rows = rows.unionByName(fk_violations(df, parents[fk.parent], name, fk.columns,
-                                                      fk.parent_columns,
-                                                      fk.name or f"fk_{name}_{'_'.join(fk.columns)}"))
-        parts.append(rows)
-    out = reduce(DataFrame.unionByName, parts)
-    # the key's null rows and duplicate rows are one constraint
-    return out.groupBy("table_name", "constraint_name").agg(F.sum("violations").cast("long").alias("violations")) \
-        .select(*_SUMMARY_COLS)
+            checks["not_null"] = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in cols])
+        for n, e in spec.checks.items():
+            checks[n] = F.coalesce(~F.expr(e), F.lit(False)).cast("long")
+        for i, fk in enumerate(fks):
+            checks[_fk_name(name, fk)] = F.col(f"_orphan{i}")
+        keyed = df.groupBy(*pk).agg(F.count(F.lit(1)).alias("_rows"),
+                                    *[F.sum(c).alias(f"_v{i}") for i, c in enumerate(checks.values())])
+        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in pk])
+        # rows without a key, and all but one of the rows of a key
+        wide = keyed.agg(F.sum(F.when(null_key, F.col("_rows")).otherwise(F.col("_rows") - 1)).alias("c0"),
+                         *[F.sum(f"_v{i}").alias(f"c{i + 1}") for i in range(len(checks))])
+        parts.append(_long_form(wide, name, ["primary_key", *checks]))
+        for u in spec.unique:
+            cname = "unique_" + "_".join(u)
+            d = duplicate_keys(tables[name], name, u, cname)
+            parts.append(_long_form(d.agg(F.sum(F.col("occurrences") - 1).alias("c0")), name, [cname]))
+    return reduce(DataFrame.unionByName, parts).select(*_SUMMARY_COLS)
 
 
 def integrity_report(tables: dict[str, DataFrame], specs: dict[str, TableSpec],

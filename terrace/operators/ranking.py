@@ -1,13 +1,13 @@
 """Global ranking (W1, W2, W4) at any scale (X1) and ranked top-k.
 
-A window without PARTITION BY sorts the whole input in one task.  ``method=
-"range"`` instead:
+A window without PARTITION BY sorts the whole input in one task.  The default here
+instead:
 
 1. collapses the input to its distinct sort keys with a count (partial
    aggregation, so a key holding a third of all rows is one row here);
 2. range-partitions those keys, sorts inside each partition and numbers them
    locally (vectorised, per partition);
-3. materialises that once (``checkpoint`` into ``spark.checkpoint.dir``) so the
+3. writes that once (a table in the folder of ``spark.checkpoint.dir``) so the
    sampled range bounds and partition ids cannot change between passes;
 4. adds per-partition offsets -- one row per range partition, a size bounded by
    the partition count: the totals are collected, prefix-summed and broadcast;
@@ -22,11 +22,12 @@ from __future__ import annotations
 import sys
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.session import ensure_checkpoint_dir
+from terrace.session import materialize
 
 
 def parse_order(order: list[str]) -> list[tuple[str, bool]]:
@@ -53,18 +54,13 @@ def _local_numbering(batches):
 
 # Executors need not have this package installed: the per-partition function is
 # shipped by value with the task instead of being imported by name.
-try:
-    from pyspark import cloudpickle as _cp
-    _cp.register_pickle_by_value(sys.modules[__name__])
-except Exception:  # noqa: BLE001 -- older cloudpickle: fall back to import by name
-    pass
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | None):
     """(keys..., _cnt) with unique keys -> (DataFrame with _dense and _rank, both
     1-based; the largest _cnt, i.e. the size of the biggest tie group)."""
     spark = keys_df.sparkSession
-    ensure_checkpoint_dir(spark)
     ocols = order_columns(order)
     # Without an explicit count AQE sizes the range partitions (coalescing
     # adjacent ones keeps them ordered), so tiny inputs do not become hundreds
@@ -76,7 +72,7 @@ def _numbered_keys(keys_df: DataFrame, order: list[str], num_partitions: int | N
     schema = T.StructType(ranged.schema.fields + [
         T.StructField("_local_idx", T.LongType(), False),
         T.StructField("_local_before", T.LongType(), False)])
-    local = ranged.mapInPandas(_local_numbering, schema).checkpoint(eager=True)
+    local = materialize(ranged.mapInPandas(_local_numbering, schema), "numbered")
     # Per-partition totals: one row per range partition, so at most ``n`` rows
     # reach the driver; their prefix sums are the partitions' offsets.
     per_part = sorted(local.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"),
@@ -107,28 +103,73 @@ def _null_safe_join(df: DataFrame, numbered: DataFrame, keys: list[str]) -> Data
     return df.join(ren, cond, "inner").drop(*[f"_k_{k}" for k in keys])
 
 
+def _unique_row_numbers(df: DataFrame, order: list[str], out: str, num_partitions: int | None) -> DataFrame:
+    """ROW_NUMBER over unique keys: the whole rows go through one range exchange and are numbered
+    there, so nothing is joined back.  Equal keys meet in one range partition next to each other; the
+    numbering pass looks for them and the call fails if there are any."""
+    keys = [c for c, _ in parse_order(order)]
+    ocols = order_columns(order)
+    ranged = ((df.repartitionByRange(num_partitions, *ocols) if num_partitions else df.repartitionByRange(*ocols))
+              .sortWithinPartitions(*ocols).withColumn("_pid", F.spark_partition_id()))
+    schema = T.StructType(ranged.schema.fields + [T.StructField("_local_idx", T.LongType(), False),
+                                                  T.StructField("_tie", T.BooleanType(), False)])
+    local = materialize(ranged.mapInArrow(_number_rows(keys), schema), "numbered")
+    # one row per range partition: bounded by the partition count
+    per_part = sorted(local.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.count_if("_tie").alias("ties")).collect())
+    ties = sum(r["ties"] for r in per_part)
+    if ties:
+        raise ValueError(f"row_number needs a total order: {ties} rows repeat the key {keys} of another row")
+    rows, before = [], 0
+    for r in per_part:
+        rows.append((r["_pid"], before))
+        before += r["n"]
+    offsets = df.sparkSession.createDataFrame(rows, "_pid int, _before long")
+    return (local.join(F.broadcast(offsets), "_pid")
+            .withColumn(out, F.col("_before") + F.col("_local_idx") + 1).select(*df.columns, out))
+
+
+def _number_rows(keys: list[str]):
+    def run(batches):
+        import pyarrow as pa
+        n, last = 0, None
+        for batch in batches:
+            m = batch.num_rows
+            if not m:
+                continue
+            rows = list(zip(*[batch.column(k).to_pylist() for k in keys]))
+            ties = [row == prev for row, prev in zip(rows, [last, *rows])]
+            n, last = n + m, rows[-1]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.arange(n - m, n, dtype=np.int64)), pa.array(ties, pa.bool_())],
+                names=[*batch.schema.names, "_local_idx", "_tie"])
+    return run
+
+
 def global_rank(df: DataFrame, order: list[str], out: str = "rank", kind: str = "dense_rank",
-                method: str = "window", num_partitions: int | None = None,
+                window_rows: int | None = None, num_partitions: int | None = None,
                 keys_unique: bool = False) -> DataFrame:
     """Add a global ``dense_rank`` / ``rank`` / ``row_number`` column ordered by ``order``.
 
+    The default scales to any row count.  A caller that knows a small bound on the number of rows (a league
+    table has one row per club) states it as ``window_rows`` and gets the plain one-task window, which is
+    lazy; more rows than stated make the query fail rather than crawl.
+
     ``row_number`` needs a total order (end ``order`` with a unique key); ties
-    are otherwise arbitrary, which the operator refuses to produce silently.
-    ``method="window"`` is the plain one-task window, fine for dimension-sized
-    inputs (a league table); ``method="range"`` scales to any row count.
+    are otherwise arbitrary, which the operator refuses to produce silently.  ``keys_unique`` says
+    that the keys do not repeat; the numbering checks it and then needs no join.
     """
     if kind not in ("dense_rank", "rank", "row_number"):
         raise ValueError(f"unknown rank kind {kind!r}")
-    if method == "window":
+    if window_rows is not None:
+        w = Window.orderBy(*order_columns(order))
         fn = {"dense_rank": F.dense_rank, "rank": F.rank, "row_number": F.row_number}[kind]
-        return df.withColumn(out, fn().over(Window.orderBy(*order_columns(order))).cast("long"))
-    if method != "range":
-        raise ValueError(f"unknown method {method!r}")
+        too_many = F.row_number().over(w) > int(window_rows)
+        checked = F.when(too_many, F.raise_error(F.lit(f"more than the stated {int(window_rows)} rows to rank")).cast("int"))
+        return df.withColumn(out, F.coalesce(checked, fn().over(w)).cast("long"))
     keys = [c for c, _ in parse_order(order)]
-    if keys_unique:  # the caller guarantees it (e.g. the order ends with a primary key)
-        keys_df = df.select(*keys).withColumn("_cnt", F.lit(1).cast("long"))
-    else:
-        keys_df = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    if kind == "row_number" and keys_unique:
+        return _unique_row_numbers(df, order, out, num_partitions)
+    keys_df = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
     numbered, max_cnt = _numbered_keys(keys_df, order, num_partitions)
     if kind == "row_number" and max_cnt > 1:
         raise ValueError(f"row_number needs a total order: {max_cnt} rows tie on {keys}; "

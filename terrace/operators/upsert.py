@@ -22,10 +22,13 @@ class DuplicateBatchKey(ValueError):
 
 
 def check_batch_keys(batch: DataFrame, key: list[str], table: str = "batch") -> None:
-    dups = duplicate_keys(batch, table, key, "primary_key").limit(5).collect()
-    if dups:
-        raise DuplicateBatchKey(f"{table}: duplicate keys in batch: "
-                                + ", ".join(r["key_value"] for r in dups))
+    dups = duplicate_keys(batch, table, key, "primary_key")
+    # the total and the five smallest keys as an example
+    row = dups.agg(F.count(F.lit(1)).alias("n")).first()
+    if row["n"]:
+        some = dups.orderBy("key_value").limit(5).collect()
+        raise DuplicateBatchKey(f"{table}: {row['n']} duplicate keys in batch, for example "
+                                + ", ".join(r["key_value"] for r in some))
 
 
 def upsert(target: DataFrame, batch: DataFrame, key: list[str] | str,
@@ -77,10 +80,10 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def assign_surrogate_keys(target: DataFrame | None, batch: DataFrame, natural_key: str,
-                          id_col: str = "id", method: str = "range") -> DataFrame:
+                          id_col: str = "id", window_rows: int | None = None) -> DataFrame:
     """Stable surrogate ids.  Rows whose natural key already exists keep
-    their id; new keys get max(id) + 1, 2, ... in natural-key order, numbered
-    with the scalable global row number (no single-partition window)."""
+    their id; new keys get max(id) + 1, 2, ... in natural-key order (``window_rows`` as in
+    ``global_rank``).  Without a bound the numbering is scalable and runs at once."""
     from terrace.operators.ranking import global_rank
     if target is None:
         existing = batch.sparkSession.createDataFrame([], f"{natural_key} {dict(batch.dtypes)[natural_key]}, "
@@ -89,8 +92,8 @@ def assign_surrogate_keys(target: DataFrame | None, batch: DataFrame, natural_ke
         existing = target.select(natural_key, F.col(id_col).cast("long").alias(id_col))
     known = batch.join(existing, natural_key, "inner")
     new = batch.join(existing.select(natural_key), natural_key, "left_anti")
-    # the current maximum is one number: fetch it, no join needed
-    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base")).first()["_base"]
-    numbered = global_rank(new, [natural_key], out="_n", kind="row_number", method=method)
-    fresh = numbered.withColumn(id_col, F.lit(int(base)) + F.col("_n")).drop("_n")
+    numbered = global_rank(new, [natural_key], out="_n", kind="row_number", window_rows=window_rows, keys_unique=True)
+    # the current maximum is a scalar subquery: nothing runs here
+    top = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("top")).scalar()
+    fresh = numbered.withColumn(id_col, top + F.col("_n")).drop("_n")
     return known.unionByName(fresh.select(*known.columns))

@@ -24,13 +24,10 @@ from pyspark.sql import functions as F
 
 from terrace.operators.clean import (clean_clubs, clean_matches, clean_players,
                                      clean_standings, standings_from_matches)
-from terrace.session import materialize
+from terrace.operators.quality import RECORD_INDEX
 from terrace.sources.tables import Tables
 
 N_CLUBS = 25  # nations in the driver's schema
-# Above this many source orders the derived matches are written once before the
-# standings' two consumers (aggregate and form) instead of being derived twice.
-MATERIALIZE_ROWS = 5_000_000
 
 
 def raw_clubs(t: Tables) -> DataFrame:
@@ -86,6 +83,46 @@ def raw_matches(t: Tables) -> DataFrame:
                     status.alias("status")))
 
 
+def dirty_batches(t: Tables) -> dict[str, DataFrame]:
+    """The raw batches with the dirt that the league's rules look for, as functions of the keys, and a
+    declared record order.  Repeated keys carry conflicting values: the second record of a key is the good or
+    the bad one by turns, so the survivor shows which came first."""
+    k = F.col("club_id")
+    clubs = raw_clubs(t).select(
+        (k * 10).alias(RECORD_INDEX), "club_id", "name", "short_name", "stadium",
+        F.when(k % 6 == 1, -F.col("capacity")).otherwise(F.col("capacity")).alias("capacity"),
+        F.when(k % 4 == 2, F.lit(None)).otherwise(F.col("city")).alias("city"),
+        F.when(k % 5 == 3, F.lit(None)).when(k % 7 == 4, F.lit(1799)).otherwise(F.col("founded_year")).alias("founded_year"),
+        "primary_color")
+    again = clubs.where(k % 8 == 0).withColumn("capacity", -F.col("capacity")).withColumn(RECORD_INDEX, F.col(RECORD_INDEX) + 1)
+    clubs = clubs.unionByName(again)
+
+    k = F.col("player_id")
+    players = raw_players(t).select(
+        (k * 10 + 5).alias(RECORD_INDEX), "player_id", "club_id",
+        F.when(k % 101 == 7, F.lit("  ")).otherwise(F.col("name")).alias("name"), "position", "nationality",
+        F.when(k % 37 == 4, F.lit(0)).otherwise(F.col("jersey_number")).alias("jersey_number"), "appearances",
+        F.when(k % 41 == 9, F.lit(-1)).otherwise(F.col("goals")).alias("goals"),
+        F.when(k % 43 == 5, F.lit(None).cast("long")).otherwise(F.col("assists")).alias("assists"))
+    # the repeated record comes before the first one for even keys, with a negative count of games
+    again = (players.where(k % 13 == 0).withColumn("appearances", F.lit(-3).cast("long"))
+             .withColumn(RECORD_INDEX, F.col(RECORD_INDEX) + F.when(k % 2 == 0, -1).otherwise(1)))
+    players = players.unionByName(again)
+
+    k = F.col("match_id")
+    matches = raw_matches(t).select(
+        k.alias(RECORD_INDEX), "match_id", F.when(k % 29 == 3, F.lit(0)).otherwise(F.col("gameweek")).alias("gameweek"),
+        "home_club_id", F.when(k % 31 == 6, F.col("home_club_id")).otherwise(F.col("away_club_id")).alias("away_club_id"),
+        "match_date", F.when(k % 23 == 2, F.concat(F.lit("FT "), F.col("raw_score"))).when(k % 47 == 1, F.lit(None))
+        .when(k % 53 == 8, F.lit("postponed")).otherwise(F.col("raw_score")).alias("raw_score"), "status")
+    c = F.col("club_id")
+    standings = standings_from_matches(clean_matches(raw_matches(t), checks="off")).select(
+        c.alias(RECORD_INDEX), "club_id", F.when(c % 9 == 2, F.col("played") + 1).otherwise(F.col("played")).alias("played"),
+        "won", "drawn", "lost", "goals_for", "goals_against",
+        F.when(c % 10 == 3, F.col("points") - 1).otherwise(F.col("points")).alias("points"))
+    return {"clubs": clubs, "players": players, "matches": matches, "standings": standings}
+
+
 class League:
     """Silver/gold tables of the four roles, each built on first use only (plan
     analysis is not free, and most queries need one or two of them).
@@ -97,11 +134,9 @@ class League:
     """
 
     def __init__(self, spark, sf_dir: str, checks: str = "off",
-                 batch_ts: str = "1970-01-01T00:00:00+00:00", rank_method: str = "window",
-                 materialize: bool | str = "auto", materialize_rows: int = MATERIALIZE_ROWS):
+                 batch_ts: str = "1970-01-01T00:00:00+00:00", window_rows: int | None = N_CLUBS):
         self.t = Tables(spark, sf_dir)
-        self.checks, self.batch_ts, self.rank_method = checks, batch_ts, rank_method
-        self.materialize, self.materialize_rows = materialize, materialize_rows
+        self.checks, self.batch_ts, self.window_rows = checks, batch_ts, window_rows
 
     @cached_property
     def clubs(self) -> DataFrame:
@@ -115,29 +150,16 @@ class League:
     def matches(self) -> DataFrame:
         return clean_matches(raw_matches(self.t), self.batch_ts, self.checks)
 
-    @cached_property
-    def matches_materialized(self) -> DataFrame:
-        """The cleaned matches written once to the shared checkpoint folder.
-
-        Standings read matches twice (the per-club aggregate and the form);
-        without this, each read re-runs the orders x customer join, which on a
-        large cluster is a full shuffle join.  The written Parquet table
-        survives executor loss, cuts the lineage and keeps pruning/pushdown.
-        """
-        do = self.materialize
-        if do == "auto":
-            # a Parquet row count is answered from the file footers: cheap at any size
-            do = self.t.orders.count() >= self.materialize_rows
-        return materialize(self.matches, "matches") if do else self.matches
-
     @cached_property
     def standings(self) -> DataFrame:
-        m = self.matches_materialized
-        return clean_standings(standings_from_matches(m), m, self.batch_ts,
-                               self.checks, rank_method=self.rank_method)
+        """One plan at every size; the plan's two readers of the matches (aggregate and form)
+        share what Catalyst can share, and nothing is written."""
+        return clean_standings(standings_from_matches(self.matches), self.matches, self.batch_ts,
+                               self.checks, window_rows=self.window_rows)
 
 
 def league(spark, sf_dir: str, checks: str = "off", batch_ts: str = "1970-01-01T00:00:00+00:00",
-           rank_method: str = "window", materialize: bool | str = "auto") -> League:
-    """Silver/gold tables of the four roles derived from ``sf_dir``."""
-    return League(spark, sf_dir, checks, batch_ts, rank_method, materialize)
+           window_rows: int | None = N_CLUBS) -> League:
+    """Silver/gold tables of the four roles derived from ``sf_dir``.  ``window_rows``: the bound on the number
+    of clubs that allows a plain ranking window (None: the scalable numbering)."""
+    return League(spark, sf_dir, checks, batch_ts, window_rows)

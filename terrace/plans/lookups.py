@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -89,7 +91,9 @@ def club_detail_counts(clubs_df: DataFrame, players: DataFrame, matches: DataFra
     ms = match_sides(matches.select("match_id", "home_club_id", "away_club_id", "home_score",
                                     "away_score", "match_date")) \
         .groupBy("club_id").agg(F.count(F.lit(1)).alias("match_count"),
-                                F.max("match_date").alias("latest_match_date"))
+                                # a timestamp, not its text: text has no place in a hash aggregate
+                                F.max(F.to_timestamp("match_date")).alias("_latest")) \
+        .withColumn("latest_match_date", S.format_ts(F.col("_latest")))
     st = standings.select("club_id", F.lit(True).alias("has_standing"), "points")
     return clubs_df.select("club_id", F.col("name").alias("club_name")) \
         .join(sq, "club_id", "left").join(ms, "club_id", "left").join(st, "club_id", "left") \
@@ -187,7 +191,7 @@ def health(spark, tables: dict[str, DataFrame]) -> DataFrame:
         try:
             df.limit(1).collect()
             ok = True
-        except Exception:  # noqa: BLE001
+        except (PySparkException, Py4JJavaError):  # the probe reports what Spark cannot read
             ok = False
         rows.append((name, ok))
     return spark.createDataFrame(rows, "table_name string, readable boolean")

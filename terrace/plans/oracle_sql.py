@@ -588,48 +588,113 @@ SELECT s.club_id, s.points,
 FROM standings s WHERE s.club_id NOT IN (SELECT club_id FROM earlier)""")
 
 
-def _integrity_sql() -> str:
-    """DuckDB statement for the M8 report, one SELECT per declared constraint."""
-    from terrace.plans.star_audits import STAR_TABLE_SPECS
-    from terrace.schemas import LEAGUE_TABLES
-    sources = {"matches": "matches_c"}
-    parts = []
-    specs = dict(STAR_TABLE_SPECS, **LEAGUE_TABLES)
-    for name, spec in specs.items():
-        src = sources.get(name, name)
-        key = spec.primary_key
-        nn = " AND ".join(f"{k} IS NOT NULL" for k in key)
-        anynull = " OR ".join(f"{k} IS NULL" for k in key)
-        parts.append(
-            f"SELECT '{name}' AS table_name, 'primary_key' AS constraint_name, "
-            f"(SELECT COUNT(*) FILTER (WHERE {nn}) - COUNT(DISTINCT ({', '.join(key)})) FILTER (WHERE {nn}) "
-            f"+ COUNT(*) FILTER (WHERE {anynull}) FROM {src}) AS violations")
-        for u in spec.unique:
-            unn = " AND ".join(f"{k} IS NOT NULL" for k in u)
-            parts.append(
-                f"SELECT '{name}', 'unique_{'_'.join(u)}', "
-                f"(SELECT COUNT(*) FILTER (WHERE {unn}) - COUNT(DISTINCT ({', '.join(u)})) FILTER (WHERE {unn}) "
-                f"FROM {src})")
-        cols = [c for c in spec.not_null if c != "transformed_at"]
-        if cols:
-            parts.append(f"SELECT '{name}', 'not_null', (SELECT "
-                         + " + ".join(f"(COUNT(*) - COUNT({c}))" for c in cols) + f" FROM {src})")
-        for cname, expr in spec.checks.items():
-            parts.append(f"SELECT '{name}', '{cname}', (SELECT COUNT(*) FILTER (WHERE NOT ({expr})) FROM {src})")
-        for fk in spec.foreign_keys:
-            c, pc = fk.columns[0], fk.parent_columns[0]
-            psrc = sources.get(fk.parent, fk.parent)
-            parts.append(f"SELECT '{name}', '{fk.name}', (SELECT COUNT(*) FROM {src} WHERE {c} IS NOT NULL "
-                         f"AND {c} NOT IN (SELECT {pc} FROM {psrc} WHERE {pc} IS NOT NULL))")
-    body = "\nUNION ALL ".join(parts)
-    return q(f"""
+# Written out constraint by constraint: nothing here comes from the specs that it checks.
+_INTEGRITY = [
+    ("customer", "primary_key",
+     "SELECT count(*) - count(DISTINCT c_custkey) FROM customer"),
+    ("customer", "not_null",
+     "SELECT 4 * count(*) - count(c_custkey) - count(c_name) - count(c_nationkey) - count(c_acctbal) FROM customer"),
+    ("customer", "check_acctbal_non_negative",
+     "SELECT count(*) FROM customer WHERE c_acctbal < 0"),
+    ("customer", "fk_customer_nation",
+     "SELECT count(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)"),
+    ("supplier", "primary_key",
+     "SELECT count(*) - count(DISTINCT s_suppkey) FROM supplier"),
+    ("supplier", "check_acctbal_non_negative",
+     "SELECT count(*) FROM supplier WHERE s_acctbal < 0"),
+    ("supplier", "fk_supplier_nation",
+     "SELECT count(*) FROM supplier WHERE s_nationkey NOT IN (SELECT n_nationkey FROM nation)"),
+    ("part", "primary_key",
+     "SELECT count(*) - count(DISTINCT p_partkey) FROM part"),
+    ("part", "unique_p_name",
+     "SELECT count(p_name) - count(DISTINCT p_name) FROM part"),
+    ("part", "check_size_positive",
+     "SELECT count(*) FROM part WHERE p_size <= 0"),
+    ("part", "check_retailprice_positive",
+     "SELECT count(*) FROM part WHERE p_retailprice <= 0"),
+    ("orders", "primary_key",
+     "SELECT count(*) - count(DISTINCT o_orderkey) FROM orders"),
+    ("orders", "check_totalprice_positive",
+     "SELECT count(*) FROM orders WHERE o_totalprice <= 0"),
+    ("orders", "fk_orders_customer",
+     "SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)"),
+    ("lineitem", "primary_key",
+     "SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) FROM lineitem"),
+    ("lineitem", "check_quantity_positive",
+     "SELECT count(*) FROM lineitem WHERE l_quantity <= 0"),
+    ("lineitem", "check_discount_range",
+     "SELECT count(*) FROM lineitem WHERE l_discount < 0 OR l_discount > 0.1"),
+    ("lineitem", "check_ship_after_order_year",
+     "SELECT count(*) FROM lineitem WHERE year(l_shipdate) < 1990"),
+    ("lineitem", "fk_lineitem_orders",
+     "SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)"),
+    ("lineitem", "fk_lineitem_part",
+     "SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)"),
+    ("lineitem", "fk_lineitem_supplier",
+     "SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier)"),
+    ("nation", "primary_key",
+     "SELECT count(*) - count(DISTINCT n_nationkey) FROM nation"),
+    ("nation", "unique_n_name",
+     "SELECT count(n_name) - count(DISTINCT n_name) FROM nation"),
+    ("nation", "fk_nation_region",
+     "SELECT count(*) FROM nation WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region)"),
+    ("clubs", "primary_key",
+     "SELECT count(*) - count(DISTINCT club_id) FROM clubs"),
+    ("clubs", "unique_name",
+     "SELECT count(name) - count(DISTINCT name) FROM clubs"),
+    ("clubs", "not_null",
+     "SELECT 8 * count(*) - count(club_id) - count(name) - count(short_name) - count(stadium) - count(capacity) - count(city) - count(founded_year) - count(primary_color) FROM clubs"),
+    ("clubs", "check_capacity_positive",
+     "SELECT count(*) FROM clubs WHERE capacity <= 0"),
+    ("clubs", "check_founded_year",
+     "SELECT count(*) FROM clubs WHERE founded_year < 1800"),
+    ("players", "primary_key",
+     "SELECT count(*) - count(DISTINCT player_id) FROM players"),
+    ("players", "not_null",
+     "SELECT 11 * count(*) - count(player_id) - count(club_id) - count(name) - count(position) - count(nationality) - count(jersey_number) - count(appearances) - count(goals) - count(assists) - count(goal_contributions) - count(goals_per_game) FROM players"),
+    ("players", "check_appearances_non_negative",
+     "SELECT count(*) FROM players WHERE appearances < 0"),
+    ("players", "check_goals_non_negative",
+     "SELECT count(*) FROM players WHERE goals < 0"),
+    ("players", "check_assists_non_negative",
+     "SELECT count(*) FROM players WHERE assists < 0"),
+    ("players", "fk_players_club",
+     "SELECT count(*) FROM players WHERE club_id NOT IN (SELECT club_id FROM clubs)"),
+    ("matches", "primary_key",
+     "SELECT count(*) - count(DISTINCT match_id) FROM matches_c"),
+    ("matches", "not_null",
+     "SELECT 10 * count(*) - count(match_id) - count(gameweek) - count(home_club_id) - count(away_club_id) - count(match_date) - count(home_score) - count(away_score) - count(total_goals) - count(result) - count(status) FROM matches_c"),
+    ("matches", "check_home_away_distinct",
+     "SELECT count(*) FROM matches_c WHERE home_club_id = away_club_id"),
+    ("matches", "check_home_score_non_negative",
+     "SELECT count(*) FROM matches_c WHERE home_score < 0"),
+    ("matches", "check_away_score_non_negative",
+     "SELECT count(*) FROM matches_c WHERE away_score < 0"),
+    ("matches", "fk_matches_home",
+     "SELECT count(*) FROM matches_c WHERE home_club_id NOT IN (SELECT club_id FROM clubs)"),
+    ("matches", "fk_matches_away",
+     "SELECT count(*) FROM matches_c WHERE away_club_id NOT IN (SELECT club_id FROM clubs)"),
+    ("standings", "primary_key",
+     "SELECT count(*) - count(DISTINCT club_id) FROM standings"),
+    ("standings", "unique_club_id",
+     "SELECT count(club_id) - count(DISTINCT club_id) FROM standings"),
+    ("standings", "not_null",
+     "SELECT 12 * count(*) - count(club_id) - count(position) - count(played) - count(won) - count(drawn) - count(lost) - count(goals_for) - count(goals_against) - count(goal_difference) - count(points) - count(points_per_game) - count(win_percentage) FROM standings"),
+    ("standings", "check_played_non_negative",
+     "SELECT count(*) FROM standings WHERE played < 0"),
+    ("standings", "check_points_non_negative",
+     "SELECT count(*) FROM standings WHERE points < 0"),
+    ("standings", "fk_standings_club",
+     "SELECT count(*) FROM standings WHERE club_id NOT IN (SELECT club_id FROM clubs)"),
+]
+
+SQL["integrity_report"] = q("""
 SELECT table_name, constraint_name, CAST(violations AS BIGINT) AS violations,
        CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status
-FROM ({body})""")
+FROM (""" + "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS constraint_name, ({sql}) AS violations" for t, c, sql in _INTEGRITY) + ")")
 
 
-SQL["integrity_report"] = _integrity_sql()
-
 SQL["audit_issue_log"] = _AUDIT.replace("""li_f AS (
   SELECT l_orderkey,""", """li_f AS (
   SELECT l_orderkey, l_linenumber,""").replace("""cu_f AS (
@@ -680,3 +745,96 @@ def _missing_issue_rows() -> str:
 
 
 SQL["audit_issue_log"] = SQL["audit_issue_log"] + "\n" + _missing_issue_rows()
+
+
+# The league batches with dirt: the same functions of the keys as in the derivation, and the audit's
+# messages and required fields written out by hand.
+_DIRTY = ROLES + """,
+dc0 AS (
+  SELECT club_id * 10 AS ri, club_id, ' ' || name || ' ' AS name, lower(short_name) AS short_name, stadium,
+         CASE WHEN club_id % 6 = 1 THEN -capacity ELSE capacity END AS capacity,
+         CASE WHEN club_id % 5 = 3 THEN NULL WHEN club_id % 7 = 4 THEN 1799 ELSE founded_year END AS founded_year
+  FROM clubs),
+dc AS (SELECT * FROM dc0 UNION ALL SELECT * REPLACE (ri + 1 AS ri, -capacity AS capacity) FROM dc0 WHERE club_id % 8 = 0),
+dp0 AS (
+  SELECT player_id * 10 + 5 AS ri, player_id, club_id, CASE WHEN player_id % 101 = 7 THEN '  ' ELSE ' ' || name || ' ' END AS name,
+         raw_position AS position, CASE WHEN player_id % 37 = 4 THEN 0 ELSE jersey_number END AS jersey_number, appearances,
+         CASE WHEN player_id % 41 = 9 THEN -1 ELSE goals END AS goals,
+         CASE WHEN player_id % 43 = 5 THEN NULL ELSE assists END AS assists
+  FROM players0),
+dp AS (SELECT * FROM dp0 UNION ALL
+       SELECT * REPLACE (ri + CASE WHEN player_id % 2 = 0 THEN -1 ELSE 1 END AS ri, -3 AS appearances) FROM dp0 WHERE player_id % 13 = 0),
+dm AS (
+  SELECT match_id AS ri, match_id, CASE WHEN match_id % 29 = 3 THEN 0 ELSE gameweek END AS gameweek, home_club_id,
+         CASE WHEN match_id % 31 = 6 THEN home_club_id ELSE away_club_id END AS away_club_id,
+         CASE WHEN match_id % 23 = 2 THEN 'FT ' || s WHEN match_id % 47 = 1 THEN NULL WHEN match_id % 53 = 8 THEN 'postponed' ELSE s END AS raw_score
+  FROM (SELECT *, home_score || CASE WHEN match_id % 7 = 0 THEN ':' ELSE ' - ' END || away_score AS s FROM matches)),
+ds AS (
+  SELECT club_id AS ri, club_id, CASE WHEN club_id % 9 = 2 THEN played + 1 ELSE played END AS played, won, drawn, lost,
+         CASE WHEN club_id % 10 = 3 THEN points - 1 ELSE points END AS points
+  FROM standings),
+fc AS (SELECT club_id, min(ri) AS f FROM dc GROUP BY 1), fp AS (SELECT player_id, min(ri) AS f FROM dp GROUP BY 1),
+audited AS (
+  SELECT 'clubs' AS dataset, ri, CAST(club_id AS VARCHAR) AS pk,
+         [CASE WHEN founded_year IS NULL THEN 'Missing required field: ''founded_year''' END] AS missing,
+         [CASE WHEN ri <> f THEN 'Duplicate primary key ''club_id''=' || club_id END] AS dup,
+         [CASE WHEN capacity <= 0 THEN 'Validation failure: Stadium capacity must be greater than 0' END,
+          CASE WHEN founded_year IS NULL THEN 'Validator exception: Founded year must be 1800 or later (null or non-numeric input)'
+               WHEN founded_year < 1800 THEN 'Validation failure: Founded year must be 1800 or later' END] AS rules
+  FROM dc JOIN fc USING (club_id)
+  UNION ALL
+  SELECT 'players', ri, CAST(player_id AS VARCHAR),
+         [CASE WHEN trim(name) = '' THEN 'Missing required field: ''name''' END],
+         [CASE WHEN ri <> f THEN 'Duplicate primary key ''player_id''=' || player_id END],
+         [CASE WHEN goals < 0 THEN 'Validation failure: Goals cannot be negative' END,
+          CASE WHEN assists IS NULL THEN 'Validator exception: Assists cannot be negative (null or non-numeric input)' END,
+          CASE WHEN appearances < 0 THEN 'Validation failure: Appearances cannot be negative' END,
+          CASE WHEN jersey_number NOT BETWEEN 1 AND 99 THEN 'Validation failure: Jersey number must be between 1 and 99' END]
+  FROM dp JOIN fp USING (player_id)
+  UNION ALL
+  SELECT 'matches', ri, CAST(match_id AS VARCHAR),
+         [CASE WHEN raw_score IS NULL THEN 'Missing required field: ''raw_score''' END], [],
+         [CASE WHEN home_club_id = away_club_id THEN 'Validation failure: Home and away clubs must be distinct' END,
+          CASE WHEN raw_score IS NULL OR NOT regexp_full_match(raw_score, '[0-9]+ *[-:] *[0-9]+') THEN 'Validation failure: Score format must match ''X - Y''' END,
+          CASE WHEN gameweek NOT BETWEEN 1 AND 38 THEN 'Validation failure: Gameweek must be between 1 and 38' END]
+  FROM dm
+  UNION ALL
+  SELECT 'standings', ri, CAST(club_id AS VARCHAR), [], [],
+         [CASE WHEN played <> won + drawn + lost THEN 'Validation failure: Games played invariant: played == won + drawn + lost' END,
+          CASE WHEN points <> won * 3 + drawn THEN 'Validation failure: Points invariant: points == (won * 3) + drawn' END]
+  FROM ds),
+issues AS (
+  SELECT dataset, ri, pk, list_filter(missing, lambda x: x IS NOT NULL) AS missing, list_filter(dup, lambda x: x IS NOT NULL) AS dup,
+         list_filter(rules, lambda x: x IS NOT NULL) AS rules FROM audited)
+"""
+
+SQL["league_audit_metrics"] = _DIRTY + """
+SELECT dataset, count(*) AS source_count, count(*) FILTER (WHERE n = 0) AS valid_count, count(*) FILTER (WHERE n > 0) AS rejected_count,
+       CAST(sum(len(missing)) AS BIGINT) AS missing_fields_count, CAST(sum(len(dup)) AS BIGINT) AS duplicate_count,
+       CAST(sum(len(rules)) AS BIGINT) AS validation_error_count
+FROM (SELECT *, len(missing) + len(dup) + len(rules) AS n FROM issues) GROUP BY dataset"""
+
+SQL["league_audit_issues"] = _DIRTY + """
+SELECT dataset, CAST(ri AS BIGINT) AS record_index, pk, unnest(missing || dup || rules) AS error FROM issues"""
+
+SQL["league_quarantine"] = _DIRTY + """
+SELECT player_id, name, CAST(jersey_number AS BIGINT) AS jersey_number, CAST(appearances AS BIGINT) AS appearances,
+       CAST(goals AS BIGINT) AS goals, CAST(assists AS BIGINT) AS assists,
+       array_to_string(missing || dup || rules, '; ') AS reasons, CAST(ri AS BIGINT) AS record_index
+FROM issues JOIN dp USING (ri) WHERE dataset = 'players' AND len(missing) + len(dup) + len(rules) > 0"""
+
+SQL["league_first_wins"] = _DIRTY + """
+SELECT player_id, CAST(appearances AS BIGINT) AS appearances, CAST(goals AS BIGINT) AS goals
+FROM issues JOIN dp USING (ri) WHERE dataset = 'players' AND len(missing) + len(dup) + len(rules) = 0"""
+
+SQL["cleaner_assertions"] = _DIRTY + """
+SELECT 'clubs' AS dataset, 'invalid stadium capacity' AS assertion, count(*) AS violations FROM dc WHERE capacity <= 0
+UNION ALL SELECT 'clubs', 'invalid founded_year', count(*) FROM dc WHERE founded_year < 1850 OR founded_year > 2025
+UNION ALL SELECT 'players', 'negative values in player column goals', count(*) FROM dp WHERE goals < 0
+UNION ALL SELECT 'players', 'negative values in player column assists', count(*) FROM dp WHERE assists < 0
+UNION ALL SELECT 'players', 'negative values in player column appearances', count(*) FROM dp WHERE appearances < 0
+UNION ALL SELECT 'players', 'negative values in player column jersey_number', count(*) FROM dp WHERE jersey_number < 0
+UNION ALL SELECT 'matches', 'home club equals away club', count(*) FROM dm WHERE home_club_id = away_club_id
+UNION ALL SELECT 'matches', 'unable to parse score', count(*) FROM dm WHERE raw_score = 'postponed'
+UNION ALL SELECT 'standings', 'inconsistent games played', count(*) FROM ds WHERE played <> won + drawn + lost
+UNION ALL SELECT 'standings', 'inconsistent points', count(*) FROM ds WHERE points <> won * 3 + drawn"""

@@ -3,8 +3,8 @@ silver -> staged upsert + integrity checks -> publish.
 
 Every step is a DataFrame job over the whole batch; the only values that reach
 the driver are counts, the one-row quality report and constraint summaries.
-The audited DataFrames are persisted once (MEMORY_AND_DISK) because valid rows,
-rejected rows, issues and metrics all read them; they are released at the end.
+Of each audited batch one copy is persisted (MEMORY_AND_DISK), which valid rows,
+rejected rows, issues and metrics all read; it is released at the end, also after a failure.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators.clean import (clean_clubs, clean_matches, clean_players, clean_standings)
 from terrace.operators.quality import audit_spec, gate, quality_report, require_rows
-from terrace.schemas import CLEAN_COLUMNS, RAW_SCHEMAS, league_audit_specs
+from terrace.schemas import BRONZE_SCHEMAS, CLEAN_COLUMNS, league_audit_specs
 from terrace.session import ensure_checkpoint_dir
 from terrace.sources import sinks
 from terrace.sources.warehouse import Warehouse
@@ -33,17 +33,18 @@ def ingest(spark: SparkSession, raw: dict[str, DataFrame], root: str, batch_id:
     ts = _dt.datetime.now(_dt.timezone.utc).isoformat()
     paths = {}
     for name in DATASETS:
-        df = sinks.stamp_lineage(raw[name], sources.get(name, f"{name}-feed"), ts)
+        df = sinks.stamp_lineage(sinks.stamp_record_index(raw[name]), sources.get(name, f"{name}-feed"), ts)
         paths[name] = sinks.write_bronze(df, root, name, batch_id)
     return {"batch_timestamp": ts, "paths": paths}
 
 
 def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
                  batch_id: str | None = None, warehouse: Warehouse | None = None,
-                 silver_formats=("parquet", "csv", "json")) -> dict:
+                 silver_formats=("parquet", "csv", "json"), window_rows: int | None = None) -> dict:
     """Run the whole batch; raise ``QualityGateError`` on FAIL (after the
     quality report was written) and ``IntegrityError`` before publishing a
-    state that breaks a constraint."""
+    state that breaks a constraint.  ``window_rows``: a bound on the clubs, if one is known, lets
+    the standings be numbered with a plain window."""
     t0 = time.time()
     ensure_checkpoint_dir(spark)  # stage 0: the session is usable
     batch_id = batch_id or uuid.uuid4().hex[:12]
@@ -51,62 +52,66 @@ def run_pipeline(spark: SparkSession, raw: dict[str, DataFrame], root: str,
     wh = warehouse or Warehouse(spark, f"{root}/gold")
 
     ing = ingest(spark, raw, f"{root}/bronze", batch_id)
-    bronze = {n: sinks.read_bronze(spark, p, RAW_SCHEMAS[n]) for n, p in ing["paths"].items()}
+    bronze = {n: sinks.read_bronze(spark, p, BRONZE_SCHEMAS[n]) for n, p in ing["paths"].items()}
 
     specs = league_audit_specs({n: df.columns for n, df in bronze.items()})
     audits = {n: audit_spec(bronze[n].drop(*LINEAGE), specs[n]) for n in DATASETS}
-    report = quality_report(list(audits.values())).persist()
-    report_path = sinks.write_quality_report(report, f"{root}/quality/batch_id={batch_id}")
-    status = gate(report)  # FAIL raises here, the report is already written
-    # ingestion counts come from the audit's metrics: no extra pass over bronze
-    details = report.select("dataset_details").first()["dataset_details"]
-    ing_counts = {d["dataset"]: d["source_count"] for d in details}
-
-    valid = {n: a.valid for n, a in audits.items()}
-    for n, df in valid.items():
-        require_rows(df, n)
-    ts = ing["batch_timestamp"]
-    matches = clean_matches(valid["matches"], ts, checks="eager")
-    silver = {
-        "clubs": clean_clubs(valid["clubs"], ts, checks="eager"),
-        "players": clean_players(valid["players"], ts, checks="eager"),
-        "matches": matches,
-    }
-    silver_paths = {}
-    for n, df in silver.items():
+    report = None
+    try:
+        report = quality_report(list(audits.values())).persist()
+        report_path = sinks.write_quality_report(report, f"{root}/quality/batch_id={batch_id}")
+        status = gate(report)  # FAIL raises here, the report is already written
+        # ingestion counts come from the audit's metrics: no extra pass over bronze
+        details = report.select("dataset_details").first()["dataset_details"]
+        ing_counts = {d["dataset"]: d["source_count"] for d in details}
+
+        valid = {n: a.valid for n, a in audits.items()}
+        for n, df in valid.items():
+            require_rows(df, n)
+        ts = ing["batch_timestamp"]
+        matches = clean_matches(valid["matches"], ts, checks="eager")
+        silver = {
+            "clubs": clean_clubs(valid["clubs"], ts, checks="eager"),
+            "players": clean_players(valid["players"], ts, checks="eager"),
+            "matches": matches,
+        }
+        silver_paths = {}
+        for n, df in silver.items():
+            for fmt in silver_formats:
+                silver_paths.setdefault(n, {})[fmt] = sinks.write_silver(df, f"{root}/silver/batch_id={batch_id}",
+                                                                         n, fmt)
+        # downstream steps read the written silver tables, not the lineage again
+        silver = {n: spark.read.parquet(p["parquet"]) for n, p in silver_paths.items()}
+        standings = clean_standings(valid["standings"], silver["matches"], ts, checks="eager", window_rows=window_rows)
         for fmt in silver_formats:
-            silver_paths.setdefault(n, {})[fmt] = sinks.write_silver(df, f"{root}/silver/batch_id={batch_id}",
-                                                                     n, fmt)
-    # downstream steps read the written silver tables, not the lineage again
-    silver = {n: spark.read.parquet(p["parquet"]) for n, p in silver_paths.items()}
-    standings = clean_standings(valid["standings"], silver["matches"], ts, checks="eager")
-    for fmt in silver_formats:
-        silver_paths.setdefault("standings", {})[fmt] = sinks.write_silver(
-            standings, f"{root}/silver/batch_id={batch_id}", "standings", fmt)
-    silver["standings"] = spark.read.parquet(silver_paths["standings"]["parquet"])
-    processed = {n: df.count() for n, df in silver.items()}
-
-    # gold: upsert every table against its current version, check, publish
-    batches = {n: silver[n].select(*CLEAN_COLUMNS[n]) for n in DATASETS}
-    published = wh.publish_upserts(batches)  # rewrites only the buckets each batch touches
-
-    for a in audits.values():
-        a.unpersist()
-    report_row = report.drop("dataset_details").first().asDict()
-    report.unpersist()
-    return {
-        "batch_id": batch_id,
-        "status": "SUCCESS",
-        "quality_status": status["status"],
-        "duration_seconds": round(time.time() - t0, 2),
-        "ingestion": {"batch_timestamp": ing["batch_timestamp"], "counts": ing_counts,
-                      "total_records": sum(ing_counts.values())},
-        "transformation": {"quality_report": report_path, "rows": processed,
-                           "total_processed_rows": sum(processed.values()), "paths": silver_paths},
-        "quality": report_row,
-        "load": {"version": published["version"], "counts": processed,
-                 "total_loaded": sum(processed.values())},
-    }
+            silver_paths.setdefault("standings", {})[fmt] = sinks.write_silver(
+                standings, f"{root}/silver/batch_id={batch_id}", "standings", fmt)
+        silver["standings"] = spark.read.parquet(silver_paths["standings"]["parquet"])
+        processed = {n: df.count() for n, df in silver.items()}
+
+        # gold: upsert every table against its current version, check, publish
+        batches = {n: silver[n].select(*CLEAN_COLUMNS[n]) for n in DATASETS}
+        published = wh.publish_upserts(batches)  # rewrites only the buckets each batch touches
+
+        report_row = report.drop("dataset_details").first().asDict()
+        return {
+            "batch_id": batch_id,
+            "status": "SUCCESS",
+            "quality_status": status["status"],
+            "duration_seconds": round(time.time() - t0, 2),
+            "ingestion": {"batch_timestamp": ing["batch_timestamp"], "counts": ing_counts,
+                          "total_records": sum(ing_counts.values())},
+            "transformation": {"quality_report": report_path, "rows": processed,
+                               "total_processed_rows": sum(processed.values()), "paths": silver_paths},
+            "quality": report_row,
+            "load": {"version": published["version"], "counts": processed,
+                     "total_loaded": sum(processed.values())},
+        }
+    finally:
+        for a in audits.values():
+            a.unpersist()
+        if report is not None:
+            report.unpersist()
 
 
 def idempotency_proof(spark: SparkSession, raw: dict[str, DataFrame], root: str, runs: int = 3,

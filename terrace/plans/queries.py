@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from terrace.functions.scalars import (normalise_position, result_label, score_label,
                                        signed_display, split_form, thousands, zone_badge)
-from terrace.operators.clean import clean_players
+from terrace.operators.clean import clean_clubs, clean_matches, clean_players, clean_standings
 from terrace.operators.form import last_n_form
-from terrace.operators.integrity import (check_violations, duplicate_keys, fk_violations,
+from terrace.operators.integrity import (check_violations, duplicate_keys, fk_report,
                                          integrity_report, not_null_counts, order_violations,
                                          pk_violations, rank_sequence)
 from terrace.operators.quality import audit_spec
@@ -25,10 +25,13 @@ from terrace.operators.upsert import (assign_surrogate_keys, cascade_delete, tab
 from terrace.plans import derive, lookups, views
 from terrace.plans import star_audits as SA
 from terrace.plans.star_audits import STAR_TABLE_SPECS
-from terrace.schemas import LEAGUE_TABLES
+from terrace.schemas import LEAGUE_TABLES, league_audit_specs
 from terrace.sources.sinks import batch_manifest
 from terrace.sources.tables import Tables
 
+#: Upper bound of the founded year in the registered query, so that its result does not depend on the day.
+CLEANER_MAX_YEAR = 2025
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -49,7 +52,7 @@ def longs(df: DataFrame) -> DataFrame:
 @register("league_table")
 def league_table(spark, sf_dir):
     lg = derive.league(spark, sf_dir)
-    return longs(views.league_table(lg.clubs, lg.standings))
+    return longs(views.league_table(lg.clubs, lg.standings, lg.window_rows))
 
 
 def _league(spark, sf_dir, **kw):
@@ -143,7 +146,7 @@ def position_normalise(spark, sf_dir):
 def zone_badges(spark, sf_dir):
     """P14, P15, P16 on the league table."""
     lg = _league(spark, sf_dir)
-    lt = views.league_table(lg.clubs, lg.standings)
+    lt = views.league_table(lg.clubs, lg.standings, lg.window_rows)
     return longs(lt.join(lg.clubs.select("club_id", "capacity"), "club_id").select(
         "club_id", "dynamic_rank", signed_display("goal_difference").alias("gd_display"),
         zone_badge("dynamic_rank").alias("zone"), thousands("capacity").alias("capacity_display")))
@@ -153,8 +156,8 @@ def zone_badges(spark, sf_dir):
 def rank_sequence_check(spark, sf_dir):
     """W7 + W8 on the league table, the standings and the full scorer ranking."""
     lg = _league(spark, sf_dir)
-    lt = views.league_table(lg.clubs, lg.standings)
-    sc = views.top_scorers_view(lg.players, lg.clubs, rank_method="range")
+    lt = views.league_table(lg.clubs, lg.standings, lg.window_rows)
+    sc = views.top_scorers_view(lg.players, lg.clubs)
     parts = [
         order_violations(lt, "dynamic_rank", "points").agg(F.count(F.lit(1)).alias("violations"))
         .select(F.lit("league_points_non_increasing").alias("check_name"), "violations"),
@@ -235,9 +238,8 @@ def _star_tables(spark, sf_dir) -> dict:
 
 
 def _fk_only(tables, specs):
-    parts = [fk_violations(tables[name], tables[fk.parent], name, fk.columns, fk.parent_columns, fk.name)
-             for name, spec in specs.items() if name in tables
-             for fk in spec.foreign_keys if fk.parent in tables]
+    parts = [fk_report(tables[name], name, spec.foreign_keys, tables) for name, spec in specs.items()
+             if name in tables and any(fk.parent in tables for fk in spec.foreign_keys)]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -408,14 +410,14 @@ def global_rank_scaled(spark, sf_dir):
     """DENSE_RANK over o_totalprice DESC on all orders without a
     single-partition window (range-partitioned numbering + offsets)."""
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_totalprice")
-    return global_rank(o, ["-o_totalprice"], out="price_rank", kind="dense_rank", method="range")
+    return global_rank(o, ["-o_totalprice"], out="price_rank", kind="dense_rank")
 
 
 @register("top_scorers_full")
 def top_scorers_full(spark, sf_dir):
     """V2 over every scorer with the scalable ROW_NUMBER."""
     lg = _league(spark, sf_dir)
-    return longs(views.top_scorers_view(lg.players, lg.clubs, rank_method="range"))
+    return longs(views.top_scorers_view(lg.players, lg.clubs))
 
 
 @register("top_scorers_sql")
@@ -435,11 +437,10 @@ def standings_surrogate_ids(spark, sf_dir):
     lg = _league(spark, sf_dir)
     st = lg.standings.select("club_id", "points")
     america = lg.clubs.where(F.col("city") == "AMERICA").select("club_id")
-    # one row per club: dimension-sized, so the plain window numbering (the
-    # operator's default "range" numbering is for fact-sized key sets)
+    # one row per club: the bound allows the plain window
     earlier = assign_surrogate_keys(None, st.join(america, "club_id", "left_semi"), "club_id",
-                                    method="window")
-    return longs(assign_surrogate_keys(earlier, st, "club_id", method="window"))
+                                    window_rows=lg.window_rows)
+    return longs(assign_surrogate_keys(earlier, st, "club_id", window_rows=lg.window_rows))
 
 
 @register("integrity_report")
@@ -458,3 +459,50 @@ def audit_issue_log(spark, sf_dir):
     return reduce(DataFrame.unionByName,
                   [a.issues.select(F.lit(a.name).alias("dataset"), "pk", "error")
                    for a in _star_audits(spark, sf_dir)])
+
+
+def _league_audits(spark, sf_dir):
+    raw = derive.dirty_batches(Tables(spark, sf_dir))
+    specs = league_audit_specs({n: df.columns for n, df in raw.items()})
+    return [audit_spec(df, specs[n], persist=False) for n, df in raw.items()]
+
+
+@register("league_audit_metrics")
+def league_audit_metrics(spark, sf_dir):
+    """Metrics of the four league batches with dirt."""
+    return reduce(DataFrame.unionByName, [a.metrics for a in _league_audits(spark, sf_dir)])
+
+
+@register("league_audit_issues")
+def league_audit_issues(spark, sf_dir):
+    """Q6: every issue of every rejected league record (dataset, record_index, pk, error)."""
+    return reduce(DataFrame.unionByName,
+                  [a.issues.select(F.lit(a.name).alias("dataset"), "record_index", "pk", "error")
+                   for a in _league_audits(spark, sf_dir)])
+
+
+@register("league_quarantine")
+def league_quarantine(spark, sf_dir):
+    """Q5: the rejected players as they came, with their reasons in order and their place in the batch."""
+    players = _league_audits(spark, sf_dir)[1]
+    return longs(players.rejected.select(
+        "player_id", "name", "jersey_number", "appearances", "goals", "assists",
+        F.array_join("_rejection_reasons", "; ").alias("reasons"), F.col("_record_index").alias("record_index")))
+
+
+@register("league_first_wins")
+def league_first_wins(spark, sf_dir):
+    """The players that pass, one per key: where a key repeats with conflicting values, the
+    record that came first is the one that counts, good or bad."""
+    return longs(_league_audits(spark, sf_dir)[1].valid.select("player_id", "appearances", "goals"))
+
+
+@register("cleaner_assertions")
+def cleaner_assertions(spark, sf_dir):
+    """Q40-Q46: each cleaner assertion with its violations on the league batches with dirt."""
+    raw = derive.dirty_batches(Tables(spark, sf_dir))
+    parts = [clean_clubs(raw["clubs"], checks="count", max_year=CLEANER_MAX_YEAR).select(F.lit("clubs").alias("dataset"), "*"),
+             clean_players(raw["players"], checks="count").select(F.lit("players").alias("dataset"), "*"),
+             clean_matches(raw["matches"], checks="count").select(F.lit("matches").alias("dataset"), "*"),
+             clean_standings(raw["standings"], checks="count").select(F.lit("standings").alias("dataset"), "*")]
+    return reduce(DataFrame.unionByName, parts)

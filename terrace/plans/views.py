@@ -2,16 +2,17 @@
 temp-view lifecycle (V4, V5).
 
 Views are functions over the *current* tables: calling them again after a new
-table version is published re-resolves the inputs (V9).
+table version is published re-resolves the inputs (V9).  The registered temp views
+are lazy: creating them runs no job, and every query ranks what the tables hold then.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import scalars as S
-from terrace.operators.ranking import global_rank, order_columns, top_k_ranked
+from terrace.operators.ranking import global_rank, order_columns, parse_order, top_k_ranked
 
 LEAGUE_RANK_ORDER = ["-points", "-goal_difference", "-goals_for", "goals_against"]
 SCORER_ORDER = ["-goals", "-assists", "appearances", "player_id"]
@@ -19,21 +20,26 @@ SCORER_ORDER = ["-goals", "-assists", "appearances", "player_id"]
 VIEW_NAMES = ("vw_league_table", "vw_top_scorers", "vw_club_analytics")
 
 
-def league_table(clubs: DataFrame, standings: DataFrame, rank_method: str = "window") -> DataFrame:
-    """V1: standings INNER JOIN clubs, DENSE_RANK over the 4 league keys (full ties
-    share a rank).  One row per club; ``rank_method="range"`` for huge tables."""
+LEAGUE_COLUMNS = ("dynamic_rank", "club_id", "club_name", "short_name", "stadium", "primary_color", "played", "won",
+                  "drawn", "lost", "goals_for", "goals_against", "goal_difference", "points", "points_per_game",
+                  "win_percentage", "form")
+
+
+def _league_base(clubs: DataFrame, standings: DataFrame) -> DataFrame:
     c = clubs.select("club_id", F.col("name").alias("club_name"), "short_name", "stadium",
                      "primary_color")
     s = standings.select("club_id", "played", "won", "drawn", "lost", "goals_for",
                          "goals_against", "goal_difference", "points", "points_per_game",
                          "win_percentage", "form")
-    joined = s.join(c, "club_id", "inner")
-    ranked = global_rank(joined, LEAGUE_RANK_ORDER, out="dynamic_rank", kind="dense_rank",
-                         method=rank_method)
-    return ranked.select("dynamic_rank", "club_id", "club_name", "short_name", "stadium",
-                         "primary_color", "played", "won", "drawn", "lost", "goals_for",
-                         "goals_against", "goal_difference", "points", "points_per_game",
-                         "win_percentage", "form")
+    return s.join(c, "club_id", "inner")
+
+
+def league_table(clubs: DataFrame, standings: DataFrame, window_rows: int | None = None) -> DataFrame:
+    """V1: standings INNER JOIN clubs, DENSE_RANK over the 4 league keys (full ties
+    share a rank).  ``window_rows``: a bound on the clubs allows the plain window."""
+    ranked = global_rank(_league_base(clubs, standings), LEAGUE_RANK_ORDER, out="dynamic_rank", kind="dense_rank",
+                         window_rows=window_rows)
+    return ranked.select(*LEAGUE_COLUMNS)
 
 
 def _scorers_base(players: DataFrame, clubs: DataFrame) -> DataFrame:
@@ -51,12 +57,12 @@ SCORER_COLUMNS = ("scorer_rank", "player_id", "player_name", "club_name", "club_
                   "goals", "assists", "goal_contributions", "goals_per_game")
 
 
-def top_scorers_view(players: DataFrame, clubs: DataFrame, rank_method: str = "range") -> DataFrame:
+def top_scorers_view(players: DataFrame, clubs: DataFrame, window_rows: int | None = None) -> DataFrame:
     """V2 over all scorers: ROW_NUMBER by goals DESC, assists DESC, appearances ASC,
     player_id ASC (the last key makes full ties deterministic)."""
-    # the order ends with player_id, the primary key: keys are unique
+    # the order ends with player_id, the primary key; the numbering checks that it does not repeat
     ranked = global_rank(_scorers_base(players, clubs), SCORER_ORDER, out="scorer_rank",
-                         kind="row_number", method=rank_method, keys_unique=True)
+                         kind="row_number", window_rows=window_rows, keys_unique=True)
     return ranked.select(*SCORER_COLUMNS)
 
 
@@ -113,8 +119,8 @@ def club_squad_only(clubs: DataFrame, players: DataFrame) -> DataFrame:
 
 
 # V6-V8: ordered queries over the views
-def query_league_table(clubs, standings) -> DataFrame:
-    return league_table(clubs, standings).orderBy("dynamic_rank", "club_id")
+def query_league_table(clubs, standings, window_rows: int | None = None) -> DataFrame:
+    return league_table(clubs, standings, window_rows).orderBy("dynamic_rank", "club_id")
 
 
 def query_top_scorers(players, clubs, limit: int = 10) -> DataFrame:
@@ -125,37 +131,56 @@ def query_club_analytics(clubs, players, standings) -> DataFrame:
     return club_analytics(clubs, players, standings).orderBy("league_position", "club_id")
 
 
+_SCORER_SQL_ORDER = ", ".join(f"{c} {'ASC' if asc else 'DESC'}" for c, asc in parse_order(SCORER_ORDER))
+
+
 def query_top_scorers_sql(spark: SparkSession, limit: int = 10) -> DataFrame:
-    """V7 through the SQL API with a bound parameter (F10) on the temp view."""
+    """V7 through the SQL API with a bound parameter (F10): the first ``limit`` of the unranked view
+    (per-partition top-k), numbered afterwards, so that only ``limit`` rows meet in one task (X2)."""
     if not 1 <= int(limit) <= 50:
         raise ValueError("limit must be between 1 and 50")
-    return spark.sql("SELECT * FROM vw_top_scorers ORDER BY scorer_rank ASC LIMIT :limit",
-                     args={"limit": int(limit)})
+    rest = ", ".join(c for c in SCORER_COLUMNS if c != "scorer_rank")
+    return spark.sql(f"""
+        SELECT row_number() OVER (ORDER BY {_SCORER_SQL_ORDER}) AS scorer_rank, {rest}
+        FROM (SELECT * FROM {SCORERS_VIEW} ORDER BY {_SCORER_SQL_ORDER} LIMIT :limit)
+        ORDER BY scorer_rank""", args={"limit": int(limit)})
+
+
+#: The scorers without a rank, which the bounded query reads.
+SCORERS_VIEW = "vw_scorers_unranked"
 
 
 def create_views(spark: SparkSession, clubs, players, standings) -> list[str]:
-    """V4: create or replace the three views as temp views (replace semantics)."""
-    league_table(clubs, standings).createOrReplaceTempView("vw_league_table")
-    top_scorers_view(players, clubs).createOrReplaceTempView("vw_top_scorers")
+    """V4: create or replace the three views as temp views (replace semantics).  Nothing runs here.
+
+    ``vw_league_table`` and ``vw_top_scorers`` rank with a plain window, in one task, when they are
+    read whole; for fact-sized tables take ``top_scorers_view`` (scalable, eager) or the bounded query.
+    """
+    league = _league_base(clubs, standings).withColumn(
+        "dynamic_rank", F.dense_rank().over(Window.orderBy(*order_columns(LEAGUE_RANK_ORDER))).cast("long"))
+    league.select(*LEAGUE_COLUMNS).createOrReplaceTempView("vw_league_table")
+    base = _scorers_base(players, clubs)
+    base.createOrReplaceTempView(SCORERS_VIEW)
+    base.withColumn("scorer_rank", F.row_number().over(Window.orderBy(*order_columns(SCORER_ORDER))).cast("long")) \
+        .select(*SCORER_COLUMNS).createOrReplaceTempView("vw_top_scorers")
     club_analytics(clubs, players, standings).createOrReplaceTempView("vw_club_analytics")
     return list(VIEW_NAMES)
 
 
 def drop_views(spark: SparkSession) -> None:
     """V5: idempotent drop."""
-    for v in VIEW_NAMES:
+    for v in (*VIEW_NAMES, SCORERS_VIEW):
         spark.catalog.dropTempView(v)
 
 
-def order_by_keys(df: DataFrame, order: list[str]) -> DataFrame:
-    return df.orderBy(*order_columns(order))
-
-
 # Columns each view must expose.
 REQUIRED_VIEW_COLUMNS = {
-    "vw_league_table": ["dynamic_rank", "club_id", "club_name", "points", "goal_difference", "form"],
-    "vw_top_scorers": ["scorer_rank", "player_id", "player_name", "club_name", "goals", "assists"],
-    "vw_club_analytics": ["club_id", "club_name", "squad_size", "squad_goals", "league_position"],
+    "vw_league_table": ["dynamic_rank", "club_name", "short_name", "played", "won", "drawn", "lost", "goals_for",
+                        "goals_against", "goal_difference", "points"],
+    "vw_top_scorers": ["scorer_rank", "player_name", "club_name", "club_short_name", "appearances", "goals", "assists",
+                       "goal_contributions"],
+    "vw_club_analytics": ["club_id", "club_name", "short_name", "squad_size", "squad_goals", "squad_assists",
+                          "avg_player_appearances", "league_position", "points", "goal_difference"],
 }
 
 

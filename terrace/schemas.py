@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.functions import scalars as S
-from terrace.operators.quality import AuditSpec, Rule
+from terrace.operators.quality import RECORD_INDEX, AuditSpec, Rule
 
 L, I, D, STR = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType()
 
@@ -37,6 +37,9 @@ RAW_SCHEMAS = {
                          ("_ingested_at", STR), ("_source", STR)),
 }
 
+#: Bronze batches: the raw columns and the place of the record in its batch.
+BRONZE_SCHEMAS = {n: T.StructType(s.fields + [T.StructField(RECORD_INDEX, L)]) for n, s in RAW_SCHEMAS.items()}
+
 CLEAN_COLUMNS = {
     "clubs": ["club_id", "name", "short_name", "stadium", "capacity", "city", "founded_year",
               "primary_color", "transformed_at"],
@@ -108,22 +111,24 @@ def standings_rules(columns) -> list[Rule]:
 
 
 def league_audit_specs(columns_by_dataset: dict[str, list[str]]) -> dict[str, AuditSpec]:
-    """Q12: key and required fields per dataset."""
+    """Q12: key and required fields per dataset (fixed values); records come in the order of the index that
+    ingestion stamped (W6)."""
     cols = columns_by_dataset
+    order = [RECORD_INDEX]
     return {
         "clubs": AuditSpec("clubs", "club_id",
-                           ["club_id", "name", "short_name", "stadium", "capacity", "city"],
-                           club_rules(cols["clubs"])),
+                           ["club_id", "name", "short_name", "stadium", "capacity", "founded_year"],
+                           club_rules(cols["clubs"]), order),
         "players": AuditSpec("players", "player_id",
                              ["player_id", "club_id", "name", "position", "jersey_number"],
-                             player_rules(cols["players"])),
+                             player_rules(cols["players"]), order),
         "matches": AuditSpec("matches", "match_id",
                              ["match_id", "gameweek", "home_club_id", "away_club_id", "raw_score"],
-                             match_rules(cols["matches"])),
+                             match_rules(cols["matches"]), order),
         "standings": AuditSpec("standings", "club_id",
                                ["club_id", "played", "won", "drawn", "lost", "goals_for",
                                 "goals_against", "points"],
-                               standings_rules(cols["standings"])),
+                               standings_rules(cols["standings"]), order),
     }
 
 
@@ -144,7 +149,15 @@ class TableSpec:
     not_null: list[str] = field(default_factory=list)
     checks: dict[str, str] = field(default_factory=dict)  # name -> SQL boolean expression
     foreign_keys: list[ForeignKey] = field(default_factory=list)
-    defaults: dict[str, object] = field(default_factory=dict)
+    defaults: dict[str, object] = field(default_factory=dict)  # applied by ``with_defaults`` (I15)
+
+
+def with_defaults(df, spec: TableSpec):
+    """The declared defaults where the column is absent from ``df`` or null."""
+    for column, value in spec.defaults.items():
+        c = F.col(column) if column in df.columns else F.lit(None)
+        df = df.withColumn(column, F.coalesce(c, F.lit(value)))
+    return df
 
 
 LEAGUE_TABLES = {

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -43,7 +44,8 @@ def get_spark(master: str | None = None, app: str = "terrace",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+    where = master or SparkConf().get("spark.master", "local[*]")
+    conf = dict(DEFAULT_CONF if where.startswith("local") else CLUSTER_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -58,7 +60,8 @@ def get_spark(master: str | None = None, app: str = "terrace",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when nothing is configured (local tests) a scratch folder is created.
+    A scratch folder is made only where nothing is configured and the master is local (tests): on a
+    cluster the executors could not read the driver's folder, so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="terrace-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -83,3 +88,9 @@ def materialize(df, name: str = "table"):
     path = f"{root}/terrace-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def discard_tables(spark: SparkSession) -> None:
+    """Delete what ``materialize`` wrote under the session's checkpoint folder, once nothing reads it any more."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/terrace-tables")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

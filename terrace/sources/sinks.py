@@ -7,10 +7,13 @@ from __future__ import annotations
 import datetime as _dt
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.operators.quality import RECORD_INDEX
+
 
 def stamp_lineage(df: DataFrame, source: str, ingested_at: str | None = None) -> DataFrame:
     """One batch timestamp and a source label on every record."""
@@ -18,6 +21,12 @@ def stamp_lineage(df: DataFrame, source: str, ingested_at: str | None = None) ->
     return df.withColumn("_ingested_at", F.lit(ts)).withColumn("_source", F.lit(source))
 
 
+def stamp_record_index(df: DataFrame) -> DataFrame:
+    """The place of each record in its batch, in the order of the input's partitions.  To be called once, on
+    what is written: the index is then read back, never made again."""
+    return df.withColumn(RECORD_INDEX, F.monotonically_increasing_id())
+
+
 def write_bronze(df: DataFrame, root: str, dataset: str, batch_id: str) -> str:
     """Raw batch as JSON lines under <root>/<dataset>_raw/batch_id=<id>."""
     path = f"{root.rstrip('/')}/{dataset}_raw/batch_id={batch_id}"
@@ -91,5 +100,12 @@ def read_quality_report(spark: SparkSession, path: str) -> DataFrame:
     """Typed error when no report exists yet."""
     try:
         return spark.read.json(path)
-    except Exception as e:  # noqa: BLE001
+    except AnalysisException as e:
+        if not path_missing(e):
+            raise
         raise ReportNotGenerated("Quality report has not been generated yet.") from e
+
+
+def path_missing(e: AnalysisException) -> bool:
+    """True if a read failed because its path does not exist (and not, say, for want of permission)."""
+    return e.getCondition() == "PATH_NOT_FOUND"

@@ -19,18 +19,15 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._scans: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in STAR_TABLES:
             raise AttributeError(name)
-        # The scan DataFrame (file listing + footer schema) is reused per session
-        # and path; it holds no data, so reuse is safe and saves driver time.
-        cache = self.spark.__dict__.setdefault("_terrace_scans", {})  # lives with the session
-        key = (self.sf_dir, name)
-        df = cache.get(key)
+        # kept for this accessor only: another one lists the files anew
+        df = self._scans.get(name)
         if df is None:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            cache[key] = df
+            df = self._scans[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return df
 
     def __getitem__(self, name: str) -> DataFrame:

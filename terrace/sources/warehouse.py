@@ -3,30 +3,33 @@
 Layout under ``root`` (a shared folder -- on a cluster the one named by
 ``spark.checkpoint.dir`` or any distributed path)::
 
-    <table>/v=<version>/terrace_bucket=<b>/part-*.parquet   immutable files
-    _versions/v=<version>/part-*.json                       one-row manifest per publish
+    <table>/<version>-<attempt>/terrace_bucket=<b>/part-*.parquet   immutable files
+    _versions/attempt=<version>-<attempt>/part-*.json               one-row manifest per publish
 
-Rows are spread over ``buckets`` hash buckets of the primary key
-(``pmod(xxhash64(key), buckets)``, written with ``partitionBy``).  A table in
-the manifest is its schema plus a short list of *layers* ``(version, buckets)``:
+Rows are spread over hash buckets of the primary key (``pmod(xxhash64(key), buckets)``, written
+with ``partitionBy``); how many is decided at a table's first write and kept in the manifest.
+A table in the manifest is its schema plus a list of *layers* ``(folder, buckets)``:
 a full write covers every bucket, an upsert layer covers only the buckets its
 batch touched.  Reading a table is a union of partition-pruned scans, one per
 layer, each keeping only the buckets no later layer replaced.  So an upsert
-rewrites the touched buckets only -- the cost follows the batch, not the table
--- and after ``max_layers`` upserts the table is compacted into one layer.
+rewrites the touched buckets only -- the cost follows the batch, not the table.
+``compact`` writes a table anew as one layer; it is a call of its own and never part of a load.
 
 A batch stages every new file set first, runs the integrity checks against the
 staged state, and only then writes the manifest: readers that resolve the
-newest manifest never see a half-loaded batch, a failed batch leaves the old
-state current, and nothing is overwritten while being read.
+newest manifest never see a half-loaded batch, and a failed batch leaves the old
+state current.  Every attempt writes to folders of its own, so what a rejected batch
+left behind is never read and never in the way of the next one.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,11 +37,13 @@ from pyspark.sql import types as T
 from terrace.operators.integrity import duplicate_keys, integrity_report
 from terrace.operators.upsert import check_batch_keys, upsert
 from terrace.schemas import LEAGUE_TABLES, LOAD_ORDER
+from terrace.sources.sinks import path_missing
 
 BUCKET = "terrace_bucket"
-_LAYER = T.StructType([T.StructField("version", T.LongType()),
+_LAYER = T.StructType([T.StructField("folder", T.StringType()),
                        T.StructField("buckets", T.ArrayType(T.IntegerType()))])
 _ENTRY = T.StructType([T.StructField("schema", T.StringType()),
+                       T.StructField("buckets", T.IntegerType()),
                        T.StructField("layers", T.ArrayType(_LAYER))])
 _MANIFEST = T.StructType([
     T.StructField("version", T.LongType()),
@@ -52,47 +57,52 @@ class IntegrityError(RuntimeError):
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, root: str, specs=None, buckets: int = 16,
-                 max_layers: int = 8, files_per_bucket: int = 1):
+    def __init__(self, spark: SparkSession, root: str, specs=None, buckets: int = 16):
         self.spark = spark
         self.root = root.rstrip("/")
         self.specs = specs or LEAGUE_TABLES
-        self.buckets = int(buckets)
-        self.max_layers = int(max_layers)
-        self.files_per_bucket = max(1, int(files_per_bucket))
+        self.buckets = int(buckets)  # of tables written for the first time
 
     # -- manifest --------------------------------------------------------
     def current(self) -> dict:
         try:
-            m = self.spark.read.schema(_MANIFEST).json(f"{self.root}/_versions")
+            m = self.spark.read.schema(_MANIFEST).option("mode", "FAILFAST").json(f"{self.root}/_versions")
             row = m.orderBy(F.col("version").desc()).limit(1).collect()
-        except Exception:  # noqa: BLE001 -- nothing published yet
-            row = []
+        except AnalysisException as e:
+            if not path_missing(e):
+                raise
+            row = []  # nothing published yet
         if not row:
             return {"version": 0, "tables": {}}
-        tables = {k: {"schema": e["schema"],
-                      "layers": [(int(l["version"]), None if l["buckets"] is None else list(l["buckets"]))
+        tables = {k: {"schema": e["schema"], "buckets": int(e["buckets"]),
+                      "layers": [(l["folder"], None if l["buckets"] is None else list(l["buckets"]))
                                  for l in e["layers"]]}
                   for k, e in (row[0]["tables"] or {}).items()}
         return {"version": int(row[0]["version"]), "tables": tables}
 
-    def _write_manifest(self, version: int, tables: dict) -> None:
+    def _attempt(self) -> tuple[dict, int, str]:
+        """The current state, the next version and the name of this attempt's folders."""
+        cur = self.current()
+        version = cur["version"] + 1
+        return cur, version, f"{version}-{uuid.uuid4().hex[:12]}"
+
+    def _write_manifest(self, version: int, attempt: str, tables: dict) -> None:
         row = [(version, _dt.datetime.now(_dt.timezone.utc).isoformat(),
-                {k: (e["schema"], [(v, b) for v, b in e["layers"]]) for k, e in tables.items()})]
+                {k: (e["schema"], e["buckets"], list(e["layers"])) for k, e in tables.items()})]
         self.spark.createDataFrame(row, _MANIFEST).coalesce(1).write.mode("error") \
-            .json(f"{self.root}/_versions/v={version}")
+            .json(f"{self.root}/_versions/attempt={attempt}")
 
     # -- reading ---------------------------------------------------------
-    def _path(self, table: str, version: int) -> str:
-        return f"{self.root}/{table}/v={version}"
+    def _path(self, table: str, folder: str) -> str:
+        return f"{self.root}/{table}/{folder}"
 
     def _read_entry(self, table: str, entry: dict) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
         full = T.StructType(schema.fields + [T.StructField(BUCKET, T.IntegerType())])
         parts = []
         later: set[int] = set()
-        for version, buckets in reversed(entry["layers"]):
-            df = self.spark.read.schema(full).parquet(self._path(table, version))
+        for folder, buckets in reversed(entry["layers"]):
+            df = self.spark.read.schema(full).parquet(self._path(table, folder))
             if buckets is None:
                 df = df.where(~F.col(BUCKET).isin(sorted(later))) if later else df
             else:
@@ -122,30 +132,26 @@ class Warehouse:
         return {t: self._read_entry(t, e) for t, e in cur["tables"].items()}
 
     # -- writing ---------------------------------------------------------
-    def _bucket(self, table: str):
+    def _bucket(self, table: str, buckets: int):
         spec = self.specs.get(table)
-        if spec is None or self.buckets <= 1:
+        if spec is None or buckets <= 1:
             return F.lit(0)
-        return F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key]), F.lit(buckets)).cast("int")
 
-    def _write(self, table: str, df: DataFrame, version: int) -> None:
-        """One hash exchange on (bucket, sub-bucket) before ``partitionBy``: each
-        task writes about one file, instead of every task writing a small file
-        into every bucket (tasks x buckets files)."""
-        out = df.withColumn(BUCKET, self._bucket(table))
-        spec = self.specs.get(table)
-        if spec is not None and self.files_per_bucket > 1:
-            sub = F.pmod(F.xxhash64(*[F.col(k) for k in spec.primary_key], F.lit("sub")),
-                         F.lit(self.files_per_bucket))
-            out = out.repartition(self.buckets * self.files_per_bucket, F.col(BUCKET), sub)
-        elif spec is not None and self.buckets > 1:
-            out = out.repartition(self.buckets, F.col(BUCKET))
-        # a table without a key spec is one bucket: written as it comes
-        out.write.mode("error").partitionBy(BUCKET).parquet(self._path(table, version))
+    def _write(self, table: str, df: DataFrame, folder: str, buckets: int) -> None:
+        """A rebalancing exchange on the bucket before ``partitionBy``: every task writes to few
+        buckets, and AQE makes as many tasks of a bucket as its size asks for."""
+        out = df.withColumn(BUCKET, self._bucket(table, buckets)).hint("rebalance", F.col(BUCKET))
+        out.write.mode("error").partitionBy(BUCKET).parquet(self._path(table, folder))
 
     def _ordered(self, names):
         return [t for t in LOAD_ORDER if t in names] + [t for t in names if t not in LOAD_ORDER]
 
+    def _whole(self, table: str, df: DataFrame, folder: str, buckets: int) -> dict:
+        """Write ``df`` as the only layer of ``table``; the table's new manifest entry."""
+        self._write(table, df, folder, buckets)
+        return {"schema": df.schema.json(), "buckets": buckets, "layers": [(folder, None)]}
+
     def publish(self, new_tables: dict[str, DataFrame], check: bool = True,
                 batches: dict[str, DataFrame] | None = None) -> dict:
         """M4/M7: write whole new versions of ``new_tables``, check, then publish.
@@ -153,22 +159,19 @@ class Warehouse:
         With ``batches`` only those rows are checked (see ``_check``); without
         it the whole staged state is checked.
         """
-        cur = self.current()
-        version = cur["version"] + 1
+        cur, version, attempt = self._attempt()
         staged = dict(cur["tables"])
         for name in self._ordered(new_tables):
-            self._write(name, new_tables[name], version)
-            staged[name] = {"schema": new_tables[name].schema.json(), "layers": [(version, None)]}
+            staged[name] = self._whole(name, new_tables[name], attempt, self.buckets)
         if check:
             self._check(staged, batches)
-        self._write_manifest(version, staged)
+        self._write_manifest(version, attempt, staged)
         return {"version": version, "tables": sorted(staged)}
 
     def publish_upserts(self, batches: dict[str, DataFrame], check: bool = True) -> dict:
         """M1 + M4: merge each batch by primary key, rewriting only the buckets it
         touches; all tables of the call become visible together or not at all."""
-        cur = self.current()
-        version = cur["version"] + 1
+        cur, version, attempt = self._attempt()
         staged = dict(cur["tables"])
         for name in self._ordered(batches):
             key = self.specs[name].primary_key
@@ -176,25 +179,28 @@ class Warehouse:
             check_batch_keys(b, key, name)  # M2
             entry = staged.get(name)
             if entry is None:
-                self._write(name, b, version)
-                staged[name] = {"schema": b.schema.json(), "layers": [(version, None)]}
+                staged[name] = self._whole(name, b, attempt, self.buckets)
                 continue
+            buckets = entry["buckets"]
+            bucket = self._bucket(name, buckets)
             b = b.select(*T.StructType.fromJson(json.loads(entry["schema"])).names)
-            if len(entry["layers"]) >= self.max_layers:  # compaction: one full layer
-                merged = upsert(self._read_entry(name, entry), b, key, check_keys=False)
-                self._write(name, merged, version)
-                staged[name] = {"schema": entry["schema"], "layers": [(version, None)]}
-                continue
             # touched buckets: at most ``buckets`` small ints reach the driver
-            touched = sorted(r[0] for r in b.select(self._bucket(name).alias("b")).distinct().collect())
-            current_part = self._read_entry(name, entry) \
-                .where(self._bucket(name).isin(touched))
-            merged = upsert(current_part, b, key, check_keys=False)
-            self._write(name, merged, version)
-            staged[name] = {"schema": entry["schema"], "layers": entry["layers"] + [(version, touched)]}
+            touched = sorted(r[0] for r in b.select(bucket.alias("b")).distinct().collect())
+            current_part = self._read_entry(name, entry).where(bucket.isin(touched))
+            self._write(name, upsert(current_part, b, key, check_keys=False), attempt, buckets)
+            staged[name] = dict(entry, layers=entry["layers"] + [(attempt, touched)])
         if check:
             self._check(staged, batches)
-        self._write_manifest(version, staged)
+        self._write_manifest(version, attempt, staged)
+        return {"version": version, "tables": sorted(staged)}
+
+    def compact(self, table: str, buckets: int | None = None) -> dict:
+        """Write ``table`` anew as one layer, in ``buckets`` buckets if given; the content stays."""
+        cur, version, attempt = self._attempt()
+        entry = cur["tables"][table]
+        staged = dict(cur["tables"])
+        staged[table] = self._whole(table, self._read_entry(table, entry), attempt, buckets or entry["buckets"])
+        self._write_manifest(version, attempt, staged)
         return {"version": version, "tables": sorted(staged)}
 
     def _check(self, staged: dict, batches: dict[str, DataFrame] | None) -> None:
@@ -227,12 +233,11 @@ class Warehouse:
 
     def drop(self, table: str) -> dict:
         """M7: a new version without ``table`` (files of old versions stay)."""
-        cur = self.current()
+        cur, version, attempt = self._attempt()
         if table not in cur["tables"]:
             return {"version": cur["version"], "tables": sorted(cur["tables"])}
-        version = cur["version"] + 1
         staged = {k: v for k, v in cur["tables"].items() if k != table}
-        self._write_manifest(version, staged)
+        self._write_manifest(version, attempt, staged)
         return {"version": version, "tables": sorted(staged)}
 
     def diagnostics(self, expected_columns: dict[str, list[str]] | None = None) -> DataFrame:

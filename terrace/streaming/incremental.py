@@ -13,12 +13,15 @@ quarantine (overwritten if the epoch is replayed).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from terrace.operators.clean import clean_clubs, clean_matches, clean_players
-from terrace.operators.quality import audit_spec
+from terrace.operators.quality import RECORD_INDEX, audit_spec
 from terrace.schemas import CLEAN_COLUMNS, RAW_SCHEMAS, league_audit_specs
 from terrace.session import ensure_checkpoint_dir
+from terrace.sources.sinks import stamp_record_index
 from terrace.sources.warehouse import Warehouse
 
 _CLEANERS = {"clubs": clean_clubs, "players": clean_players, "matches": clean_matches}
@@ -29,7 +32,8 @@ def micro_batch_upsert(dataset: str, warehouse: Warehouse, quarantine: str | Non
     def fn(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        raw = batch.drop("_ingested_at", "_source")
+        # pinned once: all reads of the micro-batch see the same record index
+        raw = stamp_record_index(batch.drop("_ingested_at", "_source", RECORD_INDEX)).persist()
         spec = league_audit_specs({n: raw.columns if n == dataset else [] for n in
                                    ("clubs", "players", "matches", "standings")})[dataset]
         res = audit_spec(raw, spec)
@@ -42,19 +46,24 @@ def micro_batch_upsert(dataset: str, warehouse: Warehouse, quarantine: str | Non
             warehouse.publish_upserts({dataset: clean})  # touched buckets only
         finally:
             res.unpersist()
+            raw.unpersist()
     return fn
 
 
 def start_incremental_load(spark: SparkSession, landing: str, dataset: str, warehouse: Warehouse,
                            quarantine: str | None = None, available_now: bool = True,
-                           max_files_per_trigger: int | None = None):
-    """Start the stream; ``available_now`` processes what has landed, then stops."""
+                           max_files_per_trigger: int | None = None, name: str | None = None):
+    """Start the stream; ``available_now`` processes what has landed, then stops.
+
+    The checkpoint folder bears ``name``, or else a digest of dataset and landing folder: a restart, also in
+    another process, goes on where the stream stopped."""
+    name = name or f"{dataset}-{hashlib.sha256(landing.rstrip('/').encode()).hexdigest()[:16]}"
     ckpt = ensure_checkpoint_dir(spark).rstrip("/")
     reader = spark.readStream.schema(RAW_SCHEMAS[dataset])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing)
     w = (stream.writeStream.foreachBatch(micro_batch_upsert(dataset, warehouse, quarantine))
-         .option("checkpointLocation", f"{ckpt}/stream-{dataset}-{abs(hash(landing)) % 10**8}"))
+         .option("checkpointLocation", f"{ckpt}/stream-{name}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
     return w.start()

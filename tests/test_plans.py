@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from terrace.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -34,7 +35,7 @@ def test_global_rank_scaled_has_no_single_partition_exchange(spark):
 
 
 def test_no_row_at_a_time_python_udf(spark):
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         p = plan(q(spark, SF))
         assert "BatchEvalPython" not in p, name
 
@@ -47,6 +48,46 @@ def test_scan_prunes_columns(spark):
 
 
 def test_no_cross_or_nested_loop_join_anywhere(spark):
-    for name, q in E.queries().items():
+    for name, q in QUERIES.items():
         p = plan(q(spark, SF))
         assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p, name
+
+
+@pytest.mark.parametrize("name", ["audit_metrics", "quality_report", "audit_first_wins", "club_detail_counts", "league_audit_metrics"])
+def test_audits_aggregate_by_hash(spark, name):
+    assert "SortAggregate" not in plan(QUERIES[name](spark, SF))
+
+
+def test_first_rows_are_cut_down_before_the_shuffle(spark):
+    assert "WindowGroupLimit" in plan(QUERIES["audit_issue_log"](spark, SF))
+
+
+def test_integrity_report_reads_each_table_once_per_check_pass(spark):
+    p = plan(QUERIES["integrity_report"](spark, SF))
+    assert p.count("orders.parquet") <= 6 and p.count("FileScan parquet") <= 40, p.count("FileScan parquet")
+
+
+LEAGUE = ["league_table", "league_table_rint", "standings_position", "club_analytics", "club_form_last5", "form_letter_counts",
+          "zone_badges", "table_counts", "fk_violations", "check_violations", "not_null_report", "cascade_delete",
+          "club_detail_counts", "top_scorers_sql", "standings_surrogate_ids", "integrity_report"]
+
+
+def test_league_queries_write_nothing(spark):
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = sorted(os.walk(folder))
+    for name in LEAGUE:
+        QUERIES[name](spark, SF).count()
+    assert sorted(os.walk(folder)) == before
+
+
+def test_one_plan_for_every_size(spark):
+    """Operators only: sizes change what AQE does when it runs, not what is asked for."""
+    import re
+    shapes = [re.sub(r"#\d+L?|sf[0-9.]+|\[plan_id=\d+\]|\d+", "", QUERIES["standings_position"](spark, d)
+                     ._jdf.queryExecution().optimizedPlan().toString()) for d in (SF, SF.replace("0.001", "0.1"))]
+    assert shapes[0].replace("parquet", "") == shapes[1].replace("parquet", "")
+
+
+def test_sql_top_k_takes_the_rows_first(spark):
+    p = plan(QUERIES["top_scorers_sql"](spark, SF))
+    assert "TakeOrderedAndProject" in p and "terrace-tables" not in p

@@ -16,8 +16,8 @@ def skewed(spark, n=3000):
 @pytest.mark.parametrize("order", [["-a", "b"], ["a"], ["b", "-a"]])
 def test_range_rank_equals_window(spark, kind, order):
     d = skewed(spark)
-    w = global_rank(d, order, out="r", kind=kind, method="window")
-    r = global_rank(d, order, out="r", kind=kind, method="range", num_partitions=5)
+    w = global_rank(d, order, out="r", kind=kind, window_rows=10**6)
+    r = global_rank(d, order, out="r", kind=kind, num_partitions=5)
     assert r.count() == d.count()
     assert w.exceptAll(r).isEmpty() and r.exceptAll(w).isEmpty()
 
@@ -25,14 +25,14 @@ def test_range_rank_equals_window(spark, kind, order):
 def test_range_row_number_with_total_order(spark):
     d = skewed(spark)
     order = ["-a", "b", "id"]
-    w = global_rank(d, order, out="r", kind="row_number", method="window")
-    r = global_rank(d, order, out="r", kind="row_number", method="range", num_partitions=7)
+    w = global_rank(d, order, out="r", kind="row_number", window_rows=10**6)
+    r = global_rank(d, order, out="r", kind="row_number", num_partitions=7)
     assert w.exceptAll(r).isEmpty() and r.exceptAll(w).isEmpty()
 
 
 def test_range_plan_has_no_single_partition_window(spark):
     d = skewed(spark)
-    r = global_rank(d, ["-a", "b"], out="r", kind="dense_rank", method="range", num_partitions=4)
+    r = global_rank(d, ["-a", "b"], out="r", kind="dense_rank", num_partitions=4)
     plan = r._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
 
@@ -41,7 +41,7 @@ def test_top_k_ranked(spark):
     d = skewed(spark)
     order = ["-a", "b", "id"]
     top = top_k_ranked(d, order, 25, out="r")
-    w = global_rank(d, order, out="r", kind="row_number", method="window").where("r <= 25")
+    w = global_rank(d, order, out="r", kind="row_number", window_rows=10**6).where("r <= 25")
     assert top.exceptAll(w).isEmpty() and w.exceptAll(top).isEmpty()
     with pytest.raises(ValueError):
         top_k_ranked(d, order, 0)
@@ -50,7 +50,7 @@ def test_top_k_ranked(spark):
 def test_range_row_number_refuses_ties(spark):
     d = skewed(spark)
     with pytest.raises(ValueError, match="total order"):
-        global_rank(d, ["-a"], out="r", kind="row_number", method="range", num_partitions=3)
+        global_rank(d, ["-a"], out="r", kind="row_number", num_partitions=3)
 
 
 def test_range_rank_with_aqe_sized_partitions(spark):
@@ -58,8 +58,23 @@ def test_range_rank_with_aqe_sized_partitions(spark):
     spark.conf.set("spark.sql.shuffle.partitions", "60")
     try:
         d = skewed(spark)
-        w = global_rank(d, ["-a", "b"], out="r", kind="rank", method="window")
-        r = global_rank(d, ["-a", "b"], out="r", kind="rank", method="range")  # AQE decides
+        w = global_rank(d, ["-a", "b"], out="r", kind="rank", window_rows=10**6)
+        r = global_rank(d, ["-a", "b"], out="r", kind="rank")  # AQE decides
         assert w.exceptAll(r).isEmpty() and r.exceptAll(w).isEmpty()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_unique_row_numbers_need_no_join_and_are_checked(spark):
+    d = spark.range(1000).selectExpr("id % 10 AS a", "id AS b", "cast(null as long) AS c").repartition(5)
+    r = global_rank(d, ["-a", "b"], out="r", kind="row_number", num_partitions=6, keys_unique=True)
+    w = global_rank(d, ["-a", "b"], out="r", kind="row_number", window_rows=1000)
+    assert r.exceptAll(w).count() == 0 and r.count() == 1000
+    with pytest.raises(ValueError, match="total order"):
+        global_rank(d.unionAll(d.where("b = 7")), ["-a", "b"], out="r", kind="row_number", num_partitions=6, keys_unique=True)
+
+
+def test_a_stated_bound_is_held(spark):
+    from pyspark.errors import PySparkException
+    with pytest.raises(PySparkException, match="more than the stated"):
+        global_rank(spark.range(11), ["id"], window_rows=10).collect()

@@ -58,14 +58,14 @@ def test_warehouse_publish_versions_and_rollback(spark, scratch):
     assert not wh.exists("clubs")
 
 
-@pytest.mark.parametrize("method", ["window", "range"])
-def test_surrogate_keys_stable(spark, method):
+@pytest.mark.parametrize("bound", [10, None])
+def test_surrogate_keys_stable(spark, bound):
     from terrace.operators.upsert import assign_surrogate_keys
     b1 = spark.createDataFrame([(30,), (10,)], "club_id long")
-    v1 = assign_surrogate_keys(None, b1, "club_id", method=method)
+    v1 = assign_surrogate_keys(None, b1, "club_id", window_rows=bound)
     assert sorted(tuple(r) for r in v1.collect()) == [(10, 1), (30, 2)]
     b2 = spark.createDataFrame([(20,), (10,), (40,)], "club_id long")
-    v2 = assign_surrogate_keys(v1, b2, "club_id", method=method)
+    v2 = assign_surrogate_keys(v1, b2, "club_id", window_rows=bound)
     assert sorted(tuple(r) for r in v2.collect()) == [(10, 1), (20, 3), (40, 4)]
 
 
@@ -102,13 +102,13 @@ def test_bucketed_upserts_rewrite_touched_buckets_only(spark, scratch):
     import random
     from terrace.schemas import TableSpec
     specs = {"items": TableSpec("items", ["k"], not_null=["k"])}
-    wh = Warehouse(spark, f"{scratch}/wh4", specs=specs, buckets=8, max_layers=3)
+    wh = Warehouse(spark, f"{scratch}/wh4", specs=specs, buckets=8)
     S = "k long, v long"
     base = spark.createDataFrame([(i, 0) for i in range(200)], S)
     wh.publish({"items": base})
     expect = {i: 0 for i in range(200)}
     rnd = random.Random(7)
-    for step in range(1, 6):  # crosses max_layers: compaction happens on the way
+    for step in range(1, 6):
         keys = rnd.sample(range(260), 5)
         batch = spark.createDataFrame([(k, step) for k in keys], S)
         info = wh.publish_upserts({"items": batch})
@@ -117,9 +117,13 @@ def test_bucketed_upserts_rewrite_touched_buckets_only(spark, scratch):
         got = {r["k"]: r["v"] for r in wh.read("items").collect()}
         assert got == expect
         if step == 1:
-            written = glob.glob(f"{scratch}/wh4/items/v={info['version']}/terrace_bucket=*")
+            written = glob.glob(f"{scratch}/wh4/items/{info['version']}-*/terrace_bucket=*")
             assert 0 < len(written) <= 5  # only the touched buckets were rewritten
-    assert len(wh.current()["tables"]["items"]["layers"]) <= 3
+    assert len(wh.current()["tables"]["items"]["layers"]) == 6
+    wh.compact("items", buckets=3)
+    entry = wh.current()["tables"]["items"]
+    assert len(entry["layers"]) == 1 and entry["buckets"] == 3
+    assert {r["k"]: r["v"] for r in wh.read("items").collect()} == expect
     with pytest.raises(DuplicateBatchKey):
         wh.publish_upserts({"items": spark.createDataFrame([(1, 1), (1, 2)], S)})
 
@@ -129,5 +133,49 @@ def test_bucket_write_one_file_per_bucket(spark, scratch):
     from terrace.schemas import TableSpec
     wh = Warehouse(spark, f"{scratch}/wh5", specs={"items": TableSpec("items", ["k"])}, buckets=4)
     wh.publish({"items": spark.range(2000).selectExpr("id AS k", "id % 7 AS v").repartition(9)})
-    files = glob.glob(f"{scratch}/wh5/items/v=1/terrace_bucket=*/*.parquet")
+    files = glob.glob(f"{scratch}/wh5/items/1-*/terrace_bucket=*/*.parquet")
     assert len(files) == 4 and wh.read("items").count() == 2000
+
+
+def test_loads_go_on_after_a_rejected_batch(spark, scratch):
+    from terrace.schemas import TableSpec
+    specs = {"items": TableSpec("items", ["k"], not_null=["k"], checks={"positive": "v >= 0"})}
+    wh = Warehouse(spark, f"{scratch}/wh6", specs=specs, buckets=4)
+    S = "k long, v long"
+    wh.publish_upserts({"items": spark.createDataFrame([(i, i) for i in range(10)], S)})
+    with pytest.raises(IntegrityError):
+        wh.publish_upserts({"items": spark.createDataFrame([(1, -5), (99, 1)], S)})
+    expect = {i: i for i in range(10)}
+    for step in range(3):
+        wh.publish_upserts({"items": spark.createDataFrame([(step, 100 + step)], S)})
+        expect[step] = 100 + step
+        assert {r["k"]: r["v"] for r in wh.read("items").collect()} == expect
+    assert wh.current()["version"] == 4
+
+
+def test_bucket_count_is_kept_with_the_table(spark, scratch):
+    from terrace.schemas import TableSpec
+    specs = {"items": TableSpec("items", ["k"])}
+    S = "k long, v long"
+    Warehouse(spark, f"{scratch}/wh7", specs=specs, buckets=4).publish({"items": spark.createDataFrame([(i, 0) for i in range(20)], S)})
+    again = Warehouse(spark, f"{scratch}/wh7", specs=specs, buckets=7)
+    again.publish_upserts({"items": spark.createDataFrame([(1, 9)], S)})
+    assert {r["k"]: r["v"] for r in again.read("items").collect()} == {i: 9 if i == 1 else 0 for i in range(20)}
+    assert again.read("items").count() == 20
+
+
+def test_an_unreadable_manifest_is_no_empty_warehouse(spark, scratch):
+    import os
+    wh = Warehouse(spark, f"{scratch}/wh8")
+    assert wh.current()["version"] == 0
+    os.makedirs(f"{scratch}/wh8/_versions/attempt=1-x")
+    with open(f"{scratch}/wh8/_versions/attempt=1-x/part-0.json", "w") as fh:
+        fh.write('{"version": "one"')
+    with pytest.raises(Exception, match="FAILFAST|[Mm]alformed"):
+        wh.current()
+
+
+def test_duplicate_batch_keys_are_counted(spark):
+    d = spark.createDataFrame([(i // 2, 0) for i in range(40)], "player_id long, v long")
+    with pytest.raises(DuplicateBatchKey, match="20 duplicate keys"):
+        upsert(d, d, "player_id")

@@ -85,13 +85,13 @@ def test_top_scorers_order_ties_and_limits(spark):
     clubs = _clubs(spark, [1])
     p = _players(spark, [(1, 1, 10, 4, 20), (2, 1, 10, 10, 20), (3, 1, 10, 10, 18), (4, 1, 0, 5, 5),
                          (5, 1, 7, 0, 3), (6, 1, 7, 0, 3), (7, 1, 2, 1, 1), (8, 1, 1, 0, 1), (9, 1, 3, 0, 1)])
-    full = views.top_scorers_view(p, clubs, rank_method="window").orderBy("scorer_rank").collect()
+    full = views.top_scorers_view(p, clubs, window_rows=10**6).orderBy("scorer_rank").collect()
     assert [r["player_id"] for r in full] == [3, 2, 1, 5, 6, 9, 7, 8]  # goals>0 only; assists desc, apps asc
     assert sorted(r["scorer_rank"] for r in full) == list(range(1, 9))  # full ties get distinct numbers
     for k, n in [(1, 1), (3, 3), (50, 8)]:
         top = views.top_scorers(p, clubs, k).orderBy("scorer_rank").collect()
         assert len(top) == n and [r["player_id"] for r in top] == [r["player_id"] for r in full[:n]]
-    ranged = views.top_scorers_view(p, clubs, rank_method="range").orderBy("scorer_rank").collect()
+    ranged = views.top_scorers_view(p, clubs).orderBy("scorer_rank").collect()
     assert [r["player_id"] for r in ranged] == [r["player_id"] for r in full]
 
 
@@ -123,9 +123,35 @@ def test_views_lifecycle_and_live_recompute(spark):
     assert not spark.catalog.tableExists("vw_league_table")
 
 
-def test_league_materialized_matches_equal(spark):
+def test_views_follow_the_tables(spark, scratch):
+    """Nothing of a view is computed before it is queried; registering the tables' new state runs no job."""
+    path = f"{scratch}/players"
+    P = ("player_id long, club_id long, name string, position string, nationality string, jersey_number int, appearances int, "
+         "goals int, assists int, goal_contributions int, goals_per_game double")
+    spark.createDataFrame([(1, 1, "A", "Forward", "X", 9, 5, 3, 1, 4, 0.6)], P).write.parquet(path)
+    clubs = spark.createDataFrame([(1, "Club", "CLB", "St", 10, "City", 1900, "#fff")],
+                                  "club_id long, name string, short_name string, stadium string, capacity int, city string, "
+                                  "founded_year int, primary_color string")
+    standings = spark.createDataFrame([(1, 1, 3, 2, "W")], "club_id long, position int, points long, goal_difference long, form string") \
+        .selectExpr("*", "1L AS played", "1L AS won", "0L AS drawn", "0L AS lost", "2L AS goals_for", "0L AS goals_against",
+                    "3.0D AS points_per_game", "100.0D AS win_percentage")
+    views.create_views(spark, clubs, spark.read.parquet(path), standings)
+    assert [r["player_id"] for r in spark.table("vw_top_scorers").collect()] == [1]
+    spark.createDataFrame([(2, 1, "B", "Forward", "X", 10, 6, 9, 2, 11, 1.5)], P).write.mode("append").parquet(path)
+    views.create_views(spark, clubs, spark.read.parquet(path), standings)
+    assert [(r["scorer_rank"], r["player_id"]) for r in views.query_top_scorers_sql(spark, 5).collect()] == [(1, 2), (2, 1)]
+    assert [r["player_id"] for r in spark.table("vw_top_scorers").orderBy("scorer_rank").collect()] == [2, 1]
+    assert spark.table("vw_club_analytics").first()["squad_size"] == 2
+    views.drop_views(spark)
+
+
+def test_creating_views_runs_no_job(spark):
     from terrace.plans import derive
-    sf = "/root/testdata/sf0.001"
-    a = derive.league(spark, sf, materialize=True).standings.drop("transformed_at")
-    b = derive.league(spark, sf, materialize=False).standings.drop("transformed_at")
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    lg = derive.league(spark, "/root/testdata/sf0.001")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("views", "views")
+    tables = lg.clubs, lg.players, lg.standings
+    before = len(tracker.getJobIdsForGroup("views"))
+    views.create_views(spark, *tables)
+    assert len(tracker.getJobIdsForGroup("views")) == before
+    spark.sparkContext.setJobGroup("rest", "rest")

@@ -248,6 +248,8 @@ def _grouped(texts):
     group, n = [], 0
     for text in texts:
         words = _WORD.findall(text.lower()) if text else []
+        if not any(c.isalpha() for w in words for c in w):   # superscripts and the like are no letters
+            words = []
         group.append(words)
         n += len(words)
         if n >= GROUP:

@@ -9,17 +9,17 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from terrace.plans.queries import QUERIES  # noqa: E402
 from terrace.session import get_spark  # noqa: E402
 
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    keys = sys.argv[2:] or sorted(E.queries())
+    keys = sys.argv[2:] or sorted(QUERIES)
     spark = get_spark("local[8]", shuffle_partitions=8)
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     for k in keys:
-        df = E.queries()[k](spark, sf_dir)
+        df = QUERIES[k](spark, sf_dir)
         text = df._jdf.queryExecution().explainString(mode)
         blocks = text.split("\n\n")
         tree = blocks[0]

@@ -21,7 +21,6 @@ used are ignored.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from terrace.llm.common import held_out, struct_type
-from terrace.llm.hashing import U, letters, mix, spelled
+from terrace.llm.hashing import U, mix, spelled
 from terrace.session import materialize
 
 BUCKETS = 1 << 15
@@ -41,60 +40,48 @@ TEMPERATURE = 20.0                     # n-grams whose evidence a weight stands
 KEEP = 0.5
 EMPTY = -20.0
 BIN = 64                               # histogram bins for one unit of a noisy log-weight
-CACHE = 200_000
-GROUP = 300_000                        # tokens whose n-grams are counted together
+GROUP = 1_500_000                      # characters whose n-grams are counted together
 SHAPE = 8                              # runs of one class of letters that make a token's shape
 
-_TOKEN = re.compile(r"\S+")
 #: Classes of letters for shapes: capitals, small letters (and all beyond ASCII), digits; others are their own.
-_CLASS = np.arange(128, dtype=np.uint64)
-_CLASS[65:91], _CLASS[97:123], _CLASS[48:58] = 65, 97, 48
+_CLASS = np.arange(129, dtype=np.uint64)
+_CLASS[65:91], _CLASS[97:123], _CLASS[48:58], _CLASS[128] = 65, 97, 48, 97
 
 
-class _Codes:
-    """Hashes of words and shapes of the tokens that a worker has met, in a bounded cache."""
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the blank-separated tokens of all texts, the tokens' lengths, where each begins, and the
+    number of the text that it belongs to."""
+    code = np.frombuffer("\n".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    solid = (code != 32) & ((code < 9) | (code > 13))
+    at = np.flatnonzero(solid)
+    starts = np.flatnonzero(np.concatenate([[True], np.diff(at) > 1])) if len(at) else at
+    ends_of_texts = np.cumsum([len(t) + 1 for t in texts])
+    return (code[at].astype(U), np.diff(np.append(starts, len(at))), starts,
+            np.searchsorted(ends_of_texts, at[starts], side="right"))
 
-    def __init__(self):
-        self.index: dict[str, int] = {}
-        self.table = np.zeros((0, 2), dtype=U)
 
-    def of(self, tokens: list[str]) -> np.ndarray:
-        if len(self.index) > CACHE:
-            self.__init__()
-        if new := sorted(set(tokens).difference(self.index)):
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new))))
-            word = spelled(*letters([t.lower() for t in new]))
-            self.table = np.concatenate([self.table, np.column_stack([word, shapes(new)])])
-        return self.table[np.fromiter(map(self.index.__getitem__, tokens), dtype=np.int64, count=len(tokens))]
-
-
-def shapes(tokens: list[str]) -> np.ndarray:
+def shapes(code: np.ndarray, n: np.ndarray, begin: np.ndarray) -> np.ndarray:
     """Hashes of the tokens' first runs of classes of letters."""
-    code, n, begin = letters(tokens)
-    kind = np.where(code < 128, _CLASS[np.minimum(code, U(127)).astype(np.int64)], U(97))
+    kind = _CLASS[np.minimum(code, U(128)).astype(np.int64)]
     starts = np.concatenate([[True], kind[1:] != kind[:-1]])
     starts[begin] = True
-    run = np.cumsum(starts)
-    run -= np.repeat(run[begin], n)
-    used = starts & (run < SHAPE)
-    return mix(np.add.reduceat(np.where(used, mix(kind * U(0x9E3779B97F4A7C15) + run.astype(U)), U(0)), begin))
-
-
-_codes = _Codes()
+    first = np.flatnonzero(starts)                       # runs, and the place of each within its token
+    runs = np.add.reduceat(starts.astype(np.int64), begin)
+    token = np.concatenate([[0], np.cumsum(runs)[:-1]])
+    place = np.arange(len(first)) - np.repeat(token, runs)
+    value = np.where(place < SHAPE, mix(kind[first] * U(0x9E3779B97F4A7C15) + place.astype(U)), U(0))
+    return mix(np.add.reduceat(value, token))
 
 
 def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all n-grams of the texts, and the number of the text that each belongs to.  Words and
     shapes are hashed into halves of their own."""
-    tokens, sizes = [], []
-    for text in texts:
-        own = _TOKEN.findall(text) if text else []
-        tokens += own
-        sizes.append(len(own))
-    if not tokens:
+    texts = [t or "" for t in texts]
+    code, n, begin, owner = _tokens(texts)
+    if not len(n):
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    words, shape = _codes.of(tokens).T
-    owner = np.repeat(np.arange(len(texts)), sizes)
+    shape = shapes(code, n, begin)
+    words = spelled(*_tokens([t.lower() for t in texts])[:3])
     half = U(BUCKETS // 2)
     inner = np.flatnonzero(owner[1:] == owner[:-1])     # pairs inside a text
 
@@ -108,17 +95,29 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([owner, owner[inner], owner, owner[inner], owner[again]]))
 
 
+def _pieces(text: str):
+    """A text in pieces of bounded length, cut at blanks where there are any."""
+    while len(text) > GROUP:
+        cut = text.rfind(" ", 1, GROUP)
+        cut = GROUP if cut < 0 else cut
+        yield text[:cut]
+        text = text[cut:]
+    yield text
+
+
 def _grouped(texts):
-    """The texts in groups of bounded size."""
-    group, n = [], 0
-    for text in texts:
-        group.append(text)
-        n += len(text or "")
-        if n >= 6 * GROUP:
-            yield group
-            group, n = [], 0
+    """Pieces of the texts in groups of bounded size, with the number of each piece's text."""
+    group, numbers, n = [], [], 0
+    for i, text in enumerate(texts):
+        for piece in _pieces(text or ""):
+            group.append(piece)
+            numbers.append(i)
+            n += len(piece)
+            if n >= GROUP:
+                yield group, np.array(numbers)
+                group, numbers, n = [], [], 0
     if group:
-        yield group
+        yield group, np.array(numbers)
 
 
 @dataclass
@@ -127,13 +126,12 @@ class Importance:
     curve: tuple[float, float] = (0.0, 1.0)
 
     def log_ratios(self, texts) -> np.ndarray:
-        out = [np.zeros(0)]
-        for group in _grouped(texts):
+        n, total = np.zeros(len(texts)), np.zeros(len(texts))
+        for group, numbers in _grouped(texts):
             grams, owner = ngrams(group)
-            n = np.bincount(owner, minlength=len(group))
-            total = np.bincount(owner, self.ratio[grams], minlength=len(group))
-            out.append(np.where(n > 0, total / np.maximum(n, 1), EMPTY))
-        return np.concatenate(out)
+            np.add.at(n, numbers, np.bincount(owner, minlength=len(group)))
+            np.add.at(total, numbers, np.bincount(owner, self.ratio[grams], minlength=len(group)))
+        return np.where(n > 0, total / np.maximum(n, 1), EMPTY)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         a, b = self.curve
@@ -154,7 +152,7 @@ def _counted(batches):
     """Counts of the n-grams of a whole partition."""
     total = np.zeros(BUCKETS, dtype=np.int64)
     for pdf in batches:
-        for group in _grouped(pdf["text"]):
+        for group, _ in _grouped(pdf["text"]):
             total += np.bincount(ngrams(group)[0], minlength=BUCKETS)
     at = np.flatnonzero(total)
     yield pd.DataFrame({"bucket": at, "n": total[at]})

@@ -489,7 +489,7 @@ def join_large(members: DataFrame, num: int = NUM, den: int = DEN, limit_sets: i
                limit_shingles: int = LIMIT_SHINGLES) -> DataFrame:
     """Edges inside regions of any size."""
     edges, depth = members.sparkSession.createDataFrame([], _EDGE), 0
-    members = materialize(members, "members")
+    members = materialize(members.dropDuplicates(["region", "key"]), "members")
     while not members.isEmpty():
         found, again = cut_region(members, depth, num, den, limit_sets, limit_shingles)
         edges, members, depth = edges.unionByName(found), materialize(again, "members"), depth + 1
@@ -531,8 +531,9 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     def members(large: bool) -> DataFrame:
         some = wanted.where(F.col("large") == large)
         lookup = F.broadcast(some.select(bucket.alias("bucket")).distinct())
+        # repeated rows give their set more than once; the tasks drop what repeats
         return (texts.join(lookup, "bucket", "left_semi").join(some, "doc_id").select("region", "key", "text")
-                .mapInPandas(_shingled(words), _MEMBER).dropDuplicates(["key"]))
+                .mapInPandas(_shingled(words), _MEMBER))
 
     edges = join_small(members(False), num, den)
     if not wanted.where("large").isEmpty():

@@ -55,7 +55,7 @@ WORDS, NUM, DEN = 4, 85, 100     # shingle length; threshold NUM / DEN
 BAND = 1.5       # sizes of a band differ by at most this factor
 LIMIT_SETS, LIMIT_SHINGLES = 2000, 1_000_000   # what one task joins
 PIVOTS = 8
-PARTS, PART_SIZE = 64, 16        # fixed pivots of the thinning: 64 at least, and one for every 16 shingles
+PARTS, PART_SIZE = 64, 4         # fixed pivots of the thinning: 64 at least, and one for every 4 to 8 shingles
 LOOKUP_BUCKETS = 1 << 18         # proven bound of the broadcast that thins the texts
 CACHE = 100_000
 

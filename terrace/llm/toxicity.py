@@ -39,6 +39,8 @@ from terrace.llm.common import held_out, struct_type, with_columns_free
 
 #: Bounds of the labelled sample (documents by label) and of the lexicon.
 SAMPLE_TOXIC, SAMPLE_CLEAN, LEXICON_TERMS = 3000, 6000, 4000
+#: Terms that a worker counts before it hands them on.
+PORTION = 50_000
 #: Least log-likelihood ratio of a lexicon term against chance, and the least share of toxic documents in it.
 LEAST_G2, LEAST_ODDS = 25.0, 3.0
 MAX_WEIGHT = 6.0
@@ -160,16 +162,25 @@ def _copy_group(texts: pd.Series) -> pd.Series:
 
 
 def _terms(batches):
-    """Distinct words and stems of each document with its label, counted within the batch."""
+    """Distinct words and stems of the documents with their labels, counted ahead in bounded portions."""
+    counts: dict[tuple[str, bool], list[int]] = {}
+
+    def portion():
+        out = pd.DataFrame([(t, s, n[0], n[1]) for (t, s), n in counts.items()], columns=["term", "stem", "clean", "toxic"])
+        counts.clear()
+        return out
+
     for pdf in batches:
-        counts: dict[tuple[str, bool], list[int]] = {}
         for text, toxic in zip(pdf["text"], pdf["toxic"]):
             words = set(_WORD.findall(text.lower()))
             terms = {(w, False) for w in words if len(w) > 2}
             terms |= {(w[:n], True) for w in words for n in (4, 5, 6) if len(w) >= n}
             for t in terms:
                 counts.setdefault(t, [0, 0])[int(toxic)] += 1
-        yield pd.DataFrame([(t, s, n[0], n[1]) for (t, s), n in counts.items()], columns=["term", "stem", "clean", "toxic"])
+            if len(counts) > PORTION:
+                yield portion()
+    if counts:
+        yield portion()
 
 
 def learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], dict[str, float]]:

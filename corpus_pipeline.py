@@ -37,9 +37,9 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: for each document the words that the mix takes of it and the shards that get them, in what
-    order.  Texts stay where the stage before wrote them: a loader reads them by doc_id."""
-    return mixing.mix(docs, carry=("lang", "n_chars"))
+    """Operator 4: the documents with the words that the mix takes of each and the shards that get them, in what
+    order."""
+    return mixing.mix_texts(docs, carry=("lang", "text", "n_chars"))
 
 
 STAGES = [

@@ -19,6 +19,7 @@ blocks by the key's first two hex digits, and into 4096 cells by the first three
 What meets in one task: the source table (one row per source) and the token
 table (at most 512 rows per source, whatever their size).  Documents are shuffled
 once, without text, by (source, cell); a source of any share spreads over 4096 cells.
+``mix_texts`` shuffles the texts once more to where the rows of the mix are, and only streams them.
 
 Defined cases: null text has size 0 and takes nothing; a null source is a source of its
 own, ordered last; an empty table gives no rows; repeated rows are drawn as rows of their
@@ -32,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import count_blank_words
+from terrace.session import materialize
 
 WEIGHTS = (5, 2, 1)
 SEED = "mix"
@@ -108,7 +110,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
         fanout: int = FANOUT, depth: int = DEPTH, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, shuffle_key and
     ``shards`` (the shard of each of its passes, in order; empty when nothing is taken).
-    Columns in ``carry`` (the text, for one) go along in the one shuffle of the documents."""
+    Columns in ``carry`` go along in the one shuffle of the documents, which a window sorts and buffers:
+    they have to be short.  Texts are attached by ``mix_texts``."""
     carried = [F.struct(*carry).alias("carried")] if carry else []
     d = (docs.select("doc_id", "source", count_blank_words(F.col("text")).alias("size"), *carried)
          # code point order with null last: every name gets a leading 0, null alone is 1
@@ -140,3 +143,34 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
             for p in range(1, MAX_PASSES + 1)]
     return m.select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"),
                     F.concat_ws(",", *[c.cast("string") for c in used]).alias("shards"), "shuffle_key", *(["carried.*"] if carry else []))
+
+
+def mix_texts(docs: DataFrame, carry: tuple[str, ...] = ("lang", "text", "n_chars"), **how) -> DataFrame:
+    """``mix`` with the columns in ``carry``, which may be long: one row per row of ``docs``.
+
+    The mix is made of short rows and written.  Its rows are matched by id and a hash of the whole row, one row for
+    each such pair, and make the hash table of a join through which the texts only pass: they are neither sorted nor
+    put in a window.  Rows that are equal in all columns can differ in what is taken of them only where the rest of a
+    source ends, so for at most one pair of each source; of those one row is read and repeated.
+    """
+    cols = list(dict.fromkeys(("doc_id", "source", "text", *carry)))
+    d = docs.select(*cols, F.xxhash64(*cols, *[F.col(c).isNull() for c in cols]).alias("row_hash"))
+    plan = materialize(mix(d, carry=("row_hash",), **how), "mix")
+    shown = [c for c in plan.columns if c not in ("doc_id", "source", "row_hash")]
+    dealt = (plan.groupBy("doc_id", "row_hash", *shown).agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct(*shown, "n")).alias("dealt"))
+             .withColumnRenamed("doc_id", "plan_id").withColumnRenamed("row_hash", "plan_hash"))
+
+    def texts(part: DataFrame) -> DataFrame:
+        same = F.col("doc_id").eqNullSafe(F.col("plan_id")) & (F.col("row_hash") == F.col("plan_hash"))
+        return d.join(part.hint("shuffle_hash"), same)
+
+    def out(rows: DataFrame, dealt: Column) -> DataFrame:
+        return rows.select("doc_id", "source", *[dealt[c].alias(c) for c in shown], *carry)
+
+    mixed = out(texts(dealt.where(F.size("dealt") == 1)), F.col("dealt")[0])
+    edge = dealt.where(F.size("dealt") > 1)
+    if not edge.isEmpty():
+        one = texts(edge).dropDuplicates(["doc_id", "row_hash"]).withColumn("one", F.explode("dealt"))
+        mixed = mixed.unionByName(out(one.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("one.n")))), F.col("one")))
+    return mixed

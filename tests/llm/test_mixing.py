@@ -89,3 +89,24 @@ def test_one_source_with_nearly_all_words(make_docs):
     got = mixing.mix(make_docs(rows)).collect()
     total = sum(r["size"] for r in got)
     assert abs(sum(r["taken"] for r in got) - 1.5 * total) <= 5
+
+
+def test_texts_are_attached_row_by_row(make_docs, odd_docs, no_docs):
+    rows = [(i, f"w{i} " * (1 + i % 7), "en", f"s{i % 3}") for i in range(300)]
+    rows += [(7, "again and again", "en", "s1")] * 40 + [(None, "no id " * (i % 3), None, "s2") for i in range(9)]
+    rows += [(8, "one text", "en", None), (8, "another text", "en", None)]
+    # a source of equal rows only: the rest ends among them
+    rows += [(9, "a b c d e", "de", "t")] * 50
+    shown = ["doc_id", "source", "size", "source_size", "target", "taken", "shards", "shuffle_key"]
+    for docs in (make_docs(rows), make_docs(rows, 11), odd_docs, no_docs):
+        got = mixing.mix_texts(docs)
+        assert got.columns == shown + ["lang", "text", "n_chars"]
+        cells = lambda df, *c: collections.Counter(map(tuple, df.select(*c).collect()))
+        assert cells(got, "doc_id", "source", "lang", "text", "n_chars") == cells(docs, "doc_id", "source", "lang", "text", "n_chars")
+        assert cells(got, *shown) == cells(mixing.mix(docs), *shown)
+    assert len({r["taken"] for r in mixing.mix_texts(make_docs(rows)).where("doc_id = 9").collect()}) > 1
+
+
+def test_texts_are_not_sorted(make_docs):
+    plan = mixing.mix_texts(make_docs([(1, "a b"), (2, "c")]))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan and "Window" not in plan

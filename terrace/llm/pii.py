@@ -20,6 +20,7 @@ passed through or ignored.
 from __future__ import annotations
 
 import re
+import string
 
 import ahocorasick
 import pandas as pd
@@ -32,7 +33,7 @@ from terrace.llm.common import struct_type
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("iban", "account", "ssn", "login")
-#: Words that announce an identifier, in the spellings that texts use.
+#: Words that announce an identifier, whatever their case.
 CUES = {"iban": "iban", "account": "account", "acct": "account", "konto": "account", "ssn": "ssn",
         "social security": "ssn"}
 SCHEME = "://"
@@ -57,13 +58,18 @@ def _automaton() -> ahocorasick.Automaton:
     for d in "0123456789":
         a.add_word(d, ("digit", 1))
     for word, kind in CUES.items():
-        for form in {word, word.upper(), word.capitalize()}:
-            a.add_word(form, (kind, len(form)))
+        a.add_word(word, (kind, len(word)))
     a.make_automaton()
     return a
 
 
 _ANCHORS = _automaton()
+#: Cues are found in a copy of the text with A-Z in lower case, which keeps all offsets.
+_ASCII_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def _lowered(text: str) -> str:
+    return text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
 
 
 def luhn(digits: str) -> bool:
@@ -88,7 +94,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     found: dict[str, list[tuple[int, int]]] = {}
     done = dict.fromkeys(KINDS, 0)  # where the search of a kind goes on
     digits_to = 0                   # end of the digit run that was last tried as an address
-    for last, (what, size) in _ANCHORS.iter(text):
+    for last, (what, size) in _ANCHORS.iter(_lowered(text)):
         at = last + 1 - size
         if what == "digit":
             if at >= done["card"] and (m := _CARD.match(text, at)):

@@ -64,3 +64,13 @@ def test_frame(odd_docs, no_docs, make_docs):
     assert out[1]["text"] == "x <email>" and out[1]["n_chars"] == 9 and out[2]["text"] is None and out[1]["spans"] == "mine"
     assert pii.redact(odd_docs).columns == odd_docs.columns and pii.redact(odd_docs).exceptAll(odd_docs.withColumn("n_chars", F.length("text").cast("long"))).count() == 0
     assert {r["doc_id"]: r["n_email"] for r in pii.find(d).collect()} == {1: 1, 2: 0}
+
+
+@pytest.mark.parametrize("cue, number, kind", [
+    ("Social Security Number: ", "123-45-6789", "ssn"), ("social Security ", "123-45-6789", "ssn"), ("Ssn: ", "123-45-6789", "ssn"),
+    ("My Account Number: ", "12345678", "account"), ("aCCt no. ", "12345678", "account"), ("KontoNr: ", "12345678", "account"),
+    ("iBAN: ", "DE89 3704 0044 0532 0130 00", "iban"), ("İ é 🙂 Social Security: ", "123-45-6789", "ssn")])
+def test_cues_in_any_case(cue, number, kind):
+    text = f"{cue}{number} ok"
+    assert pii.spans_of(text) == [(kind, len(cue), len(cue) + len(number))]
+    assert pii.redacted(text) == f"{cue}<{kind}> ok"

@@ -2,9 +2,12 @@
 
 Base kinds are found by their patterns (assign, access, hex).  Besides, every run of 20 or
 more symbols of an encoding is a candidate.  Its encoding is inferred from the
-symbols that it uses (hex, base32, base36, base62, base64; runs of one class of symbols are
-words or numbers and belong to none), and three tests ask whether its symbols could be
-uniform and independent over the alphabet of that encoding:
+symbols that it uses (hex, base32, base36 of either case, base62, base64; a run that mixes digits
+or both cases but fits none of these is tested whole, over the symbols of its classes; runs of
+one class of symbols are words or numbers and belong to none).  The parts of 20 or more letters
+and digits between separators (- _ / +) are candidates too, because a run can hold a token after
+a name or in a path; a run that is kept stands for its parts.  Three tests ask whether the symbols
+of a candidate could be uniform and independent over the alphabet of its encoding:
 
 * chi-squared uniformity, with the exact mean and variance for sparse counts;
 * the number of runs above and below the middle of the alphabet;
@@ -18,7 +21,7 @@ not to be random.  Kept strings that touch no base span are added as kind ``rand
 
 Only DataFrame functions are used.  The texts are read once; what they give, one
 short row per document, is written to a table, and the cut-offs (one for each of at most
-5 encodings x 8 classes of length) are read from it.
+10 encodings x 8 classes of length) are read from it.
 
 Defined cases: null or empty text has no spans; equal rows give equal results; an empty
 table gives no rows; offsets are code points; other columns are ignored.
@@ -40,14 +43,23 @@ KINDS = ("assign", "access", "hex", "random")
 
 LEAST_RUN = 20
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}" % LEAST_RUN
+#: A part of a run: letters and digits up to a separator on at least one side.
+PART = r"(?<![A-Za-z0-9])(?:(?<=[+/_-])[A-Za-z0-9]{%d,}+|[A-Za-z0-9]{%d,}+(?=[+/_-]))" % (LEAST_RUN, LEAST_RUN)
 _UP, _LOW, _DIG = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
 ALPHABETS = {
     "hex": _DIG + "abcdef",
     "base32": _UP + "234567",
     "base36": _DIG + _LOW,
+    "base36up": _DIG + _UP,
+    "base52": _UP + _LOW,
     "base62": _UP + _LOW + _DIG,
+    # with separators, - read as + and _ as /
+    "base38": _DIG + _LOW + "+/",
+    "base38up": _DIG + _UP + "+/",
+    "base54": _UP + _LOW + "+/",
     "base64": _UP + _LOW + _DIG + "+/",
 }
+SEPARATED = ("base38", "base38up", "base54", "base64")
 LENGTH_CLASSES = (20, 24, 32, 40, 48, 64, 96, 128)
 CUT_OFFS = (0.0001, 0.001, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2)
 _SPAN = "array<struct<start:int,end:int,hit:string>>"
@@ -82,13 +94,15 @@ def _p(z: Column) -> Column:
 
 
 def _encoding(s: Column) -> Column:
-    """Name of the encoding whose symbols ``s`` uses; null for words, numbers and paths."""
+    """Name of the encoding whose symbols ``s`` uses; null if all its letters and digits are of one class."""
     digit, up, low = s.rlike("[0-9]"), s.rlike("[A-Z]"), s.rlike("[a-z]")
+    plain = ~s.rlike("[-_+/]")
     return (F.when(digit & s.rlike("^([0-9a-f]*[a-f][0-9a-f]*|[0-9A-F]*[A-F][0-9A-F]*)$"), "hex")
             .when(digit & s.rlike("^[A-Z2-7]*[A-Z][A-Z2-7]*$"), "base32")
-            .when(digit & s.rlike("^[0-9a-z]*[a-z][0-9a-z]*$"), "base36")
-            .when(digit & up & low & s.rlike("^[0-9A-Za-z]+$"), "base62")
-            .when(digit & up & low, "base64"))
+            .when(digit & up & low, F.when(plain, "base62").otherwise("base64"))
+            .when(digit & low, F.when(plain, "base36").otherwise("base38"))
+            .when(digit & up, F.when(plain, "base36up").otherwise("base38up"))
+            .when(up & low, F.when(plain, "base52").otherwise("base54")))
 
 
 def battery(spans: Column) -> Column:
@@ -99,7 +113,7 @@ def battery(spans: Column) -> Column:
     abc = F.create_map(*[F.lit(x) for kv in ALPHABETS.items() for x in kv])
     coded = F.transform(known, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["enc"].alias("enc"), F.element_at(abc, s["enc"]).alias("abc"),
-        F.when(s["enc"] == "hex", F.lower(s["hit"])).when(s["enc"] == "base64", F.translate(s["hit"], "-_", "+/"))
+        F.when(s["enc"] == "hex", F.lower(s["hit"])).when(s["enc"].isin(*SEPARATED), F.translate(s["hit"], "-_", "+/"))
          .otherwise(s["hit"]).alias("hit")))
     # symbol values, alphabet size and length
     valued = F.transform(coded, lambda s: F.struct(
@@ -176,7 +190,7 @@ def find(docs: DataFrame, fdr: float = 0.1) -> DataFrame:
     found = (docs.select("doc_id", located(text, ASSIGN, group=2).alias("assign"), located(text, ACCESS).alias("access"),
                          # shorter runs fail anyway and a run cannot begin inside another
                          located(text, HEX.replace("+", "{%d,}" % LEAST["hex"])).alias("hex"),
-                         located(text, RUN).alias("runs"))
+                         F.concat(located(text, RUN), located(text, PART)).alias("runs"))
              .select("doc_id", F.array_sort(F.concat(*[_kind(F.col(k), i, LEAST[k]) for i, k in enumerate(KINDS[:3])])).alias("base"),
                      battery(F.col("runs")).alias("tested")))
     found = materialize(found, "secrets")
@@ -186,5 +200,11 @@ def find(docs: DataFrame, fdr: float = 0.1) -> DataFrame:
         table = F.create_map(*[F.lit(x) for kv in sorted(cuts.items()) for x in kv])
         keep = F.filter("tested", lambda c: F.coalesce(c["p"] > table[_stratum(c)], F.lit(False)) & ~F.exists(
             "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    added = F.transform(keep, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
+    # by start, the longer first: a span that ends before the end reached lies inside one that was kept
+    ordered = F.array_sort(F.transform(keep, lambda c: F.struct(c["start"].alias("start"), (-c["end"]).alias("back"))))
+    added = F.aggregate(
+        ordered, F.struct(F.lit(0).alias("to"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out")),
+        lambda a, c: F.struct(F.greatest(a["to"], -c["back"]).alias("to"), F.when(-c["back"] <= a["to"], a["out"]).otherwise(
+            F.concat(a["out"], F.array(F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), (-c["back"]).alias("end"))))).alias("out")),
+        lambda a: a["out"])
     return found.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))

@@ -71,3 +71,43 @@ def test_plan_is_native(make_docs):
     text = secrets.located(F.col("text"), secrets.RUN)
     plan = make_docs([(1, "a")]).select(secrets.battery(text))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def of(symbols, n, size, rng):
+    return ["".join(rng.choice(symbols) for _ in range(size)) for _ in range(n)]
+
+
+def test_one_case_tokens_alone_and_behind_separators(make_docs):
+    rng = random.Random(10)
+    low, up = "0123456789abcdefghijklmnopqrstuvwxyz", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    texts = ([f"see {s} there" for s in of(up, 150, 24, rng)] + [f"see key-{s} there" for s in of(low, 150, 32, rng)]
+             + [f"get /v1/files/{s}/raw now" for s in of(low, 150, 40, rng)])
+    words = ["how", "to", "bake", "bread", "at", "home", "with", "little", "time", "report", "season", "market", "release", "notes"]
+    slugs = ["see " + "-".join([str(rng.randint(1990, 2030))] + [rng.choice(words) for _ in range(7)]) + " there" for _ in range(150)]
+    names = ["see " + "_".join(rng.choice(words).upper() for _ in range(6)) + f"_{rng.randint(1, 9)} there" for _ in range(150)]
+    rows = list(enumerate(texts + slugs + names))
+    got = spans(secrets.find(make_docs(rows)))
+    hit = [any(k == 3 for _, k, _ in got[i]) for i, _ in rows]
+    assert sum(hit[:150]) >= 130 and sum(hit[150:300]) >= 130 and sum(hit[300:450]) >= 130
+    assert sum(hit[450:600]) <= 15 and sum(hit[600:]) <= 15
+    for s in got.values():  # a run and its part are not both reported
+        assert all(a[2] <= b[0] for a, b in zip(s, s[1:]))
+
+
+def test_every_mixed_run_is_tested(spark):
+    rng = random.Random(11)
+    classes = ["0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"]
+    runs = ["X7K9Q0ZP1M8R4T6WB2YD3H5J", "key-3ax6xnjp29jd6fds4gc373sgvjxteol0"]
+    for _ in range(400):
+        used = rng.sample(classes, rng.randint(1, 3))
+        runs.append("".join(rng.choice("".join(used) + rng.choice(["", "-_+/"])) for _ in range(rng.randint(20, 70))))
+    df = spark.createDataFrame(list(enumerate(runs)), "doc_id long, text string").select(
+        "doc_id", secrets.battery(secrets.located(F.col("text"), secrets.RUN)).alias("t"))
+    for r in df.collect():
+        s = runs[r["doc_id"]]
+        mixed = sum(bool(set(s) & set(c)) for c in classes) > 1
+        assert [(t["start"], t["end"]) for t in r["t"]] == ([(0, len(s))] if mixed else []), s
+        assert all(0 <= t["p"] <= 1 for t in r["t"])
+    parts = spark.createDataFrame([("a-" + "b1" * 12 + "/" + "C2" * 10 + " " + "d3" * 15,)], "text string").select(
+        secrets.located(F.col("text"), secrets.PART).alias("p")).first()["p"]
+    assert [(p["start"], p["end"], p["hit"]) for p in parts] == [(2, 26, "b1" * 12), (27, 47, "C2" * 10)]

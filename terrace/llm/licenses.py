@@ -8,8 +8,14 @@ A place is tried only where the template's first word stands, and only one state
 is kept, so a text costs time in proportion to its words.
 
 The four base phrases are templates without markup.  The score is 0 without a match, 0.5
-for a base phrase alone (a mention), and rises to 1 with the number of words that
-license wording accepts (a grant).
+for a base phrase alone (a mention), and 1 only where a whole license is accepted from its first
+mandatory word to its last (a grant).  Openings of licenses and statements that name one
+are partial: they rise from 0.5 to 0.75 with the number of words accepted, and so do licenses that
+were cut off or altered behind their opening.
+
+Whole are the bodies of mit, bsd (2 to 4 clauses), isc and unlicense, and the notices that apache, gpl and
+mpl prescribe for files.  The long bodies of apache, gpl, mpl and cc-by have no template.  Words
+behind the end of a license are not compared.
 
 Defined cases: null or empty text has no words, no labels and score 0; equal rows give equal
 results; an empty table gives no rows; other columns are ignored.
@@ -33,7 +39,7 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: License wording with markup, and the label it proves.
+#: Openings and statements with markup, and the label they point to.
 TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of <<1-12>> "
             "to deal in the {software|work} without restriction"),
@@ -57,8 +63,62 @@ TEMPLATES = [
     ("mpl", "subject to the terms of the mozilla public {license|licence}"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 ]
-#: Words of accepted wording that give the full score.
-FULL = 12
+_SOFTWARE, _LICENSE, _AS_IS = "{software|“software”}", "{license|“license”}", "{as|“as|‘as} {is|is”|is’}"
+_MIT_WARRANTY = (f"the software is provided {_AS_IS} without warranty of any kind express or implied including but not limited to the "
+                 "warranties of merchantability fitness for a particular purpose and noninfringement in no event shall <<1-12>> be liable "
+                 "for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in "
+                 "connection with the software or the use or other dealings in the software")
+_GNU = "gnu [[{lesser|library|affero}]] general public license"
+#: Whole licenses, or the notices that stand for them, with markup, and the label they prove.
+WHOLE = [
+    ("mit", f"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation "
+            f"files the {_SOFTWARE} to deal in the software without restriction including without limitation the rights to use copy modify "
+            "merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is "
+            "furnished to do so subject to the following conditions the above copyright notice and this permission notice "
+            "[[including the next paragraph]] shall be included in all copies or substantial portions of the software " + _MIT_WARRANTY),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+            "conditions are met [[{1|a|i}]] redistributions of source code must retain the above copyright notice this list of conditions "
+            "and the following disclaimer [[{2|b|ii}]] redistributions in binary form must reproduce the above copyright notice this list "
+            "of conditions and the following disclaimer in the documentation and or other materials provided with the distribution "
+            "[[ [[{3|c|iii}]] all advertising materials mentioning features or use of this software must display the following "
+            "acknowledgement this product includes software developed by <<1-20>> ]] "
+            "[[ [[{3|4|c|d|iii|iv}]] neither the {name|names} of <<1-20>> may be used to endorse or promote products derived from this "
+            "software without specific prior written permission ]] "
+            f"this software is provided by <<1-12>> {_AS_IS} and any express or implied warranties including but not limited to the implied "
+            "warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <<1-12>> be liable for any "
+            "direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute "
+            "goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether "
+            "in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software "
+            "even if advised of the possibility of such damage"),
+    ("isc", "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted "
+            "provided that the above copyright notice and this permission notice appear in all copies the software is provided "
+            f"{_AS_IS} and <<1-12>> {{disclaims|disclaim}} all warranties with regard to this software including all implied warranties of "
+            "merchantability and fitness in no event shall <<1-12>> be liable for any special direct indirect or consequential damages or "
+            "any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other "
+            "tortious action arising out of or in connection with the use or performance of this software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile "
+                  "sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non "
+                  "commercial and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate "
+                  "any and all copyright interest in the software to the public domain we make this dedication for the benefit of the public "
+                  "at large and to the detriment of our heirs and successors we intend this dedication to be an overt act of relinquishment "
+                  "in perpetuity of all present and future rights to this software under copyright law " + _MIT_WARRANTY),
+    ("apache", f"licensed under the apache license version 2 0 the {_LICENSE} you may not use this {{file|work|software}} except in "
+               "compliance with the license you may obtain a copy of the license at [[{http|https}]] [[www]] apache org licenses license 2 0 "
+               "[[{html|txt}]] unless required by applicable law or agreed to in writing software distributed under the license is "
+               f"distributed on an {_AS_IS} basis without warranties or conditions of any kind either express or implied see the license "
+               "for the specific language governing permissions and limitations under the license"),
+    ("gpl", f"redistribute it and or modify it under the terms of the {_GNU} as published by the free software "
+            "foundation either version <<1-2>> of the license or at your option any later version <<1-4>> is distributed in the hope that it "
+            "will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose "
+            f"see the {_GNU} for more details you should have received a copy of the {_GNU} along with <<1-4>> if not "
+            "{see|write} [[to]] <<1-5>>"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with "
+            "this file you can obtain one at [[{http|https}]] mozilla org mpl 2 0"),
+]
+#: The same with the last word of the warranty in two.
+WHOLE += [(label, t.replace(" noninfringement ", " non infringement ")) for label, t in WHOLE if " noninfringement " in t]
+#: Words of accepted wording that give the highest partial score, and what they add to a mention.
+ENOUGH, PARTIAL = 12, 0.25
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _ITEM = re.compile(r"\[\[|\]\]|<<\d+-\d+>>|\{[^}]*\}|[0-9a-z]+")
@@ -122,8 +182,9 @@ class Automaton:
 BASE_RUNS = [(label, [w.encode() for w in phrase.split()]) for phrase, label in BASE.items()]
 _BASE_AUTOMATA = [(label, Automaton(phrase)) for phrase, label in BASE.items()]
 _AUTOMATA = [(label, Automaton(t)) for label, t in TEMPLATES]
+_WHOLE_AUTOMATA = [(label, Automaton(t)) for label, t in WHOLE]
 _START_OF: dict[bytes, list] = {}
-for _kind, _list in (("base", _BASE_AUTOMATA), ("template", _AUTOMATA)):
+for _kind, _list in (("base", _BASE_AUTOMATA), ("template", _AUTOMATA), ("whole", _WHOLE_AUTOMATA)):
     for _label, _a in _list:
         for _w in _a.first:
             _START_OF.setdefault(_w, []).append((_kind, _label, _a))
@@ -131,8 +192,8 @@ _STARTS = frozenset(_START_OF)
 
 
 def scan(words: list[bytes]) -> tuple:
-    """(n_base, first, last, base labels, all labels, words of accepted wording)."""
-    places, base, labels, wording = [], set(), set(), 0
+    """(n_base, first, last, base labels, all labels, words of accepted partial wording, whether a license is whole)."""
+    places, base, labels, wording, whole = [], set(), set(), 0, False
     for at, w in enumerate(words):
         for kind, label, automaton in _START_OF.get(w, ()):
             end = automaton.accepts(words, at)
@@ -142,9 +203,11 @@ def scan(words: list[bytes]) -> tuple:
             if kind == "base":
                 places.append(at)
                 base.add(label)
+            elif kind == "whole":
+                whole = True
             else:
                 wording = max(wording, end - at)
-    return len(places), min(places, default=None), max(places, default=None), base, labels, wording
+    return len(places), min(places, default=None), max(places, default=None), base, labels, wording, whole
 
 
 @pandas_udf(struct_type(n_words="long", n_base="long", first_word="long", last_word="long", base_labels="string",
@@ -156,8 +219,8 @@ def scan_udf(texts: pd.Series) -> pd.DataFrame:
         if _STARTS.isdisjoint(words):
             rows.append((len(words), 0, None, None, "", "", 0.0))
             continue
-        n, first, last, base, labels, wording = scan(words)
-        score = 0.0 if not labels else 0.5 + 0.5 * min(1.0, wording / FULL)
+        n, first, last, base, labels, wording, whole = scan(words)
+        score = 0.0 if not labels else 1.0 if whole else 0.5 + PARTIAL * min(1.0, wording / ENOUGH)
         rows.append((len(words), n, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score))
     out = pd.DataFrame(rows, columns=["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
     return out.astype({"first_word": "Int64", "last_word": "Int64"})

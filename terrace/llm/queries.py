@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from terrace.llm import cross_polytope, decontam, importance, jaccard_join, langid_crf, licenses, mixing, pii, secrets, toxicity
+from terrace.llm import centroids, cross_polytope, decontam, filter_audit, importance, jaccard_join, langid_crf, licenses, mixing, pii, \
+    secrets, suffix_dedup, toxicity
 from terrace.llm.common import held_out, read
 
 
@@ -73,6 +74,19 @@ def op10_pii_anchors(spark, sf_dir):
                     F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op11_centroid_expressions(spark, sf_dir):
+    return centroids.cluster(read(spark, sf_dir, "embeddings"))[0]
+
+
+def op12_filter_orders(spark, sf_dir):
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.dedup(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_importance_resampling, op2_toxicity_grammar, op3_language_crf, op4_mixing_tree, op5_cross_polytope,
-    op6_jaccard_regions, op7_decontamination, op8_license_templates, op9_secret_randomness, op10_pii_anchors)}
+    op6_jaccard_regions, op7_decontamination, op8_license_templates, op9_secret_randomness, op10_pii_anchors,
+    op11_centroid_expressions, op12_filter_orders, op13_suffix_dedup)}

@@ -32,7 +32,7 @@ def con():
 
 
 def test_registered():
-    assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and len(queries.QUERIES) == 10
+    assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries()) and len(queries.QUERIES) == 13
     assert set(oracle.SQL) <= set(E.oracle_sql())
 
 

@@ -138,7 +138,9 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 # texts as hexadecimal digits, two a byte
 OP13 = r"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-w AS (SELECT row, i, md5(substr(h, 2 * i + 1, 800)) AS g FROM (SELECT row, h, unnest(range(0, len(h) // 2 - 399)) AS i FROM d WHERE len(h) >= 800)),
+-- blocks of 799 bytes hold 400 strings each
+k4 AS (SELECT row, b, substr(h, 800 * b + 1, 1598) AS block FROM (SELECT row, h, unnest(range(0, (len(h) // 2 - 400) // 400 + 1)) AS b FROM d WHERE len(h) >= 800)),
+w AS (SELECT row, 400 * b + j AS i, md5(substr(block, 2 * j + 1, 800)) AS g FROM (SELECT row, b, block, unnest(range(0, len(block) // 2 - 399)) AS j FROM k4)),
 rep AS (SELECT row, i FROM w WHERE g IN (SELECT g FROM w GROUP BY g HAVING count(*) > 1)),
 b AS (SELECT row, i, CASE WHEN i <= lag(i) OVER (PARTITION BY row ORDER BY i) + 400 THEN 0 ELSE 1 END AS fresh FROM rep),
 n AS (SELECT row, i, sum(fresh) OVER (PARTITION BY row ORDER BY i) AS span FROM b),

@@ -64,6 +64,33 @@ def without(docs: DataFrame, gone: DataFrame, marks: int = MARKS) -> DataFrame:
     return sure.select(docs.columns).unionByName(kept.select(docs.columns))
 
 
+def one_of_each(docs: DataFrame, twice: DataFrame, marks: int = MARKS) -> DataFrame:
+    """Of the rows of ``docs`` whose (doc_id, text) is in ``twice`` (twice_id, twice_text as in ``without``), one for each
+    pair.  Equal rows meet in a partial aggregation, so that a pair held by a third of all rows leaves a task as one row."""
+    names = [n for n in ("_mark", "_id", "_text", "__mark", "__id", "__text") if n not in {c.lower() for c in docs.columns}]
+    mark, who, what = names[:3]
+
+    def at(c: str) -> Column:
+        return F.coalesce(F.pmod(F.xxhash64(c), F.lit(marks)), F.lit(-1))
+
+    used = F.broadcast(twice.select(at("twice_id").alias(mark)).distinct())
+    maybe = docs.withColumn(mark, at("doc_id")).join(used, mark, "left_semi").withColumns(
+        {who: F.xxhash64("doc_id", F.col("doc_id").isNull()), what: F.xxhash64("text")})
+    keys = twice.select(F.xxhash64("twice_id", F.col("twice_id").isNull()).alias(who), F.col("twice_text").alias(what)).distinct()
+    return maybe.dropDuplicates([who, what]).join(keys, [who, what], "left_semi").select(docs.columns)
+
+
+def small_batches(df: DataFrame, size: int = 8 << 20) -> DataFrame:
+    """``df``, after bounding what its session hands to Python at once to ``size`` bytes: several copies of a batch live in
+    a worker (Arrow, strings, results), and workers keep the memory of their largest batch."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    now = conf.get(name, None) or str(size + 1)
+    if not now.rstrip("b").isdigit() or int(now.rstrip("b")) > size:
+        conf.set(name, str(size))
+    return df
+
+
 def with_columns_free(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` without columns named like ``names``: an operator's outputs win over clashing extras."""
     low = {n.lower() for n in names}

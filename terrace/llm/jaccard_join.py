@@ -32,8 +32,8 @@ No pairs are emitted: a task returns one edge for each component that it merged
 
 Defined cases: a document without words has an empty set, links with nothing and is its own
 component; one with fewer words than a shingle has the whole sequence as its one shingle; equal
-sets always link; rows of a repeated id are documents of their own; a null id is no component id
-(a set that only rows without id have links with its copies only); an empty table gives no
+sets always link; rows of a repeated id are documents of their own; rows without id link as all others do, but a
+null id is no component id (a component of rows without id only has a null one); an empty table gives no
 rows; other columns are ignored.
 """
 
@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from terrace.llm.common import without
+from terrace.llm.common import one_of_each, small_batches, without
 from terrace.llm.hashing import U, mix
 from terrace.session import materialize
 
@@ -147,7 +147,7 @@ def profiles(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int = DEN
         # nullable integers: floats would round the keys
         return pd.DataFrame({"n": n, "key": pd.array(key, dtype="Int64"), "sketch": sketch, "sigs": sigs})
 
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), of("text").alias("p")).select("doc_id", "text_hash", "p.*")
+    return small_batches(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), of("text").alias("p")).select("doc_id", "text_hash", "p.*")
 
 
 def _key(s: np.ndarray) -> int:
@@ -519,21 +519,21 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
     comp, which tell the rows and components of a repeated id apart."""
     prof = materialize(profiles(docs, words, num, den), "profiles")
     groups = components(candidate_edges(prof, num, den, limit_sets))          # v: set key, root: its group
-    # the document whose text stands for a set
-    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    grouped = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "doc_id", "n")
+    # the text that stands for a set; its id does not matter and may be null
+    reps = prof.where(F.col("key").isNotNull()).groupBy("key").agg(F.min("text_hash").alias("text_hash"), F.max("n").alias("n"))
+    grouped = groups.join(reps, F.col("v") == F.col("key")).select("key", F.col("root").alias("region"), "text_hash", "n")
     sizes = grouped.groupBy("region").agg(((F.count(F.lit(1)) > limit_sets) | (F.sum("n") > limit_shingles)).alias("large"))
-    wanted = materialize(grouped.join(sizes, "region").select("key", "region", "doc_id", "large"), "wanted")
+    wanted = materialize(grouped.join(sizes, "region").select("key", "region", "text_hash", "large"), "wanted")
     # at most LOOKUP_BUCKETS rows whatever the corpus: it only keeps most other texts out of the shuffle
-    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(LOOKUP_BUCKETS))
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).withColumn("bucket", bucket)
+    bucket = F.pmod(F.col("text_hash"), F.lit(LOOKUP_BUCKETS))
+    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text").where(F.col("text").isNotNull()).withColumn("bucket", bucket)
 
     def members(large: bool) -> DataFrame:
         some = wanted.where(F.col("large") == large)
         lookup = F.broadcast(some.select(bucket.alias("bucket")).distinct())
-        # repeated rows give their set more than once; the tasks drop what repeats
-        return (texts.join(lookup, "bucket", "left_semi").join(some, "doc_id").select("region", "key", "text")
-                .mapInPandas(_shingled(words), _MEMBER))
+        # one row a text: copies meet before the shuffle, and a set reaches its task once
+        each = texts.join(lookup, "bucket", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
+        return each.join(some, "text_hash").select("region", "key", "text").mapInPandas(_shingled(words), _MEMBER)
 
     edges = join_small(members(False), num, den)
     if not wanted.where("large").isEmpty():
@@ -550,10 +550,12 @@ def link_documents(docs: DataFrame, words: int = WORDS, num: int = NUM, den: int
 
 
 def keep_one(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id (null before all; of rows
-    with that id, the smallest text hash).  Documents without words all stay, and so do rows that repeat a
-    kept one's id and text."""
+    """``docs`` with one row of each component: the one with the smallest id (null before all; of rows
+    with that id, the smallest text hash; of rows that are equal in both, any one).  Documents without words all stay."""
     links = materialize(link_documents(docs, words, num, den).where(F.col("n_shingles") > 0), "links")
     stays = links.groupBy("comp").agg(F.min(F.struct("doc_id", "text_hash")).alias("stay"))
-    gone = links.join(stays, "comp").where(~F.struct("doc_id", "text_hash").eqNullSafe(F.col("stay")))
-    return without(docs, gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct())
+    told = links.join(stays, "comp").withColumn("stays", F.struct("doc_id", "text_hash").eqNullSafe(F.col("stay")))
+    rows = materialize(told.groupBy("doc_id", "text_hash", "stays").agg(F.count(F.lit(1)).alias("n")).where("NOT stays OR n > 1"), "leaving")
+    left = without(docs, rows.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")))
+    repeated = rows.where("stays").select(F.col("doc_id").alias("twice_id"), F.col("text_hash").alias("twice_text"))
+    return left.unionByName(one_of_each(docs, repeated))

@@ -129,6 +129,44 @@ def test_keep_one(make_docs, texts):
     assert {i for i, _ in got if i is not None} == want | {3} and (3, "an extra text of a repeated id") in got
 
 
+BRIDGE = ["a b c d e f g h i j k l m n o p q r s t u v w x y z a1 b1 c1 d1 e1 f1 g1 h1 i1 j1 k1 l1 m1 n1 o1 p1",
+          "a b c d e f g h i j k l m n o p q r s t u v w x y z a1 b1 c1 d1 e1 f1 g1 h1 i1 j1 k1 l1 m1 n1 o1",
+          "d e f g h i j k l m n o p q r s t u v w x y z a1 b1 c1 d1 e1 f1 g1 h1 i1 j1 k1 l1 m1 n1 o1"]
+
+
+@pytest.mark.parametrize("limit", [2, J.LIMIT_SETS])
+def test_links_through_a_row_without_id(make_docs, limit):
+    """Texts 1 - B - 3: the ends do not link with each other; B has no id."""
+    ends = [(1, BRIDGE[0] + " q1 r1 s1"), (3, BRIDGE[2])]
+    assert brute([ends[0], (2, BRIDGE[1]), ends[1]])[3][1] == 1 and brute(ends)[3][1] == 3
+    got = J.link_documents(make_docs([ends[0], (None, BRIDGE[1]), ends[1]]), limit_sets=limit).collect()
+    assert {r["component_id"] for r in got} == {1} and len(got) == 3
+
+
+def test_random_null_and_repeated_ids(make_docs, texts):
+    """Ids do not decide what links: rows are compared by the components of their texts."""
+    rng = random.Random(8)
+    rows = [(rng.choice([None, None, 5, 6, i]), t) for i, t in texts]
+    want = brute(texts)
+    groups = {}
+    for (i, t), (own, _) in zip(rows, texts):
+        groups.setdefault(want[own][1], []).append(i)
+    want_rows = sorted(((i, want[own][0], min((x for x in groups[want[own][1]] if x is not None), default=None) if want[own][0] else i)
+                        for (i, t), (own, _) in zip(rows, texts)), key=str)
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.link_documents(make_docs(rows)).collect()), key=str)
+    assert got == want_rows
+
+
+def test_keep_one_of_equal_rows(make_docs):
+    same = "one two three four five six seven eight nine ten"
+    near = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, same)] * 5 + [(2, same)] + [(None, near)] * 3 + [(None, near + " more")] + [(7, None), (7, None), (8, "alone here")]
+    kept = [(r["doc_id"], r["text"]) for r in J.keep_one(make_docs(rows)).collect()]
+    assert kept.count((1, same)) == 1 and (2, same) not in kept
+    assert sum(i is None and t in (near, near + " more") for i, t in kept) == 1
+    assert kept.count((7, None)) == 2 and kept.count((8, "alone here")) == 1 and len(kept) == 5
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in J.link_documents(odd_docs).collect()), key=str)
     assert got == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (4, 1, 4), (None, 4, None), (5, 1, 5), (6, 1, 6)], key=str)

@@ -183,7 +183,8 @@ def _stretches(batches):
 
 def train(docs: DataFrame) -> Crf:
     """A chain fitted by AdaGrad on the sample; reruns agree."""
-    rows = (training_sample(docs).mapInPandas(_stretches, "doc_id long, i int, lang string, words string")
+    rows = (training_sample(docs).mapInPandas(
+        _stretches, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, i int, lang string, words string")
             .orderBy("doc_id", "i", "lang", "words").collect())
     langs = sorted({r["lang"] for r in rows})
     if not langs:

@@ -79,3 +79,11 @@ def test_odd_rows(model, odd_docs, no_docs):
     assert langid_crf.identify(no_docs, m).count() == 0
     empty = langid_crf.train(no_docs)
     assert {r["lang_pred"] for r in langid_crf.identify(odd_docs.withColumn("p", F.lit(1)), empty).collect()} == {"und"}
+
+
+def test_ids_of_any_type(spark):
+    rows = [(f"d{i}", "der hund und die katze" if i % 2 else "the dog and the cat", "de" if i % 2 else "en") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string")
+    from terrace.llm import langid_crf
+    got = {r["doc_id"]: r["lang_pred"] for r in langid_crf.identify(docs, langid_crf.train(docs)).collect()}
+    assert got == {i: lang for i, _, lang in rows}

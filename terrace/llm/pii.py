@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from terrace.llm.common import struct_type
+from terrace.llm.common import small_batches, struct_type
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = BASE_KINDS + ("iban", "account", "ssn", "login")
@@ -166,12 +166,12 @@ def redact_udf(texts: pd.Series) -> pd.Series:
 
 def find(docs: DataFrame) -> DataFrame:
     """doc_id, counts of the base kinds, ``base`` and ``spans`` as kind:start:end joined by commas."""
-    return docs.select("doc_id", find_udf(F.col("text")).alias("p")).select("doc_id", "p.*")
+    return small_batches(docs).select("doc_id", find_udf(F.col("text")).alias("p")).select("doc_id", "p.*")
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced by kind tags and n_chars, if there, brought up to date."""
-    out = docs.withColumn(text, redact_udf(F.col(text)))
+    out = small_batches(docs).withColumn(text, redact_udf(F.col(text)))
     if "n_chars" in docs.columns:
         n: Column = F.length(F.col(text)).cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", n)

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.column_layers import batches, repeated_starts, runs
-from terrace.llm.common import MARKS
+from terrace.llm.common import MARKS, small_batches
 from terrace.llm.hashing import U, mix
 from terrace.session import materialize
 
@@ -280,7 +280,7 @@ def _spans(docs: DataFrame, length: int, most: int):
 
 def dedup(docs: DataFrame, length: int = 400, most: int = MOST) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per document."""
-    texts, copies, cover = _spans(docs, length, most)
+    texts, copies, cover = _spans(small_batches(docs), length, most)
     cover = materialize(cover, "suffix-cover")
     part = _marked(texts, cover).join(cover, ["h0", "h1"]).mapInPandas(
         _kept_rows(length), "h0 long, h1 long, n_removed long, n_spans long, kept_sha256 string")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
-from terrace.llm.common import held_out, struct_type, with_columns_free
+from terrace.llm.common import held_out, small_batches, struct_type, with_columns_free
 
 #: Bounds of the labelled sample (documents by label) and of the lexicon.
 SAMPLE_TOXIC, SAMPLE_CLEAN, LEXICON_TERMS = 3000, 6000, 4000
@@ -220,7 +220,7 @@ def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, rounds: int = 3
 
 def train(docs: DataFrame, labels: DataFrame) -> Grammar:
     """A grammar learned from the labelled training rows; reruns agree."""
-    sample = labelled_sample(docs, labels)
+    sample = labelled_sample(small_batches(docs), labels)
     words, stems = learn_lexicon(sample)
     g = Grammar(words=SEED_INSULTS | words, stems=stems)
 
@@ -246,7 +246,7 @@ def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
     def of(texts: pd.Series) -> pd.Series:
         return pd.Series([grammar.score(t) for t in texts], dtype="float64")
 
-    return with_columns_free(docs, ["toxicity"]).withColumn("toxicity", of(F.col("text")))
+    return with_columns_free(small_batches(docs), ["toxicity"]).withColumn("toxicity", of(F.col("text")))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, training: DataFrame | None = None, limit: float = 0.5) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.schemas import TableSpec
@@ -78,16 +78,49 @@ def fk_violations(child: DataFrame, parent: DataFrame, table: str, columns: list
                     "violations"))
 
 
-def order_violations(df: DataFrame, rank_col: str, value_col: str, descending: bool = True) -> DataFrame:
-    """Along ``rank_col`` the value must be non-increasing (``descending``) or
-    non-decreasing.  Per-rank min/max, then rank r against rank r+1 (an equi-join,
-    no single-partition window)."""
-    per = df.groupBy(rank_col).agg(F.min(value_col).alias("_lo"), F.max(value_col).alias("_hi"))
-    nxt = per.select((F.col(rank_col) - 1).alias(rank_col), F.col("_lo").alias("_nlo"),
-                     F.col("_hi").alias("_nhi"))
-    j = per.join(nxt, rank_col)
-    bad = (F.col("_nhi") > F.col("_lo")) if descending else (F.col("_nlo") < F.col("_hi"))
-    return j.where(bad).select(rank_col)
+#: Ranks that one window compares, and how often edges are stitched.
+STITCH_WIDTH, STITCH_LEVELS = 1000, 3
+
+
+def order_violations(df: DataFrame, rank_col: str, value_col: str, descending: bool = True,
+                     width: int = STITCH_WIDTH, levels: int = STITCH_LEVELS) -> DataFrame:
+    """Along ``rank_col`` (integers, with ties and gaps) the value must be non-increasing (``descending``) or
+    non-decreasing; the ranks after which the next rank that exists breaks the order.
+
+    Ranks are reduced to their smallest and largest value.  Neighbours are compared inside ranges of ``width``
+    ranks; the edges of the ranges become the rows of the next level, where ranges of ranges are compared
+    in the same way.  After ``levels`` of them one row is left for every ``width ** levels`` ranks, and these meet in one
+    window.  Null ranks take no part, and a null value breaks nothing.
+    """
+    value = F.col(value_col)
+    cells = df.where(F.col(rank_col).isNotNull()).groupBy(F.col(rank_col).cast("long").alias("id")).agg(
+        F.min(value).alias("first_lo"), F.max(value).alias("first_hi"))
+    cells = cells.select("id", "first_lo", "first_hi", F.col("first_lo").alias("last_lo"), F.col("first_hi").alias("last_hi"),
+                         F.col("id").alias("rank"))
+    found = []
+    for level in range(levels + 1):
+        part = F.floor(F.col("id") / width) if level < levels else F.lit(0)
+        along = Window.partitionBy(part).orderBy("id")
+        bad = (F.lead("first_hi").over(along) > F.col("last_lo")) if descending else (F.lead("first_lo").over(along) < F.col("last_hi"))
+        found.append(cells.withColumn("bad", bad).where("bad").select(F.col("rank").alias(rank_col)))
+        if level < levels:
+            cells = cells.groupBy(F.floor(F.col("id") / width).alias("id")).agg(
+                *[F.min_by(c, F.col("id")).alias(c) for c in ("first_lo", "first_hi")],
+                *[F.max_by(c, F.col("id")).alias(c) for c in ("last_lo", "last_hi", "rank")])
+            cells = cells.select("id", "first_lo", "first_hi", "last_lo", "last_hi", "rank")
+    return reduce(DataFrame.unionByName, found)
+
+
+def fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """M5/M6: the content of a table whatever its order, as one row: (row_count, sum_a, sum_b), the sums of two 60-bit
+    hashes of each row.  Partial sums merge in any order; equal rows count as often as they occur, and a
+    null, an empty string and neighbouring values never run into each other."""
+    cols = columns or df.columns
+    parts = [F.coalesce(F.concat(F.length(F.col(c).cast("string")).cast("string"), F.lit(":"), F.col(c).cast("string")), F.lit("-")) for c in cols]
+    md5 = F.md5(F.concat_ws("|", *parts).cast("binary"))
+    half = [F.conv(F.substring(md5, at, 15), 16, 10).cast("decimal(20,0)") for at in (1, 16)]
+    return df.select(half[0].alias("a"), half[1].alias("b")).agg(
+        F.count(F.lit(1)).alias("row_count"), *[F.coalesce(F.sum(c), F.lit(0)).cast("string").alias(f"sum_{c}") for c in "ab"])
 
 
 def rank_sequence(df: DataFrame, rank_col: str) -> DataFrame:

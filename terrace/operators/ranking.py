@@ -190,3 +190,54 @@ def top_k_ranked(df: DataFrame, order: list[str], k: int, out: str = "rank") ->
         raise ValueError("k must be >= 1")
     top = df.orderBy(*order_columns(order)).limit(k)
     return top.withColumn(out, F.row_number().over(Window.orderBy(*order_columns(order))).cast("long"))
+
+
+# --- lazy ranks in one plan ----------------------------------------------------
+
+#: Ranges of a lazy rank, and about how many keys the split points are taken from.
+RANGES, SAMPLE = 200, 8192
+
+
+def _order_key(order: list[str]) -> str:
+    """A struct that compares like ``order`` over numeric columns (descending: nulls last; ascending: nulls first)."""
+    parts = [f"`{c}` IS NOT NULL, `{c}`" if asc else f"`{c}` IS NULL, -`{c}`" for c, asc in parse_order(order)]
+    return f"struct({', '.join(parts)})"
+
+
+def row_number_sql(rows: str, columns: list[str], order: list[str], out: str, ranges: int = RANGES, sample: int = SAMPLE) -> str:
+    """W2 as one SQL statement without a job of its own, fit for a view: ``rows`` (a SELECT with unique keys
+    ``order``, numeric) numbered by ranges of the order.
+
+    Split points come from the keys whose hash falls on a share that leaves about ``sample`` of them (a scalar subquery, and
+    the same whenever it is evaluated); a window per range numbers the rows, and ranges before it are counted on a side
+    of at most ``ranges`` rows.  Keys are unique, so a value held by a third of all rows is split like any other.
+    """
+    if ranges < 2:
+        raise ValueError("ranges must be 2 or more")
+    key, names = _order_key(order), ", ".join(f"`{c}`" for c, _ in parse_order(order))
+    by = ", ".join(f"`{c}` {'ASC' if asc else 'DESC'}" for c, asc in parse_order(order))
+    return f"""
+        WITH _rows AS ({rows}),
+        _cuts AS (
+          SELECT filter(transform(sequence(1, {ranges - 1}), i -> get(s, CAST(i * size(s) DIV {ranges} AS INT))), c -> c IS NOT NULL) AS cuts
+          FROM (SELECT array_sort(collect_list({key})) AS s FROM _rows
+                WHERE pmod(xxhash64({names}), greatest(1L, (SELECT count(*) FROM _rows) DIV {sample}L)) = 0)),
+        _placed AS (
+          SELECT * EXCEPT (_key, _split), size(filter(_split, c -> c <= _key)) AS _range
+          FROM (SELECT *, {key} AS _key, (SELECT cuts FROM _cuts) AS _split FROM _rows)),
+        _before AS (
+          SELECT _range, coalesce(sum(n) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _offset
+          FROM (SELECT _range, count(*) AS n FROM _placed GROUP BY _range))
+        SELECT /*+ BROADCAST(_before) */ {", ".join(f"`{c}`" for c in columns)},
+               _offset + row_number() OVER (PARTITION BY _placed._range ORDER BY {by}) AS `{out}`
+        FROM _placed JOIN _before ON _placed._range = _before._range"""
+
+
+def dense_rank_sql(rows: str, columns: list[str], order: list[str], out: str, ranges: int = RANGES, sample: int = SAMPLE) -> str:
+    """W1 as one SQL statement: the different keys are numbered as in ``row_number_sql`` and joined back."""
+    keys = [c for c, _ in parse_order(order)]
+    distinct = f"SELECT DISTINCT {', '.join(f'`{c}`' for c in keys)} FROM ({rows})"
+    on = " AND ".join(f"_r.`{c}` <=> _k.`{c}`" for c in keys)
+    return f"""
+        SELECT {", ".join(f"_r.`{c}`" for c in columns)}, _k.`{out}`
+        FROM ({rows}) AS _r JOIN ({row_number_sql(distinct, keys, order, out, ranges, sample)}) AS _k ON {on}"""

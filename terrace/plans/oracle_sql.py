@@ -838,3 +838,26 @@ UNION ALL SELECT 'matches', 'home club equals away club', count(*) FROM dm WHERE
 UNION ALL SELECT 'matches', 'unable to parse score', count(*) FROM dm WHERE raw_score = 'postponed'
 UNION ALL SELECT 'standings', 'inconsistent games played', count(*) FROM ds WHERE played <> won + drawn + lost
 UNION ALL SELECT 'standings', 'inconsistent points', count(*) FROM ds WHERE points <> won * 3 + drawn"""
+
+SQL["top_scorers_view"] = SQL["top_scorers_full"]
+SQL["league_table_view"] = SQL["league_table"]
+SQL["club_analytics_view"] = SQL["club_analytics"]
+
+SQL["order_gaps"] = """
+WITH per AS (SELECT o_custkey, min(o_totalprice) AS lo, max(o_totalprice) AS hi FROM orders WHERE o_custkey IS NOT NULL GROUP BY o_custkey)
+SELECT o_custkey FROM (SELECT o_custkey, lo, lead(hi) OVER (ORDER BY o_custkey) AS next_hi FROM per) WHERE next_hi > lo"""
+
+_TEXT_COLS = "player_id, club_id, name, position, nationality, jersey_number, appearances, goals, assists, goal_contributions"
+_ROW_TEXT = " || '|' || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in _TEXT_COLS.split(", "))
+
+SQL["upsert_fingerprints"] = q(_UPSERT + f"""
+, after AS (SELECT {_TEXT_COLS} FROM base WHERE player_id NOT IN (SELECT player_id FROM batch)
+            UNION ALL SELECT {_TEXT_COLS} FROM batch),
+other AS (SELECT * REPLACE (CASE WHEN player_id = (SELECT min(player_id) FROM after) THEN goals + 1 ELSE goals END AS goals) FROM after),
+a AS (SELECT md5({_ROW_TEXT}) AS h FROM after), o AS (SELECT md5({_ROW_TEXT}) AS h FROM other),
+fa AS (SELECT count(*) AS row_count, CAST(sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)) AS VARCHAR) AS sum_a,
+              CAST(sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)) AS VARCHAR) AS sum_b FROM a),
+fo AS (SELECT count(*) AS row_count, CAST(sum(CAST(('0x' || substr(h, 1, 15)) AS BIGINT)) AS VARCHAR) AS sum_a,
+              CAST(sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)) AS VARCHAR) AS sum_b FROM o)
+SELECT step, fa.* FROM fa, (SELECT unnest(['run 1', 'run 2', 'run 3']) AS step)
+UNION ALL SELECT 'one changed', fo.* FROM fo""")

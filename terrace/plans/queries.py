@@ -14,7 +14,7 @@ from terrace.functions.scalars import (normalise_position, result_label, score_l
                                        signed_display, split_form, thousands, zone_badge)
 from terrace.operators.clean import clean_clubs, clean_matches, clean_players, clean_standings
 from terrace.operators.form import last_n_form
-from terrace.operators.integrity import (check_violations, duplicate_keys, fk_report,
+from terrace.operators.integrity import (check_violations, duplicate_keys, fingerprint, fk_report,
                                          integrity_report, not_null_counts, order_violations,
                                          pk_violations, rank_sequence)
 from terrace.operators.quality import audit_spec
@@ -429,6 +429,56 @@ def top_scorers_sql(spark, sf_dir):
     return longs(views.query_top_scorers_sql(spark, 5))
 
 
+def _views(spark, sf_dir):
+    lg = _league(spark, sf_dir)
+    views.create_views(spark, lg.clubs, lg.players, lg.standings)
+
+
+@register("top_scorers_view")
+def top_scorers_view(spark, sf_dir):
+    """V2 + V4 + W2: the registered view read whole, numbered by ranges in one lazy plan."""
+    _views(spark, sf_dir)
+    return longs(spark.table("vw_top_scorers"))
+
+
+@register("league_table_view")
+def league_table_view(spark, sf_dir):
+    """V1 + V6 + W1: the registered view read whole, dense ranks over the different keys."""
+    _views(spark, sf_dir)
+    return longs(spark.table("vw_league_table"))
+
+
+@register("club_analytics_view")
+def club_analytics_view(spark, sf_dir):
+    """V3 + V8 through the registered view."""
+    _views(spark, sf_dir)
+    return longs(spark.table("vw_club_analytics"))
+
+
+@register("order_gaps")
+def order_gaps(spark, sf_dir):
+    """W7 over a rank with gaps and ties: customers (many without orders) after which the next customer with
+    orders has a larger one than their smallest."""
+    o = Tables(spark, sf_dir).orders.select("o_custkey", "o_totalprice")
+    return longs(order_violations(o, "o_custkey", "o_totalprice"))
+
+
+@register("upsert_fingerprints")
+def upsert_fingerprints(spark, sf_dir):
+    """M5 + M6: the content after the same batch is applied once, twice and three times, and with one value changed."""
+    base, batch = _upsert_inputs(spark, sf_dir)
+    cols = [c for c in _PLAYER_COLS if c != "goals_per_game"]
+    now, out = base.select(*_PLAYER_COLS), []
+    batch = batch.select(*_PLAYER_COLS)
+    for step in range(1, 4):
+        now = upsert(now, batch, "player_id", check_keys=False)
+        out.append(fingerprint(now, cols).withColumn("step", F.lit(f"run {step}")))
+    least = now.agg(F.min("player_id").alias("player_id")).withColumn("_least", F.lit(1))
+    changed = now.join(least, "player_id", "left").withColumn("goals", F.col("goals") + F.coalesce("_least", F.lit(0)))
+    out.append(fingerprint(changed, cols).withColumn("step", F.lit("one changed")))
+    return reduce(DataFrame.unionByName, out).select("step", "row_count", "sum_a", "sum_b")
+
+
 @register("standings_surrogate_ids")
 def standings_surrogate_ids(spark, sf_dir):
     """Surrogate ids for standings rows; clubs already holding an id (an

@@ -1,18 +1,18 @@
 """The three analytical views (V1-V3), their ordered queries (V6-V8) and the
 temp-view lifecycle (V4, V5).
 
-Views are functions over the *current* tables: calling them again after a new
-table version is published re-resolves the inputs (V9).  The registered temp views
-are lazy: creating them runs no job, and every query ranks what the tables hold then.
+The functions take DataFrames.  The registered temp views are SQL text over named relations: creating them runs no job,
+every query ranks what the tables hold then, by ranges of the order and never in one task.  Over the views of
+``Warehouse.create_live_views`` they show each version that is published later (V9).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions import scalars as S
-from terrace.operators.ranking import global_rank, order_columns, parse_order, top_k_ranked
+from terrace.operators.ranking import dense_rank_sql, global_rank, parse_order, row_number_sql, top_k_ranked
 
 LEAGUE_RANK_ORDER = ["-points", "-goal_difference", "-goals_for", "goals_against"]
 SCORER_ORDER = ["-goals", "-assists", "appearances", "player_id"]
@@ -150,26 +150,74 @@ def query_top_scorers_sql(spark: SparkSession, limit: int = 10) -> DataFrame:
 SCORERS_VIEW = "vw_scorers_unranked"
 
 
+#: What the views read where tables are given as DataFrames.
+SOURCES = {"clubs": "vw_source_clubs", "players": "vw_source_players", "standings": "vw_source_standings"}
+
+
+def _league_rows_sql(clubs: str, standings: str) -> str:
+    return f"""
+        SELECT s.club_id, c.name AS club_name, c.short_name, c.stadium, c.primary_color, s.played, s.won, s.drawn, s.lost,
+               s.goals_for, s.goals_against, s.goal_difference, s.points, s.points_per_game, s.win_percentage, s.form
+        FROM {standings} AS s JOIN {clubs} AS c ON s.club_id = c.club_id"""
+
+
+def _scorer_rows_sql(players: str, clubs: str) -> str:
+    return f"""
+        SELECT p.player_id, p.name AS player_name, c.name AS club_name, c.short_name AS club_short_name,
+               c.primary_color AS club_color, p.position, p.nationality, p.jersey_number, p.appearances, p.goals, p.assists,
+               p.goal_contributions, p.goals_per_game
+        FROM {players} AS p JOIN {clubs} AS c ON p.club_id = c.club_id WHERE p.goals > 0"""
+
+
+def _analytics_sql(clubs: str, players: str, standings: str) -> str:
+    """Squads are aggregated before they are joined; the average is rounded half up to one decimal in exact integers."""
+    return f"""
+        SELECT c.club_id, c.name AS club_name, c.short_name, c.stadium, c.capacity, c.city, c.primary_color,
+               coalesce(q.squad_size, 0L) AS squad_size, coalesce(q.goals, 0L) AS squad_goals,
+               coalesce(q.assists, 0L) AS squad_assists,
+               CASE WHEN q.n > 0 THEN CAST((20 * q.apps + q.n) DIV (2 * q.n) AS DOUBLE) / 10 END AS avg_player_appearances,
+               CAST(coalesce(s.position, 0) AS BIGINT) AS league_position, CAST(coalesce(s.points, 0) AS BIGINT) AS points,
+               CAST(coalesce(s.goal_difference, 0) AS BIGINT) AS goal_difference, s.form
+        FROM {clubs} AS c
+        LEFT JOIN (SELECT club_id, count(DISTINCT player_id) AS squad_size, sum(goals) AS goals, sum(assists) AS assists,
+                          sum(appearances) AS apps, count(appearances) AS n FROM {players} GROUP BY club_id) AS q ON q.club_id = c.club_id
+        LEFT JOIN {standings} AS s ON s.club_id = c.club_id"""
+
+
 def create_views(spark: SparkSession, clubs, players, standings) -> list[str]:
     """V4: create or replace the three views as temp views (replace semantics).  Nothing runs here.
 
-    ``vw_league_table`` and ``vw_top_scorers`` rank with a plain window, in one task, when they are
-    read whole; for fact-sized tables take ``top_scorers_view`` (scalable, eager) or the bounded query.
+    Tables are DataFrames or names of relations; over live relations the views are live.
     """
-    league = _league_base(clubs, standings).withColumn(
-        "dynamic_rank", F.dense_rank().over(Window.orderBy(*order_columns(LEAGUE_RANK_ORDER))).cast("long"))
-    league.select(*LEAGUE_COLUMNS).createOrReplaceTempView("vw_league_table")
-    base = _scorers_base(players, clubs)
-    base.createOrReplaceTempView(SCORERS_VIEW)
-    base.withColumn("scorer_rank", F.row_number().over(Window.orderBy(*order_columns(SCORER_ORDER))).cast("long")) \
-        .select(*SCORER_COLUMNS).createOrReplaceTempView("vw_top_scorers")
-    club_analytics(clubs, players, standings).createOrReplaceTempView("vw_club_analytics")
+    given = {"clubs": clubs, "players": players, "standings": standings}
+    for name, table in given.items():
+        if not isinstance(table, str):
+            table.createOrReplaceTempView(SOURCES[name])
+            given[name] = SOURCES[name]
+    rest = [c for c in SCORER_COLUMNS if c != "scorer_rank"]
+    scorers = _scorer_rows_sql(given["players"], given["clubs"])
+    texts = {
+        "vw_league_table": f"SELECT {', '.join(LEAGUE_COLUMNS)} FROM (" + dense_rank_sql(
+            _league_rows_sql(given["clubs"], given["standings"]), [c for c in LEAGUE_COLUMNS if c != "dynamic_rank"],
+            LEAGUE_RANK_ORDER, "dynamic_rank") + ")",
+        SCORERS_VIEW: scorers,
+        "vw_top_scorers": f"SELECT {', '.join(SCORER_COLUMNS)} FROM (" + row_number_sql(scorers, rest, SCORER_ORDER, "scorer_rank") + ")",
+        "vw_club_analytics": _analytics_sql(given["clubs"], given["players"], given["standings"]),
+    }
+    for name, text in texts.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} AS {text}")
     return list(VIEW_NAMES)
 
 
+def create_live_views(spark: SparkSession, warehouse, prefix: str = "live_") -> list[str]:
+    """V9: the three views over the warehouse's live tables: made once, they follow every publish."""
+    warehouse.create_live_views(prefix)
+    return create_views(spark, f"{prefix}clubs", f"{prefix}players", f"{prefix}standings")
+
+
 def drop_views(spark: SparkSession) -> None:
     """V5: idempotent drop."""
-    for v in (*VIEW_NAMES, SCORERS_VIEW):
+    for v in (*VIEW_NAMES, SCORERS_VIEW, *SOURCES.values()):
         spark.catalog.dropTempView(v)
 
 

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +80,66 @@ def test_a_stated_bound_is_held(spark):
     from pyspark.errors import PySparkException
     with pytest.raises(PySparkException, match="more than the stated"):
         global_rank(spark.range(11), ["id"], window_rows=10).collect()
+
+
+def _lazy(spark, df, order, kind, **kw):
+    from terrace.operators import ranking
+    df.createOrReplaceTempView("ranked_rows")
+    text = getattr(ranking, f"{kind}_sql")("SELECT * FROM ranked_rows", df.columns, order, "r", **kw)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW ranked AS {text}")
+    return spark.table("ranked")
+
+
+@pytest.mark.parametrize("ranges,sample", [(2, 5), (7, 40), (200, 8192)])
+def test_lazy_ranks_equal_the_plain_windows(spark, ranges, sample):
+    from pyspark.sql import Window
+    from terrace.operators.ranking import order_columns
+    # a third of the rows share all values but the id; nulls on both sides
+    df = spark.range(900).selectExpr("id AS k", "CASE WHEN id % 3 = 0 THEN 1 WHEN id % 50 = 1 THEN NULL ELSE id % 17 END AS g",
+                                     "CASE WHEN id % 3 = 0 THEN 0D WHEN id % 40 = 1 THEN NULL ELSE (id % 5) / 2D END AS a").repartition(5)
+    order = ["-g", "a", "k"]
+    got = _lazy(spark, df, order, "row_number", ranges=ranges, sample=sample)
+    want = df.withColumn("r", F.row_number().over(Window.orderBy(*order_columns(order))).cast("long"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    order = ["g", "-a"]
+    got = _lazy(spark, df, order, "dense_rank", ranges=ranges, sample=sample)
+    want = df.withColumn("r", F.dense_rank().over(Window.orderBy(*order_columns(order))).cast("long"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_lazy_rank_has_no_window_over_all_rows(spark):
+    df = spark.range(50).selectExpr("id AS k")
+    assert _lazy(spark, df.where("k < 0"), ["k"], "row_number").count() == 0
+    plan = _lazy(spark, df, ["-k"], "row_number")._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if line.lstrip(" :+-").startswith("Window")]
+    over_all = [w for w in windows if "row_number" in w and "[_range" not in w]
+    assert len(windows) == 2 and not over_all
+
+
+def test_order_is_checked_across_gaps_and_ranges(spark):
+    from terrace.operators.integrity import order_violations
+    S = "r long, v long"
+    assert [x["r"] for x in order_violations(spark.createDataFrame([(1, 5), (3, 9), (4, 9)], S), "r", "v").collect()] == [1]
+    rng = random.Random(3)
+    rows = [(r, rng.randint(0, 9)) for r in rng.sample(range(400), 150)] + [(7, None), (None, 3), (399, 1), (399, 8)]
+    per = {}
+    for r, v in rows:
+        if r is not None:
+            per.setdefault(r, []).extend([] if v is None else [v])
+    ranks = sorted(per)
+    for down in (True, False):
+        want = [a for a, b in zip(ranks, ranks[1:]) if per[a] and per[b] and (
+            max(per[b]) > min(per[a]) if down else min(per[b]) < max(per[a]))]
+        got = order_violations(spark.createDataFrame(rows, S), "r", "v", down, width=4, levels=2)
+        assert sorted(x["r"] for x in got.collect()) == want and want
+
+
+def test_fingerprint_tells_contents_apart(spark):
+    from terrace.operators.integrity import fingerprint
+    S = "a string, b string, n long"
+    rows = [("x", "yz", 1), ("xy", "z", 1), (None, "", 2), ("", None, 2), ("x", "yz", 1)]
+    of = lambda r: tuple(fingerprint(spark.createDataFrame(r, S).repartition(3)).first())
+    assert of(rows) == of(rows[::-1]) and of(rows)[0] == 5
+    others = [rows[1:], rows + rows[:1], [*rows[:2], ("", None, 2), ("", None, 2), rows[4]], [("xy", "z", 1)] + rows[1:], [("x", "yz", 2)] + rows[1:]]
+    assert len({of(r) for r in [rows, *others]}) == len(others) + 1
+    assert of([]) == (0, "0", "0")

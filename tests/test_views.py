@@ -1,4 +1,6 @@
 
+from pyspark.sql import functions as F
+
 from terrace.operators.clean import clean_clubs, clean_matches, clean_players, clean_standings
 from terrace.operators.form import club_form
 from terrace.plans import views
@@ -155,3 +157,28 @@ def test_creating_views_runs_no_job(spark):
     views.create_views(spark, *tables)
     assert len(tracker.getJobIdsForGroup("views")) == before
     spark.sparkContext.setJobGroup("rest", "rest")
+
+
+def test_live_views_are_made_once(spark, scratch):
+    """Tables change, the three views are not registered again, and show the change."""
+    from terrace.sources.warehouse import Warehouse
+    clubs, matches, standings = league(spark)
+    wh = Warehouse(spark, f"{scratch}/live")
+    players = _players(spark, [(111, 5, 27, 5, 5), (112, 5, 3, 1, 5)])
+    wh.publish({"clubs": clubs, "players": players, "standings": standings}, check=False)
+    views.create_live_views(spark, wh)
+    top = lambda: [(r["scorer_rank"], r["player_id"], r["goals"]) for r in spark.table("vw_top_scorers").orderBy("scorer_rank").collect()]
+    assert top() == [(1, 111, 27), (2, 112, 3)]
+    wh.publish_upserts({"players": _players(spark, [(112, 5, 30, 1, 5), (113, 5, 1, 0, 5)])}, check=False)
+    assert top() == [(1, 112, 30), (2, 111, 27), (3, 113, 1)]
+    assert views.query_top_scorers_sql(spark, 1).first()["player_id"] == 112
+    assert spark.table("vw_club_analytics").where("club_id = 5").first()["squad_goals"] == 58
+    leader = spark.table("vw_league_table").where("dynamic_rank = 1").first()["club_id"]
+    other = standings.where(f"club_id <> {leader}").limit(1).withColumn("points", F.lit(999).cast(standings.schema["points"].dataType))
+    wh.publish_upserts({"standings": other}, check=False)
+    first = spark.table("vw_league_table").where("dynamic_rank = 1").first()
+    assert first["club_id"] != leader and first["points"] == 999
+    assert all(r["status"] == "PASS" for r in views.verify_views(spark).collect() if r["check_name"].startswith("required"))
+    views.drop_views(spark)
+    for t in ("clubs", "players", "standings"):
+        spark.catalog.dropTempView(f"live_{t}")

@@ -861,3 +861,5 @@ fo AS (SELECT count(*) AS row_count, CAST(sum(CAST(('0x' || substr(h, 1, 15)) AS
               CAST(sum(CAST(('0x' || substr(h, 16, 15)) AS BIGINT)) AS VARCHAR) AS sum_b FROM o)
 SELECT step, fa.* FROM fa, (SELECT unnest(['run 1', 'run 2', 'run 3']) AS step)
 UNION ALL SELECT 'one changed', fo.* FROM fo""")
+
+SQL["record_order"] = "SELECT o_orderkey, row_number() OVER () - 1 AS record_index FROM orders"

@@ -26,7 +26,7 @@ from terrace.plans import derive, lookups, views
 from terrace.plans import star_audits as SA
 from terrace.plans.star_audits import STAR_TABLE_SPECS
 from terrace.schemas import LEAGUE_TABLES, league_audit_specs
-from terrace.sources.sinks import batch_manifest
+from terrace.sources.sinks import batch_manifest, file_order_index
 from terrace.sources.tables import Tables
 
 #: Upper bound of the founded year in the registered query, so that its result does not depend on the day.
@@ -463,6 +463,12 @@ def order_gaps(spark, sf_dir):
     return longs(order_violations(o, "o_custkey", "o_totalprice"))
 
 
+@register("record_order")
+def record_order(spark, sf_dir):
+    """The place of each order in its file, from split starts and counts, whatever task read it."""
+    return longs(file_order_index(Tables(spark, sf_dir).orders.select("o_orderkey"), "record_index"))
+
+
 @register("upsert_fingerprints")
 def upsert_fingerprints(spark, sf_dir):
     """M5 + M6: the content after the same batch is applied once, twice and three times, and with one value changed."""

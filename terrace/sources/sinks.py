@@ -8,7 +8,7 @@ import datetime as _dt
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +21,29 @@ def stamp_lineage(df: DataFrame, source: str, ingested_at: str | None = None) ->
     return df.withColumn("_ingested_at", F.lit(ts)).withColumn("_source", F.lit(source))
 
 
+def file_order_index(df: DataFrame, out: str = RECORD_INDEX) -> DataFrame:
+    """The place of each record of a batch read from files, counted from 0 without gaps: files by path, records
+    as they stand in them.  How Spark packs splits into tasks does not matter: records are numbered inside their
+    split (one window a split, as large as what one task read), and the records of earlier splits, one row a split, are
+    added up in front of them.  ``df`` is a scan, perhaps filtered; after a shuffle the order inside a split is gone."""
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_row"))
+    blocks = placed.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("_file", "_block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_row"))
+    return placed.join(blocks, ["_file", "_block"]).withColumn(out, (F.col("_before") + within - 1).cast("long")) \
+        .select(*[c for c in df.columns if c != out], out)
+
+
 def stamp_record_index(df: DataFrame) -> DataFrame:
-    """The place of each record in its batch, in the order of the input's partitions.  To be called once, on
-    what is written: the index is then read back, never made again."""
-    return df.withColumn(RECORD_INDEX, F.monotonically_increasing_id())
+    """The place of each record in its batch: the order of the files where the batch is read from files, else that of
+    the input's partitions.  To be called once, on what is written: the index is then read back, never made again."""
+    try:
+        df.select("_metadata.file_path")
+    except AnalysisException:
+        return df.withColumn(RECORD_INDEX, F.monotonically_increasing_id())
+    return file_order_index(df)
 
 
 def write_bronze(df: DataFrame, root: str, dataset: str, batch_id: str) -> str:

@@ -47,3 +47,31 @@ def test_manifest_and_report_file(spark, scratch):
     rep = spark.createDataFrame([("PASS", 8)], "status string, source_records long")
     path = sinks.write_quality_report(rep, f"{scratch}/quality")
     assert sinks.read_quality_report(spark, path).first()["status"] == "PASS"
+
+
+def test_record_index_follows_the_files(spark, scratch):
+    """Files of very different sizes, packed into tasks by size: the index keeps the order of names and lines."""
+    import json
+    import os
+
+    from terrace.operators.quality import RECORD_INDEX
+    os.makedirs(f"{scratch}/batch")
+    want = []
+    for n, size in enumerate([3, 4000, 1, 0, 900, 2500]):
+        with open(f"{scratch}/batch/part-{n}.json", "w") as fh:
+            for i in range(size):
+                want.append(f"{n}-{i}")
+                fh.write(json.dumps({"k": want[-1], "pad": "x" * 40}) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for most in ("20000", "70000", "10000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+            df = spark.read.schema("k string, pad string").json(f"{scratch}/batch")
+            rows = {r["k"]: r[RECORD_INDEX] for r in sinks.stamp_record_index(df).select("k", RECORD_INDEX).collect()}
+            assert rows == {k: i for i, k in enumerate(want)}
+            some = sinks.stamp_record_index(df.where("k LIKE '4-%'")).select("k", RECORD_INDEX).collect()
+            assert {r["k"]: r[RECORD_INDEX] for r in some} == {f"4-{i}": i for i in range(900)}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    made = sinks.stamp_record_index(spark.range(10).repartition(1))  # not from files
+    assert RECORD_INDEX in made.columns and made.count() == 10

@@ -57,9 +57,6 @@ LIMIT_SETS, LIMIT_SHINGLES = 2000, 1_000_000   # what one task joins
 PIVOTS = 8
 PARTS, PART_SIZE = 64, 4         # fixed pivots of the thinning: 64 at least, and one for every 4 to 8 shingles
 LOOKUP_BUCKETS = 1 << 18         # proven bound of the broadcast that thins the texts
-CACHE = 100_000
-
-_words: dict[bytes, int] = {}
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
@@ -67,16 +64,13 @@ def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     tokens = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not tokens:
         return np.zeros(0, dtype=U)
-    if len(_words) > CACHE:
-        _words.clear()
-    for t in set(tokens).difference(_words):
-        _words[t] = xxhash.xxh64_intdigest(t)
-    h = np.fromiter(map(_words.__getitem__, tokens), dtype=U, count=len(tokens))
+    h = np.fromiter(map(xxhash.xxh64_intdigest, tokens), dtype=U, count=len(tokens))
     n = min(words, len(h))
     out = np.full(len(h) - n + 1, n, dtype=U)
     for i in range(n):
         out = mix(out * U(0x9E3779B97F4A7C15) + h[i:len(h) - n + 1 + i])
-    return np.unique(out)
+    out.sort()
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
 
 
 def band_of(n: int) -> int:

@@ -1,18 +1,25 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five small transducers turn words into weighted symbols: insults, threats, targets,
-negation and reported speech.  Their composition is one automaton over symbols that runs
-over a clause (up to the next full stop, question or exclamation mark, semicolon or
-line end) and emits the clause's weight:
-
-* an insult weighs what it was learned to weigh, a threat counts only together with a target;
-* a target in the clause makes it heavier, a negation shortly before makes it lighter,
-  and so does reported speech, up to the end of the clause.
+Words become symbols (insult, threat, target, link, negation, report, quotation mark, other).  Five
+transducers, each a transition table over symbols, read a clause (up to the next full stop, question or
+exclamation mark, semicolon or line end; a mark right before a closing quotation mark ends none):
+
+* negation marks insults and threats that stand shortly behind it;
+* reported speech marks what stands behind a word of saying or naming, and what stands between quotation marks
+  with such a word behind them ("You idiot", he said);
+* target remembers whether the clause names somebody;
+* threat remembers threats; insult remembers insults and whether a link (a form of to be, or this and that) stood before one.
+
+Their composition, built state by state into one table, runs over the clause.  Its last state says what matched:
+insults match beside a target, behind a link or beside another insult, threats only beside a target.
+A single insult without any of these matches nothing: isolated words are not scored.  Clauses with such bare
+insults match together, at half their weight, where a text has two or more of them.  A matched clause weighs the
+sum of its insults and threats, more beside a target, less where marked as negated or reported.
 
 What is learned, from a bounded sample of labelled training documents: the insult lexicon
 (whole words, and stems of 4 to 6 letters for inflected ones) with log-odds weights,
 counted by Spark, and a logistic curve over the matched clauses' weights.  Threats,
-targets, negation and reported speech are given word lists.
+targets, links, negation and reported speech are given word lists.
 
 Defined cases: null or empty text has no clause and gets the score of a text without matches;
 without labelled rows of both kinds the curve keeps its starting values and the lexicon
@@ -25,8 +32,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
-from collections.abc import Iterable
+from collections.abc import Callable, Hashable, Iterable
 from dataclasses import dataclass, field
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -53,13 +61,156 @@ SEED_INSULTS = {w: 3.0 for w in (
 THREATS = frozenset("kill murder hurt beat destroy stab shoot burn strangle töten umbringen tuer matar".split())
 TARGETS = frozenset("you your yourself they them he she him her everyone people du dich dir ihr euch sie tu te toi "
                     "vous eux usted ustedes ellos".split())
+LINKS = frozenset("is are was were be am being this that these those such bist ist sind seid war diese dieser es est "
+                  "sont suis ce cet cette ces eres son este esta estos".split())
 NEGATIONS = frozenset("not no never nobody isn wasn aren don doesn nicht kein keine nie pas jamais aucun nunca ningún".split())
-REPORTS = frozenset("said says say called calls quoted quote reported writes wrote claims claimed sagte nannte dit appelle "
-                    "dijo llamó".split())
+REPORTS = frozenset("said says say called calls quoted quote reported writes wrote claims claimed word term means sagte nannte "
+                    "wort dit appelle mot dijo llamó palabra".split())
 
+#: Words, quotation marks (with a mark before them; an apostrophe inside a word is none) and ends of clauses.
+_TOKEN = re.compile(r"[^\W_]+|[.,!?]?(?:[\"“”„«»]|(?<!\w)[\'‘]|(?<=[\w.,!?])[\'’](?!\w))|[.!?;\n]", re.UNICODE)
 _WORD = re.compile(r"[^\W_]+|[.!?;\n]", re.UNICODE)
-NEG_REACH = 3
-NEG_FACTOR, REPORT_FACTOR, TARGET_FACTOR, THREAT_WEIGHT = 0.3, 0.5, 1.5, 4.0
+NEG_REACH, QUOTE_REACH = 2, 3
+NEG_FACTOR, REPORT_FACTOR, TARGET_FACTOR, VOLLEY_FACTOR, THREAT_WEIGHT = 0.3, 0.5, 1.5, 0.5, 4.0
+
+#: Input symbols; the transducers add marks to insults and threats.
+OTHER, INSULT, THREAT, TARGET, LINK, NEGATION, REPORT, QUOTE = SYMBOLS = range(8)
+NEGATED, REPORTED, QUOTED = 1, 2, 4
+Symbol = tuple[int, int]    # kind, marks
+_WEIGHED = (INSULT, THREAT)
+
+
+@dataclass(frozen=True)
+class Transducer:
+    """A table (state, symbol) -> (state, symbol) that starts in ``start``; what it found is in its last state."""
+
+    start: Hashable
+    table: dict[tuple[Hashable, Symbol], tuple[Hashable, Symbol]]
+
+    def run(self, symbols: Iterable[Symbol]) -> tuple[Hashable, list[Symbol]]:
+        state, out = self.start, []
+        for s in symbols:
+            state, s = self.table[state, s]
+            out.append(s)
+        return state, out
+
+
+def tabulated(start: Hashable, alphabet: Iterable[Symbol], step: Callable) -> Transducer:
+    """The table of ``step(state, kind, marks) -> (state, marks)`` over the states that can be reached."""
+    alphabet, table, open_, seen = list(alphabet), {}, [start], {start}
+    while open_:
+        state = open_.pop()
+        for kind, marks in alphabet:
+            after, marked = step(state, kind, marks)
+            table[state, (kind, marks)] = after, (kind, marked)
+            if after not in seen:
+                seen.add(after)
+                open_.append(after)
+    return Transducer(start, table)
+
+
+def outputs(t: Transducer) -> list[Symbol]:
+    return sorted({s for _, s in t.table.values()})
+
+
+def composed(first: Transducer, second: Transducer) -> Transducer:
+    """``second`` reading what ``first`` puts out; states are pairs."""
+    alphabet = {s for _, s in first.table}
+    table, open_, seen = {}, [(first.start, second.start)], {(first.start, second.start)}
+    while open_:
+        a, b = open_.pop()
+        for s in alphabet:
+            a2, between = first.table[a, s]
+            b2, out = second.table[b, between]
+            table[(a, b), s] = (a2, b2), out
+            if (a2, b2) not in seen:
+                seen.add((a2, b2))
+                open_.append((a2, b2))
+    return Transducer((first.start, second.start), table)
+
+
+def _negation(left, kind, marks):
+    if kind == NEGATION:
+        return NEG_REACH, marks
+    return max(0, left - 1), marks | NEGATED if left and kind in _WEIGHED else marks
+
+
+def _report(state, kind, marks):
+    # said: a report word came before; quote: 0 outside, -1 inside, n > 0: n words behind a closing mark; told: a quotation was reported
+    said, quote, told = state
+    if kind == QUOTE:
+        return (said, QUOTE_REACH if quote == -1 else -1, told), marks
+    if kind in _WEIGHED:
+        marks |= REPORTED if said else QUOTED if quote == -1 else 0
+    if kind == REPORT:
+        return (True, -1 if quote == -1 else 0, told or quote > 0), marks
+    return (said, max(-1, quote - 1) if quote > 0 else quote, told), marks
+
+
+def _target(seen, kind, marks):
+    return seen or kind == TARGET, marks
+
+
+def _threat(seen, kind, marks):
+    return seen or kind == THREAT, marks
+
+
+def _insult(state, kind, marks):
+    # insults so far (at most 2 matter), a link came, an insult stood behind one
+    n, link, linked = state
+    if kind == INSULT:
+        return (min(2, n + 1), link, linked or link), marks
+    return (n, link or kind == LINK, linked), marks
+
+
+def transducers() -> tuple[Transducer, ...]:
+    """Negation, reported speech, target, threat and insult, each over what the ones before it put out."""
+    out, alphabet = [], [(k, 0) for k in SYMBOLS]
+    for start, step in ((0, _negation), ((False, 0, False), _report), (False, _target), (False, _threat), ((0, False, False), _insult)):
+        out.append(tabulated(start, alphabet, step))
+        alphabet = outputs(out[-1])
+    return tuple(out)
+
+
+def accepted(report, target: bool, threat: bool, insult) -> tuple[bool, bool, float, float]:
+    """From the last states: do insults match, do threats, the factor of the clause and that of its quotations."""
+    n, _, linked = insult
+    return (n > 0 and (target or linked or n > 1), threat and target, TARGET_FACTOR if target else 1.0,
+            REPORT_FACTOR if report[2] else 1.0)
+
+
+class Machine:
+    """The composition with numbered states: ``step[state * 8 + symbol]`` is (state * 8, marks), ``last[state]`` what it accepts."""
+
+    def __init__(self):
+        parts = transducers()
+        whole = reduce(composed, parts)
+        number = {s: i for i, s in enumerate(dict.fromkeys([whole.start, *(s for s, _ in whole.table)]))}
+        self.step = [(0, 0)] * (8 * len(number))
+        for (state, (kind, _)), (after, (_, marks)) in whole.table.items():
+            self.step[8 * number[state] + kind] = 8 * number[after], marks
+        self.last = [accepted(r, g, t, i) for ((((_, r), g), t), i) in number]
+
+    def weight(self, clause: list[tuple[int, float]]) -> tuple[float, float]:
+        """Weight of a clause of (symbol, weight), 0 where nothing matches, and the weight of its insult if that stands bare."""
+        state, step = 0, self.step
+        sums = [[0.0, 0.0], [0.0, 0.0]]    # insults and threats, each outside and inside quotations
+        for symbol, w in clause:
+            state, marks = step[state + symbol]
+            if w:
+                w *= (NEG_FACTOR if marks & NEGATED else 1.0) * (REPORT_FACTOR if marks & REPORTED else 1.0)
+                sums[symbol == THREAT][bool(marks & QUOTED)] += w
+        insults, threats, factor, quoted = self.last[state >> 3]
+        insulting, threatening = (a + quoted * b for a, b in sums)
+        return factor * (insults * insulting + threats * threatening), 0.0 if insults else insulting
+
+
+@cache
+def machine() -> Machine:
+    return Machine()
+
+
+_PLAIN, _ENDS = (OTHER, 0.0), frozenset(".!?;\n")
 
 
 @dataclass
@@ -77,54 +228,38 @@ class Grammar:
                 w = max(w, self.stems.get(word[:n], 0.0))
         return w
 
-    def symbols(self, words: Iterable[str]) -> dict[str, tuple[str, float]]:
-        """The transducers' output for each word that has one."""
-        out = {}
-        for w in words:
-            if w in NEGATIONS:
-                out[w] = ("neg", 0.0)
-            elif w in REPORTS:
-                out[w] = ("report", 0.0)
-            elif w in TARGETS:
-                out[w] = ("target", 0.0)
-            elif w in THREATS:
-                out[w] = ("threat", THREAT_WEIGHT)
-            elif weight := self.insult(w):
-                out[w] = ("insult", weight)
-        return out
+    def symbol(self, token: str) -> tuple[int, float]:
+        """Symbol and weight of a word or quotation mark."""
+        for kind, words in ((NEGATION, NEGATIONS), (REPORT, REPORTS), (TARGET, TARGETS), (LINK, LINKS)):
+            if token in words:
+                return kind, 0.0
+        if token in THREATS:
+            return THREAT, THREAT_WEIGHT
+        if not token[0].isalnum():
+            return QUOTE, 0.0
+        weight = self.insult(token)
+        return (INSULT, weight) if weight else _PLAIN
 
     def clauses(self, text: str) -> list[float]:
-        """Weights of the matched clauses."""
-        tokens = _WORD.findall(text.lower())
-        symbols = self.symbols(set(tokens))
-        if not any(kind in ("insult", "threat") for kind, _ in symbols.values()):
+        """Weights of the matched clauses, and of a volley of bare insults in several clauses."""
+        tokens = _TOKEN.findall(text.lower())
+        symbols = {t: self.symbol(t) for t in set(tokens) if t not in _ENDS}
+        if not any(w for _, w in symbols.values()):
             return []
-        found: list[float] = []
-        weight = threat = 0.0
-        negated, reported, target = 0, False, False
+        found, bare, clause, weighed = [], [], [], False
         for token in tokens + ["."]:
-            if token in ".!?;\n":
-                total = (weight + (threat if target else 0.0)) * (TARGET_FACTOR if target else 1.0)
-                if total > 0:
-                    found.append(total)
-                weight = threat = 0.0
-                negated, reported, target = 0, False, False
+            if token in _ENDS:
+                # only clauses that hold an insult or a threat can match
+                if weighed:
+                    total, alone = machine().weight(clause)
+                    found += [total] if total else []
+                    bare += [alone] if alone else []
+                clause, weighed = [], False
                 continue
-            kind, w = symbols.get(token, ("", 0.0))
-            negated = max(0, negated - 1)
-            if kind == "neg":
-                negated = NEG_REACH
-            elif kind == "report":
-                reported = True
-            elif kind == "target":
-                target = True
-            elif kind:
-                w *= (NEG_FACTOR if negated else 1.0) * (REPORT_FACTOR if reported else 1.0)
-                if kind == "insult":
-                    weight += w
-                else:
-                    threat += w
-        return found
+            s = symbols[token]
+            clause.append(s)
+            weighed = weighed or s[1] > 0
+        return found + ([VOLLEY_FACTOR * sum(bare)] if len(bare) > 1 else [])
 
     def features(self, text: str | None) -> tuple[float, float]:
         """Heaviest clause, and the logarithm of all clauses' weight."""

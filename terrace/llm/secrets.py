@@ -24,7 +24,7 @@ short row per document, is written to a table, and the cut-offs (one for each of
 10 encodings x 8 classes of length) are read from it.
 
 Defined cases: null or empty text has no spans; equal rows give equal results; an empty
-table gives no rows; offsets are code points; other columns are ignored.
+table gives no rows; a very long text costs its length, and n log n for n matches in it; offsets are code points; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -63,22 +63,36 @@ SEPARATED = ("base38", "base38up", "base54", "base64")
 LENGTH_CLASSES = (20, 24, 32, 40, 48, 64, 96, 128)
 CUT_OFFS = (0.0001, 0.001, 0.005, 0.01, 0.02, 0.05, 0.1, 0.2)
 _SPAN = "array<struct<start:int,end:int,hit:string>>"
+_KEPT = "array<struct<start:int,kind:int,end:int>>"
+_FAR = 2**31 - 1
+
+
+def _let(x: Column, f) -> Column:
+    """``f`` of ``x``, which is computed once however often ``f`` uses it."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def running(values: Column, join, neutral: int) -> Column:
+    """Running totals of an int array under the associative ``join``: in each round every place takes in
+    the place 1, 2, 4, ... before it, so n values cost n log n."""
+    steps = F.array(*[F.lit(1 << r) for r in range(31)])
+    return _let(values, lambda v: F.aggregate(
+        F.filter(steps, lambda p: p < F.size(v)), v,
+        lambda a, p: F.zip_with(a, F.concat(F.array_repeat(F.lit(neutral), p), F.slice(a, 1, F.size(a) - p)), lambda x, y: join(x, y))))
 
 
 def located(text: Column, pattern: str, least: Column | None = None, group: int = 0) -> Column:
-    """Leftmost non-overlapping matches of ``pattern`` as (start, end, hit): a match starts
-    where the texts between the matches and the matches before it end.  ``hit`` is ``group``."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    shown = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gaps = F.slice(F.split(text, pattern, -1), 1, F.size(hits))
-    sized = F.zip_with(gaps, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("n")))
-    parts = F.zip_with(sized, shown, lambda a, h: F.struct(a["gap"].alias("gap"), a["n"].alias("n"), h.alias("hit")))
-    walked = F.aggregate(
-        parts, F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out")),
-        lambda a, x: F.struct((a["at"] + x["gap"] + x["n"]).alias("at"), F.concat(a["out"], F.array(F.struct(
-            (a["at"] + x["gap"]).alias("start"), (a["at"] + x["gap"] + x["n"]).alias("end"), x["hit"].alias("hit")))).alias("out")),
-        lambda a: a["out"])
-    return F.when(text.rlike(pattern), walked).otherwise(F.array().cast(_SPAN))
+    """Leftmost non-overlapping matches of ``pattern`` as (start, end, hit): a match ends
+    where the texts between the matches and the matches up to it end.  ``hit`` is ``group``."""
+    def walked(hits: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), 1, F.size(hits))
+        ends = running(F.zip_with(gaps, hits, lambda g, h: F.length(g) + F.length(h)), lambda a, b: a + b, 0)
+        shown = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits
+        at = F.zip_with(ends, hits, lambda e, h: F.struct((e - F.length(h)).alias("start"), e.alias("end")))
+        return F.zip_with(at, shown, lambda x, h: F.struct(x["start"].alias("start"), x["end"].alias("end"), h.alias("hit")))
+
+    none = F.array().cast(_SPAN)
+    return F.when(text.rlike(pattern), _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), walked)).otherwise(none)
 
 
 def _erfc(x: Column) -> Column:
@@ -198,13 +212,32 @@ def find(docs: DataFrame, fdr: float = 0.1) -> DataFrame:
     keep = F.filter("tested", lambda c: F.lit(False))
     if cuts:
         table = F.create_map(*[F.lit(x) for kv in sorted(cuts.items()) for x in kv])
-        keep = F.filter("tested", lambda c: F.coalesce(c["p"] > table[_stratum(c)], F.lit(False)) & ~F.exists(
-            "base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    # by start, the longer first: a span that ends before the end reached lies inside one that was kept
-    ordered = F.array_sort(F.transform(keep, lambda c: F.struct(c["start"].alias("start"), (-c["end"]).alias("back"))))
-    added = F.aggregate(
-        ordered, F.struct(F.lit(0).alias("to"), F.array().cast("array<struct<start:int,kind:int,end:int>>").alias("out")),
-        lambda a, c: F.struct(F.greatest(a["to"], -c["back"]).alias("to"), F.when(-c["back"] <= a["to"], a["out"]).otherwise(
-            F.concat(a["out"], F.array(F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), (-c["back"]).alias("end"))))).alias("out")),
-        lambda a: a["out"])
-    return found.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
+        keep = F.filter("tested", lambda c: F.coalesce(c["p"] > table[_stratum(c)], F.lit(False)))
+    random = F.transform(keep, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
+    added = F.when(F.size(random) > 0, _let(F.array_sort(F.concat("base", random)), lambda a: outermost(clear_of_base(a))))
+    return found.select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce(added, F.array().cast(_KEPT)))).alias("spans"))
+
+
+def clear_of_base(spans: Column) -> Column:
+    """The random spans among ``spans`` (sorted) that overlap no base span: the base spans that begin before one
+    end before it, and the next base span begins behind it."""
+    reach = running(F.transform(spans, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(0)), F.greatest, 0)
+    following = F.reverse(running(F.reverse(F.transform(spans, lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(_FAR))), F.least, _FAR))
+    sides = F.zip_with(reach, following, lambda a, b: F.struct(a.alias("before"), b.alias("next")))
+    seen = F.zip_with(spans, sides, lambda s, x: F.struct(
+        s.alias("s"), ((s["kind"] == 3) & (x["before"] <= s["start"]) & (x["next"] >= s["end"])).alias("clear")))
+    return F.transform(F.filter(seen, lambda x: x["clear"]), lambda x: x["s"])
+
+
+def outermost(spans: Column) -> Column:
+    """``spans`` without those inside another: by start, the longer first, a span that ends before the end reached lies inside one."""
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"))))
+
+    def kept(a: Column) -> Column:
+        ends = running(F.transform(a, lambda x: -x["back"]), F.greatest, 0)
+        # (the end reached before it, the span)
+        both = F.zip_with(F.slice(F.concat(F.array(F.lit(0)), ends), 1, F.size(a)), a, lambda to, x: F.struct(to.alias("to"), x.alias("x")))
+        return F.transform(F.filter(both, lambda b: -b["x"]["back"] > b["to"]), lambda b: F.struct(
+            b["x"]["start"].alias("start"), F.lit(3).alias("kind"), (-b["x"]["back"]).alias("end")))
+
+    return _let(ordered, kept)

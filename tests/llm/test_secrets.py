@@ -1,6 +1,10 @@
+import math
 import random
 import re
+import time
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from terrace.llm import secrets
@@ -111,3 +115,69 @@ def test_every_mixed_run_is_tested(spark):
     parts = spark.createDataFrame([("a-" + "b1" * 12 + "/" + "C2" * 10 + " " + "d3" * 15,)], "text string").select(
         secrets.located(F.col("text"), secrets.PART).alias("p")).first()["p"]
     assert [(p["start"], p["end"], p["hit"]) for p in parts] == [(2, 26, "b1" * 12), (27, 47, "C2" * 10)]
+
+
+def test_running_totals_and_outermost_spans(spark):
+    rng = random.Random(13)
+    rows = [(i, [rng.randint(0, 9) for _ in range(i)]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, v array<int>")
+    for r in df.select("v", secrets.running(F.col("v"), lambda a, b: a + b, 0).alias("sum"), secrets.running(F.col("v"), F.greatest, 0).alias("top")).collect():
+        assert r["sum"] == list(np.cumsum(r["v"])) and r["top"] == [max(r["v"][:i + 1]) for i in range(len(r["v"]))]
+    spans = []
+    for i in range(300):
+        starts = [(rng.randint(0, 60), rng.choice([0, 1, 2, 3, 3, 3]), rng.randint(1, 12)) for _ in range(rng.randint(0, 12))]
+        spans.append((i, sorted({(a, k, a + n) for a, k, n in starts})))
+    df = spark.createDataFrame(spans, "doc_id long, s array<struct<start:int,kind:int,end:int>>")
+    got = {r["doc_id"]: [tuple(x) for x in r["o"]] for r in df.select("doc_id", secrets.outermost(secrets.clear_of_base(F.col("s"))).alias("o")).collect()}
+    for i, s in spans:
+        clear = [x for x in s if x[1] == 3 and not any(b[1] < 3 and b[0] < x[2] and x[0] < b[2] for b in s)]
+        assert got[i] == [x for x in clear if not any(y != x and y[0] <= x[0] and x[2] <= y[2] for y in clear)], s
+
+
+def test_many_matches_in_one_text(make_docs):
+    def text(n):
+        return " ".join(f"token=abcdefgh{i:06d} {i:06d}-Qx7{i:08x}Zk{i * 7919:010d}" for i in range(n))
+
+    took = []
+    for n in (50, 16_000):
+        d = make_docs([(1, text(n))]).select("doc_id", secrets.located(F.col("text"), secrets.ASSIGN, group=2).alias("a"))
+        t = time.time()
+        (row,) = d.collect()
+        took.append(time.time() - t)
+        assert [(s["start"], s["end"]) for s in row["a"]] == [(m.start(), m.end()) for m in ASSIGN.finditer(text(n))]
+    assert took[1] < 5 + took[0]
+    (row,) = secrets.find(make_docs([(1, text(4000))])).collect()
+    assert [tuple(s) for s in row["base"]] == base(text(4000))
+
+
+def battery_by_numpy(s, alphabet):
+    k, n, v = len(alphabet), len(s), np.array([alphabet.index(c) for c in s])
+    counts = np.bincount(v, minlength=k)
+    chi = ((counts - n / k) ** 2 / (n / k)).sum()
+    mid = (k - 1) / 2
+    high = v > mid
+    z = [max(0.0, (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)),
+         ((high[1:] != high[:-1]).sum() - (n - 1) / 2) / math.sqrt((n - 1) / 4),
+         ((v[1:] - mid) * (v[:-1] - mid)).sum() / (np.mean((np.arange(k) - mid) ** 2) * math.sqrt(n - 1))]
+    return min(1.0, 3 * min(math.erfc(abs(x) / math.sqrt(2)) for x in z))
+
+
+def test_statistics_and_cut_offs_against_numpy(spark):
+    rng = random.Random(14)
+    rows = [(i, "aZ9" + "".join(rng.choice(secrets.ALPHABETS["base62"][:rng.choice([8, 30, 62])]) for _ in range(rng.randint(17, 90)))) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", secrets.battery(secrets.located(F.col("text"), secrets.RUN)).alias("tested"))
+    groups = {}
+    for r in df.collect():
+        (t,) = r["tested"]
+        s = dict(rows)[r["doc_id"]]
+        assert t["enc"] == "base62" and t["p"] == pytest.approx(battery_by_numpy(s, secrets.ALPHABETS["base62"]), abs=2e-6)
+        groups.setdefault(f"base62:{max(c for c in secrets.LENGTH_CLASSES if c <= len(s))}", []).append(t["p"])
+    want = {}
+    for stratum, ps in groups.items():
+        ps = np.array(ps)
+        random_ = min(len(ps), 2 * (ps > 0.5).sum())
+        ok = [t for t in secrets.CUT_OFFS if (ps > t).any() and 1 - random_ * (1 - t) / (ps > t).sum() <= 0.1]
+        if ok:
+            want[stratum] = min(ok)
+    assert secrets.cut_offs(df, 0.1) == want and want

@@ -13,7 +13,9 @@ the bucket are kept; the best over all tables are the answer.
   ``k + 1`` smallest), so a vector that a third of all rows share is one candidate.
 * Buckets with more than BLOCK candidates or queries are dealt into blocks; every block of
   queries meets every block of candidates.  No candidate is dropped.
-* A query asks for AT_LEAST candidates or more: where the table is small, it probes more axes.
+* The share of the axes that a query probes falls with the number n of vectors, as ``n ** -0.19`` (among more vectors the
+  nearest are nearer, so fewer axes find them); the measured recall sets its level.  Below some 500 vectors the ``k`` nearest are
+  a large part of all, and the share rises to 1 at ``k`` vectors.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite components take no part;
 only vectors of the same length are compared; rows that repeat id and vector are one; ties
@@ -28,8 +30,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TABLES, PROBES = 8, 16
-AT_LEAST = 2000
+TABLES = 8
+#: Shares of the axes that are probed in a table, as (level, power) of ``k / n``; the larger one holds.
+PROBED = ((0.258, 0.19), (1.0, 0.6))
 BLOCK = 4096
 K = 20
 SEED = 11
@@ -73,7 +76,8 @@ def lift(x: np.ndarray, top: float, even: bool) -> np.ndarray:
 class Plan:
     """Norm classes of a table: for each (length, class) its largest norm, and whether all are equal."""
 
-    def __init__(self, rows):
+    def __init__(self, rows, k: int = K):
+        self.k = k
         self.classes = {(r["dim"], r["cls"]): (r["top"], r["top"] - r["low"] <= 1e-5 * r["top"], r["n"]) for r in rows}
 
     def dim(self, d: int, even: bool) -> int:
@@ -83,11 +87,17 @@ class Plan:
         return n
 
     def probes(self, d: int, cls: int) -> int:
-        """Axes that a query probes in a table so as to expect AT_LEAST candidates."""
+        """Axes that a query probes in a table."""
         _, even, n = self.classes[d, cls]
         axes = 2 * self.dim(d, even)
-        share = 1 - (1 - min(1.0, AT_LEAST / n)) ** (1 / TABLES)
-        return min(axes, max(PROBES, int(np.ceil(share * axes))))
+        return int(np.ceil(axes * probed_share(n, self.k)))
+
+
+def probed_share(n: int, k: int) -> float:
+    """Share of the axes of a table that a query probes among ``n`` vectors."""
+    # k + 1: a query is no candidate of its own
+    few = min(1.0, (k + 1) / max(1, n))
+    return max(level * few ** power for level, power in PROBED)
 
 
 def vectors(table: DataFrame) -> DataFrame:
@@ -180,7 +190,7 @@ def search(table: DataFrame, queries: Column, k: int = K, block: int = BLOCK) ->
     uniq = unique_vectors(rows, k)
     info = (uniq.groupBy("dim", "cls").agg(F.max("norm").alias("top"), F.min("norm").alias("low"), F.count(F.lit(1)).alias("n"))
             .collect())  # one row for each vector length and power of two of a norm
-    plan = Plan(info)
+    plan = Plan(info, k)
     asked = rows.where(queries).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("asked"))
     who = asked.join(uniq.select("rep", "embedding"), F.col("asked") == F.col("embedding")).select("query_id", "rep")
     seekers = uniq.join(who.select("rep").distinct(), "rep", "left_semi")

@@ -74,3 +74,28 @@ def test_odd_rows(spark):
     assert got == [(0, 1, 3, 1.0), (0, 2, 1, 0.5), (140, 1, 2, 14.0)]
     assert X.search(frame(spark, []), F.col("vec_id") % 20 == 0).count() == 0
     assert X.search(frame(spark, [(20, [1.0])]), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_share_of_probed_axes_falls_with_the_number_of_vectors():
+    shares = [X.probed_share(n, 20) for n in (1, 21, 22, 100, 500, 2_000, 10_000, 50_000, 200_000, 10 ** 7, 10 ** 9)]
+    assert shares[:2] == [1.0, 1.0] and all(a >= b for a, b in zip(shares, shares[1:])) and shares[2] < 1
+    assert shares[4] < 0.2 and shares[6] < 0.09 and shares[8] < 0.05
+
+
+@pytest.mark.parametrize("n", [500, 2500, 10_000])
+def test_recall_without_near_neighbours(spark, n):
+    # the hardest case: random directions; the hashed part is less than the whole table
+    rng = np.random.default_rng(15)
+    v = rng.normal(size=(n, 64)).astype(np.float32)
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v / np.linalg.norm(v, axis=1, keepdims=True))]
+    asked = F.col("vec_id") % (20 if n < 5000 else 200) == 0
+    got = X.search(frame(spark, rows), asked).collect()
+    table = np.array([r for _, r in rows], dtype=np.float32).astype(float)
+    hit = total = 0
+    for q in range(0, n, 20 if n < 5000 else 200):
+        s = table @ table[q]
+        s[q] = -9
+        best = set(np.argsort(-s, kind="stable")[:20].tolist())
+        hit += len(best & {r["vec_id"] for r in got if r["query_id"] == q})
+        total += 20
+    assert len(got) == total and hit / total >= 0.9

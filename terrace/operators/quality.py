@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import scalars as S
+from terrace.operators.rows import repeat_rows
 
 #: Place of a record in its batch, stamped at ingestion and kept through bronze.
 RECORD_INDEX = "_record_index"
@@ -111,8 +112,7 @@ class AuditResult:
         # rows that are equal in everything are interchangeable: they are counted, and all but one
         # of those at the first place are duplicates
         counted = rows.groupBy(*self.flags.columns).agg(F.count(F.lit(1)).alias("_n")).join(firsts, self.pk)
-        copies = (counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-                  .withColumn("_is_dup", (F.col("_ord") != F.col("_first")) | (F.col("_copy") > 1)))
+        copies = repeat_rows(counted, "_n", "_copy").withColumn("_is_dup", (F.col("_ord") != F.col("_first")) | (F.col("_copy") > 1))
         single = (self.flags.where(_key_ok(self.pk)).join(repeated, self.pk, "left_anti")
                   .unionByName(self.flags.where(~_key_ok(self.pk))).withColumn("_is_dup", F.lit(False)))
         return single.unionByName(copies.select(single.columns))

@@ -83,31 +83,33 @@ def raw_matches(t: Tables) -> DataFrame:
                     status.alias("status")))
 
 
+def _twice(df: DataFrame, where) -> DataFrame:
+    """``df`` with the rows that ``where`` holds for a second time, marked ``again``, out of one scan."""
+    both = F.when(where, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    return df.select("*", F.explode(both).alias("again"))
+
+
 def dirty_batches(t: Tables) -> dict[str, DataFrame]:
     """The raw batches with the dirt that the league's rules look for, as functions of the keys, and a
     declared record order.  Repeated keys carry conflicting values: the second record of a key is the good or
     the bad one by turns, so the survivor shows which came first."""
     k = F.col("club_id")
-    clubs = raw_clubs(t).select(
-        (k * 10).alias(RECORD_INDEX), "club_id", "name", "short_name", "stadium",
-        F.when(k % 6 == 1, -F.col("capacity")).otherwise(F.col("capacity")).alias("capacity"),
+    clubs = _twice(raw_clubs(t), k % 8 == 0).select(
+        (k * 10 + F.col("again").cast("int")).alias(RECORD_INDEX), "club_id", "name", "short_name", "stadium",
+        F.when((k % 6 == 1) != F.col("again"), -F.col("capacity")).otherwise(F.col("capacity")).alias("capacity"),
         F.when(k % 4 == 2, F.lit(None)).otherwise(F.col("city")).alias("city"),
         F.when(k % 5 == 3, F.lit(None)).when(k % 7 == 4, F.lit(1799)).otherwise(F.col("founded_year")).alias("founded_year"),
         "primary_color")
-    again = clubs.where(k % 8 == 0).withColumn("capacity", -F.col("capacity")).withColumn(RECORD_INDEX, F.col(RECORD_INDEX) + 1)
-    clubs = clubs.unionByName(again)
 
     k = F.col("player_id")
-    players = raw_players(t).select(
-        (k * 10 + 5).alias(RECORD_INDEX), "player_id", "club_id",
+    # the repeated record comes before the first one for even keys, with a negative count of games
+    players = _twice(raw_players(t), k % 13 == 0).select(
+        (k * 10 + 5 + F.when(~F.col("again"), 0).when(k % 2 == 0, -1).otherwise(1)).alias(RECORD_INDEX), "player_id", "club_id",
         F.when(k % 101 == 7, F.lit("  ")).otherwise(F.col("name")).alias("name"), "position", "nationality",
-        F.when(k % 37 == 4, F.lit(0)).otherwise(F.col("jersey_number")).alias("jersey_number"), "appearances",
+        F.when(k % 37 == 4, F.lit(0)).otherwise(F.col("jersey_number")).alias("jersey_number"),
+        F.when(F.col("again"), F.lit(-3).cast("long")).otherwise(F.col("appearances")).alias("appearances"),
         F.when(k % 41 == 9, F.lit(-1)).otherwise(F.col("goals")).alias("goals"),
         F.when(k % 43 == 5, F.lit(None).cast("long")).otherwise(F.col("assists")).alias("assists"))
-    # the repeated record comes before the first one for even keys, with a negative count of games
-    again = (players.where(k % 13 == 0).withColumn("appearances", F.lit(-3).cast("long"))
-             .withColumn(RECORD_INDEX, F.col(RECORD_INDEX) + F.when(k % 2 == 0, -1).otherwise(1)))
-    players = players.unionByName(again)
 
     k = F.col("match_id")
     matches = raw_matches(t).select(

@@ -11,7 +11,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.functions import scalars as S
@@ -81,6 +81,28 @@ def club_detail(clubs_df: DataFrame, players: DataFrame, matches: DataFrame, sta
     return {"profile": profile, "squad": squad.orderBy("player_id"), "matches": club_matches}
 
 
+def clubs_with_newest(clubs_df: DataFrame, players: DataFrame, matches: DataFrame, newest: int = 5) -> DataFrame:
+    """J6 nested with a bound: every club with its squad_count, match_count and ``matches``, the array of its newest
+    ``newest`` matches (match_date, match_id descending; empty without any).
+
+    A parent of any size is no problem: the counts are partial aggregates, and of the matches every map task
+    sends at most ``newest`` rows per club (WindowGroupLimit), so no list is longer than that.  A null date comes last.
+    """
+    from terrace.operators.form import match_sides
+    sides = match_sides(matches.select("match_id", "home_club_id", "away_club_id", "home_score", "away_score", "match_date"))
+    order = Window.partitionBy("club_id").orderBy(F.col("match_date").desc_nulls_last(), F.col("match_id").desc())
+    top = sides.withColumn("place", F.row_number().over(order)).where(F.col("place") <= _check_range("newest", newest, 1, 100))
+    child = F.struct("place", *[c for c in sides.columns if c != "club_id"])
+    lists = top.groupBy("club_id").agg(F.sort_array(F.collect_list(child)).alias("matches"))
+    counts = sides.groupBy("club_id").agg(F.count(F.lit(1)).alias("match_count"))
+    squad = players.groupBy("club_id").agg(F.count(F.lit(1)).alias("squad_count"))
+    empty = F.array().cast(lists.schema["matches"].dataType)
+    zero = F.lit(0).cast("long")
+    return (clubs_df.join(squad, "club_id", "left").join(counts, "club_id", "left").join(lists, "club_id", "left")
+            .select(*clubs_df.columns, F.coalesce("squad_count", zero).alias("squad_count"),
+                    F.coalesce("match_count", zero).alias("match_count"), F.coalesce("matches", empty).alias("matches")))
+
+
 def club_detail_counts(clubs_df: DataFrame, players: DataFrame, matches: DataFrame,
                        standings: DataFrame) -> DataFrame:
     """L2 flattened for every club: squad_count, match_count, has_standing, and

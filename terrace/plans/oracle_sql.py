@@ -863,3 +863,52 @@ SELECT step, fa.* FROM fa, (SELECT unnest(['run 1', 'run 2', 'run 3']) AS step)
 UNION ALL SELECT 'one changed', fo.* FROM fo""")
 
 SQL["record_order"] = "SELECT o_orderkey, row_number() OVER () - 1 AS record_index FROM orders"
+
+SQL["clubs_with_newest"] = q("""
+SELECT c.club_id, c.name,
+       CAST((SELECT COUNT(*) FROM players p WHERE p.club_id = c.club_id) AS BIGINT) AS squad_count,
+       CAST((SELECT COUNT(*) FROM sides s WHERE s.club_id = c.club_id) AS BIGINT) AS match_count,
+       coalesce(t.newest, '') AS newest
+FROM clubs c LEFT JOIN (
+  SELECT club_id, string_agg(rn || ':' || match_id || ':' || match_date || ':' || opponent_id || ':' || goals_for || ':'
+                             || goals_against, ';' ORDER BY rn) AS newest
+  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY club_id ORDER BY match_date DESC, match_id DESC) AS rn FROM sides)
+  WHERE rn <= 3 GROUP BY club_id) t USING (club_id)
+""")
+
+SQL["club_matches_newest"] = q("""
+SELECT match_id, match_date, home_club_id, away_club_id, result FROM matches_c
+WHERE home_club_id = 3 OR away_club_id = 3 ORDER BY match_date DESC, match_id DESC LIMIT 20
+""")
+
+SQL["mixed_dates"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS match_id,
+       CASE o_orderkey % 7
+            WHEN 2 THEN strftime(date_trunc('minute', CAST(o_orderdate AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S')
+            WHEN 3 THEN strftime(date_trunc('day', CAST(o_orderdate AS TIMESTAMP)), '%Y-%m-%d 00:00:00')
+            WHEN 4 THEN strftime(date_trunc('minute', CAST(o_orderdate AS TIMESTAMP)), '%Y-%m-%d %H:%M:%S')
+            WHEN 6 THEN NULL
+            ELSE strftime(CAST(o_orderdate AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') END AS match_date
+FROM orders
+"""
+
+SQL["load_defaults"] = """
+SELECT 'matches' AS table_name, CASE WHEN o_orderkey % 2 = 0 AND o_orderstatus IS NOT NULL THEN o_orderstatus ELSE 'FINISHED' END AS value,
+       COUNT(*) AS row_count
+FROM orders GROUP BY ALL
+UNION ALL SELECT 'players', '0/0/0/0/0', COUNT(*) FROM customer HAVING COUNT(*) > 0
+"""
+
+SQL["layer_round_trip"] = q(""",
+layers AS (
+  SELECT 'bronze json' AS layer, player_id, goals, assists, length(name) + 2 AS name_chars, length(raw_position) AS position_chars, 1 AS stamped
+  FROM players0
+  UNION ALL
+  SELECT l.layer, player_id, goals, assists, length(name), length(position), 0
+  FROM players, (SELECT unnest(['silver csv', 'silver json']) AS layer) l
+)
+SELECT layer, COUNT(*) AS row_count, CAST(SUM(player_id) AS BIGINT) AS player_id, CAST(SUM(goals) AS BIGINT) AS goals,
+       CAST(SUM(assists) AS BIGINT) AS assists, CAST(SUM(name_chars) AS BIGINT) AS name_chars,
+       CAST(SUM(position_chars) AS BIGINT) AS position_chars, CAST(SUM(stamped) AS BIGINT) AS stamped
+FROM layers GROUP BY layer
+""")

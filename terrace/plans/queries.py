@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.functions.scalars import (normalise_position, result_label, score_label,
+from terrace.functions.scalars import (format_ts, normalise_position, parse_timestamp, result_label, score_label,
                                        signed_display, split_form, thousands, zone_badge)
 from terrace.operators.clean import clean_clubs, clean_matches, clean_players, clean_standings
 from terrace.operators.form import last_n_form
@@ -25,8 +26,10 @@ from terrace.operators.upsert import (assign_surrogate_keys, cascade_delete, tab
 from terrace.plans import derive, lookups, views
 from terrace.plans import star_audits as SA
 from terrace.plans.star_audits import STAR_TABLE_SPECS
-from terrace.schemas import LEAGUE_TABLES, league_audit_specs
-from terrace.sources.sinks import batch_manifest, file_order_index
+from terrace.schemas import LEAGUE_TABLES, league_audit_specs, with_defaults
+from terrace.session import tables_root
+from terrace.sources.sinks import (batch_manifest, file_order_index, read_bronze, read_silver_csv, stamp_lineage,
+                                   write_bronze, write_silver)
 from terrace.sources.tables import Tables
 
 #: Upper bound of the founded year in the registered query, so that its result does not depend on the day.
@@ -356,6 +359,24 @@ def club_detail_counts(spark, sf_dir):
     return lookups.club_detail_counts(lg.clubs, lg.players, lg.matches, lg.standings)
 
 
+@register("clubs_with_newest")
+def clubs_with_newest(spark, sf_dir):
+    """J6, L2 nested: each club with its counts and its newest three matches as one bounded list."""
+    lg = _league(spark, sf_dir)
+    out = lookups.clubs_with_newest(lg.clubs.select("club_id", "name"), lg.players, lg.matches, newest=3)
+    line = F.transform("matches", lambda m: F.concat_ws(":", m["place"], m["match_id"], m["match_date"], m["opponent_id"],
+                                                         m["goals_for"], m["goals_against"]))
+    return out.select("club_id", "name", "squad_count", "match_count", F.array_join(line, ";").alias("newest"))
+
+
+@register("club_matches_newest")
+def club_matches_newest(spark, sf_dir):
+    """The newest 20 matches of club 3 by the order of the club's page."""
+    lg = _league(spark, sf_dir)
+    out = lookups.club_detail(lg.clubs, lg.players, lg.matches, lg.standings, 3)["matches"].limit(20)
+    return longs(out.select("match_id", "match_date", "home_club_id", "away_club_id", "result"))
+
+
 @register("players_filtered")
 def players_filtered(spark, sf_dir):
     """Position ILIKE '%mid%' AND name ILIKE '%0001%', top 50."""
@@ -562,3 +583,49 @@ def cleaner_assertions(spark, sf_dir):
              clean_matches(raw["matches"], checks="count").select(F.lit("matches").alias("dataset"), "*"),
              clean_standings(raw["standings"], checks="count").select(F.lit("standings").alias("dataset"), "*")]
     return reduce(DataFrame.unionByName, parts)
+
+
+@register("mixed_dates")
+def mixed_dates(spark, sf_dir):
+    """Order dates written in seven ways by turns, one of them no date, parsed and written in one."""
+    o = Tables(spark, sf_dir).orders
+    d, k = F.col("o_orderdate"), F.col("o_orderkey")
+    turn = k % 7
+    text = (F.when(turn == 0, F.date_format(d, "yyyy-MM-dd HH:mm:ss")).when(turn == 1, F.date_format(d, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .when(turn == 2, F.date_format(d, "dd/MM/yyyy HH:mm")).when(turn == 3, F.date_format(d, "yyyy/MM/dd"))
+            .when(turn == 4, F.concat(F.lit("  "), F.date_format(d, "yyyy-MM-dd'T'HH:mm"), F.lit(" ")))
+            .when(turn == 5, F.concat(F.date_format(d, "yyyy-MM-dd HH:mm:ss"), F.lit(".250+02:00"))).otherwise("to be announced"))
+    return o.select(k.cast("long").alias("match_id"), format_ts(parse_timestamp(text)).alias("match_date"))
+
+
+@register("load_defaults")
+def load_defaults(spark, sf_dir):
+    """Rows by status as they are loaded, where the raw status is absent from every second row, and players
+    loaded without any of their counters."""
+    t = Tables(spark, sf_dir)
+    m = t.orders.select(F.col("o_orderkey").alias("match_id"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("status"))
+    m = with_defaults(m, LEAGUE_TABLES["matches"]).groupBy(F.lit("matches").alias("table_name"), F.col("status").alias("value"))
+    p = with_defaults(t.customer.select(F.col("c_custkey").alias("player_id")), LEAGUE_TABLES["players"])
+    p = p.groupBy(F.lit("players").alias("table_name"), F.concat_ws("/", *[F.col(c).cast("long") for c in (
+        "appearances", "goals", "assists", "goal_contributions", "goals_per_game")]).alias("value"))
+    n = F.count(F.lit(1)).alias("row_count")
+    return m.agg(n).unionByName(p.agg(n))
+
+
+@register("layer_round_trip")
+def layer_round_trip(spark, sf_dir):
+    """The raw players through bronze JSON lines, the clean ones through silver CSV and JSON, read again."""
+    lg = _league(spark, sf_dir)
+    root = f"{tables_root(spark)}/layers-{uuid.uuid4().hex}"
+    raw = stamp_lineage(derive.raw_players(lg.t), "players", "1970-01-01T00:00:00+00:00")
+    clean = lg.players.select(*_PLAYER_COLS)
+    bronze = read_bronze(spark, write_bronze(raw, root, "players", "b1"), raw.schema)
+    csv = read_silver_csv(spark, write_silver(clean, root, "players", "csv"), clean.schema)
+    js = read_bronze(spark, write_silver(clean, f"{root}/json", "players", "json"), clean.schema)
+    sums = [F.sum(F.col(c).cast("long")).alias(c) for c in ("player_id", "goals", "assists")]
+    return reduce(DataFrame.unionByName, [
+        d.agg(F.lit(layer).alias("layer"), F.count(F.lit(1)).alias("row_count"), *sums,
+              F.sum(F.length("name").cast("long")).alias("name_chars"), F.sum(F.length("position").cast("long")).alias("position_chars"),
+              F.count_if(stamped).alias("stamped"))
+        for layer, d, stamped in (("bronze json", bronze, F.col("_source") == "players"), ("silver csv", csv, F.lit(False)),
+                                  ("silver json", js, F.lit(False)))])

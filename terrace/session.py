@@ -76,6 +76,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def tables_root(spark: SparkSession) -> str:
+    """The folder of this application's written tables; others may share the checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/terrace-tables/{spark.sparkContext.applicationId}"
+
+
 def materialize(df, name: str = "table"):
     """Write ``df`` once as Parquet under the shared ``spark.checkpoint.dir`` and
     return a DataFrame reading it back.
@@ -84,13 +89,13 @@ def materialize(df, name: str = "table"):
     loss) but the re-read is a Parquet scan: later consumers still get column
     pruning and filter pushdown.
     """
-    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{root}/terrace-tables/{name}-{uuid.uuid4().hex}"
+    path = f"{tables_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def discard_tables(spark: SparkSession) -> None:
-    """Delete what ``materialize`` wrote under the session's checkpoint folder, once nothing reads it any more."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/terrace-tables")
+    """Delete what ``materialize`` wrote in this application, once nothing reads it any more; tables of other
+    applications that share the checkpoint folder stay."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(tables_root(spark))
     root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)

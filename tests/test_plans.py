@@ -91,3 +91,9 @@ def test_one_plan_for_every_size(spark):
 def test_sql_top_k_takes_the_rows_first(spark):
     p = plan(QUERIES["top_scorers_sql"](spark, SF))
     assert "TakeOrderedAndProject" in p and "terrace-tables" not in p
+
+
+@pytest.mark.parametrize("name,most", [("league_audit_metrics", 24), ("league_audit_issues", 24), ("audit_issue_log", 21)])
+def test_audits_scan_each_batch_a_bounded_number_of_times(spark, name, most):
+    n = plan(QUERIES[name](spark, SF)).count("FileScan parquet")
+    assert n <= most, n

@@ -31,6 +31,7 @@ from pyspark.sql.functions import pandas_udf
 
 from terrace.llm.common import held_out, struct_type
 from terrace.llm.hashing import U, mix, spelled
+from terrace.operators.rows import repeat_rows
 from terrace.session import materialize
 
 BUCKETS = 1 << 15
@@ -40,6 +41,8 @@ TEMPERATURE = 20.0                     # n-grams whose evidence a weight stands
 KEEP = 0.5
 EMPTY = -20.0
 BIN = 64                               # histogram bins for one unit of a noisy log-weight
+EDGE_ROWS = 100_000                    # rows of the histogram's edge that are ranked in one task
+SUB, FINER = 4096, 4                   # parts of a bin at each refinement, and refinements at most: then doubles end
 GROUP = 1_500_000                      # characters whose n-grams are counted together
 SHAPE = 8                              # runs of one class of letters that make a token's shape
 
@@ -212,9 +215,11 @@ def score(docs: DataFrame, model: Importance) -> DataFrame:
     return docs.select("doc_id", of(F.col("text")).alias("p")).select("doc_id", "p.*")
 
 
-def resample(scored: DataFrame, keep: float = KEEP, temperature: float = TEMPERATURE, seed: int = 17) -> DataFrame:
+def resample(scored: DataFrame, keep: float = KEEP, temperature: float = TEMPERATURE, seed: int = 17,
+             edge_rows: int = EDGE_ROWS) -> DataFrame:
     """``scored`` with noisy_weight and selected: the ``keep`` share of all rows with the largest
-    log-weight plus Gumbel noise."""
+    log-weight plus Gumbel noise.  Only the histogram's edge is ranked, in one task: its bin is made finer until at most
+    ``edge_rows`` different rows are in it."""
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + 0.5) / float(1 << 53)
     s = materialize(scored.withColumn("noisy_weight", F.col("log_ratio") * temperature - F.log(-F.log(u)))
                     .withColumn("bin", F.floor(F.col("noisy_weight") * BIN)), "weights")
@@ -227,6 +232,25 @@ def resample(scored: DataFrame, keep: float = KEEP, temperature: float = TEMPERA
     if not edge:  # every row is kept, or there is none
         return s.withColumn("selected", F.lit(True)).drop("bin")
     edge_bin, left = edge[0]["bin"], k - (edge[0]["upto"] - edge[0]["n"])
-    rank = F.row_number().over(Window.orderBy(F.desc("noisy_weight"), "doc_id"))
-    inside = s.where(F.col("bin") == edge_bin).withColumn("selected", rank <= left)
-    return s.where(F.col("bin") != edge_bin).withColumn("selected", F.col("bin") > edge_bin).unionByName(inside).drop("bin")
+    out = s.where(F.col("bin") != edge_bin).withColumn("selected", F.col("bin") > edge_bin)
+    inside, n = s.where(F.col("bin") == edge_bin), edge[0]["n"]
+    # finer bins inside the edge bin until it holds few rows, or rows whose weights differ by rounding at most
+    for step in range(1, FINER + 1):
+        if n <= edge_rows:
+            break
+        fine = F.floor((F.col("noisy_weight") * BIN - F.floor(F.col("noisy_weight") * BIN)) * float(SUB ** step))
+        part = inside.withColumn("fine", fine)
+        bins = part.groupBy("fine").agg(F.count(F.lit(1)).alias("n")).withColumn("upto", F.sum("n").over(Window.orderBy(F.desc("fine"))))
+        # the bin holds more than what is left to select, so one of its parts reaches past that
+        cut = bins.where(F.col("upto") > left).orderBy(F.desc("fine")).limit(1).collect()
+        out = out.unionByName(part.where(F.col("fine") != cut[0]["fine"]).withColumn("selected", F.col("fine") > cut[0]["fine"]).drop("fine"))
+        inside, n, left = part.where(F.col("fine") == cut[0]["fine"]).drop("fine"), cut[0]["n"], left - (cut[0]["upto"] - cut[0]["n"])
+    # equal rows are counted: a row of the corpus can be there any number of times
+    earlier = Window.orderBy(F.desc("noisy_weight"), "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    counted = inside.groupBy(*inside.columns).agg(F.count(F.lit(1)).alias("copies")) \
+        .withColumn("chosen", F.greatest(F.lit(0), F.least(F.col("copies"), F.lit(left) - F.coalesce(F.sum("copies").over(earlier), F.lit(0)))))
+    each = F.filter(F.array(F.struct(F.lit(True).alias("selected"), F.col("chosen").cast("long").alias("n")),
+                            F.struct(F.lit(False).alias("selected"), (F.col("copies") - F.col("chosen")).cast("long").alias("n"))),
+                    lambda x: x["n"] > 0)
+    ranked = repeat_rows(counted.select(*inside.columns, F.explode(each).alias("x")).select(*inside.columns, "x.*"), "n")
+    return out.unionByName(ranked).drop("bin")

@@ -60,3 +60,23 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert importance.resample(importance.score(odd_docs, m), 0.5).where("selected").count() == 4
     assert importance.resample(importance.score(odd_docs, m), 1.0).where("selected").count() == 8
     assert importance.resample(importance.score(no_docs, importance.train(no_docs, none))).count() == 0
+
+
+def test_the_edge_is_refined_to_a_few_rows(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, float(rng.normal() / 50), 0.5) for i in range(3000)] + [(7000, 0.01, 0.5)] * 1500
+    df = spark.createDataFrame(rows, "doc_id long, log_ratio double, score double")
+    for keep in (0.05, 0.5, 0.9):
+        for temperature in (1.0, 1e-6):
+            a = importance.resample(df, keep=keep, temperature=temperature, edge_rows=2).toPandas()
+            assert len(a) == 4500 and a.selected.sum() == int(4500 * keep)
+            assert a[a.selected].noisy_weight.min() >= a[~a.selected].noisy_weight.max()
+            b = importance.resample(df, keep=keep, temperature=temperature).toPandas()
+            count = lambda x: sorted(x[x.selected].groupby("doc_id").size().items())
+            assert count(a) == count(b)
+
+
+def test_a_hot_row_at_the_edge_is_chosen_in_part(spark):
+    rows = [(1, 0.5, 0.5)] * 9000
+    r = importance.resample(spark.createDataFrame(rows, "doc_id long, log_ratio double, score double"), keep=0.5, edge_rows=10)
+    assert r.groupBy("selected").count().orderBy("selected").collect() == [(False, 4500), (True, 4500)]

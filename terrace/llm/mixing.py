@@ -18,7 +18,8 @@ blocks by the key's first two hex digits, and into 4096 cells by the first three
 
 What meets in one task: the source table (one row per source) and the token
 table (at most 512 rows per source, whatever their size).  Documents are shuffled
-once, without text, by (source, cell); a source of any share spreads over 4096 cells.
+without text, by (source, cell); a source of any share spreads over 4096 cells, and rows that share id, source and
+size are one counted row there, so that a hot id does not fill its cell; they are repeated in blocks at the end.
 ``mix_texts`` shuffles the texts once more to where the rows of the mix are, and only streams them.
 
 Defined cases: null text has size 0 and takes nothing; a null source is a source of its
@@ -33,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import count_blank_words
+from terrace.operators.rows import repeat_rows
 from terrace.session import materialize
 
 WEIGHTS = (5, 2, 1)
@@ -106,12 +108,18 @@ def draw_blocks(tokens: DataFrame, quotas: DataFrame) -> DataFrame:
     return at.join(slots, ["src", "n"]).select("src", "pass", "block", "shard")
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
-        fanout: int = FANOUT, depth: int = DEPTH, carry: tuple[str, ...] = ()) -> DataFrame:
+def mix(docs: DataFrame, **how) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, shuffle_key and
-    ``shards`` (the shard of each of its passes, in order; empty when nothing is taken).
-    Columns in ``carry`` go along in the one shuffle of the documents, which a window sorts and buffers:
-    they have to be short.  Texts are attached by ``mix_texts``."""
+    ``shards`` (the shard of each of its passes, in order; empty when nothing is taken); ``how`` as in ``mix_counted``."""
+    return repeat_rows(mix_counted(docs, **how), "n")
+
+
+def mix_counted(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
+                fanout: int = FANOUT, depth: int = DEPTH, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``mix`` with their number ``n``: documents equal in id, source, size and ``carry`` are one row up
+    to three outcomes (taken of in full, in part, or not, where the rest of their source ends among them).
+    Columns in ``carry`` are grouped by, sorted and buffered: they have to be short.  Texts are attached by
+    ``mix_texts``."""
     carried = [F.struct(*carry).alias("carried")] if carry else []
     d = (docs.select("doc_id", "source", count_blank_words(F.col("text")).alias("size"), *carried)
          # code point order with null last: every name gets a leading 0, null alone is 1
@@ -133,16 +141,28 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, cap: float = 2.0,
              .groupBy("src", "block")
              .agg(*[F.max(F.when(F.col("pass") == p, F.col("shard"))).alias(f"shard{p}") for p in range(1, MAX_PASSES + 1)]))
     cells = cells.join(dealt, ["src", "block"], "left")
+    # equal rows are counted first: one id, or no id, can be a third of all rows and has one cell
+    counted = d.groupBy("src", "cell", "shuffle_key", "doc_id", "source", "size", *(["carried"] if carry else [])) \
+        .agg(F.count(F.lit(1)).alias("copies"))
     inside = Window.partitionBy("src", "cell").orderBy("shuffle_key", "doc_id", "size").rowsBetween(
         Window.unboundedPreceding, -1)
-    m = (d.join(cells.drop("cell_size", "block"), ["src", "cell"])
-         .withColumn("at", F.col("cell_first") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-         .withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("at"))))
+    # copy i begins at ``at`` + i * size: the first ``full`` lie before the end of the rest, one may be cut by it
+    m = (counted.join(cells.drop("cell_size", "block"), ["src", "cell"])
+         .withColumn("at", F.col("cell_first") + F.coalesce(F.sum(F.col("size") * F.col("copies")).over(inside), F.lit(0)))
+         .withColumn("before", F.greatest(F.lit(0).cast("long"), F.col("rest") - F.col("at")))
+         .withColumn("full", F.when(F.col("size") > 0, F.least(F.col("copies"), F.floor(F.col("before") / F.col("size")))).otherwise(F.lit(0)))
+         .withColumn("cut", F.when(F.col("full") < F.col("copies"), F.least(F.col("size"), F.col("before") - F.col("full") * F.col("size"))).otherwise(F.lit(0))))
+    one = F.when(F.col("cut") > 0, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    outcomes = [(F.col("size"), F.col("full").cast("long")), (F.col("cut").cast("long"), one),
+                (F.lit(0).cast("long"), F.col("copies") - F.col("full") - one)]
+    each = F.filter(F.array(*[F.struct(p.alias("part"), n.alias("n")) for p, n in outcomes]), lambda x: x["n"] > 0)
+    m = (m.withColumn("outcome", F.explode(each)).withColumn("part", F.col("outcome.part"))
          .withColumn("taken", F.col("passes") * F.col("size") + F.col("part")))
     used = [F.when((F.col("size") > 0) & (F.lit(p) <= F.col("passes") + (F.col("part") > 0).cast("int")), F.col(f"shard{p}"))
             for p in range(1, MAX_PASSES + 1)]
     return m.select("doc_id", "source", "size", "source_size", "target", F.col("taken").cast("long").alias("taken"),
-                    F.concat_ws(",", *[c.cast("string") for c in used]).alias("shards"), "shuffle_key", *(["carried.*"] if carry else []))
+                    F.concat_ws(",", *[c.cast("string") for c in used]).alias("shards"), "shuffle_key",
+                    *(["carried.*"] if carry else []), F.col("outcome.n").alias("n"))
 
 
 def mix_texts(docs: DataFrame, carry: tuple[str, ...] = ("lang", "text", "n_chars"), **how) -> DataFrame:
@@ -155,10 +175,9 @@ def mix_texts(docs: DataFrame, carry: tuple[str, ...] = ("lang", "text", "n_char
     """
     cols = list(dict.fromkeys(("doc_id", "source", "text", *carry)))
     d = docs.select(*cols, F.xxhash64(*cols, *[F.col(c).isNull() for c in cols]).alias("row_hash"))
-    plan = materialize(mix(d, carry=("row_hash",), **how), "mix")
-    shown = [c for c in plan.columns if c not in ("doc_id", "source", "row_hash")]
-    dealt = (plan.groupBy("doc_id", "row_hash", *shown).agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct(*shown, "n")).alias("dealt"))
+    plan = materialize(mix_counted(d, carry=("row_hash",), **how), "mix")
+    shown = [c for c in plan.columns if c not in ("doc_id", "source", "row_hash", "n")]
+    dealt = (plan.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct(*shown, "n")).alias("dealt"))
              .withColumnRenamed("doc_id", "plan_id").withColumnRenamed("row_hash", "plan_hash"))
 
     def texts(part: DataFrame) -> DataFrame:
@@ -172,5 +191,5 @@ def mix_texts(docs: DataFrame, carry: tuple[str, ...] = ("lang", "text", "n_char
     edge = dealt.where(F.size("dealt") > 1)
     if not edge.isEmpty():
         one = texts(edge).dropDuplicates(["doc_id", "row_hash"]).withColumn("one", F.explode("dealt"))
-        mixed = mixed.unionByName(out(one.withColumn("again", F.explode(F.sequence(F.lit(1), F.col("one.n")))), F.col("one")))
+        mixed = mixed.unionByName(out(repeat_rows(one.drop("dealt").withColumn("repeats", F.col("one.n")), "repeats"), F.col("one")))
     return mixed

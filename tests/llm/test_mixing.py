@@ -110,3 +110,36 @@ def test_texts_are_attached_row_by_row(make_docs, odd_docs, no_docs):
 def test_texts_are_not_sorted(make_docs):
     plan = mixing.mix_texts(make_docs([(1, "a b"), (2, "c")]))._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "Sort" not in plan and "Window" not in plan
+
+
+def by_hand(rows, docs_out):
+    """What is taken of each document, walked one after the other in the order of the permutation."""
+    per = {(r["source"], r["doc_id"], r["size"]): r for r in docs_out}
+    want = collections.Counter()
+    for source in {r[3] for r in rows}:
+        some = next(r for r in docs_out if r["source"] == source)
+        words = round(some["target"])
+        passes, rest = divmod(words, some["source_size"])
+        mine = sorted((per[(source, i, len((t or "").split()))]["shuffle_key"], i, len((t or "").split())) for i, t, _, s in rows if s == source)
+        at = 0
+        for _, i, size in mine:
+            want[(source, i, size, passes * size + max(0, min(size, rest - at)))] += 1
+            at += size
+    return want
+
+
+def test_a_hot_id_is_drawn_as_if_row_by_row(make_docs):
+    rows = [(i, "w " * (1 + i % 6), "en", f"s{i % 2}") for i in range(400)]
+    rows += [(5, "a b c", "en", "s1")] * 700 + [(5, "a b c d", "en", "s1")] * 100 + [(6, "", "en", "s0")] * 50
+    docs = make_docs(rows)
+    got = mixing.mix(docs).collect()
+    assert collections.Counter((r["source"], r["doc_id"], r["size"], r["taken"]) for r in got) == by_hand(rows, got)
+    counted = mixing.mix_counted(docs)
+    assert counted.count() <= 403 + 4 and counted.agg(F.sum("n")).first()[0] == len(rows)
+
+
+def test_a_third_without_id(make_docs):
+    rows = [(i, "w " * (1 + i % 6), "en", "s") for i in range(300)] + [(None, "one two", "en", "s")] * 6000
+    got = mixing.mix(make_docs(rows))
+    assert got.count() == 6300 and got.where("doc_id is null").count() == 6000
+    assert mixing.mix_counted(make_docs(rows)).where("doc_id is null").count() <= 3

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.common import alnum_words, without
+from terrace.operators.rows import repeat_rows
 
 WIDTH = 10
 MAX_ROWS = 200_000
@@ -71,9 +72,8 @@ def _probes(words: Column, length: int) -> Column:
             F.lit(length), F.array_join(F.slice(words, i + 1, probe), " ")).alias("h"))))
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_rows: int = MAX_ROWS) -> DataFrame:
-    """One row per document row: ``docs``' doc_id, n_words, n_hit, items, spans (packed
-    start * 64 + length of every occurrence)."""
+def hit_groups(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_rows: int = MAX_ROWS) -> DataFrame:
+    """One row for each (doc_id, text_hash) with the number of its rows, ``copies``; else as ``find_hits``."""
     table = pieces(windows(benchmark, width))
     sizes = {r["len"]: r["n"] for r in table.groupBy("len").agg(F.count(F.lit(1)).alias("n")).collect()}
     parts = max(1, -(-sum(sizes.values()) // max_rows))
@@ -109,13 +109,17 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_row
             (a["n"] + F.greatest(F.lit(0), F.floor(s / LEN_BASE).cast("int") + s % LEN_BASE - F.greatest(a["end"], F.floor(s / LEN_BASE).cast("int")))).cast("int").alias("n"),
             F.greatest(a["end"], F.floor(s / LEN_BASE).cast("int") + s % LEN_BASE).cast("int").alias("end")),
         lambda a: a["n"])
-    out = per_doc.select("doc_id", "text_hash", F.col("n_words").cast("long").alias("n_words"),
-                         covered.cast("long").alias("n_hit"), "items", "spans", "copies")
-    # rows that are equal in id and text were counted as one group
-    return out.withColumn("copy", F.explode_outer(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).drop("copy", "copies")
+    return per_doc.select("doc_id", "text_hash", F.col("n_words").cast("long").alias("n_words"),
+                          covered.cast("long").alias("n_hit"), "items", "spans", F.col("copies").cast("long").alias("copies"))
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_rows: int = MAX_ROWS) -> DataFrame:
+    """One row per document row: ``docs``' doc_id, text_hash, n_words, n_hit, items, spans (packed
+    start * 64 + length of every occurrence).  Rows equal in id and text are looked up as one and repeated in blocks."""
+    return repeat_rows(hit_groups(docs, benchmark, width, max_rows), "copies")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, max_rows: int = MAX_ROWS) -> DataFrame:
     """``docs`` without the documents that hold any benchmark window."""
-    hits = find_hits(docs, benchmark, width, max_rows).where(F.col("n_hit") > 0)
-    return without(docs, hits.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct())
+    hits = hit_groups(docs, benchmark, width, max_rows).where(F.col("n_hit") > 0)
+    return without(docs, hits.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")))

@@ -83,3 +83,13 @@ def test_plan_is_native(spark, make_docs):
     plan = decontam.find_hits(make_docs([(1, "a")]), benchmark(spark, [(1, "b")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "BroadcastHashJoin" in plan
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_a_hot_row_is_looked_up_once_and_repeated(spark, make_docs):
+    item = "one two three four five six seven eight nine ten"
+    docs = make_docs([(1, "x " + item)] * 9000 + [(2, "clean")] * 3 + [(None, "clean")] * 2)
+    hits = decontam.find_hits(docs, benchmark(spark, [(1, item)]))
+    assert sorted(map(tuple, hits.groupBy("doc_id", "n_words", "n_hit").count().collect()), key=str) == sorted(
+        [(1, 11, 10, 9000), (2, 1, 0, 3), (None, 1, 0, 2)], key=str)
+    assert decontam.hit_groups(docs, benchmark(spark, [(1, item)])).count() == 3
+    assert decontam.decontaminate(docs, benchmark(spark, [(1, item)])).count() == 5

@@ -209,13 +209,15 @@ def row_number_sql(rows: str, columns: list[str], order: list[str], out: str, ra
     ``order``, numeric) numbered by ranges of the order.
 
     Split points come from the keys whose hash falls on a share that leaves about ``sample`` of them (a scalar subquery, and
-    the same whenever it is evaluated); a window per range numbers the rows, and ranges before it are counted on a side
+    the same whenever it is evaluated); a row finds its range by halving the sorted split points (eight comparisons for 200
+    ranges, not 199); a window per range numbers the rows, and ranges before it are counted on a side
     of at most ``ranges`` rows.  Keys are unique, so a value held by a third of all rows is split like any other.
     """
     if ranges < 2:
         raise ValueError("ranges must be 2 or more")
     key, names = _order_key(order), ", ".join(f"`{c}`" for c, _ in parse_order(order))
     by = ", ".join(f"`{c}` {'ASC' if asc else 'DESC'}" for c, asc in parse_order(order))
+    steps = ", ".join(str(1 << i) for i in reversed(range((ranges - 1).bit_length())))
     return f"""
         WITH _rows AS ({rows}),
         _cuts AS (
@@ -223,7 +225,7 @@ def row_number_sql(rows: str, columns: list[str], order: list[str], out: str, ra
           FROM (SELECT array_sort(collect_list({key})) AS s FROM _rows
                 WHERE pmod(xxhash64({names}), greatest(1L, (SELECT count(*) FROM _rows) DIV {sample}L)) = 0)),
         _placed AS (
-          SELECT * EXCEPT (_key, _split), size(filter(_split, c -> c <= _key)) AS _range
+          SELECT * EXCEPT (_key, _split), aggregate(array({steps}), 0, (n, s) -> IF(get(_split, n + s - 1) <= _key, n + s, n)) AS _range
           FROM (SELECT *, {key} AS _key, (SELECT cuts FROM _cuts) AS _split FROM _rows)),
         _before AS (
           SELECT _range, coalesce(sum(n) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS _offset

@@ -1,9 +1,12 @@
 import random
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from terrace.llm import pii
+from terrace.llm.common import small_batches
 from tests.llm.test_decontam import brute as windows
 from tests.llm.test_jaccard import brute as components
 
@@ -81,3 +84,13 @@ def test_mixture_holds_the_masked_texts(spark, corpus):
     raw = {r[0]: r[1] for r in rows}
     masked = [i for i, t in texts.items() if t != raw[i]]
     assert masked and all(texts[i] == pii.redacted(raw[i]) for i in masked)
+
+
+def test_few_bytes_reach_python_at_once(spark):
+    """A worker holds several copies of a batch and keeps the memory of its largest."""
+    row = 200_000
+    docs = spark.range(64, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), row).alias("text"))
+    sizes = small_batches(docs).mapInPandas(
+        lambda frames: (pd.DataFrame({"n": [int(f["text"].str.len().sum())]}) for f in frames), "n long").collect()
+    assert sum(r["n"] for r in sizes) == 64 * row
+    assert max(r["n"] for r in sizes) <= (2 << 20) + row
